@@ -1 +1,313 @@
-"""Registered queries (see registry)."""
+"""Queries over a CSV feed directory that Spark writes from `orders` (X3):
+discovery, validation, layouts, scans, row order, types, sinks, the job and
+its report."""
+
+from __future__ import annotations
+
+from datetime import datetime
+
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from .. import fixtures as X
+from ..functions.exprs import base_name, c, extension, output_ext, output_name, stem
+from ..job import enrich_directory, run_color, run_summary
+from ..operators.enrich import enrich
+from ..plans.headers import NoKeyColumns, plan_layout, resolve_headers
+from ..session import scratch_path
+from ..sinks.writers import read_csv_output, write_csv
+from ..sources.csv import csv_layouts, infer_types, read_layout
+from ..sources.files import discover, list_feeds, validate
+from ..spec import DEFAULT_EXTENSIONS
+from .registry import register
+
+_BUILT: dict = {}
+RUN_TS = datetime(2024, 1, 2, 3, 4, 5, 123456)   # fixed so output names are reproducible
+STAMP = "20240102030405123456"
+
+
+def x3_dir(spark, sf_dir):
+    """Build the X3 folder once per application and scale."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _BUILT:
+        root = scratch_path(spark, "x3")
+        _BUILT[key] = (root, X.build_x3(spark, sf_dir, root))
+    return _BUILT[key]
+
+
+def _layouts(spark, sf_dir):
+    root, feeds = x3_dir(spark, sf_dir)
+    files = [f.path for f in list_feeds(spark, feeds, (".csv",)) if f.length > 0]
+    return csv_layouts(spark, files)
+
+
+def _name(col):
+    return base_name(col).alias("name")
+
+
+_GROUPS = "SELECT DISTINCT o_orderstatus AS status, o_orderpriority AS priority FROM orders"
+_NAMES = f"SELECT 'orders_' || status || '_' || replace(priority, ' ', '_') || '.csv' AS name, status FROM ({_GROUPS})"
+
+
+@register("feed_discovery", f"""
+SELECT name, '.csv' AS ext, 2 AS ext_rank, true AS non_empty FROM ({_NAMES})
+UNION ALL SELECT 'header_only.csv', '.csv', 2, true
+UNION ALL SELECT 'empty.csv', '.csv', 2, false""")
+def feed_discovery(spark, sf_dir):
+    """Supported files of one folder level; .txt and sub-folders are ignored."""
+    _, feeds = x3_dir(spark, sf_dir)
+    d = discover(spark, feeds, DEFAULT_EXTENSIONS)
+    return d.select("name", "ext", "ext_rank", (F.col("length") > 0).alias("non_empty"))
+
+
+@register("feed_validation", f"""
+SELECT name, CAST(NULL AS VARCHAR) AS reason FROM ({_NAMES})
+UNION ALL SELECT 'header_only.csv', NULL UNION ALL SELECT 'empty.csv', 'empty file'
+UNION ALL SELECT 'missing.csv', 'does not exist' UNION ALL SELECT 'archive', 'not a file'""")
+def feed_validation(spark, sf_dir):
+    """Exists / is a file / non-empty, for listed and requested paths."""
+    _, feeds = x3_dir(spark, sf_dir)
+    paths = [f.path for f in list_feeds(spark, feeds, (".csv",))] + [f"{feeds}/missing.csv", f"{feeds}/archive"]
+    rows = validate(spark, paths)
+    df = spark.createDataFrame(rows, "path string, reason string")
+    return df.select(_name(F.col("path")), "reason")
+
+
+_LAYOUT_SQL = f"""
+SELECT name,
+  CASE status WHEN 'F' THEN 'Airline PNR|Airline Code|Sector|Amount|Order Date|Unnamed: 5'
+              WHEN 'O' THEN 'sector|Order Date|PNRNUMBER|airlinecode|Amount|Amount.1'
+              ELSE 'Airline PNR|Airline Code|Amount' END AS labels,
+  CASE status WHEN 'F' THEN 'Airline PNR|Airline Code|Sector|Amount|Order Date'
+              WHEN 'O' THEN 'sector|Order Date|PNRNUMBER|airlinecode|Amount|Amount.1'
+              ELSE 'Airline PNR|Airline Code|Amount' END AS kept,
+  CASE status WHEN 'P' THEN NULL ELSE 'PNR_Number|Airline_Code|Travel_Sector' END AS key_combo
+FROM ({_NAMES})
+UNION ALL SELECT 'header_only.csv', 'Airline PNR|Airline Code|Sector|Amount', 'Airline PNR|Airline Code|Sector|Amount',
+  'PNR_Number|Airline_Code|Travel_Sector'"""
+
+
+def _layout_rows(spark, sf_dir):
+    feeds = _layouts(spark, sf_dir)
+    rows = []
+    for lay in feeds.layouts:
+        try:
+            combo = "|".join(plan_layout(lay.columns, X.x3_spec()).keys)
+        except NoKeyColumns:
+            combo = None
+        for p in lay.paths:
+            rows.append((p, "|".join(lay.names), "|".join(lay.columns), combo))
+    return spark.createDataFrame(rows, "path string, labels string, kept string, key_combo string")
+
+
+@register("csv_layouts", _LAYOUT_SQL)
+def csv_layouts_q(spark, sf_dir):
+    """Header labels per file (blank -> 'Unnamed: n', repeats -> '.1'), kept
+    labels after dropping unnamed columns, detected key combination (A4b, A5, C3)."""
+    df = _layout_rows(spark, sf_dir)
+    return df.select(_name(F.col("path")), "labels", "kept", "key_combo")
+
+
+@register("key_combo_detect", f"SELECT name, key_combo FROM ({_LAYOUT_SQL})")
+def key_combo_detect(spark, sf_dir):
+    """First fully present key combination per file, NULL when none."""
+    return _layout_rows(spark, sf_dir).select(_name(F.col("path")), "key_combo")
+
+
+def _all_rows(spark, sf_dir, with_row_index=False):
+    """Every data row of every layout: file name, PNR as bigint, Amount as double."""
+    feeds = _layouts(spark, sf_dir)
+    out = None
+    for lay in feeds.layouts:
+        df = read_layout(spark, lay, with_row_index=with_row_index)
+        mapping = resolve_headers(lay.columns, X.x3_spec().aliases)
+        pnr = next(k for k, v in mapping.items() if v == "PNR_Number")
+        cols = [_name(F.col("source_file")), c(pnr).cast("bigint").alias("PNR_Number"),
+                c("Amount").cast("double").alias("amount")]
+        if with_row_index:
+            cols.append("row_idx")
+        df = df.select(*cols)
+        out = df if out is None else out.unionByName(df)
+    return out
+
+
+@register("csv_scan", f"""
+SELECT name, o_orderkey AS PNR_Number, o_totalprice AS amount FROM ({X.X3_ROWS_SQL})""")
+def csv_scan(spark, sf_dir):
+    """All layouts read with positional string schemas, unioned (A2)."""
+    return _all_rows(spark, sf_dir)
+
+
+@register("row_index", f"""
+SELECT name, o_orderkey AS PNR_Number, o_totalprice AS amount,
+       row_number() OVER (PARTITION BY name ORDER BY o_orderkey) - 1 AS row_idx
+FROM ({X.X3_ROWS_SQL})""")
+def row_index(spark, sf_dir):
+    """0-based row position within each file, without a global sort (G1)."""
+    return _all_rows(spark, sf_dir, with_row_index=True)
+
+
+_F_SQL = f"""
+SELECT name, o_orderkey AS "Airline PNR", o_custkey AS "Airline Code", sector AS "Sector",
+       o_totalprice AS "Amount", strftime(o_orderdate, '%Y-%m-%d') AS "Order Date"
+FROM ({X.X3_ROWS_SQL}) WHERE o_orderstatus = 'F'"""
+
+
+def _f_layout(spark, sf_dir):
+    feeds = _layouts(spark, sf_dir)
+    return next(lay for lay in feeds.layouts if lay.names[-1] == "Unnamed: 5")
+
+
+@register("drop_unnamed", _F_SQL)
+def drop_unnamed(spark, sf_dir):
+    """The blank-header column is dropped; the rest keep their labels (A5)."""
+    lay = _f_layout(spark, sf_dir)
+    df = read_layout(spark, lay)
+    return df.select(_name(F.col("source_file")), c("Airline PNR").cast("bigint").alias("Airline PNR"),
+                     c("Airline Code").cast("bigint").alias("Airline Code"), c("Sector"),
+                     c("Amount").cast("double").alias("Amount"), c("Order Date"))
+
+
+@register("infer_types", f"""SELECT "Airline PNR", "Airline Code", "Sector", "Amount", "Order Date" FROM ({_F_SQL})""")
+def infer_types_q(spark, sf_dir):
+    """Opt-in type inference: one aggregate decides each column's type."""
+    lay = _f_layout(spark, sf_dir)
+    return infer_types(read_layout(spark, lay).drop("source_file"))
+
+
+@register("csv_roundtrip", f"""
+SELECT f."Airline PNR", f."Airline Code", f."Sector", f."Amount", f."Order Date",
+       CASE WHEN f."Sector" IS NULL THEN NULL ELSE f."Amount" END AS "Taxable_Amount",
+       CASE WHEN f."Sector" IS NULL THEN NULL ELSE f."Order Date" END AS "Booking Date"
+FROM ({_F_SQL}) f""")
+def csv_roundtrip(spark, sf_dir):
+    """Enriched layout written as header CSV without index, read back (B1)."""
+    lay = _f_layout(spark, sf_dir)
+    feed = read_layout(spark, lay).drop("source_file")
+    ref = X.x3_reference(spark, sf_dir)
+    out = X.x3_spec()
+    enriched = enrich(feed, ref, out)
+    path = scratch_path(spark, "roundtrip")
+    write_csv(enriched, path)
+    back = read_csv_output(spark, path, enriched.columns)
+    return back.select(c("Airline PNR").cast("bigint").alias("Airline PNR"),
+                       c("Airline Code").cast("bigint").alias("Airline Code"), c("Sector"),
+                       c("Amount").cast("double").alias("Amount"), c("Order Date"),
+                       c("Taxable_Amount").cast("double").alias("Taxable_Amount"),
+                       F.substring(c("Booking Date"), 1, 10).alias("Booking Date"))
+
+
+@register("path_parts", f"""
+SELECT name, regexp_replace(name, '\\.[^.]*$', '') AS stem, '.csv' AS ext, '.csv' AS output_ext FROM ({_NAMES})
+UNION ALL SELECT 'header_only.csv', 'header_only', '.csv', '.csv'
+UNION ALL SELECT 'empty.csv', 'empty', '.csv', '.csv'
+UNION ALL SELECT 'notes.txt', 'notes', '.txt', '.xlsx'""")
+def path_parts(spark, sf_dir):
+    """basename / stem / lower-case extension / output extension (I4)."""
+    _, feeds = x3_dir(spark, sf_dir)
+    d = discover(spark, feeds, (".csv", ".txt"))
+    return d.select("name", stem(F.col("path")).alias("stem"), extension(F.col("path")).alias("ext"),
+                    output_ext(F.col("path")).alias("output_ext"))
+
+
+@register("output_names", f"""
+SELECT name, regexp_replace(name, '\\.[^.]*$', '') || '_{STAMP}.csv' AS output FROM ({_NAMES})
+UNION ALL SELECT 'header_only.csv', 'header_only_{STAMP}.csv'
+UNION ALL SELECT 'empty.csv', 'empty_{STAMP}.csv'""")
+def output_names_q(spark, sf_dir):
+    """``{stem}_{YYYYMMDDHHMMSSffffff}{ext}`` as a column expression."""
+    _, feeds = x3_dir(spark, sf_dir)
+    d = discover(spark, feeds, DEFAULT_EXTENSIONS)
+    ts = F.lit(RUN_TS.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp")
+    from pyspark.sql import Window
+    n = F.row_number().over(Window.partitionBy(output_name(F.col("path"), ts)).orderBy("path")) - 1
+    return d.select("name", output_name(F.col("path"), ts, n).alias("output"))
+
+
+# --- the job over the folder, and its report (F7-F9, H2) ---------------------
+
+_JOBS: dict = {}
+
+
+def x3_job(spark, sf_dir):
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _JOBS:
+        root, feeds = x3_dir(spark, sf_dir)
+        res = enrich_directory(spark, feeds, X.x3_reference(spark, sf_dir), X.x3_spec(),
+                               out=scratch_path(spark, "job-out"), run_id="r1", ts=RUN_TS)
+        _JOBS[key] = res.report.checkpoint()   # small; cut its lineage from the listing
+    return _JOBS[key]
+
+
+_COUNTS = f"""SELECT name, o_orderstatus AS status, count(*) AS rows, count(sector) AS matched
+FROM ({X.X3_ROWS_SQL}) GROUP BY name, o_orderstatus"""
+
+_REPORT_SQL = f"""
+SELECT name, CASE WHEN status = 'P' THEN 'failed' ELSE 'success' END AS status,
+       CASE WHEN status = 'P' THEN NULL ELSE rows END AS rows,
+       CASE WHEN status = 'P' THEN NULL ELSE regexp_replace(name, '\\.csv$', '') || '_{STAMP}.csv' END AS output,
+       CASE WHEN status = 'P' THEN 'Processing failed' ELSE NULL END AS error,
+       CASE WHEN status = 'P' THEN NULL ELSE matched END AS matched,
+       CASE WHEN status = 'P' THEN NULL ELSE rows - matched END AS unmatched
+FROM ({_COUNTS})
+UNION ALL SELECT 'header_only.csv', 'success', 0, 'header_only_{STAMP}.csv', NULL, 0, 0
+UNION ALL SELECT 'empty.csv', 'failed', NULL, NULL, 'Processing failed', NULL, NULL"""
+
+
+@register("enrich_directory", _REPORT_SQL)
+def enrich_directory_q(spark, sf_dir):
+    """The whole job over the folder: per-file status, rows, output, matches."""
+    r = x3_job(spark, sf_dir)
+    return r.select(_name(F.col("file")), "status", "rows", "output",
+                    "error", "matched", "unmatched")
+
+
+@register("run_summary", f"""
+SELECT 'completed' AS status, count(*) FILTER (WHERE status = 'success') AS processed,
+       count(*) FILTER (WHERE status <> 'success') AS errors, count(*) AS total_files,
+       CASE WHEN count(*) FILTER (WHERE status <> 'success') = 0 THEN 'green' ELSE 'orange' END AS color
+FROM (SELECT * FROM ({_REPORT_SQL.replace(chr(10), chr(10))})) r""")
+def run_summary_q(spark, sf_dir):
+    """Run totals and severity."""
+    return run_summary(x3_job(spark, sf_dir))
+
+
+_SUMMARY_SQL = f"""
+SELECT 'completed' AS status, count(*) FILTER (WHERE status = 'success') AS processed,
+       count(*) FILTER (WHERE status <> 'success') AS errors, count(*) AS total_files,
+       CASE WHEN count(*) FILTER (WHERE status <> 'success') = 0 THEN 'green' ELSE 'orange' END AS color
+FROM ({_REPORT_SQL})"""
+
+
+@register("run_status", f"""
+SELECT status, CAST(errors AS INTEGER) AS errors, color FROM (VALUES ('completed', 0, 'green'),
+  ('no_files', 0, 'red'), ('db_error', 2, 'red'), ('critical_error', 1, 'red')) t(status, errors, color)
+UNION ALL SELECT status, CAST(errors AS INTEGER), color FROM ({_SUMMARY_SQL})""")
+def run_status(spark, sf_dir):
+    """Severity class (F8) of the job's own summary and of the other statuses
+    a run can end in."""
+    s = run_summary(x3_job(spark, sf_dir)).select("status", F.col("errors").cast("bigint").alias("errors"))
+    others = spark.createDataFrame([("completed", 0), ("no_files", 0), ("db_error", 2), ("critical_error", 1)],
+                                   "status string, errors bigint")
+    both = others.unionByName(s)
+    return both.select("status", F.col("errors").cast("int").alias("errors"),
+                       run_color(F.col("status"), F.col("errors")).alias("color"))
+
+
+@register("report_details", f"""
+SELECT name, upper(status) AS status_label,
+       CASE WHEN status = 'success' THEN rows END AS rows_processed,
+       CASE WHEN status = 'success' THEN output END AS output_name,
+       CASE WHEN status IN ('failed', 'error') THEN coalesce(error, 'Unknown error') END AS error_text
+FROM ({_REPORT_SQL})""")
+def report_details(spark, sf_dir):
+    """Per-file detail lines (F9): rows/output only for successes, error text
+    only for failures, defaults via coalesce (I6, I7)."""
+    r = x3_job(spark, sf_dir)
+    ok = F.col("status") == "success"
+    return r.select(
+        _name(F.col("file")), F.upper("status").alias("status_label"),
+        F.when(ok, F.coalesce("rows", F.lit(0))).alias("rows_processed"),
+        F.when(ok, F.col("output")).alias("output_name"),
+        F.when(F.col("status").isin("failed", "error"),
+               F.coalesce(F.col("error"), F.lit("Unknown error"))).alias("error_text"))

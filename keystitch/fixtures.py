@@ -87,3 +87,122 @@ SELECT * FROM (
 
 X1_VALID = """("Airline PNR/Prov. Booking" IS NOT NULL AND " AIRLINE code " IS NOT NULL
    AND "Sector" IS NOT NULL AND regexp_matches("Sector", '^\\s*$') = false)"""
+
+
+# X3 ------------------------------------------------------------------------
+# A CSV feed directory written by Spark from `orders`: one file per
+# (o_orderstatus, o_orderpriority) group, rows in o_orderkey order. The three
+# statuses use three layouts (different header spellings, column order, a
+# blank header, a duplicate header, a leading blank line, a layout without a
+# sector column). Plus a header-only file, a zero-byte file, a .txt file and a
+# sub-directory, which the job must report or ignore.
+
+X3_LAYOUTS = {
+    # status: (header labels, value fields, leading blank line)
+    "F": (["Airline PNR", "Airline Code", "Sector", "Amount", "Order Date", ""],
+          ["key", "cust", "sector", "price", "date", "status"], False),
+    "O": (["sector", "Order Date", "PNRNUMBER", "airlinecode", "Amount", "Amount"],
+          ["sector", "date", "key", "cust", "price", "cust"], True),
+    "P": (["Airline PNR", "Airline Code", "Amount"], ["key", "cust", "price"], False),
+}
+X3_HEADER_ONLY = "header_only.csv"
+X3_EMPTY = "empty.csv"
+
+
+def x3_name(status: str, priority: str) -> str:
+    return f"orders_{status}_{priority.replace(' ', '_')}.csv"
+
+
+def x3_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Formatted CSV lines (with each file's header first) per output file."""
+    import csv as _csv
+    import io
+
+    import pandas as pd
+
+    o = table(spark, sf_dir, "orders")
+    fields = o.select(
+        "o_orderstatus", "o_orderpriority", "o_orderkey",
+        F.col("o_orderkey").cast("string").alias("key"),
+        F.col("o_custkey").cast("string").alias("cust"),
+        # '5-LOW' rows carry the NA token instead of a sector: an empty key.
+        F.when(F.col("o_orderpriority") == "5-LOW", F.lit("NA")).otherwise(F.col("o_orderpriority")).alias("sector"),
+        F.col("o_totalprice").cast("string").alias("price"),
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias("date"),
+        F.col("o_orderstatus").alias("status"),
+    ).repartition("o_orderstatus", "o_orderpriority").sortWithinPartitions(
+        "o_orderstatus", "o_orderpriority", "o_orderkey")
+
+    def fmt(rows):
+        buf = io.StringIO()
+        w = _csv.writer(buf, lineterminator="")
+        prev = None   # kept across Arrow batches: a group may span several
+        for cells in rows:
+            if not len(cells):
+                continue
+            out = {"status": [], "priority": [], "seq": [], "value": []}
+            for r in cells.itertuples(index=False):
+                grp = (r.o_orderstatus, r.o_orderpriority)
+                labels, vals, blank = X3_LAYOUTS[r.o_orderstatus]
+                if grp != prev:
+                    seq = -2
+                    if blank:
+                        out["status"].append(grp[0]); out["priority"].append(grp[1])
+                        out["seq"].append(seq); out["value"].append("")
+                    buf.seek(0); buf.truncate(); w.writerow(labels)
+                    out["status"].append(grp[0]); out["priority"].append(grp[1])
+                    out["seq"].append(-1); out["value"].append(buf.getvalue())
+                    prev = grp
+                buf.seek(0); buf.truncate(); w.writerow([getattr(r, v) for v in vals])
+                out["status"].append(grp[0]); out["priority"].append(grp[1])
+                out["seq"].append(int(r.o_orderkey)); out["value"].append(buf.getvalue())
+            yield pd.DataFrame(out)
+
+    lines = fields.mapInPandas(fmt, "status string, priority string, seq bigint, value string")
+    return lines.sortWithinPartitions("status", "priority", "seq").drop("seq")
+
+
+def build_x3(spark: SparkSession, sf_dir: str, root: str) -> str:
+    """Write the X3 directory under ``root``; returns the feed folder."""
+    from .sources.files import hadoop_glob, hadoop_mkdirs, hadoop_rename, hadoop_write_text
+
+    staging, feeds = f"{root}/staging", f"{root}/feeds"
+    (x3_lines(spark, sf_dir).write.mode("overwrite").partitionBy("status", "priority")
+     .text(staging))
+    hadoop_mkdirs(spark, feeds)
+    for part in hadoop_glob(spark, f"{staging}/status=*/priority=*/part-*"):
+        segs = part.split("/")
+        status = segs[-3].split("=", 1)[1]
+        priority = _unescape(segs[-2].split("=", 1)[1])
+        hadoop_rename(spark, part, f"{feeds}/{x3_name(status, priority)}")
+    hadoop_write_text(spark, f"{feeds}/{X3_HEADER_ONLY}", "Airline PNR,Airline Code,Sector,Amount\n")
+    hadoop_write_text(spark, f"{feeds}/{X3_EMPTY}", "")
+    hadoop_write_text(spark, f"{feeds}/notes.txt", "not a feed\n")
+    hadoop_mkdirs(spark, f"{feeds}/archive")
+    hadoop_write_text(spark, f"{feeds}/archive/old.csv", "Airline PNR,Airline Code,Sector\n1,2,3\n")
+    return feeds
+
+
+def _unescape(v: str) -> str:
+    from urllib.parse import unquote
+    return unquote(v)
+
+
+def x3_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`orders` under canonical names (keys bigint/bigint/string)."""
+    return table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("PNR_Number"), F.col("o_custkey").alias("Airline_Code"),
+        F.col("o_orderpriority").alias("Travel_Sector"), F.col("o_totalprice").alias("Taxable_Amount"),
+        F.col("o_orderdate").alias("Booking_Date"))
+
+
+def x3_spec() -> EnrichSpec:
+    return EnrichSpec(order_by=("Booking_Date",)).with_targets(["Taxable_Amount", "Booking_Date"])
+
+
+# SQL twin: one row per X3 data row with the file it lands in.
+X3_ROWS_SQL = """
+SELECT o_orderkey, o_custkey, o_orderstatus, o_orderpriority, o_totalprice, o_orderdate,
+       'orders_' || o_orderstatus || '_' || replace(o_orderpriority, ' ', '_') || '.csv' AS name,
+       CASE WHEN o_orderpriority = '5-LOW' THEN NULL ELSE o_orderpriority END AS sector
+FROM orders"""
