@@ -1 +1,82 @@
-"""Registered queries (see registry)."""
+"""Queries over file/sheet roll-ups (X6: `orders` with source_file :=
+o_orderstatus and sheet := o_orderpriority)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from .. import fixtures as X
+from ..operators.enrich import enrich
+from ..operators.report import map_text, rows_per_file, rows_per_sheet, sheets_info, union_sheets
+from ..session import scratch_path
+from ..sinks.writers import write_partitioned
+from ..spec import EnrichSpec
+from .registry import register
+
+
+def x6(spark, sf_dir):
+    o = X.table(spark, sf_dir, "orders")
+    return o.select("*", F.col("o_orderstatus").alias("source_file"), F.col("o_orderpriority").alias("sheet"))
+
+
+@register("rows_per_sheet", """
+SELECT o_orderstatus AS source_file, o_orderpriority AS sheet, count(*) AS rows FROM orders GROUP BY ALL""")
+def rows_per_sheet_q(spark, sf_dir):
+    return rows_per_sheet(x6(spark, sf_dir))
+
+
+@register("rows_per_file", "SELECT o_orderstatus AS source_file, count(*) AS rows FROM orders GROUP BY ALL")
+def rows_per_file_q(spark, sf_dir):
+    return rows_per_file(x6(spark, sf_dir))
+
+
+@register("sheets_info", """
+SELECT source_file, CAST(count(*) AS INTEGER) AS sheets, sum(rows) AS rows,
+       string_agg(sheet || '=' || CAST(rows AS VARCHAR), ',' ORDER BY sheet) AS sheets_info
+FROM (SELECT o_orderstatus AS source_file, o_orderpriority AS sheet, count(*) AS rows FROM orders GROUP BY ALL)
+GROUP BY source_file""")
+def sheets_info_q(spark, sf_dir):
+    """Sheet count and {sheet: rows} per file (F5); the map is shown as sorted text."""
+    s = sheets_info(x6(spark, sf_dir))
+    return s.select("source_file", "sheets", "rows", map_text(F.col("sheets_info")).alias("sheets_info"))
+
+
+# Each sheet is its own feed with its own extra column; enriched per sheet and
+# unioned by name, so a column one sheet lacks is NULL there (H1).
+_SHEET_EXTRA = {"1-URGENT": "Urgent Note", "2-HIGH": "High Note"}
+
+
+def _sheet_feed(o, priority):
+    base = o.filter(F.col("o_orderpriority") == priority)
+    cols = [F.col("o_orderkey").alias("Airline PNR"), F.col("o_custkey").alias("Airline Code"),
+            F.col("o_orderpriority").alias("Sector"), F.col("o_orderstatus").alias("source_file"),
+            F.lit(priority).alias("sheet")]
+    if priority in _SHEET_EXTRA:
+        cols.append(F.col("o_clerk_hint").alias(_SHEET_EXTRA[priority]))
+    return base.select(*cols)
+
+
+@register("sheet_union", """
+SELECT o_orderkey AS "Airline PNR", o_custkey AS "Airline Code", o_orderpriority AS "Sector",
+       o_orderstatus AS source_file, o_orderpriority AS sheet,
+       CASE WHEN o_orderpriority = '1-URGENT' THEN o_totalprice END AS "Urgent Note",
+       CASE WHEN o_orderpriority = '2-HIGH' THEN o_totalprice END AS "High Note",
+       o_totalprice AS Taxable_Amount
+FROM orders""")
+def sheet_union(spark, sf_dir):
+    o = X.table(spark, sf_dir, "orders").withColumn("o_clerk_hint", F.col("o_totalprice"))
+    ref = X.x3_reference(spark, sf_dir)
+    spec = EnrichSpec(order_by=("Booking_Date",)).with_targets(["Taxable_Amount"])
+    priorities = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
+    return union_sheets([enrich(_sheet_feed(o, p), ref, spec) for p in priorities])
+
+
+@register("sheet_partitioned_write", """
+SELECT o_orderkey, o_totalprice, o_orderstatus AS source_file, o_orderpriority AS sheet FROM orders""")
+def sheet_partitioned_write(spark, sf_dir):
+    """One output folder per input file and sheet (B2, re-aimed from xlsx
+    sheets to partition folders), read back."""
+    path = scratch_path(spark, "sheets")
+    df = x6(spark, sf_dir).select("o_orderkey", "o_totalprice", "source_file", "sheet")
+    write_partitioned(df, path, ["source_file", "sheet"], fmt="parquet")
+    return spark.read.parquet(path).select("o_orderkey", "o_totalprice", "source_file", "sheet")
