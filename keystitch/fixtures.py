@@ -206,3 +206,109 @@ SELECT o_orderkey, o_custkey, o_orderstatus, o_orderpriority, o_totalprice, o_or
        'orders_' || o_orderstatus || '_' || replace(o_orderpriority, ' ', '_') || '.csv' AS name,
        CASE WHEN o_orderpriority = '5-LOW' THEN NULL ELSE o_orderpriority END AS sector
 FROM orders"""
+
+
+# X5 ------------------------------------------------------------------------
+# Two workbooks written from `nation`, `region` and `customer`: a sheet under
+# two title rows, a two-column sheet, an empty sheet, a keyed sheet that the
+# job can enrich, and a sheet whose header row holds a number.
+
+X5_BOOKS = {
+    "book_a.xlsx": ["Nations", "Regions", "Empty"],
+    "book_b.xlsx": ["Customers", "Numbers"],
+}
+
+
+def x5_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per written sheet row: book, sheet, row order key, cell texts
+    and which cells are numbers. Title and header rows come first (order 0-2),
+    data rows follow in key order (order = key + 100)."""
+    def lit_rows(book, sheet, pos, lines):
+        out = [(book, sheet, pos, i, [None if v is None else str(v) for v in vals],
+                [not isinstance(v, str) for v in vals]) for i, vals in enumerate(lines)]
+        return spark.createDataFrame(out, "book string, sheet string, sheet_pos int, row_pos bigint, "
+                                          "vals array<string>, nums array<boolean>")
+
+    def data_rows(df, book, sheet, pos, cells, nums):
+        return df.select(F.lit(book).alias("book"), F.lit(sheet).alias("sheet"), F.lit(pos).alias("sheet_pos"),
+                         (cells[0].cast("bigint") + F.lit(100)).alias("row_pos"),
+                         F.array(*[x.cast("string") for x in cells]).alias("vals"),
+                         F.array(*[F.lit(n) for n in nums]).alias("nums"))
+
+    nation, region, cust = (table(spark, sf_dir, t) for t in ("nation", "region", "customer"))
+    parts = [
+        lit_rows("book_a.xlsx", "Nations", 0, [["Nation list"], ["source: nation"],
+                                                ["n_nationkey", "n_name", "n_regionkey"]]),
+        lit_rows("book_a.xlsx", "Regions", 1, [["r_regionkey", "r_name"]]),
+        lit_rows("book_b.xlsx", "Customers", 0, [["Airline PNR", "Airline Code", "Sector", "Customer"]]),
+        lit_rows("book_b.xlsx", "Numbers", 1, [[2024, "c_custkey", "segment"]]),
+        data_rows(nation, "book_a.xlsx", "Nations", 0,
+                  [F.col("n_nationkey"), F.col("n_name"), F.col("n_regionkey")], [True, False, True]),
+        data_rows(region, "book_a.xlsx", "Regions", 1, [F.col("r_regionkey"), F.col("r_name")], [True, False]),
+        data_rows(cust, "book_b.xlsx", "Customers", 0,
+                  [F.col("c_custkey"), F.col("c_nationkey"), F.col("c_mktsegment"), F.col("c_name")],
+                  [True, True, False, False]),
+        data_rows(cust, "book_b.xlsx", "Numbers", 1,
+                  [F.col("c_custkey"), F.col("c_nationkey"), F.col("c_mktsegment")], [True, True, False]),
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def _open_output(uri: str):
+    from pyarrow import fs as pafs
+    if uri.startswith("file:") and not uri.startswith("file://"):
+        uri = "file://" + uri[len("file:"):]
+    filesystem, path = pafs.FileSystem.from_uri(uri)
+    return filesystem.open_output_stream(path)
+
+
+def build_x5(spark: SparkSession, sf_dir: str, root: str) -> str:
+    """Write the X5 workbooks under ``root``/books. Each workbook is assembled
+    by the one task that holds its rows (a zip needs the whole file) and
+    written to the shared folder from that task."""
+    import pandas as pd
+
+    from .sources.files import hadoop_mkdirs
+    from .sources.workbook import xlsx_bytes
+
+    folder = f"{root}/books"
+    hadoop_mkdirs(spark, folder)
+    books = dict(X5_BOOKS)
+
+    def write(batches):
+        current, sheets = None, {}
+
+        def flush():
+            named = [(s, sheets.get(s, [])) for s in books[current]]
+            data = xlsx_bytes(named)
+            with _open_output(f"{folder}/{current}") as fh:
+                fh.write(data)
+            return (current, len(data))
+
+        done = []
+        for pdf in batches:
+            for r in pdf.itertuples(index=False):
+                if r.book != current:
+                    if current is not None:
+                        done.append(flush())
+                    current, sheets = r.book, {}
+                cells = [None if v is None else (float(v) if n else v) for v, n in zip(r.vals, r.nums)]
+                cells = [int(v) if isinstance(v, float) and v.is_integer() else v for v in cells]
+                sheets.setdefault(r.sheet, []).append(cells)
+        if current is not None:
+            done.append(flush())
+        yield pd.DataFrame(done, columns=["book", "size"])
+
+    rows = x5_rows(spark, sf_dir).repartition("book").sortWithinPartitions("book", "sheet_pos", "row_pos")
+    rows.mapInPandas(write, "book string, size bigint").collect()   # one row per workbook
+    return folder
+
+
+def x5_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers with a non-negative balance: the others stay unmatched."""
+    return table(spark, sf_dir, "customer").filter(F.col("c_acctbal") >= 0).select(
+        F.col("c_custkey").alias("PNR_Number"), F.col("c_nationkey").alias("Airline_Code"),
+        F.col("c_mktsegment").alias("Travel_Sector"), F.col("c_acctbal").alias("Taxable_Amount"))
