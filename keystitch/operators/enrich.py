@@ -158,7 +158,9 @@ def prepare(feed: DataFrame, reference_schema: T.StructType, spec: EnrichSpec,
     # Rows with an empty key part: one key column gets a per-row surrogate so
     # they spread over all join tasks (a blank/NULL key would otherwise hash to
     # a single partition); the residual ``valid`` predicate keeps them unmatched.
-    spread = _spread_index(key_types)
+    # A streaming feed has no stable row id (and needs none: each micro-batch
+    # is small), so the spread is only applied to batch feeds.
+    spread = None if feed.isStreaming else _spread_index(key_types)
     cols = []
     for i, (e, t) in enumerate(zip(key_exprs, key_types)):
         if i == spread:
@@ -239,6 +241,8 @@ def enrich(feed: DataFrame, reference: DataFrame, spec: EnrichSpec, *, reduce_re
     if plan.passthrough:
         return feed
     prep = prepare(feed, reference.schema, spec, plan)
+    if feed.isStreaming:   # stream-static join: the static side is reduced per key only
+        reduce_reference = False
     ref = reference_side(prep, reference, spec, reduce_reference)
     cond = _and([F.col(f) == F.col(f"{_P}r{i}") for i, f in enumerate(prep.key_cols)]) & F.col(_P + "v")
     joined = prep.feed.join(ref, on=cond, how="left")
