@@ -14,6 +14,7 @@ from ..functions.exprs import base_name, c, extension, output_ext, output_name,
 from ..job import enrich_directory, run_color, run_summary
 from ..operators.enrich import enrich
 from ..plans.headers import NoKeyColumns, plan_layout, resolve_headers
+from ..plans.layouts import plan_layouts
 from ..session import scratch_path
 from ..sinks.writers import read_csv_output, write_csv
 from ..sources.csv import csv_layouts, infer_types, read_layout
@@ -311,3 +312,23 @@ def report_details(spark, sf_dir):
         F.when(ok, F.col("output")).alias("output_name"),
         F.when(F.col("status").isin("failed", "error"),
                F.coalesce(F.col("error"), F.lit("Unknown error"))).alias("error_text"))
+
+
+@register("layout_resolution", f"""
+SELECT name,
+  CASE status WHEN 'P' THEN NULL ELSE 'PNR_Number|Airline_Code|Travel_Sector' END AS keys,
+  CASE status WHEN 'F' THEN 'Airline PNR|Airline Code|Sector' WHEN 'O' THEN 'PNRNUMBER|airlinecode|sector'
+              ELSE NULL END AS sources,
+  'Taxable_Amount|Booking_Date' AS missing
+FROM ({_NAMES})
+UNION ALL SELECT 'header_only.csv', 'PNR_Number|Airline_Code|Travel_Sector', 'Airline PNR|Airline Code|Sector',
+  'Taxable_Amount|Booking_Date'""")
+def layout_resolution(spark, sf_dir):
+    """Header resolution, key detection, key sources and missing targets for
+    all files' layouts in one DataFrame plan (C1, C3, C4, C6 distributed)."""
+    feeds = _layouts(spark, sf_dir)
+    rows = [(p, i, lay.names[i]) for lay in feeds.layouts for p in lay.paths for i in lay.kept]
+    headers = spark.createDataFrame(rows, "layout_id string, pos int, header string")
+    plan = plan_layouts(headers, X.x3_spec())
+    return plan.select(_name(F.col("layout_id")), F.array_join("keys", "|").alias("keys"),
+                       F.array_join("sources", "|").alias("sources"), F.array_join("missing", "|").alias("missing"))

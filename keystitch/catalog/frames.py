@@ -12,7 +12,7 @@ from ..operators.enrich import (
     reference_semi, unmatched, where_key,
 )
 from ..plans.headers import plan_layout
-from ..sources.reference import read_reference
+from ..sources.reference import key_in_filter, read_reference, reference_columns
 from ..spec import EnrichSpec
 from .registry import register
 
@@ -294,3 +294,25 @@ def na_tokens(spark, sf_dir):
     value = na_to_null(F.col("raw"))
     from pyspark.sql import types as T
     return df.select("event_id", "raw", value.alias("value"), is_empty(value, T.StringType()).alias("empty_key"))
+
+
+@register("reference_columns", """
+SELECT * FROM (VALUES (1, 'c_custkey'), (2, 'c_name'), (3, 'c_nationkey'), (4, 'c_acctbal'),
+  (5, 'c_mktsegment')) t(pos, name)""")
+def reference_columns_q(spark, sf_dir):
+    """Ordered reference schema (A11) as a frame."""
+    cols = reference_columns(X.table(spark, sf_dir, "customer"))
+    return spark.createDataFrame(list(enumerate(cols, 1)), "pos int, name string")
+
+
+@register("reference_in_filter", f"""
+SELECT * FROM ({X.X1_REF_SQL}) r WHERE (PNR_Number, Airline_Code, Travel_Sector) IN (
+  SELECT ("Airline PNR/Prov. Booking", " AIRLINE code ", "Sector") FROM ({X.X1_FEED_SQL}) f
+  WHERE {X.X1_VALID})""")
+def reference_in_filter(spark, sf_dir):
+    """Feed-key ``IN`` superset pushed into the reference scan for key columns
+    with few distinct values, then the exact semi-join (D3b)."""
+    feed, ref, spec = _x1(spark, sf_dir)
+    kf = key_frame(feed, spec, ref.schema).filter(F.col("key_valid")).select(*KEYS)
+    reduced = key_in_filter(ref, kf, KEYS)
+    return reference_semi(feed, reduced, spec)

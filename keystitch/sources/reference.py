@@ -45,16 +45,26 @@ def reference_columns(reference: DataFrame) -> list[str]:
     return list(reference.columns)
 
 
-def key_in_filter(reference: DataFrame, keys: Iterable[tuple], key_columns: Sequence[str]) -> DataFrame:
-    """Per-column ``IN`` superset filter for a *small, driver-known* key list
-    (D3b): each column gets ``isin`` of its distinct values, which a JDBC
-    source pushes to the database as ``In``; the exact composite match still
-    happens in the join. Only for key lists that are already on the driver
-    (e.g. a single small feed); never collect a large key set for this."""
-    keys = list(keys)
-    cond = None
-    for i, name in enumerate(key_columns):
-        values = sorted({k[i] for k in keys if k[i] is not None}, key=repr)
-        part = c(name).isin(values) if values else F.lit(False)
-        cond = part if cond is None else cond & part
-    return reference.filter(cond) if cond is not None else reference
+def key_in_filter(reference: DataFrame, feed_keys: DataFrame, key_columns: Sequence[str],
+                  max_values: int = 1000) -> DataFrame:
+    """Per-column ``IN`` superset filter (D3b): for every key column whose
+    distinct feed values are few (HyperLogLog estimate checked first, then
+    collected), ``isin`` of those values is added to the reference. A parquet
+    or JDBC source pushes it into the scan (``PushedFilters: In``), the way the
+    job let the database evaluate its composite ``IN``. The exact composite
+    match still happens in the join; columns with many values are skipped, so
+    nothing unbounded reaches the driver.
+
+    ``feed_keys`` has the key columns under the reference's names."""
+    est = feed_keys.agg(*[F.approx_count_distinct(c(k), 0.02).alias(f"n{i}")
+                          for i, k in enumerate(key_columns)]).first()
+    small = [k for i, k in enumerate(key_columns) if est[f"n{i}"] <= max_values * 0.9]
+    if not small:
+        return reference
+    sets = feed_keys.agg(*[F.collect_set(c(k)).alias(f"s{i}") for i, k in enumerate(small)]).first()
+    out = reference
+    for i, k in enumerate(small):
+        values = [v for v in sets[f"s{i}"] if v is not None]
+        if len(values) <= max_values:
+            out = out.filter(c(k).isin(values) if values else F.lit(False))
+    return out
