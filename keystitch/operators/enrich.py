@@ -261,16 +261,23 @@ def key_frame(feed: DataFrame, spec: EnrichSpec, reference_schema: T.StructType
               names: Sequence[str] | None = None) -> DataFrame:
     """Feed with its composite key as columns named after the canonical keys
     (or ``names``) plus ``key_valid`` (D2). Without a reference schema the keys
-    keep the feed's types."""
+    keep the feed's types. A key name that already is a feed column gets the
+    suffix ``__key``."""
     plan = plan_layout(feed.columns, spec)
     if reference_schema is None:
         ftypes = {f.name: f.dataType for f in feed.schema.fields}
         reference_schema = T.StructType([T.StructField(k, ftypes[s[0]]) for k, s in zip(plan.keys, plan.sources)])
     plain = prepare_plain(feed, plan, reference_schema)
-    names = list(names or plan.keys)
+    taken = set(feed.columns)
+    out_names = []
+    for nm in (names or plan.keys):
+        while nm in taken:
+            nm = nm + "__key"
+        taken.add(nm)
+        out_names.append(nm)
     return plain.select(*[c(n) for n in feed.columns],
-                        *[F.col(f"{_P}p{i}").alias(nm) for i, nm in enumerate(names)],
-                        F.col(_P + "v").alias("key_valid"))
+                        *[F.col(f"{_P}p{i}").alias(nm) for i, nm in enumerate(out_names)],
+                        F.col(_P + "v").alias("key_valid" if "key_valid" not in feed.columns else "key_valid__key"))
 
 
 def prepare_plain(feed: DataFrame, plan: LayoutPlan, schema: T.StructType) -> DataFrame:
@@ -294,23 +301,31 @@ def prepare_plain(feed: DataFrame, plan: LayoutPlan, schema: T.StructType) -> Da
 
 def missing_key_rows(feed: DataFrame, spec: EnrichSpec) -> DataFrame:
     """Feed rows with at least one empty key part (D2): never looked up."""
-    kf = key_frame(feed, spec)
-    return kf.filter(~F.col("key_valid")).select(*[c(n) for n in feed.columns])
+    plan = plan_layout(feed.columns, spec)
+    plain = prepare_plain(feed, plan, _feed_key_schema(feed, plan))
+    return plain.filter(~F.col(_P + "v")).select(*[c(n) for n in feed.columns])
+
+
+def _feed_key_schema(feed: DataFrame, plan: LayoutPlan) -> T.StructType:
+    ftypes = {f.name: f.dataType for f in feed.schema.fields}
+    return T.StructType([T.StructField(k, ftypes[s[0]]) for k, s in zip(plan.keys, plan.sources)])
 
 
 def distinct_keys(feed: DataFrame, spec: EnrichSpec) -> DataFrame:
     """Distinct valid composite keys of a feed (F1), named by canonical key."""
     plan = plan_layout(feed.columns, spec)
-    kf = key_frame(feed, spec)
-    return kf.filter(F.col("key_valid")).select(*[c(k) for k in plan.keys]).distinct()
+    plain = prepare_plain(feed, plan, _feed_key_schema(feed, plan))
+    return plain.filter(F.col(_P + "v")).select(
+        *[F.col(f"{_P}p{i}").alias(k) for i, k in enumerate(plan.keys)]).distinct()
 
 
 def reference_semi(feed: DataFrame, reference: DataFrame, spec: EnrichSpec) -> DataFrame:
     """Reference rows whose key occurs among the feed's valid keys (D3): the
     relational form of the reference's composite ``IN`` filter."""
     plan = plan_layout(feed.columns, spec)
-    kf = key_frame(feed, spec, reference.schema, names=[f"{_P}k{i}" for i in range(len(plan.keys))])
-    keys = kf.filter(F.col("key_valid")).select(*[f"{_P}k{i}" for i in range(len(plan.keys))]).distinct()
+    plain = prepare_plain(feed, plan, reference.schema)
+    keys = plain.filter(F.col(_P + "v")).select(
+        *[F.col(f"{_P}p{i}").alias(f"{_P}k{i}") for i in range(len(plan.keys))]).distinct()
     rschema = {f.name: f.dataType for f in reference.schema.fields}
     fschema = {f.name: f.dataType for f in feed.schema.fields}
     cond = []
