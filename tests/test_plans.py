@@ -50,3 +50,32 @@ def test_passthrough_never_scans_reference(spark):
     full = feed.select("*", *[cols[0].alias(t) for t, _ in EnrichSpec().targets])
     out = enrich(full, X.x1_reference(spark, SF), EnrichSpec(order_by=X.X1_ORDER_BY))
     assert out is full and "l_extendedprice" not in plan_text(out)
+
+
+def test_hot_feed_key_is_split_by_aqe(spark):
+    """A third of the feed on one valid key: the sort-merge join's hot
+    partition is split by AQE (the reference side is unique per key)."""
+    from pyspark.sql import functions as F
+
+    from keystitch import EnrichSpec
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k"}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        n = 60000
+        feed = spark.range(n).select(F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")).alias("K1"),
+                                     F.lit(1).cast("bigint").alias("K2"), "id")
+        ref = spark.range(n).select(F.col("id").alias("K1"), F.lit(1).cast("bigint").alias("K2"),
+                                    (F.col("id") * 2.0).alias("T"), F.lit(0).alias("O"))
+        spec = EnrichSpec(key_combinations=[("K1", "K2")], aliases=[], targets=[("T", "T")], order_by=("O",))
+        out = enrich(feed, ref, spec, reduce_reference=False)
+        rows = out.collect()
+        assert len(rows) == n
+        assert sum(1 for r in rows if r["K1"] == 7 and r["T"] == 14.0) == n // 3
+        assert "skew=true" in out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k in conf:
+            spark.conf.unset(k)
