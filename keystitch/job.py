@@ -29,6 +29,7 @@ from pyspark.sql import types as T
 from .functions.exprs import c
 from .operators.enrich import enrich
 from .plans.headers import MissingReferenceColumns, NoKeyColumns, plan_layout
+from .session import configure
 from .sinks.writers import attach_output, output_names, write_partitioned
 from .sources.csv import SOURCE_FILE, csv_layouts, read_layout
 from .sources.files import list_feeds
@@ -69,6 +70,7 @@ def enrich_directory(spark: SparkSession, directory: str, reference: DataFrame,
                      fmt: str = "csv", paths: Sequence[str] | None = None, multiline: bool = True,
                      reduce_reference="auto") -> JobResult:
     """Enrich every supported feed in ``directory`` (or the given ``paths``)."""
+    configure(spark)
     ts = ts or datetime.now()
     run_id = run_id or ts.strftime("%Y%m%d%H%M%S%f")
     if paths is None:

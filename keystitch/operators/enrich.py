@@ -78,9 +78,8 @@ def plan_size_bytes(df: DataFrame) -> int:
         return 1 << 62
 
 
-def broadcast_threshold(spark) -> int:
-    raw = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
-    raw = str(raw).strip().lower()
+def _bytes_conf(spark, key: str, default: str) -> int:
+    raw = str(spark.conf.get(key, default) or default).strip().lower()
     mult = 1
     for suffix, m in (("kb", 1 << 10), ("mb", 1 << 20), ("gb", 1 << 30), ("k", 1 << 10), ("m", 1 << 20),
                       ("g", 1 << 30), ("b", 1)):
@@ -93,6 +92,18 @@ def broadcast_threshold(spark) -> int:
         return 10 << 20
 
 
+def broadcast_threshold(spark) -> int:
+    """Largest relation this library broadcasts on purpose: the adaptive
+    (run-time, measured) threshold when set, else the static one; 10 MB if
+    both are off."""
+    static = _bytes_conf(spark, "spark.sql.autoBroadcastJoinThreshold", "10485760")
+    adaptive = _bytes_conf(spark, "spark.sql.adaptive.autoBroadcastJoinThreshold", str(static))
+    for v in (adaptive, static):
+        if v >= 0:
+            return v
+    return 10 << 20
+
+
 # ---------------------------------------------------------------------------
 # first row per key
 # ---------------------------------------------------------------------------
@@ -189,13 +200,38 @@ def _surrogate(t: T.DataType) -> Column:
     return rid
 
 
+_FIXED_WIDTH = {T.LongType: 8, T.DoubleType: 8, T.TimestampType: 8, T.TimestampNTZType: 8, T.IntegerType: 4,
+                T.FloatType: 4, T.DateType: 4, T.ShortType: 2, T.ByteType: 1, T.BooleanType: 1}
+
+
+def _key_bytes(keys_df: DataFrame) -> int:
+    """Exact in-memory size bound of a (small) key set: one aggregate over it."""
+    sizes = []
+    for f in keys_df.schema.fields:
+        col = F.col(f.name)
+        if isinstance(f.dataType, T.StringType):
+            sizes.append(F.coalesce(F.octet_length(col), F.lit(0)) + F.lit(8))
+        else:
+            sizes.append(F.lit(_FIXED_WIDTH.get(type(f.dataType), 16)))
+    row = reduce(lambda a, b: a + b, sizes) + F.lit(16)   # + row header
+    got = keys_df.agg(F.coalesce(F.sum(row), F.lit(0)).alias("b")).first()["b"]
+    return int(got)
+
+
 def _reduce_decision(mode, keys_df: DataFrame) -> bool:
+    """Semi-join reduction only where it pays: when the distinct feed keys are
+    small enough to broadcast *before* the reference is shuffled. The
+    optimizer's estimate rules out clearly large key sets without a job; for
+    the rest the key set's exact size is measured, so the broadcast that
+    follows has a proven bound."""
     if mode is True or mode is False:
         return mode
     if mode != "auto":
         raise ValueError("reduce_reference must be True, False or 'auto'")
     limit = broadcast_threshold(keys_df.sparkSession)
-    return 0 <= plan_size_bytes(keys_df) <= limit
+    if plan_size_bytes(keys_df) > 4 * limit:   # estimates come from compressed files: keep a margin
+        return False
+    return _key_bytes(keys_df) <= limit
 
 
 def reference_side(prep: Prepared, reference: DataFrame, spec: EnrichSpec,
@@ -215,8 +251,10 @@ def reference_side(prep: Prepared, reference: DataFrame, spec: EnrichSpec,
 
     feed_keys = prep.feed.filter(F.col(_P + "v")).select(
         *[F.col(f).alias(r) for f, r in zip(prep.key_cols, rkeys)]).distinct()
-    if _reduce_decision(reduce_reference, feed_keys):
-        ref = ref.join(feed_keys, on=rkeys, how="left_semi")
+    if reduce_reference == "auto" and _reduce_decision("auto", feed_keys):
+        ref = ref.join(F.broadcast(feed_keys), on=rkeys, how="left_semi")   # size measured above
+    elif reduce_reference is True:
+        ref = ref.join(feed_keys, on=rkeys, how="left_semi")                # strategy left to AQE
 
     order = []
     for m, o in enumerate(spec.order_by):

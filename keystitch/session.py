@@ -10,9 +10,13 @@ import uuid
 from pyspark.sql import SparkSession
 
 # Settings every job of this library relies on: AQE re-plans joins at run time
-# (broadcast from measured sizes, skew splits, partition coalescing).
+# (skew splits, partition coalescing) and broadcasts only from *measured*
+# stage sizes; the static planner, whose estimates come from compressed file
+# sizes, broadcasts nothing on its own.
 JOB_CONF = {
     "spark.sql.adaptive.enabled": "true",
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "10485760",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
@@ -38,6 +42,16 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
+def configure(spark: SparkSession) -> SparkSession:
+    """Apply :data:`JOB_CONF` to a session (runtime SQL settings only)."""
+    for k, v in JOB_CONF.items():
+        try:
+            spark.conf.set(k, v)
+        except Exception:  # noqa: BLE001 - static confs cannot change at run time
+            pass
+    return spark
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The cluster's shared folder from ``spark.checkpoint.dir``; only where it
     is unset (tests) a fresh local one is created and set."""

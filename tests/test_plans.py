@@ -18,11 +18,7 @@ def plan_text(df):
 
 def test_enrich_plan_shape(spark):
     feed, ref = X.x1_feed(spark, SF), X.x1_reference(spark, SF)
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        text = plan_text(enrich(feed, ref, X.x1_spec(ref), reduce_reference=False))
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    text = plan_text(enrich(feed, ref, X.x1_spec(ref), reduce_reference=False))
     assert "WindowGroupLimit" in text and "Partial" in text           # map-side first-per-key
     assert "IsNotNull(l_orderkey)" in text                              # NULL keys never shuffled
     assert "ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint,l_suppkey:bigint,l_linenumber:int," \
@@ -59,9 +55,11 @@ def test_hot_feed_key_is_split_by_aqe(spark):
 
     from keystitch import EnrichSpec
     conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
             "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
             "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k"}
+    saved = {k: spark.conf.get(k, None) for k in conf}
     for k, v in conf.items():
         spark.conf.set(k, v)
     try:
@@ -78,5 +76,5 @@ def test_hot_feed_key_is_split_by_aqe(spark):
         assert len(hot) == n // 3 + 1 and all(r["T"] == 14.0 for r in hot)
         assert "skew=true" in out._jdf.queryExecution().executedPlan().toString()
     finally:
-        for k in conf:
-            spark.conf.unset(k)
+        for k, v in saved.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
