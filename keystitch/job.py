@@ -82,6 +82,15 @@ def enrich_directory(spark: SparkSession, directory: str, reference: DataFrame,
             fs, jp = _fs(spark, p)
             files.append(FeedFile(p, int(fs.getFileStatus(jp).getLen()), "." + p.rsplit(".", 1)[-1].lower(), 0))
     rows: list[tuple] = []
+    if not files:
+        report = spark.createDataFrame([], REPORT_SCHEMA)
+        return JobResult(report, run_summary(report))
+    try:
+        reference.schema   # resolves the source (for JDBC: connects)
+    except Exception as e:  # noqa: BLE001 - the run cannot look anything up
+        report = spark.createDataFrame([_failure(f.path, "error", f"reference unavailable: {type(e).__name__}")
+                                        for f in files], REPORT_SCHEMA)
+        return JobResult(report, run_summary(report, status="db_error"))
     names = output_names([f.path for f in files], ts)
     csvs = [f for f in files if f.ext == ".csv"]
     books = [f for f in files if f.ext == ".xlsx"]
@@ -92,6 +101,7 @@ def enrich_directory(spark: SparkSession, directory: str, reference: DataFrame,
             rows.append(_failure(f.path, "failed", "empty file"))
 
     units: list[tuple[DataFrame, Sequence[str], list[str]]] = []   # (feed df, columns, paths)
+    nonempty_sheets: dict[str, int] = {}   # workbook -> sheets with data rows
     layouts = csv_layouts(spark, [f.path for f in csvs if f.length > 0])
     for p, why in layouts.failures:
         rows.append(_failure(p, "failed", why))
@@ -105,8 +115,12 @@ def enrich_directory(spark: SparkSession, directory: str, reference: DataFrame,
             rows.append(_failure(p, "failed", why))
         for lay in wb.layouts:
             units.append((lay.frame, lay.columns, sorted(set(lay.paths))))
+        for lay in wb.layouts:
+            for p in lay.paths:
+                nonempty_sheets[p] = nonempty_sheets.get(p, 0) + 1
 
     frames = []
+    errored: set[str] = set()
     stats: dict[str, dict] = {}
     failed_sheets: dict[str, list] = {}
     for feed, columns, unit_paths in units:
@@ -137,6 +151,11 @@ def enrich_directory(spark: SparkSession, directory: str, reference: DataFrame,
             per = (enriched.groupBy(SOURCE_FILE, SHEET)
                    .agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col(FLAG)).alias("m"))
                    .collect())   # one row per file/sheet: listing-sized metadata
+        except Exception as e:  # noqa: BLE001 - a failed write or read fails its files (R21, R23)
+            for p in unit_paths:
+                rows.append(_failure(p, "error", f"{type(e).__name__}: {str(e)[:500]}"))
+                errored.add(p)
+            continue
         finally:
             enriched.unpersist()
         for r in per:
@@ -148,11 +167,14 @@ def enrich_directory(spark: SparkSession, directory: str, reference: DataFrame,
         for p in unit_paths:   # files of this layout that produced no row (header only)
             stats.setdefault(p, {"rows": 0, "matched": 0, "sheets": {}})
 
+    for p in errored:
+        stats.pop(p, None)
     for p, errs in failed_sheets.items():
-        if p not in stats:
+        if p not in stats and p not in errored:
             rows.append(_failure(p, "failed", "; ".join(sorted(set(errs)))))
     for p, s in stats.items():
-        sheets = s["sheets"]
+        # a workbook with one non-empty sheet is a plain table: no sheet breakdown
+        sheets = s["sheets"] if nonempty_sheets.get(p, 0) > 1 else {}
         rows.append((p, "success", s["rows"], len(sheets) if sheets else None, sheets or None,
                      names.get(p), None, s["matched"], s["rows"] - s["matched"], None))
 

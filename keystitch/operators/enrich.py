@@ -145,13 +145,12 @@ class Prepared:
     n_keys: int
 
 
-def prepare(feed: DataFrame, reference_schema: T.StructType, spec: EnrichSpec,
-            plan: LayoutPlan | None = None) -> Prepared:
-    """Key columns and validity flag on the feed."""
-    plan = plan or plan_layout(feed.columns, spec)
-    fschema = {f.name: f.dataType for f in feed.schema.fields}
+def _key_exprs(feed_schema: T.StructType, plan: LayoutPlan, reference_schema: T.StructType):
+    """Per key: the feed-side expression (alias choice R3/R4, comparison type
+    H3), its type, and the matching reference-side expression."""
+    fschema = {f.name: f.dataType for f in feed_schema.fields}
     rschema = {f.name: f.dataType for f in reference_schema.fields}
-    key_exprs, key_types, ref_exprs = [], [], []
+    exprs, types, ref_exprs = [], [], []
     for k, srcs in zip(plan.keys, plan.sources):
         ktype = _key_type([fschema[s] for s in srcs], rschema[k])
         parts = [(c(s) if ktype is None else c(s).cast(ktype)) for s in srcs]
@@ -161,10 +160,17 @@ def prepare(feed: DataFrame, reference_schema: T.StructType, spec: EnrichSpec,
         else:  # coalesce_aliases: first non-empty alias cell
             expr = F.coalesce(*[F.when(~is_empty(p, t), p) for p, t in zip(parts, ptypes)])
             etype = ptypes[0]
-        key_exprs.append(expr)
-        key_types.append(etype)
+        exprs.append(expr)
+        types.append(etype)
         ref_exprs.append(c(k) if ktype is None else c(k).cast(ktype))
+    return exprs, types, ref_exprs
 
+
+def prepare(feed: DataFrame, reference_schema: T.StructType, spec: EnrichSpec,
+            plan: LayoutPlan | None = None) -> Prepared:
+    """Key columns and validity flag on the feed."""
+    plan = plan or plan_layout(feed.columns, spec)
+    key_exprs, key_types, ref_exprs = _key_exprs(feed.schema, plan, reference_schema)
     valid = ~reduce(lambda a, b: a | b, [is_empty(e, t) for e, t in zip(key_exprs, key_types)])
     # Rows with an empty key part: one key column gets a per-row surrogate so
     # they spread over all join tasks (a blank/NULL key would otherwise hash to
@@ -302,10 +308,7 @@ def key_frame(feed: DataFrame, spec: EnrichSpec, reference_schema: T.StructType
     keep the feed's types. A key name that already is a feed column gets the
     suffix ``__key``."""
     plan = plan_layout(feed.columns, spec)
-    if reference_schema is None:
-        ftypes = {f.name: f.dataType for f in feed.schema.fields}
-        reference_schema = T.StructType([T.StructField(k, ftypes[s[0]]) for k, s in zip(plan.keys, plan.sources)])
-    plain = prepare_plain(feed, plan, reference_schema)
+    plain = prepare_plain(feed, plan, reference_schema or _feed_key_schema(feed, plan))
     taken = set(feed.columns)
     out_names = []
     for nm in (names or plan.keys):
@@ -319,19 +322,8 @@ def key_frame(feed: DataFrame, spec: EnrichSpec, reference_schema: T.StructType
 
 
 def prepare_plain(feed: DataFrame, plan: LayoutPlan, schema: T.StructType) -> DataFrame:
-    fschema = {f.name: f.dataType for f in feed.schema.fields}
-    rschema = {f.name: f.dataType for f in schema.fields}
-    exprs, types = [], []
-    for k, srcs in zip(plan.keys, plan.sources):
-        ktype = _key_type([fschema[s] for s in srcs], rschema[k])
-        parts = [(c(s) if ktype is None else c(s).cast(ktype)) for s in srcs]
-        ptypes = [fschema[s] if ktype is None else ktype for s in srcs]
-        if len(parts) == 1:
-            e, t = parts[0], ptypes[0]
-        else:
-            e, t = F.coalesce(*[F.when(~is_empty(p, pt), p) for p, pt in zip(parts, ptypes)]), ptypes[0]
-        exprs.append(e)
-        types.append(t)
+    """Feed + raw key columns ``__ks_p{i}`` + validity ``__ks_v`` (no surrogate)."""
+    exprs, types, _ = _key_exprs(feed.schema, plan, schema)
     valid = ~reduce(lambda a, b: a | b, [is_empty(e, t) for e, t in zip(exprs, types)])
     return feed.select(*[c(n) for n in feed.columns],
                        *[e.alias(f"{_P}p{i}") for i, e in enumerate(exprs)], valid.alias(_P + "v"))
@@ -364,13 +356,8 @@ def reference_semi(feed: DataFrame, reference: DataFrame, spec: EnrichSpec) -> D
     plain = prepare_plain(feed, plan, reference.schema)
     keys = plain.filter(F.col(_P + "v")).select(
         *[F.col(f"{_P}p{i}").alias(f"{_P}k{i}") for i in range(len(plan.keys))]).distinct()
-    rschema = {f.name: f.dataType for f in reference.schema.fields}
-    fschema = {f.name: f.dataType for f in feed.schema.fields}
-    cond = []
-    for i, (k, srcs) in enumerate(zip(plan.keys, plan.sources)):
-        ktype = _key_type([fschema[s] for s in srcs], rschema[k])
-        rk = c(k) if ktype is None else c(k).cast(ktype)
-        cond.append(rk == F.col(f"{_P}k{i}"))
+    _, _, ref_exprs = _key_exprs(feed.schema, plan, reference.schema)
+    cond = [rk == F.col(f"{_P}k{i}") for i, rk in enumerate(ref_exprs)]
     return reference.join(keys, on=_and(cond), how="left_semi")
 
 

@@ -95,3 +95,21 @@ def test_coalesce_aliases_option(spark):
     strict = EnrichSpec(key_combinations=[("K1", "K2")], aliases=[("key one", "K1"), ("K1", "K1")],
                         targets=[("T", "Target")])
     assert enrich(feed, ref, strict).first()["Target"] is None          # R3: first alias even if empty
+
+
+def test_overlap_guard(spark, scratch):
+    """A second run under the same name while the first is active is refused."""
+    import pytest
+
+    from keystitch.sources.files import hadoop_mkdirs
+    from keystitch.streaming.incremental import AlreadyRunning, enrich_incremental
+    inbox = f"{scratch}/inbox"
+    hadoop_mkdirs(spark, inbox)
+    ref = ref_df(spark, [("a", 1, 1.0, "x", 1)])
+    q = enrich_incremental(spark, inbox, ref, SPEC, f"{scratch}/out", f"{scratch}/ckpt", name="ks_guard",
+                           available_now=False, interval="1 hour")
+    try:
+        with pytest.raises(AlreadyRunning):
+            enrich_incremental(spark, inbox, ref, SPEC, f"{scratch}/out", f"{scratch}/ckpt2", name="ks_guard")
+    finally:
+        q.stop()

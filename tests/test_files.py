@@ -57,3 +57,23 @@ def test_xlsx_roundtrip_and_header_rule(spark, scratch):
     (lay,) = wb.layouts
     assert lay.columns == ["a", "b", "c"] and lay.sheets[0][2] == 1
     assert lay.frame.count() == 2
+
+
+def test_run_statuses(spark, scratch):
+    from keystitch.sources.reference import read_reference
+    d = f"{scratch}/runs"
+    hadoop_mkdirs(spark, d)
+    spec = EnrichSpec().with_targets(["Taxable_Amount"])
+    ref = spark.createDataFrame([(1, 2, "A", 9.5)], "PNR_Number bigint, Airline_Code bigint, "
+                                                    "Travel_Sector string, Taxable_Amount double")
+    empty = enrich_directory(spark, d, ref, spec).summary.first()
+    assert (empty["status"], empty["color"]) == ("no_files", "red")
+    hadoop_write_text(spark, f"{d}/ok.csv", "Airline PNR,Airline Code,Sector\n1,2,A\n")
+    hadoop_write_text(spark, f"{d}/ok2.csv", "Airline PNR,Airline Code,Sector\n1,2,A\n")
+
+    class Broken:
+        @property
+        def schema(self):
+            raise RuntimeError("cannot connect")
+    s = enrich_directory(spark, d, Broken(), spec).summary.first()
+    assert (s["status"], s["processed"], s["errors"], s["color"]) == ("db_error", 0, 2, "red")
