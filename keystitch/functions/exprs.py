@@ -79,16 +79,26 @@ def any_empty(cols: Iterable[tuple[Column, T.DataType]]) -> Column:
     return reduce(lambda a, b: a | b, parts) if parts else F.lit(False)
 
 
-def na_to_null(col: Column, tokens: Iterable[str] = NA_TOKENS) -> Column:
-    """Reader NA-token normalisation (A7) for one string column."""
-    return F.when(col.isin(list(tokens)), F.lit(None).cast("string")).otherwise(col)
+def _sql_str(v: str) -> str:
+    return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def na_to_null(col: Column | str, tokens: Iterable[str] = NA_TOKENS) -> Column:
+    """Reader NA-token normalisation (A7) for one string column. Given a
+    column *name*, the expression is built as one SQL snippet (cheap to plan
+    for wide feeds); given a Column, with ``isin``."""
+    tokens = list(tokens)
+    if isinstance(col, str):
+        name = quote(col)
+        return F.expr(f"CASE WHEN {name} IN ({', '.join(map(_sql_str, tokens))}) THEN NULL ELSE {name} END")
+    return F.when(col.isin(tokens), F.lit(None).cast("string")).otherwise(col)
 
 
 def na_normalize(df: DataFrame, tokens: Iterable[str] = NA_TOKENS) -> DataFrame:
     """Apply :func:`na_to_null` to every string column, keeping names and order."""
     tokens = list(tokens)
     return df.select(*[
-        na_to_null(c(f.name), tokens).alias(f.name) if isinstance(f.dataType, T.StringType) else c(f.name)
+        na_to_null(f.name, tokens).alias(f.name) if isinstance(f.dataType, T.StringType) else c(f.name)
         for f in df.schema.fields
     ])
 

@@ -7,11 +7,14 @@ Plan per run:
    files (R5); per remaining layout one scan + one enrich plan;
 3. workbooks go through the workbook reader (one task per workbook, sheets as
    rows) and are enriched per sheet layout the same way;
-4. each layout's result is persisted once, written partitioned by
+4. layouts with the same keys share one first-per-key reference, built once
+   per run (reduced by the union of their keys when that set is small) and
+   persisted with its hash partitioning;
+5. each layout's result is persisted once, written partitioned by
    ``run_id``/``output`` (dynamic overwrite, so a re-run replaces exactly its
    own outputs), and counted per file/sheet from the persisted blocks — no
    second join;
-5. the report is one row per file (status success/failed/error, rows,
+6. the report is one row per file (status success/failed/error, rows,
    sheets, sheets_info, output, error, matched, unmatched).
 """
 
@@ -19,6 +22,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 from datetime import datetime
+from functools import reduce
 from typing import Sequence
 
 from pyspark import StorageLevel
@@ -27,8 +31,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .functions.exprs import c
-from .operators.enrich import enrich
-from .plans.headers import MissingReferenceColumns, NoKeyColumns, plan_layout
+from .operators.enrich import (
+    SharedReference, broadcast_threshold, enrich, feed_key_set, first_reference, plan_size_bytes, prepare,
+    reference_signature,
+)
+from .plans.headers import MissingReferenceColumns, NoKeyColumns, check_reference, plan_layout
 from .session import configure
 from .sinks.writers import attach_output, output_names, write_partitioned
 from .sources.csv import SOURCE_FILE, csv_layouts, read_layout
@@ -123,6 +130,10 @@ def enrich_directory(spark: SparkSession, directory: str, reference: DataFrame,
     errored: set[str] = set()
     stats: dict[str, dict] = {}
     failed_sheets: dict[str, list] = {}
+
+    # pass 1 (metadata): plan every layout; group by key signature
+    planned = []
+    groups: dict[tuple, dict] = {}
     for feed, columns, unit_paths in units:
         try:
             plan = plan_layout(columns, spec)
@@ -130,42 +141,71 @@ def enrich_directory(spark: SparkSession, directory: str, reference: DataFrame,
             for p in unit_paths:
                 failed_sheets.setdefault(p, []).append(str(e))
             continue
+        missing = [col for col, _ in plan.missing]
         try:
-            enriched = enrich(feed, reference, spec, plan=plan, flag=FLAG, reduce_reference=reduce_reference)
+            check_reference(reference.columns, plan.keys, missing, spec.order_by)
         except MissingReferenceColumns as e:
             for p in unit_paths:
                 rows.append(_failure(p, "error", str(e)))
-            continue
-        if plan.passthrough:
-            enriched = enriched.withColumn(FLAG, F.lit(None).cast("boolean"))
-        frames.append(enriched.drop(FLAG))
-        if SHEET not in enriched.columns:
-            enriched = enriched.withColumn(SHEET, F.lit(None).cast("string"))
-        enriched = enriched.persist(StorageLevel.DISK_ONLY)
-        try:
-            if out is not None:
-                named = attach_output(enriched, SOURCE_FILE, names).withColumn("run_id", F.lit(run_id))
-                data_cols = [n for n in enriched.columns if n not in (SOURCE_FILE, SHEET, FLAG)]
-                part = ["run_id", "output"] + ([SHEET] if books else [])
-                write_partitioned(named.select(*[c(n) for n in data_cols], *part), out, part, fmt=fmt)
-            per = (enriched.groupBy(SOURCE_FILE, SHEET)
-                   .agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col(FLAG)).alias("m"))
-                   .collect())   # one row per file/sheet: listing-sized metadata
-        except Exception as e:  # noqa: BLE001 - a failed write or read fails its files (R21, R23)
-            for p in unit_paths:
-                rows.append(_failure(p, "error", f"{type(e).__name__}: {str(e)[:500]}"))
                 errored.add(p)
             continue
-        finally:
-            enriched.unpersist()
-        for r in per:
-            s = stats.setdefault(r[SOURCE_FILE], {"rows": 0, "matched": 0, "sheets": {}})
-            s["rows"] += r["n"]
-            s["matched"] += r["m"]
-            if r[SHEET] is not None:
-                s["sheets"][r[SHEET]] = s["sheets"].get(r[SHEET], 0) + r["n"]
-        for p in unit_paths:   # files of this layout that produced no row (header only)
-            stats.setdefault(p, {"rows": 0, "matched": 0, "sheets": {}})
+        sig = None if plan.passthrough else reference_signature(feed.schema, plan, reference.schema)
+        prep = None
+        if sig is not None:
+            prep = prepare(feed, reference.schema, spec, plan)
+            g = groups.setdefault(sig, {"targets": [], "keys": [], "prep": prep})
+            g["targets"] = [t for t in spec.target_columns if t in set(g["targets"]) | set(missing)]
+            g["keys"].append(feed_key_set(prep))
+        planned.append((feed, plan, unit_paths, sig, prep))
+
+    # one first-per-key reference per signature, shared by its layouts: the
+    # reference is scanned and shuffled once per run, not once per layout
+    shared: dict[tuple, SharedReference] = {}
+    for sig, g in groups.items():
+        keys = reduce(lambda a, b: a.unionByName(b), g["keys"]).distinct()
+        first = first_reference(reference, spec, g["prep"].ref_exprs, g["targets"], keys, reduce_reference)
+        first = first.persist(StorageLevel.MEMORY_AND_DISK)
+        first.count()   # materialise once; the cached relation now reports its exact size
+        small = 0 <= plan_size_bytes(first) <= broadcast_threshold(spark)
+        shared[sig] = SharedReference(first, tuple(g["targets"]), broadcast=small)
+
+    # pass 2: per layout one join, one write and one count over persisted rows
+    try:
+        for feed, plan, unit_paths, sig, prep in planned:
+            enriched = enrich(feed, reference, spec, plan=plan, flag=FLAG, shared=shared.get(sig), prepared=prep)
+            if plan.passthrough:
+                enriched = enriched.withColumn(FLAG, F.lit(None).cast("boolean"))
+            frames.append(enriched.drop(FLAG))
+            if SHEET not in enriched.columns:
+                enriched = enriched.withColumn(SHEET, F.lit(None).cast("string"))
+            enriched = enriched.persist(StorageLevel.MEMORY_AND_DISK)
+            try:
+                if out is not None:
+                    named = attach_output(enriched, SOURCE_FILE, names).withColumn("run_id", F.lit(run_id))
+                    data_cols = [n for n in enriched.columns if n not in (SOURCE_FILE, SHEET, FLAG)]
+                    part = ["run_id", "output"] + ([SHEET] if books else [])
+                    write_partitioned(named.select(*[c(n) for n in data_cols], *part), out, part, fmt=fmt)
+                per = (enriched.groupBy(SOURCE_FILE, SHEET)
+                       .agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col(FLAG)).alias("m"))
+                       .collect())   # one row per file/sheet: listing-sized metadata
+            except Exception as e:  # noqa: BLE001 - a failed write or read fails its files (R21, R23)
+                for p in unit_paths:
+                    rows.append(_failure(p, "error", f"{type(e).__name__}: {str(e)[:500]}"))
+                    errored.add(p)
+                continue
+            finally:
+                enriched.unpersist()
+            for r in per:
+                st = stats.setdefault(r[SOURCE_FILE], {"rows": 0, "matched": 0, "sheets": {}})
+                st["rows"] += r["n"]
+                st["matched"] += r["m"] or 0
+                if r[SHEET] is not None:
+                    st["sheets"][r[SHEET]] = st["sheets"].get(r[SHEET], 0) + r["n"]
+            for p in unit_paths:   # files of this layout that produced no row (header only)
+                stats.setdefault(p, {"rows": 0, "matched": 0, "sheets": {}})
+    finally:
+        for ref_first in shared.values():
+            ref_first.frame.unpersist()
 
     for p in errored:
         stats.pop(p, None)

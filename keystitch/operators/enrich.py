@@ -240,58 +240,94 @@ def _reduce_decision(mode, keys_df: DataFrame) -> bool:
     return _key_bytes(keys_df) <= limit
 
 
-def reference_side(prep: Prepared, reference: DataFrame, spec: EnrichSpec,
-                   reduce_reference="auto") -> DataFrame:
-    """Pruned, NULL-free, optionally semi-joined, first-per-key reference:
-    columns ``__ks_r{i}``, ``__ks_t{j}``, ``__ks_m``."""
-    plan = prep.plan
-    missing = [col for col, _ in plan.missing]
+def first_reference(reference: DataFrame, spec: EnrichSpec, ref_exprs: Sequence[Column],
+                    targets: Sequence[str], feed_keys: DataFrame | None = None,
+                    reduce_reference="auto") -> DataFrame:
+    """Pruned, NULL-free, optionally semi-joined, first-per-key reference with
+    columns ``__ks_r{i}`` (keys in comparison type), ``__ks_t{j}`` (``targets``
+    in order) and ``__ks_m`` (match indicator). ``feed_keys`` (columns
+    ``__ks_r{i}``, distinct) drives the optional semi-join reduction."""
     order_names = [o.lstrip("-") for o in spec.order_by]
-    check_reference(reference.columns, plan.keys, missing, spec.order_by)
-    rkeys = [f"{_P}r{i}" for i in range(prep.n_keys)]
+    rkeys = [f"{_P}r{i}" for i in range(len(ref_exprs))]
     ref = reference.select(
-        *[e.alias(k) for e, k in zip(prep.ref_exprs, rkeys)],
-        *[c(t).alias(f"{_P}t{j}") for j, t in enumerate(missing)],
+        *[e.alias(k) for e, k in zip(ref_exprs, rkeys)],
+        *[c(t).alias(f"{_P}t{j}") for j, t in enumerate(targets)],
         *[c(o).alias(f"{_P}o{m}") for m, o in enumerate(order_names)],
     ).filter(_and([F.col(k).isNotNull() for k in rkeys]))
-
-    feed_keys = prep.feed.filter(F.col(_P + "v")).select(
-        *[F.col(f).alias(r) for f, r in zip(prep.key_cols, rkeys)]).distinct()
-    if reduce_reference == "auto" and _reduce_decision("auto", feed_keys):
-        ref = ref.join(F.broadcast(feed_keys), on=rkeys, how="left_semi")   # size measured above
-    elif reduce_reference is True:
-        ref = ref.join(feed_keys, on=rkeys, how="left_semi")                # strategy left to AQE
-
+    if feed_keys is not None:
+        if reduce_reference == "auto" and _reduce_decision("auto", feed_keys):
+            ref = ref.join(F.broadcast(feed_keys), on=rkeys, how="left_semi")   # size measured above
+        elif reduce_reference is True:
+            ref = ref.join(feed_keys, on=rkeys, how="left_semi")                # strategy left to AQE
     order = []
     for m, o in enumerate(spec.order_by):
         col = F.col(f"{_P}o{m}")
         order.append(col.desc_nulls_last() if o.startswith("-") else col.asc_nulls_first())
-    order += [F.col(f"{_P}t{j}").asc_nulls_first() for j, t in enumerate(missing) if t not in order_names]
+    order += [F.col(f"{_P}t{j}").asc_nulls_first() for j, t in enumerate(targets) if t not in order_names]
     if not order:
         order = [F.lit(1)]
     first = _first_rows(ref, rkeys, order)
-    return first.select(*rkeys, *[f"{_P}t{j}" for j in range(len(missing))], F.lit(True).alias(_P + "m"))
+    return first.select(*rkeys, *[f"{_P}t{j}" for j in range(len(targets))], F.lit(True).alias(_P + "m"))
+
+
+def feed_key_set(prep: Prepared) -> DataFrame:
+    """Distinct valid keys of a prepared feed, named like the reference side."""
+    return prep.feed.filter(F.col(_P + "v")).select(
+        *[F.col(f).alias(f"{_P}r{i}") for i, f in enumerate(prep.key_cols)]).distinct()
+
+
+def reference_side(prep: Prepared, reference: DataFrame, spec: EnrichSpec,
+                   reduce_reference="auto") -> DataFrame:
+    """The first-per-key reference for one feed: its missing targets only."""
+    missing = [col for col, _ in prep.plan.missing]
+    check_reference(reference.columns, prep.plan.keys, missing, spec.order_by)
+    return first_reference(reference, spec, prep.ref_exprs, missing, feed_key_set(prep), reduce_reference)
+
+
+@dataclass
+class SharedReference:
+    """A first-per-key reference built once and joined by many feeds (all
+    layouts of a run with the same keys and key comparison types)."""
+    frame: DataFrame
+    targets: tuple[str, ...]
+    broadcast: bool = False   # set only from the materialised (measured) size
+
+
+def reference_signature(feed_schema: T.StructType, plan: LayoutPlan, reference_schema: T.StructType) -> tuple:
+    """Layouts with equal signatures can share one first-per-key reference."""
+    _, _, ref_exprs = _key_exprs(feed_schema, plan, reference_schema)
+    return (plan.keys, tuple(str(e) for e in ref_exprs))
 
 
 def enrich(feed: DataFrame, reference: DataFrame, spec: EnrichSpec, *, reduce_reference="auto",
-           flag: str | None = None, plan: LayoutPlan | None = None) -> DataFrame:
+           flag: str | None = None, plan: LayoutPlan | None = None,
+           shared: SharedReference | None = None, prepared: Prepared | None = None) -> DataFrame:
     """Append the reference's missing target columns to every feed row.
 
     Raises :class:`~keystitch.plans.headers.NoKeyColumns` when no key
     combination is present (R5). With nothing missing the feed is returned
     unchanged and the reference is never scanned (C5, R13). ``flag`` names an
-    optional boolean match-indicator column (E3, R11)."""
+    optional boolean match-indicator column (E3, R11). ``shared`` is a
+    first-per-key reference built once for many feeds (see the directory job)."""
     plan = plan or plan_layout(feed.columns, spec)
     if plan.passthrough:
         return feed
-    prep = prepare(feed, reference.schema, spec, plan)
+    prep = prepared or prepare(feed, reference.schema, spec, plan)
     if feed.isStreaming:   # stream-static join: the static side is reduced per key only
         reduce_reference = False
-    ref = reference_side(prep, reference, spec, reduce_reference)
+    missing = [col for col, _ in plan.missing]
+    if shared is None:
+        ref = reference_side(prep, reference, spec, reduce_reference)
+        tcols = [f"{_P}t{j}" for j in range(len(missing))]
+    else:
+        tcols = [f"{_P}t{shared.targets.index(t)}" for t in missing]
+        ref = shared.frame.select(*[f"{_P}r{i}" for i in range(prep.n_keys)], *tcols, _P + "m")
+        if shared.broadcast:
+            ref = F.broadcast(ref)
     cond = _and([F.col(f) == F.col(f"{_P}r{i}") for i, f in enumerate(prep.key_cols)]) & F.col(_P + "v")
     joined = prep.feed.join(ref, on=cond, how="left")
     out = [c(n) for n in feed.columns]
-    out += [F.col(f"{_P}t{j}").alias(name) for j, name in enumerate(plan.appended)]
+    out += [F.col(t).alias(name) for t, name in zip(tcols, plan.appended)]
     if flag:
         out.append(F.coalesce(F.col(_P + "m"), F.lit(False)).alias(flag))
     return joined.select(*out)

@@ -111,7 +111,7 @@ def read_layout(spark: SparkSession, layout: CsvLayout, *, delimiter: str = ",",
     base = raw.select("*", F.col("_metadata.file_path").alias(SOURCE_FILE),
                       F.col("_metadata.file_block_start").alias("__ks_blk"))
     tokens = list(na_tokens)
-    cols = [na_to_null(F.col(f"_c{i}"), tokens).alias(layout.names[i]) for i in layout.kept]
+    cols = [na_to_null(f"_c{i}", tokens).alias(layout.names[i]) for i in layout.kept]
     if not with_row_index:
         return base.select(*cols, SOURCE_FILE)
     indexed = with_row_idx(base, SOURCE_FILE, "__ks_blk", n_splits_bound=_split_bound(spark, layout.paths))
