@@ -224,18 +224,25 @@ def _key_bytes(keys_df: DataFrame) -> int:
     return int(got)
 
 
-def _reduce_decision(mode, keys_df: DataFrame) -> bool:
+REDUCE_RATIO = 8   # reduce only when the reference is this many times the key set
+
+
+def _reduce_decision(mode, keys_df: DataFrame, ref_df: DataFrame | None = None) -> bool:
     """Semi-join reduction only where it pays: when the distinct feed keys are
-    small enough to broadcast *before* the reference is shuffled. The
-    optimizer's estimate rules out clearly large key sets without a job; for
-    the rest the key set's exact size is measured, so the broadcast that
-    follows has a proven bound."""
+    small enough to broadcast *before* the reference is shuffled, and the
+    reference is much larger than they are (a small feed against a big table;
+    with comparable sizes the final join alone is cheaper). The optimizer's
+    estimates decide those without a job; only then is the key set's exact
+    size measured, so the broadcast that follows has a proven bound."""
     if mode is True or mode is False:
         return mode
     if mode != "auto":
         raise ValueError("reduce_reference must be True, False or 'auto'")
     limit = broadcast_threshold(keys_df.sparkSession)
-    if plan_size_bytes(keys_df) > 4 * limit:   # estimates come from compressed files: keep a margin
+    keys_est = plan_size_bytes(keys_df)
+    if keys_est > 4 * limit:   # estimates come from compressed files: keep a margin
+        return False
+    if ref_df is not None and plan_size_bytes(ref_df) < REDUCE_RATIO * keys_est:
         return False
     return _key_bytes(keys_df) <= limit
 
@@ -255,7 +262,7 @@ def first_reference(reference: DataFrame, spec: EnrichSpec, ref_exprs: Sequence[
         *[c(o).alias(f"{_P}o{m}") for m, o in enumerate(order_names)],
     ).filter(_and([F.col(k).isNotNull() for k in rkeys]))
     if feed_keys is not None:
-        if reduce_reference == "auto" and _reduce_decision("auto", feed_keys):
+        if reduce_reference == "auto" and _reduce_decision("auto", feed_keys, ref):
             ref = ref.join(F.broadcast(feed_keys), on=rkeys, how="left_semi")   # size measured above
         elif reduce_reference is True:
             ref = ref.join(feed_keys, on=rkeys, how="left_semi")                # strategy left to AQE

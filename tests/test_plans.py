@@ -34,9 +34,20 @@ def test_enrich_plan_shape(spark):
 
 
 def test_small_feed_reduces_reference_before_shuffle(spark):
-    feed, ref = X.x1_feed(spark, SF), X.x1_reference(spark, SF)
+    """A feed much smaller than the reference: its measured key set is
+    broadcast into the reference scan before the window shuffle."""
+    from pyspark.sql import functions as F
+    ref = X.x1_reference(spark, SF)
+    feed = X.table(spark, SF, "nation").select(
+        F.col("n_nationkey").cast("bigint").alias("Airline PNR"), F.lit(1).alias("Airline Code"),
+        F.lit("N").alias("Sector"))
     text = plan_text(enrich(feed, ref, X.x1_spec(ref)))
-    assert "LeftSemi" in text
+    assert "LeftSemi" in text and "BroadcastExchange" in text
+
+
+def test_comparable_sizes_skip_the_reduction(spark):
+    feed, ref = X.x1_feed(spark, SF), X.x1_reference(spark, SF)
+    assert "LeftSemi" not in plan_text(enrich(feed, ref, X.x1_spec(ref)))
 
 
 def test_passthrough_never_scans_reference(spark):
