@@ -267,7 +267,7 @@ def enrich_directory_q(spark, sf_dir):
 SELECT 'completed' AS status, count(*) FILTER (WHERE status = 'success') AS processed,
        count(*) FILTER (WHERE status <> 'success') AS errors, count(*) AS total_files,
        CASE WHEN count(*) FILTER (WHERE status <> 'success') = 0 THEN 'green' ELSE 'orange' END AS color
-FROM (SELECT * FROM ({_REPORT_SQL.replace(chr(10), chr(10))})) r""")
+FROM ({_REPORT_SQL}) r""")
 def run_summary_q(spark, sf_dir):
     """Run totals and severity."""
     return run_summary(x3_job(spark, sf_dir))

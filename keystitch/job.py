@@ -75,8 +75,26 @@ def _failure(path, status, reason):
 def enrich_directory(spark: SparkSession, directory: str, reference: DataFrame, spec: EnrichSpec,
                      out: str | None = None, *, run_id: str | None = None, ts: datetime | None = None,
                      fmt: str = "csv", paths: Sequence[str] | None = None, multiline: bool = True,
-                     reduce_reference="auto") -> JobResult:
-    """Enrich every supported feed in ``directory`` (or the given ``paths``)."""
+                     reduce_reference="auto", on_error: str = "raise") -> JobResult:
+    """Enrich every supported feed in ``directory`` (or the given ``paths``).
+
+    Failures of one layout (no keys, a failed write) only fail its files. An
+    unexpected error of the run itself raises (``on_error="raise"``, right for
+    an orchestrated job) or, with ``on_error="report"``, ends the run with
+    status ``critical_error`` and the file rows gathered so far."""
+    rows: list[tuple] = []
+    try:
+        return _run_directory(spark, directory, reference, spec, out, rows, run_id=run_id, ts=ts, fmt=fmt,
+                              paths=paths, multiline=multiline, reduce_reference=reduce_reference)
+    except Exception:
+        if on_error != "report":
+            raise
+        report = spark.createDataFrame(rows, REPORT_SCHEMA)
+        return JobResult(report, run_summary(report, status="critical_error"))
+
+
+def _run_directory(spark, directory, reference, spec, out, rows, *, run_id, ts, fmt, paths, multiline,
+                   reduce_reference) -> JobResult:
     configure(spark)
     ts = ts or datetime.now()
     run_id = run_id or ts.strftime("%Y%m%d%H%M%S%f")
@@ -88,7 +106,6 @@ def enrich_directory(spark: SparkSession, directory: str, reference: DataFrame,
         for p in paths:
             fs, jp = _fs(spark, p)
             files.append(FeedFile(p, int(fs.getFileStatus(jp).getLen()), "." + p.rsplit(".", 1)[-1].lower(), 0))
-    rows: list[tuple] = []
     if not files:
         report = spark.createDataFrame([], REPORT_SCHEMA)
         return JobResult(report, run_summary(report))
@@ -227,7 +244,9 @@ def run_summary(report: DataFrame, status: str = "completed") -> DataFrame:
     agg = report.agg(F.count_if(F.col("status") == "success").alias("processed"),
                      F.count_if(F.col("status") != "success").alias("errors"),
                      F.count(F.lit(1)).alias("total_files"))
-    status_col = F.when(F.col("total_files") == 0, F.lit("no_files")).otherwise(F.lit(status))
+    status_col = F.lit(status)
+    if status == "completed":
+        status_col = F.when(F.col("total_files") == 0, F.lit("no_files")).otherwise(status_col)
     return agg.select(status_col.alias("status"), "processed", "errors", "total_files",
                       run_color(status_col, F.col("errors")).alias("color"))
 

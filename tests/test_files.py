@@ -77,3 +77,19 @@ def test_run_statuses(spark, scratch):
             raise RuntimeError("cannot connect")
     s = enrich_directory(spark, d, Broken(), spec).summary.first()
     assert (s["status"], s["processed"], s["errors"], s["color"]) == ("db_error", 0, 2, "red")
+
+
+def test_critical_error_status(spark, scratch):
+    d = f"{scratch}/crit"
+    hadoop_mkdirs(spark, d)
+    hadoop_write_text(spark, f"{d}/ok.csv", "Airline PNR,Airline Code,Sector\n1,2,A\n")
+    spec = EnrichSpec().with_targets(["Taxable_Amount"])
+
+    class Odd:   # opens fine, then breaks while the run is planned
+        schema = spark.createDataFrame([], "PNR_Number bigint").schema
+
+        @property
+        def columns(self):
+            raise RuntimeError("lost connection")
+    s = enrich_directory(spark, d, Odd(), spec, on_error="report").summary.first()
+    assert (s["status"], s["color"]) == ("critical_error", "red")
