@@ -74,7 +74,7 @@ def _failure(path, status, reason):
 
 def enrich_directory(spark: SparkSession, directory: str, reference: DataFrame, spec: EnrichSpec,
                      out: str | None = None, *, run_id: str | None = None, ts: datetime | None = None,
-                     fmt: str = "csv", paths: Sequence[str] | None = None, multiline: bool = True,
+                     fmt: str = "csv", paths: Sequence[str] | None = None, multiline="auto",
                      reduce_reference="auto", on_error: str = "raise") -> JobResult:
     """Enrich every supported feed in ``directory`` (or the given ``paths``).
 

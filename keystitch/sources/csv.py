@@ -93,23 +93,75 @@ def csv_layouts(spark: SparkSession, paths: Sequence[str], delimiter: str = ",")
     return CsvFeeds(list(groups.values()), failures)
 
 
-def read_layout(spark: SparkSession, layout: CsvLayout, *, delimiter: str = ",", multiline: bool = True,
+def _max_split(spark: SparkSession) -> int:
+    try:
+        return int(str(spark.conf.get("spark.sql.files.maxPartitionBytes", "134217728")).rstrip("b"))
+    except ValueError:
+        return 128 << 20
+
+
+def files_with_quoted_newlines(spark: SparkSession, paths: Sequence[str], quote: str = '"',
+                               encoding: str = "UTF-8") -> set[str]:
+    """Files holding a line with an odd number of quote characters — the only
+    way a quoted field can continue on the next line. One distributed text
+    scan over the given files; the answer is one row per such file."""
+    if not paths:
+        return set()
+    lines = spark.read.option("encoding", encoding).text(list(paths)).select(
+        F.col("_metadata.file_path").alias("f"),
+        (F.length("value") - F.length(F.regexp_replace("value", quote, ""))).alias("q"))
+    odd = lines.filter(F.col("q") % 2 == 1).select("f").distinct()
+    return {r["f"] for r in odd.collect()}   # at most one row per listed file
+
+
+def _multiline_groups(spark: SparkSession, paths: Sequence[str], multiline) -> list[tuple[list[str], bool]]:
+    """(paths, multiLine) read groups. ``"auto"``: files within one split are
+    read multi-line (they are one task anyway); larger files are splittable
+    unless a quote-parity scan finds a quoted line break in them."""
+    if multiline is True or multiline is False:
+        return [(list(paths), multiline)]
+    from .files import _fs
+    limit = _max_split(spark)
+    sizes = {}
+    for p in paths:
+        fs, jp = _fs(spark, p)
+        sizes[p] = int(fs.getFileStatus(jp).getLen())
+    big = [p for p in paths if sizes[p] > limit]
+    quoted = files_with_quoted_newlines(spark, big) if big else set()
+    multi = [p for p in paths if sizes[p] <= limit or _same_file(p, quoted)]
+    flat = [p for p in paths if p not in multi]
+    return [(g, m) for g, m in ((multi, True), (flat, False)) if g]
+
+
+def _same_file(path: str, found: set[str]) -> bool:
+    if path in found:
+        return True
+    norm = path.replace("file:///", "file:/")
+    return any(f.replace("file:///", "file:/") == norm for f in found)
+
+
+def read_layout(spark: SparkSession, layout: CsvLayout, *, delimiter: str = ",", multiline="auto",
                 na_tokens: Sequence[str] = NA_TOKENS, with_row_index: bool = False,
                 encoding: str = "UTF-8") -> DataFrame:
     """All files of one layout as one DataFrame: kept columns under their labels
     (strings, NA tokens -> NULL), plus ``source_file`` (and ``row_idx``).
 
-    ``multiline=True`` honours quoted line breaks like the job's reader; each
-    file is then one split. For huge single files without embedded newlines,
-    ``multiline=False`` makes them splittable."""
+    Quoted line breaks are honoured like the job's reader. ``multiline``:
+    ``True`` parses every file multi-line (one split per file), ``False``
+    line by line (splittable), ``"auto"`` decides per file (see
+    :func:`_multiline_groups`), so big files stay parallel when they can."""
     schema = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(len(layout.names))])
-    raw = (spark.read.schema(schema)
-           .option("header", True).option("enforceSchema", True)
-           .option("sep", delimiter).option("quote", '"').option("escape", '"')
-           .option("multiLine", multiline).option("mode", "PERMISSIVE").option("encoding", encoding)
-           .csv(layout.paths))
-    base = raw.select("*", F.col("_metadata.file_path").alias(SOURCE_FILE),
-                      F.col("_metadata.file_block_start").alias("__ks_blk"))
+    raw = None
+    for group, multi in _multiline_groups(spark, layout.paths, multiline):
+        part = (spark.read.schema(schema)
+                .option("header", True).option("enforceSchema", True)
+                .option("sep", delimiter).option("quote", '"').option("escape", '"')
+                .option("multiLine", multi).option("mode", "PERMISSIVE").option("encoding", encoding)
+                .csv(group))
+        part = part.select("*", F.col("_metadata.file_path").alias(SOURCE_FILE),
+                           F.col("_metadata.file_block_start").alias("__ks_blk"))
+        raw = part if raw is None else raw.unionByName(part)
+    base = raw
     tokens = list(na_tokens)
     cols = [na_to_null(f"_c{i}", tokens).alias(layout.names[i]) for i in layout.kept]
     if not with_row_index:
@@ -120,10 +172,7 @@ def read_layout(spark: SparkSession, layout: CsvLayout, *, delimiter: str = ",",
 
 def _split_bound(spark: SparkSession, paths: Sequence[str]) -> int:
     """Upper bound on (file, split) pairs of a scan, from the listing."""
-    try:
-        mpb = int(str(spark.conf.get("spark.sql.files.maxPartitionBytes", "134217728")).rstrip("b"))
-    except ValueError:
-        mpb = 128 << 20
+    mpb = _max_split(spark)
     total = 0
     for p in paths:
         from .files import _fs

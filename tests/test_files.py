@@ -93,3 +93,26 @@ def test_critical_error_status(spark, scratch):
             raise RuntimeError("lost connection")
     s = enrich_directory(spark, d, Odd(), spec, on_error="report").summary.first()
     assert (s["status"], s["color"]) == ("critical_error", "red")
+
+
+def test_multiline_auto_splits_clean_big_files(spark, scratch):
+    from keystitch.sources.csv import _multiline_groups
+    d = f"{scratch}/big"
+    hadoop_mkdirs(spark, d)
+    rows = "".join(f"{i},{i % 7},A{i}\n" for i in range(400))
+    hadoop_write_text(spark, f"{d}/clean.csv", "Airline PNR,Airline Code,Sector\n" + rows)
+    hadoop_write_text(spark, f"{d}/quoted.csv", 'Airline PNR,Airline Code,Sector\n1,2,"two\nlines"\n' + rows)
+    saved = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1024")
+    try:
+        files = [f.path for f in list_feeds(spark, d, (".csv",))]
+        groups = {m: sorted(p.rsplit("/", 1)[-1] for p in g) for g, m in _multiline_groups(spark, files, "auto")}
+        assert groups == {True: ["quoted.csv"], False: ["clean.csv"]}
+        (lay,) = csv_layouts(spark, files).layouts
+        got = read_layout(spark, lay, with_row_index=True).collect()
+        clean = sorted((r["row_idx"], r["Airline PNR"]) for r in got if r["source_file"].endswith("clean.csv"))
+        assert clean == [(i, str(i)) for i in range(400)]                      # row order across splits
+        quoted = [r for r in got if r["source_file"].endswith("quoted.csv")]
+        assert len(quoted) == 401 and any(r["Sector"] == "two\nlines" for r in quoted)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", saved)
