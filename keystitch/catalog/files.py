@@ -7,7 +7,6 @@ from __future__ import annotations
 from datetime import datetime
 
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from .. import fixtures as X
 from ..functions.exprs import base_name, c, extension, output_ext, output_name, stem

@@ -1,7 +1,6 @@
 """Every registered query against its DuckDB twin on sf0.001 (the driver's
 gate runs the same comparison at sf0.01)."""
 import math
-import os
 
 import duckdb
 import pytest

@@ -1,6 +1,4 @@
 """Enrich semantics on tiny frames."""
-from pyspark.sql import functions as F
-
 from keystitch import EnrichSpec, enrich, first_per_key, matched, match_stats, unmatched
 from keystitch.operators.enrich import distinct_keys, missing_key_rows
 

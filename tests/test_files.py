@@ -60,7 +60,6 @@ def test_xlsx_roundtrip_and_header_rule(spark, scratch):
 
 
 def test_run_statuses(spark, scratch):
-    from keystitch.sources.reference import read_reference
     d = f"{scratch}/runs"
     hadoop_mkdirs(spark, d)
     spec = EnrichSpec().with_targets(["Taxable_Amount"])
