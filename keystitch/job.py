@@ -20,6 +20,7 @@ Plan per run:
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import datetime
 from functools import reduce
@@ -75,7 +76,7 @@ def _failure(path, status, reason):
 def enrich_directory(spark: SparkSession, directory: str, reference: DataFrame, spec: EnrichSpec,
                      out: str | None = None, *, run_id: str | None = None, ts: datetime | None = None,
                      fmt: str = "csv", paths: Sequence[str] | None = None, multiline="auto",
-                     reduce_reference="auto", on_error: str = "raise") -> JobResult:
+                     reduce_reference="auto", on_error: str = "raise", parallel_layouts: int = 4) -> JobResult:
     """Enrich every supported feed in ``directory`` (or the given ``paths``).
 
     Failures of one layout (no keys, a failed write) only fail its files. An
@@ -85,7 +86,8 @@ def enrich_directory(spark: SparkSession, directory: str, reference: DataFrame,
     rows: list[tuple] = []
     try:
         return _run_directory(spark, directory, reference, spec, out, rows, run_id=run_id, ts=ts, fmt=fmt,
-                              paths=paths, multiline=multiline, reduce_reference=reduce_reference)
+                              paths=paths, multiline=multiline, reduce_reference=reduce_reference,
+                              parallel_layouts=parallel_layouts)
     except Exception:
         if on_error != "report":
             raise
@@ -94,7 +96,7 @@ def enrich_directory(spark: SparkSession, directory: str, reference: DataFrame,
 
 
 def _run_directory(spark, directory, reference, spec, out, rows, *, run_id, ts, fmt, paths, multiline,
-                   reduce_reference) -> JobResult:
+                   reduce_reference, parallel_layouts) -> JobResult:
     configure(spark)
     ts = ts or datetime.now()
     run_id = run_id or ts.strftime("%Y%m%d%H%M%S%f")
@@ -186,44 +188,58 @@ def _run_directory(spark, directory, reference, spec, out, rows, *, run_id, ts,
         small = 0 <= plan_size_bytes(first) <= broadcast_threshold(spark)
         shared[sig] = SharedReference(first, tuple(g["targets"]), broadcast=small)
 
-    # pass 2: per layout one join, one write and one count over persisted rows
+    # pass 2: per layout one join, one write and one count over persisted rows.
+    # Layouts run concurrently (Spark schedules jobs from several driver
+    # threads); each writes only its own output partitions through its own
+    # staging folder, so concurrent dynamic-overwrite writes do not collide.
+    def process(unit):
+        feed, plan, unit_paths, sig, prep = unit
+        enriched = enrich(feed, reference, spec, plan=plan, flag=FLAG, shared=shared.get(sig), prepared=prep)
+        if plan.passthrough:
+            enriched = enriched.withColumn(FLAG, F.lit(None).cast("boolean"))
+        frame = enriched.drop(FLAG)
+        if SHEET not in enriched.columns:
+            enriched = enriched.withColumn(SHEET, F.lit(None).cast("string"))
+        enriched = enriched.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            if out is not None:
+                named = attach_output(enriched, SOURCE_FILE, names).withColumn("run_id", F.lit(run_id))
+                data_cols = [n for n in enriched.columns if n not in (SOURCE_FILE, SHEET, FLAG)]
+                part = ["run_id", "output"] + ([SHEET] if books else [])
+                write_partitioned(named.select(*[c(n) for n in data_cols], *part), out, part, fmt=fmt)
+            per = (enriched.groupBy(SOURCE_FILE, SHEET)
+                   .agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col(FLAG)).alias("m"))
+                   .collect())   # one row per file/sheet: listing-sized metadata
+            return frame, per, None
+        except Exception as e:  # noqa: BLE001 - a failed write or read fails its files (R21, R23)
+            return frame, None, f"{type(e).__name__}: {str(e)[:500]}"
+        finally:
+            enriched.unpersist()
+
     try:
-        for feed, plan, unit_paths, sig, prep in planned:
-            enriched = enrich(feed, reference, spec, plan=plan, flag=FLAG, shared=shared.get(sig), prepared=prep)
-            if plan.passthrough:
-                enriched = enriched.withColumn(FLAG, F.lit(None).cast("boolean"))
-            frames.append(enriched.drop(FLAG))
-            if SHEET not in enriched.columns:
-                enriched = enriched.withColumn(SHEET, F.lit(None).cast("string"))
-            enriched = enriched.persist(StorageLevel.MEMORY_AND_DISK)
-            try:
-                if out is not None:
-                    named = attach_output(enriched, SOURCE_FILE, names).withColumn("run_id", F.lit(run_id))
-                    data_cols = [n for n in enriched.columns if n not in (SOURCE_FILE, SHEET, FLAG)]
-                    part = ["run_id", "output"] + ([SHEET] if books else [])
-                    write_partitioned(named.select(*[c(n) for n in data_cols], *part), out, part, fmt=fmt)
-                per = (enriched.groupBy(SOURCE_FILE, SHEET)
-                       .agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col(FLAG)).alias("m"))
-                       .collect())   # one row per file/sheet: listing-sized metadata
-            except Exception as e:  # noqa: BLE001 - a failed write or read fails its files (R21, R23)
-                for p in unit_paths:
-                    rows.append(_failure(p, "error", f"{type(e).__name__}: {str(e)[:500]}"))
-                    errored.add(p)
-                continue
-            finally:
-                enriched.unpersist()
-            for r in per:
-                st = stats.setdefault(r[SOURCE_FILE], {"rows": 0, "matched": 0, "sheets": {}})
-                st["rows"] += r["n"]
-                st["matched"] += r["m"] or 0
-                if r[SHEET] is not None:
-                    st["sheets"][r[SHEET]] = st["sheets"].get(r[SHEET], 0) + r["n"]
-            for p in unit_paths:   # files of this layout that produced no row (header only)
-                stats.setdefault(p, {"rows": 0, "matched": 0, "sheets": {}})
+        workers = max(1, min(parallel_layouts, len(planned)))
+        with ThreadPoolExecutor(max_workers=workers) as pool:
+            results = list(pool.map(process, planned))
     finally:
         for ref_first in shared.values():
             ref_first.frame.unpersist()
 
+    for (feed, plan, unit_paths, sig, prep), (frame, per, err) in zip(planned, results):
+        frames.append(frame)
+        if err is not None:
+            for p in unit_paths:
+                rows.append(_failure(p, "error", err))
+                errored.add(p)
+            continue
+        for r in per:
+            st = stats.setdefault(r[SOURCE_FILE], {"rows": 0, "matched": 0, "sheets": {}})
+            st["rows"] += r["n"]
+            st["matched"] += r["m"] or 0
+            if r[SHEET] is not None:
+                st["sheets"][r[SHEET]] = st["sheets"].get(r[SHEET], 0) + r["n"]
+        for p in unit_paths:   # files of this layout that produced no row (header only)
+            stats.setdefault(p, {"rows": 0, "matched": 0, "sheets": {}})
+
     for p in errored:
         stats.pop(p, None)
     for p, errs in failed_sheets.items():

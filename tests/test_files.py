@@ -115,3 +115,25 @@ def test_multiline_auto_splits_clean_big_files(spark, scratch):
         assert len(quoted) == 401 and any(r["Sector"] == "two\nlines" for r in quoted)
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", saved)
+
+
+def test_concurrent_layout_writes_are_complete(spark, scratch):
+    from pyspark.sql import functions as F
+    d = f"{scratch}/multi"
+    hadoop_mkdirs(spark, d)
+    for i in range(6):   # three layouts, two files each
+        head = ["Airline PNR,Airline Code,Sector", "Sector,Airline Code,Airline PNR,x", "pnr number,airlinecode,sector"][i % 3]
+        body = "".join((f"{k},{k % 5},A\n" if i % 3 != 1 else f"A,{k % 5},{k},z\n") for k in range(50 + i))
+        hadoop_write_text(spark, f"{d}/f{i}.csv", head + "\n" + body)
+    ref = spark.createDataFrame([(k, k % 5, "A", float(k)) for k in range(0, 60, 2)],
+                                "PNR_Number bigint, Airline_Code bigint, Travel_Sector string, Taxable_Amount double")
+    out = f"{scratch}/multi_out"
+    res = enrich_directory(spark, d, ref, EnrichSpec().with_targets(["Taxable_Amount"]), out=out, run_id="r",
+                           parallel_layouts=3)
+    rep = {r["output"]: r for r in res.report.collect()}
+    assert len(rep) == 6 and all(r["status"] == "success" for r in rep.values())
+    got = {}
+    for o in rep:   # each output has its own layout: read it on its own
+        df = spark.read.option("header", True).csv(f"{out}/run_id=r/output={o}")
+        got[o] = tuple(df.agg(F.count(F.lit(1)), F.count("Taxable_Amount")).first())
+    assert got == {o: (r["rows"], r["matched"]) for o, r in rep.items()}
