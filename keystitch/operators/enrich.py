@@ -14,7 +14,8 @@ Physical shape (what ``explain`` shows):
   *before* the shuffle (a hot key collapses map-side) and a final one after it;
 * feed side: one projection adding the key columns and a validity flag; rows
   with an empty key part never enter a hash bucket together — their join key is
-  replaced by a per-row surrogate and a residual ``valid`` predicate keeps them
+  replaced by a surrogate hashed from the input partition id and the row itself
+  (deterministic on task retry) and a residual ``valid`` predicate keeps them
   unmatched, so a third of the feed with blank keys spreads over all tasks
   instead of landing in one;
 * the join itself is left to AQE: broadcast when the deduplicated reference is
@@ -178,10 +179,11 @@ def prepare(feed: DataFrame, reference_schema: T.StructType, spec: EnrichSpec,
     # A streaming feed has no stable row id (and needs none: each micro-batch
     # is small), so the spread is only applied to batch feeds.
     spread = None if feed.isStreaming else _spread_index(key_types)
+    hashable = [c(f.name) for f in feed.schema.fields if not isinstance(f.dataType, T.MapType)]
     cols = []
     for i, (e, t) in enumerate(zip(key_exprs, key_types)):
         if i == spread:
-            e = F.when(valid, e).otherwise(_surrogate(t))
+            e = F.when(valid, e).otherwise(_surrogate(t, hashable))
         cols.append(e.alias(f"{_P}f{i}"))
     prepared = feed.select(*[c(n) for n in feed.columns], *cols, valid.alias(_P + "v"))
     return Prepared(plan, prepared, [f"{_P}f{i}" for i in range(len(plan.keys))], ref_exprs, len(plan.keys))
@@ -197,8 +199,12 @@ def _spread_index(types: Sequence[T.DataType]) -> int | None:
     return None
 
 
-def _surrogate(t: T.DataType) -> Column:
-    rid = F.monotonically_increasing_id()
+def _surrogate(t: T.DataType, row_cols: Sequence[Column]) -> Column:
+    """Join key for a row that can never match. Deterministic on task retry
+    (input partition id + the row's own values, no dependence on row order),
+    so a re-run map task sends every row to the same reducer as before;
+    identical rows of one input split share a reducer, bounded by the split."""
+    rid = F.xxhash64(F.spark_partition_id(), *row_cols)
     if isinstance(t, T.StringType):
         return F.concat(F.lit("\u0000"), rid.cast("string"))
     if isinstance(t, T.IntegerType):

@@ -89,3 +89,29 @@ def test_hot_feed_key_is_split_by_aqe(spark):
     finally:
         for k, v in saved.items():
             spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+
+
+def test_blank_keys_spread_over_reducers(spark):
+    """Identical blank-key rows from many input partitions do not all land in
+    one join task, and they all come out unmatched exactly once."""
+    from pyspark.sql import functions as F
+
+    from keystitch import EnrichSpec
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    saved = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        feed = spark.range(0, 8000, 1, 8).select(F.lit(" ").alias("K1"), F.lit(1).cast("bigint").alias("K2"))
+        ref = spark.range(100).select(F.col("id").cast("string").alias("K1"), F.lit(1).cast("bigint").alias("K2"),
+                                      F.lit(1.0).alias("T"), F.lit(0).alias("O"))
+        spec = EnrichSpec(key_combinations=[("K1", "K2")], aliases=[], targets=[("T", "T")], order_by=("O",))
+        out = enrich(feed, ref, spec, flag="m").select("m", F.spark_partition_id().alias("p"))
+        stats = out.groupBy().agg(F.count(F.lit(1)).alias("n"), F.count_if("m").alias("hits"),
+                                  F.countDistinct("p").alias("tasks")).first()
+        assert (stats["n"], stats["hits"]) == (8000, 0)
+        assert stats["tasks"] >= 4
+    finally:
+        for k, v in saved.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
