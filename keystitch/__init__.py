@@ -24,7 +24,11 @@ from .operators.enrich import (
     missing_key_rows, key_frame,
 )
 
+from .job import enrich_directory, run_summary  # noqa: E402
+from .streaming.incremental import enrich_incremental, enrich_stream  # noqa: E402
+
 __all__ = [
+    "enrich_directory", "run_summary", "enrich_incremental", "enrich_stream",
     "EnrichSpec", "DEFAULT_ALIASES", "DEFAULT_KEY_COMBINATIONS", "DEFAULT_TARGETS",
     "NoKeyColumns", "MissingReferenceColumns", "resolve_headers", "detect_keys", "missing_targets",
     "plan_layout", "enrich", "first_per_key", "matched", "unmatched", "distinct_keys", "reference_semi",
