@@ -128,7 +128,7 @@ def _run_directory(spark, directory, reference, spec, out, rows, *, run_id, ts,
 
     units: list[tuple[DataFrame, Sequence[str], list[str]]] = []   # (feed df, columns, paths)
     nonempty_sheets: dict[str, int] = {}   # workbook -> sheets with data rows
-    layouts = csv_layouts(spark, [f.path for f in csvs if f.length > 0])
+    layouts = csv_layouts(spark, [f.path for f in csvs if f.length > 0], sizes={f.path: f.length for f in csvs})
     for p, why in layouts.failures:
         rows.append(_failure(p, "failed", why))
     for lay in layouts.layouts:

@@ -59,6 +59,7 @@ class CsvLayout:
     names: tuple[str, ...]          # all labels, header order
     kept: tuple[int, ...]           # positions kept after A5
     paths: list[str] = field(default_factory=list)
+    sizes: dict[str, int] = field(default_factory=dict)   # from the listing, when known
 
     @property
     def columns(self) -> list[str]:
@@ -75,8 +76,11 @@ class CsvFeeds:
     failures: list[tuple[str, str]]   # (path, reason)
 
 
-def csv_layouts(spark: SparkSession, paths: Sequence[str], delimiter: str = ",") -> CsvFeeds:
-    """Group CSV files by header signature (metadata only)."""
+def csv_layouts(spark: SparkSession, paths: Sequence[str], delimiter: str = ",",
+                sizes: dict[str, int] | None = None) -> CsvFeeds:
+    """Group CSV files by header signature (metadata only). ``sizes`` (file
+    lengths from the listing) saves a metadata call per file later on."""
+    sizes = sizes or {}
     headers = probe_headers(spark, list(paths))
     groups: dict[tuple[str, ...], CsvLayout] = {}
     failures = []
@@ -90,6 +94,8 @@ def csv_layouts(spark: SparkSession, paths: Sequence[str], delimiter: str = ",")
         if lay is None:
             lay = groups[names] = CsvLayout(names, tuple(kept_positions(names)))
         lay.paths.append(p)
+        if p in sizes:
+            lay.sizes[p] = sizes[p]
     return CsvFeeds(list(groups.values()), failures)
 
 
@@ -114,18 +120,25 @@ def files_with_quoted_newlines(spark: SparkSession, paths: Sequence[str], quote:
     return {r["f"] for r in odd.collect()}   # at most one row per listed file
 
 
-def _multiline_groups(spark: SparkSession, paths: Sequence[str], multiline) -> list[tuple[list[str], bool]]:
+def _file_sizes(spark: SparkSession, paths: Sequence[str], known: dict[str, int] | None = None) -> dict[str, int]:
+    from .files import _fs
+    out = dict(known or {})
+    for p in paths:
+        if p not in out:
+            fs, jp = _fs(spark, p)
+            out[p] = int(fs.getFileStatus(jp).getLen())
+    return out
+
+
+def _multiline_groups(spark: SparkSession, paths: Sequence[str], multiline,
+                      sizes: dict[str, int] | None = None) -> list[tuple[list[str], bool]]:
     """(paths, multiLine) read groups. ``"auto"``: files within one split are
     read multi-line (they are one task anyway); larger files are splittable
     unless a quote-parity scan finds a quoted line break in them."""
     if multiline is True or multiline is False:
         return [(list(paths), multiline)]
-    from .files import _fs
     limit = _max_split(spark)
-    sizes = {}
-    for p in paths:
-        fs, jp = _fs(spark, p)
-        sizes[p] = int(fs.getFileStatus(jp).getLen())
+    sizes = _file_sizes(spark, paths, sizes)
     big = [p for p in paths if sizes[p] > limit]
     quoted = files_with_quoted_newlines(spark, big) if big else set()
     multi = [p for p in paths if sizes[p] <= limit or _same_file(p, quoted)]
@@ -152,7 +165,7 @@ def read_layout(spark: SparkSession, layout: CsvLayout, *, delimiter: str = ",",
     :func:`_multiline_groups`), so big files stay parallel when they can."""
     schema = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(len(layout.names))])
     raw = None
-    for group, multi in _multiline_groups(spark, layout.paths, multiline):
+    for group, multi in _multiline_groups(spark, layout.paths, multiline, layout.sizes):
         part = (spark.read.schema(schema)
                 .option("header", True).option("enforceSchema", True)
                 .option("sep", delimiter).option("quote", '"').option("escape", '"')
@@ -166,19 +179,15 @@ def read_layout(spark: SparkSession, layout: CsvLayout, *, delimiter: str = ",",
     cols = [na_to_null(f"_c{i}", tokens).alias(layout.names[i]) for i in layout.kept]
     if not with_row_index:
         return base.select(*cols, SOURCE_FILE)
-    indexed = with_row_idx(base, SOURCE_FILE, "__ks_blk", n_splits_bound=_split_bound(spark, layout.paths))
+    indexed = with_row_idx(base, SOURCE_FILE, "__ks_blk",
+                           n_splits_bound=_split_bound(spark, layout.paths, layout.sizes))
     return indexed.select(*cols, SOURCE_FILE, ROW_IDX)
 
 
-def _split_bound(spark: SparkSession, paths: Sequence[str]) -> int:
+def _split_bound(spark: SparkSession, paths: Sequence[str], sizes: dict[str, int] | None = None) -> int:
     """Upper bound on (file, split) pairs of a scan, from the listing."""
     mpb = _max_split(spark)
-    total = 0
-    for p in paths:
-        from .files import _fs
-        fs, jp = _fs(spark, p)
-        total += max(1, -(-int(fs.getFileStatus(jp).getLen()) // mpb))
-    return total
+    return sum(max(1, -(-n // mpb)) for n in _file_sizes(spark, paths, sizes).values())
 
 
 def with_row_idx(df: DataFrame, file_col: str, block_col: str, n_splits_bound: int | None = None) -> DataFrame:
@@ -205,7 +214,7 @@ def read_feeds(spark: SparkSession, directory: str, *, extensions: Sequence[str]
     """Discover CSV feeds in ``directory`` and read each layout."""
     files = [f for f in list_feeds(spark, directory, extensions) if f.ext == ".csv"]
     zero = [(f.path, "empty file") for f in files if f.length == 0]
-    feeds = csv_layouts(spark, [f.path for f in files if f.length > 0])
+    feeds = csv_layouts(spark, [f.path for f in files if f.length > 0], sizes={f.path: f.length for f in files})
     feeds.failures[:0] = zero
     return feeds, [read_layout(spark, lay, **read_opts) for lay in feeds.layouts]
 
