@@ -137,3 +137,24 @@ def test_concurrent_layout_writes_are_complete(spark, scratch):
         df = spark.read.option("header", True).csv(f"{out}/run_id=r/output={o}")
         got[o] = tuple(df.agg(F.count(F.lit(1)), F.count("Taxable_Amount")).first())
     assert got == {o: (r["rows"], r["matched"]) for o, r in rep.items()}
+
+
+def test_incremental_job_takes_workbooks_once(spark, scratch):
+    from keystitch.fixtures import _open_output
+    from keystitch.streaming.incremental import read_reports, run_once
+    inbox = f"{scratch}/wb_inbox"
+    hadoop_mkdirs(spark, inbox)
+    data = xlsx_bytes([("S1", [["Airline PNR", "Airline Code", "Sector"], [1, 2, "A"], [3, 4, "B"]]),
+                       ("S2", [["x", "y", "z"], [1, 2, 3]])])
+    with _open_output(f"{inbox}/book.xlsx") as fh:
+        fh.write(data)
+    ref = spark.createDataFrame([(1, 2, "A", 9.5)], "PNR_Number bigint, Airline_Code bigint, "
+                                                    "Travel_Sector string, Taxable_Amount double")
+    spec = EnrichSpec().with_targets(["Taxable_Amount"])
+    out, ckpt = f"{scratch}/wb_out", f"{scratch}/wb_ckpt"
+    run_once(spark, inbox, ref, spec, out, ckpt, name="ks_wb_1")
+    run_once(spark, inbox, ref, spec, out, ckpt, name="ks_wb_2")      # nothing new: no second batch
+    rep = read_reports(spark, out + "_report").collect()
+    assert len(rep) == 1
+    r = rep[0]
+    assert (r["status"], r["rows"], r["matched"], r["sheets"], r["sheets_info"]) == ("success", 2, 1, 1, {"S1": 2})
