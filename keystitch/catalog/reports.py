@@ -31,7 +31,7 @@ def rows_per_file_q(spark, sf_dir):
 
 
 @register("sheets_info", """
-SELECT source_file, CAST(count(*) AS INTEGER) AS sheets, sum(rows) AS rows,
+SELECT source_file, CAST(count(*) AS INTEGER) AS sheets, CAST(sum(rows) AS BIGINT) AS rows,
        string_agg(sheet || '=' || CAST(rows AS VARCHAR), ',' ORDER BY sheet) AS sheets_info
 FROM (SELECT o_orderstatus AS source_file, o_orderpriority AS sheet, count(*) AS rows FROM orders GROUP BY ALL)
 GROUP BY source_file""")
