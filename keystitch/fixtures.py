@@ -12,8 +12,16 @@ from pyspark.sql import functions as F
 from .spec import EnrichSpec
 
 
+_TABLES: dict = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """One of the driver's (read-only) tables; the DataFrame is created once
+    per application so its file listing and footer read happen once."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
+    if key not in _TABLES:
+        _TABLES[key] = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return _TABLES[key]
 
 
 # X1 ------------------------------------------------------------------------
