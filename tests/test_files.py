@@ -158,3 +158,30 @@ def test_incremental_job_takes_workbooks_once(spark, scratch):
     assert len(rep) == 1
     r = rep[0]
     assert (r["status"], r["rows"], r["matched"], r["sheets"], r["sheets_info"]) == ("success", 2, 1, 1, {"S1": 2})
+
+
+def test_spec_from_json_on_any_filesystem(spark, scratch):
+    import json
+    cfg = {"supported_extensions": [".xlsx", ".csv"],
+           "column_mapping": {"Airline PNR": "PNR_Number", "Airline Code": "Airline_Code", "Sector": "Travel_Sector"},
+           "possible_reference_combinations": [["PNR_Number", "Airline_Code", "Travel_Sector"]],
+           "targets": ["Taxable_Amount", {"column": "Booking_Date", "display": "Booking Date"}],
+           "order_by": ["-Booking_Date"]}
+    path = f"{scratch}/config.json"
+    hadoop_write_text(spark, path, json.dumps(cfg))
+    spec = EnrichSpec.from_json(path, spark=spark)
+    assert spec.aliases[0] == ("Airline PNR", "PNR_Number") and spec.extensions == (".xlsx", ".csv")
+    assert spec.targets == (("Taxable_Amount", "Taxable_Amount"), ("Booking_Date", "Booking Date"))
+    assert spec.order_by == ("-Booking_Date",)
+
+
+def test_read_reference_prunes_and_renames(spark):
+    from pyspark.sql import functions as F
+
+    from keystitch.sources.reference import read_reference
+    df = read_reference(spark, "/root/testdata/sf0.001/orders.parquet",
+                        rename={"o_orderkey": "PNR_Number", "o_totalprice": "Taxable_Amount"},
+                        where=F.col("o_orderstatus") == "F", columns=["PNR_Number", "Taxable_Amount"])
+    assert df.columns == ["PNR_Number", "Taxable_Amount"]
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(o_orderstatus,F)" in plan and "o_custkey" not in plan
