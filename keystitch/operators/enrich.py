@@ -8,8 +8,9 @@ the targets the feed lacks are appended under display names (R12, R14).
 Physical shape (what ``explain`` shows):
 
 * reference side: scan pruned to keys + missing targets + tie-break columns,
-  ``IsNotNull`` on keys pushed to the scan, optional semi-join with the feed's
-  distinct keys when that key set is small enough to broadcast, then
+  ``IsNotNull`` on keys pushed to the scan, a broadcast semi-join with the
+  feed's distinct keys when the reference is much larger than that key set and
+  the key set's measured size fits the broadcast threshold, then
   ``row_number() = 1`` which Spark plans as a partial ``WindowGroupLimit``
   *before* the shuffle (a hot key collapses map-side) and a final one after it;
 * feed side: one projection adding the key columns and a validity flag; rows
@@ -110,7 +111,8 @@ def broadcast_threshold(spark) -> int:
 # ---------------------------------------------------------------------------
 
 def _first_rows(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
-    w = Window.partitionBy(*[F.col(k) for k in keys]).orderBy(*order)
+    """``row_number() = 1`` per key: planned as partial + final WindowGroupLimit."""
+    w = Window.partitionBy(*[c(k) for k in keys]).orderBy(*order)
     rn = _P + "rn"
     return df.withColumn(rn, F.row_number().over(w)).filter(F.col(rn) == 1).drop(rn)
 
@@ -128,9 +130,7 @@ def first_per_key(reference: DataFrame, keys: Sequence[str], order_by: Sequence[
     tie = order_columns(list(order_by)) + [c(n).asc_nulls_first() for n in columns if n not in order_names]
     base = reference.select(*[c(n) for n in dict.fromkeys(keys + list(columns) + order_names)])
     base = base.filter(_and([c(k).isNotNull() for k in keys]))
-    firsts = base.withColumn(
-        _P + "rn", F.row_number().over(Window.partitionBy(*[c(k) for k in keys]).orderBy(*tie)))
-    return firsts.filter(F.col(_P + "rn") == 1).select(*[c(n) for n in keys + list(columns)])
+    return _first_rows(base, keys, tie).select(*[c(n) for n in keys + list(columns)])
 
 
 # ---------------------------------------------------------------------------
