@@ -173,11 +173,11 @@ def prepare(feed: DataFrame, reference_schema: T.StructType, spec: EnrichSpec,
     plan = plan or plan_layout(feed.columns, spec)
     key_exprs, key_types, ref_exprs = _key_exprs(feed.schema, plan, reference_schema)
     valid = ~reduce(lambda a, b: a | b, [is_empty(e, t) for e, t in zip(key_exprs, key_types)])
-    # Rows with an empty key part: one key column gets a per-row surrogate so
-    # they spread over all join tasks (a blank/NULL key would otherwise hash to
-    # a single partition); the residual ``valid`` predicate keeps them unmatched.
-    # A streaming feed has no stable row id (and needs none: each micro-batch
-    # is small), so the spread is only applied to batch feeds.
+    # Rows with an empty key part: one key column gets a surrogate so they
+    # spread over all join tasks (a blank/NULL key would otherwise hash to a
+    # single partition); the residual ``valid`` predicate keeps them unmatched.
+    # Streaming micro-batches keep their plain keys: a stream-static join per
+    # micro-batch is small, and the plan stays the simplest stateless one.
     spread = None if feed.isStreaming else _spread_index(key_types)
     hashable = [c(f.name) for f in feed.schema.fields if not isinstance(f.dataType, T.MapType)]
     cols = []
