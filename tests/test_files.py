@@ -167,7 +167,7 @@ def test_spec_from_json_on_any_filesystem(spark, scratch):
            "possible_reference_combinations": [["PNR_Number", "Airline_Code", "Travel_Sector"]],
            "targets": ["Taxable_Amount", {"column": "Booking_Date", "display": "Booking Date"}],
            "order_by": ["-Booking_Date"]}
-    path = f"{scratch}/config.json"
+    path = f"{scratch}/job_spec.json"
     hadoop_write_text(spark, path, json.dumps(cfg))
     spec = EnrichSpec.from_json(path, spark=spark)
     assert spec.aliases[0] == ("Airline PNR", "PNR_Number") and spec.extensions == (".xlsx", ".csv")
