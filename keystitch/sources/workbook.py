@@ -77,6 +77,18 @@ def _date(text: str) -> str:
     return ts.strftime("%Y-%m-%d %H:%M:%S")
 
 
+def _si_text(node) -> str:
+    """Text of a string item: its own ``t`` plus rich-text runs ``r/t``;
+    phonetic hints (``rPh``) are not part of the value."""
+    parts = []
+    for child in node:
+        if child.tag == _NS + "t":
+            parts.append(child.text or "")
+        elif child.tag == _NS + "r":
+            parts.extend(t.text or "" for t in child.iter(_NS + "t"))
+    return "".join(parts)
+
+
 class _Book:
     def __init__(self, data: bytes):
         self.z = zipfile.ZipFile(io.BytesIO(data))
@@ -85,7 +97,7 @@ class _Book:
         if "xl/sharedStrings.xml" in names:
             root = ET.fromstring(self.z.read("xl/sharedStrings.xml"))
             for si in root.iter(_NS + "si"):
-                self.strings.append("".join(t.text or "" for t in si.iter(_NS + "t")))
+                self.strings.append(_si_text(si))
         self.date_styles: set[int] = set()
         if "xl/styles.xml" in names:
             root = ET.fromstring(self.z.read("xl/styles.xml"))
@@ -127,7 +139,7 @@ class _Book:
                     v = cnode.find(_NS + "v")
                     if t == "inlineStr":
                         isn = cnode.find(_NS + "is")
-                        val = "".join(x.text or "" for x in isn.iter(_NS + "t")) if isn is not None else None
+                        val = _si_text(isn) if isn is not None else None
                         kind = "string"
                     elif v is None or v.text is None:
                         continue

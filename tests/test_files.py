@@ -185,3 +185,26 @@ def test_read_reference_prunes_and_renames(spark):
     assert df.columns == ["PNR_Number", "Taxable_Amount"]
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(o_orderstatus,F)" in plan and "o_custkey" not in plan
+
+
+def test_shared_strings_rich_text_and_phonetics():
+    import io
+    import zipfile
+
+    from keystitch.sources.workbook import _Book
+    ns = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'
+    rel = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w") as z:
+        z.writestr("xl/workbook.xml", f'<workbook {ns} xmlns:r="{rel}"><sheets>'
+                                      '<sheet name="S" sheetId="1" r:id="rId1"/></sheets></workbook>')
+        z.writestr("xl/_rels/workbook.xml.rels",
+                   '<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships">'
+                   f'<Relationship Id="rId1" Type="{rel}/worksheet" Target="worksheets/sheet1.xml"/></Relationships>')
+        z.writestr("xl/sharedStrings.xml", f'<sst {ns}><si><t>plain</t></si>'
+                                           '<si><r><t>ri</t></r><r><t>ch</t></r><rPh><t>PHON</t></rPh></si></sst>')
+        z.writestr("xl/worksheets/sheet1.xml", f'<worksheet {ns}><sheetData><row r="1">'
+                                               '<c r="A1" t="s"><v>0</v></c><c r="C1" t="s"><v>1</v></c>'
+                                               '</row></sheetData></worksheet>')
+    book = _Book(buf.getvalue())
+    assert list(book.rows(book.sheets[0][1])) == [(["plain", None, "rich"], ["string", None, "string"])]
