@@ -49,15 +49,30 @@ def _numeric(dt: T.DataType) -> bool:
     return isinstance(dt, T.NumericType)
 
 
+NUMERIC_KEY = T.DecimalType(38, 10)   # text vs numeric keys compare as exact decimals
+
+
 def _key_type(feed_types: Sequence[T.DataType], ref_type: T.DataType) -> T.DataType | None:
     """Comparison type of one key part (H3): equal types or numeric pairs compare
-    as is (Spark's own numeric widening); anything else compares as text, which
-    never fails under ANSI casts."""
+    as is (Spark's own numeric widening). Text cells against a numeric reference
+    column compare as numbers, as the job's reader parsed such cells ('0123' and
+    '12.0' match 123 and 12; unparseable text is an empty key). Anything else
+    compares as text. No combination can fail a cast under ANSI."""
     if all(ft == ref_type or (_numeric(ft) and _numeric(ref_type)) for ft in feed_types):
         return None
+    if _numeric(ref_type) and all(isinstance(ft, T.StringType) or _numeric(ft) for ft in feed_types):
+        return NUMERIC_KEY
     return T.StringType()
 
 
+def _as(col: Column, src: T.DataType, ktype: T.DataType | None) -> Column:
+    if ktype is None:
+        return col
+    if isinstance(ktype, T.DecimalType):
+        return col.try_cast(ktype)
+    return col.cast(ktype)
+
+
 def order_columns(names: Sequence[str]) -> list[Column]:
     """'col' -> ascending NULLS FIRST, '-col' -> descending NULLS LAST."""
     out = []
@@ -154,7 +169,7 @@ def _key_exprs(feed_schema: T.StructType, plan: LayoutPlan, reference_schema: T.
     exprs, types, ref_exprs = [], [], []
     for k, srcs in zip(plan.keys, plan.sources):
         ktype = _key_type([fschema[s] for s in srcs], rschema[k])
-        parts = [(c(s) if ktype is None else c(s).cast(ktype)) for s in srcs]
+        parts = [_as(c(s), fschema[s], ktype) for s in srcs]
         ptypes = [fschema[s] if ktype is None else ktype for s in srcs]
         if len(parts) == 1:
             expr, etype = parts[0], ptypes[0]
@@ -163,7 +178,7 @@ def _key_exprs(feed_schema: T.StructType, plan: LayoutPlan, reference_schema: T.
             etype = ptypes[0]
         exprs.append(expr)
         types.append(etype)
-        ref_exprs.append(c(k) if ktype is None else c(k).cast(ktype))
+        ref_exprs.append(_as(c(k), rschema[k], ktype))
     return exprs, types, ref_exprs
 
 

@@ -111,3 +111,11 @@ def test_overlap_guard(spark, scratch):
             enrich_incremental(spark, inbox, ref, SPEC, f"{scratch}/out", f"{scratch}/ckpt2", name="ks_guard")
     finally:
         q.stop()
+
+
+def test_text_keys_against_numeric_reference_compare_as_numbers(spark):
+    feed = spark.createDataFrame([("a", "0001"), ("a", "1.0"), ("a", " 1 "), ("a", "x1"), ("a", "2")],
+                                 "K1 string, K2 string")
+    ref = ref_df(spark, [("a", 1, 5.0, "u", 1)])
+    got = {r["K2"]: r["m"] for r in enrich(feed, ref, SPEC, flag="m").collect()}
+    assert got == {"0001": True, "1.0": True, " 1 ": True, "x1": False, "2": False}
