@@ -137,6 +137,7 @@ TEMPLATES = (
      "(?:the )?(?:{name})(?: licen[cs]e)?", 3, 0.95),
     ("(?:see|under|subject to) (?:the )?(?:terms of )?(?:the )?(?:{name}) licen[cs]e", 2, 0.85),
     ("(?:{name}) licen[cs]e", 2, 0.8),
+    ("(?:{name})", 2, 0.75),   # of names that hold the word themselves
 )
 
 #: A text with none of these is tried against no rule.
@@ -159,6 +160,8 @@ def rules() -> list[Rule]:
         for label, name in NAMES.items():
             ident = "|".join({label.replace("-", " ").replace(".", " "): 0, label.replace("-", " ").replace(".", " ") + " (?:only|or later)": 0})
             first = label.split("-")[0]
+            if pattern == "(?:{name})" and "licen" not in name:
+                continue
             out.append(Rule(pattern.format(name=name, id=ident), label, priority, KEYWORDS.get(first, (first,)), score))
     out += [Rule(p, label, 1, tuple(x.split(" .")[0] for x in p.split("|")), 0.7) for p, label in BODIES]
     return sorted(out, key=lambda r: -r.priority)

@@ -72,8 +72,9 @@ def base_spans(text: Column) -> Column:
 
 def labelled_strings(docs: DataFrame, p: SecretParams) -> DataFrame:
     """``(random, s, n)``: labelled strings and how often each was seen."""
-    sample = bounded_sample(docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text")).where("doc_id is not null"),
-                            "doc_id", p.sample_docs, p.seed)
+    ids = bounded_sample(docs.select("doc_id").where("doc_id is not null"), "doc_id", p.sample_docs, p.seed).distinct()
+    sample = (docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"))
+              .join(F.broadcast(ids), "doc_id").dropDuplicates(["doc_id"]))   # sample_docs ids at most
     plain = F.regexp_replace(F.regexp_replace(F.regexp_replace("text", ASSIGN, " "), ACCESS, " "), f"[0-9a-f]{{{MIN_HEX},}}", " ")
     words = (sample.select(F.explode(F.regexp_extract_all(plain, F.lit("[A-Za-z]{2,}"), F.lit(0))).alias("w"))
              .groupBy("w").agg(F.count("*").alias("n")))

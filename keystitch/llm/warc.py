@@ -120,21 +120,23 @@ def candidates(spark: SparkSession, path: str) -> DataFrame:
     return files.mapInArrow(run, schema)
 
 
+def _jump(t: DataFrame) -> DataFrame:
+    """One round: what the reached point to is reached, and pointers double. A
+    chain's last candidates keep their pointer (to the file's end)."""
+    ahead = t.select("file", F.col("offset").alias("to"), F.col("to").alias("beyond"))
+    hits = t.where("hit").select("file", F.col("to").alias("offset"), F.lit(True).alias("now")).distinct()
+    return (t.join(hits, ["file", "offset"], "left").join(ahead, ["file", "to"], "left")
+            .select("file", "offset", F.coalesce("beyond", "to").alias("to"), (F.col("hit") | F.col("now").isNotNull()).alias("hit")))
+
+
 def reachable(found: DataFrame) -> DataFrame:
     """``(file, offset)`` of the candidates on the chain from their file's start."""
-    jump = cut(found.select("file", "offset", F.col("successor").alias("to")))
-    reached = cut(jump.where("offset = 0").select("file", "offset"))
-    n = reached.count()
-    while True:
-        step = reached.join(jump, ["file", "offset"]).select("file", F.col("to").alias("offset"))
-        reached = cut(reached.union(step.join(jump.select("file", "offset"), ["file", "offset"], "left_semi")).distinct())
-        now = reached.count()
-        if now == n:
-            return reached
-        n = now
-        nxt = jump.select("file", F.col("offset").alias("to"), F.col("to").alias("beyond"))
-        # a chain's last candidates keep their pointer: what they reach is reached already
-        jump = cut(jump.join(nxt, ["file", "to"], "left").select("file", "offset", F.coalesce("beyond", "to").alias("to")))
+    t = cut(found.select("file", "offset", F.col("successor").alias("to"), (F.col("offset") == 0).alias("hit")))
+    n, last = t.where("hit").count(), -1
+    while n != last:
+        t = cut(_jump(t))
+        n, last = t.where("hit").count(), n
+    return t.where("hit").select("file", "offset")
 
 
 def read(spark: SparkSession, path: str, id_type: str = "long") -> DataFrame:
