@@ -3,6 +3,8 @@ two availableNow runs must give the batch result, each file once."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from .. import fixtures as X
@@ -15,9 +17,6 @@ from ..streaming.incremental import enrich_stream, read_reports, run_once
 from .frames import JOIN_SQL, TARGETS_SQL
 from .registry import register
 
-_CACHE: dict = {}
-
-
 def _drops():
     return [F.col("Sector") != "N", F.col("Sector") == "N"]
 
@@ -44,9 +43,6 @@ def _typed(df, names):
 def incremental_run(spark, sf_dir):
     """Two drops of CSV feed files, two availableNow runs, then a third run
     with nothing new. Returns (output path, report path, enriched columns)."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key in _CACHE:
-        return _CACHE[key]
     root = scratch_path(spark, "incremental")
     inbox, out, ckpt, archive = f"{root}/inbox", f"{root}/out", f"{root}/ckpt", f"{root}/archive"
     hadoop_mkdirs(spark, inbox)
@@ -55,12 +51,11 @@ def incremental_run(spark, sf_dir):
     spec = X.x1_spec(ref)
     for i, cond in enumerate(_drops()):
         _drop_files(spark, feed.filter(cond), "csv", f"{root}/staging{i}", inbox, f"drop{i}")
-        run_once(spark, inbox, ref, spec, out, ckpt, archive=archive, name=f"ks_incremental_{i}")
-    run_once(spark, inbox, ref, spec, out, ckpt, archive=archive, name="ks_incremental_2")
+        run_once(spark, inbox, ref, spec, out, ckpt, archive=archive, name=f"ks_incremental_{uuid.uuid4().hex}")
+    run_once(spark, inbox, ref, spec, out, ckpt, archive=archive, name=f"ks_incremental_{uuid.uuid4().hex}")
     plan = plan_layout(feed.columns, spec)
     cols = list(feed.columns) + list(plan.appended)
-    _CACHE[key] = (out, out + "_report", cols)
-    return _CACHE[key]
+    return out, out + "_report", cols
 
 
 @register("incremental_enrich", f"SELECT f.*, {TARGETS_SQL} {JOIN_SQL}")

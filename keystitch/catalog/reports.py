@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import fixtures as X
 from ..operators.enrich import enrich
-from ..operators.report import map_text, rows_per_file, rows_per_sheet, sheets_info, union_sheets
+from ..operators.report import map_text, rows_per_file, rows_per_sheet, sheets_info
 from ..session import scratch_path
 from ..sinks.writers import write_partitioned
 from ..spec import EnrichSpec
@@ -41,21 +41,10 @@ def sheets_info_q(spark, sf_dir):
     return s.select("source_file", "sheets", "rows", map_text(F.col("sheets_info")).alias("sheets_info"))
 
 
-# Each sheet is its own feed with its own extra column; enriched per sheet and
-# unioned by name, so a column one sheet lacks is NULL there (H1).
+# Sheets with their own extra column; one that a sheet lacks is NULL there (H1).
 _SHEET_EXTRA = {"1-URGENT": "Urgent Note", "2-HIGH": "High Note"}
 
 
-def _sheet_feed(o, priority):
-    base = o.filter(F.col("o_orderpriority") == priority)
-    cols = [F.col("o_orderkey").alias("Airline PNR"), F.col("o_custkey").alias("Airline Code"),
-            F.col("o_orderpriority").alias("Sector"), F.col("o_orderstatus").alias("source_file"),
-            F.lit(priority).alias("sheet")]
-    if priority in _SHEET_EXTRA:
-        cols.append(F.col("o_clerk_hint").alias(_SHEET_EXTRA[priority]))
-    return base.select(*cols)
-
-
 @register("sheet_union", """
 SELECT o_orderkey AS "Airline PNR", o_custkey AS "Airline Code", o_orderpriority AS "Sector",
        o_orderstatus AS source_file, o_orderpriority AS sheet,
@@ -64,11 +53,16 @@ SELECT o_orderkey AS "Airline PNR", o_custkey AS "Airline Code", o_orderpriority
        o_totalprice AS Taxable_Amount
 FROM orders""")
 def sheet_union(spark, sf_dir):
-    o = X.table(spark, sf_dir, "orders").withColumn("o_clerk_hint", F.col("o_totalprice"))
-    ref = X.x3_reference(spark, sf_dir)
+    """Sheets of one key layout in one frame, whatever sheets there are: the
+    union by name is the frame with each sheet's own column NULL elsewhere, so
+    feed and reference are read once and shuffled once."""
+    o = X.table(spark, sf_dir, "orders")
+    sheet = F.col("o_orderpriority")
+    feed = o.select(F.col("o_orderkey").alias("Airline PNR"), F.col("o_custkey").alias("Airline Code"),
+                    sheet.alias("Sector"), F.col("o_orderstatus").alias("source_file"), sheet.alias("sheet"),
+                    *[F.when(sheet == s, F.col("o_totalprice")).alias(n) for s, n in _SHEET_EXTRA.items()])
     spec = EnrichSpec(order_by=("Booking_Date",)).with_targets(["Taxable_Amount"])
-    priorities = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
-    return union_sheets([enrich(_sheet_feed(o, p), ref, spec) for p in priorities])
+    return enrich(feed, X.x3_reference(spark, sf_dir), spec)
 
 
 @register("sheet_partitioned_write", """

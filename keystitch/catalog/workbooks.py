@@ -10,6 +10,7 @@ from ..functions.exprs import base_name, c
 from ..job import enrich_directory
 from ..operators.enrich import enrich
 from ..operators.report import map_text, union_sheets
+from ..plans.headers import NoKeyColumns
 from ..session import scratch_path
 from ..sources.files import list_feeds
 from ..sources.workbook import header_rows, read_workbooks
@@ -17,6 +18,7 @@ from ..spec import EnrichSpec
 from .registry import register
 
 _BUILT: dict = {}
+_BOOK_B = "'book_b_' || (c_custkey // 1000) || '.xlsx'"
 
 
 def x5_dir(spark, sf_dir):
@@ -36,7 +38,7 @@ def _spec():
     return EnrichSpec().with_targets(["Taxable_Amount"])
 
 
-@register("workbook_scan", """
+@register("workbook_scan", f"""
 SELECT 'book_a.xlsx' AS name, 'Nations' AS sheet, CAST(0 AS BIGINT) AS row_idx, 'Nation list' AS c0,
        NULL::VARCHAR AS c1, NULL::VARCHAR AS c2, NULL::VARCHAR AS c3
 UNION ALL SELECT 'book_a.xlsx', 'Nations', 1, 'source: nation', NULL, NULL, NULL
@@ -46,11 +48,11 @@ UNION ALL SELECT 'book_a.xlsx', 'Nations', 2 + row_number() OVER (ORDER BY n_nat
 UNION ALL SELECT 'book_a.xlsx', 'Regions', 0, 'r_regionkey', 'r_name', NULL, NULL
 UNION ALL SELECT 'book_a.xlsx', 'Regions', row_number() OVER (ORDER BY r_regionkey),
        CAST(r_regionkey AS VARCHAR), r_name, NULL, NULL FROM region
-UNION ALL SELECT 'book_b.xlsx', 'Customers', 0, 'Airline PNR', 'Airline Code', 'Sector', 'Customer'
-UNION ALL SELECT 'book_b.xlsx', 'Customers', row_number() OVER (ORDER BY c_custkey),
+UNION ALL SELECT DISTINCT {_BOOK_B}, 'Customers', 0, 'Airline PNR', 'Airline Code', 'Sector', 'Customer' FROM customer
+UNION ALL SELECT {_BOOK_B}, 'Customers', row_number() OVER (PARTITION BY c_custkey // 1000 ORDER BY c_custkey),
        CAST(c_custkey AS VARCHAR), CAST(c_nationkey AS VARCHAR), c_mktsegment, c_name FROM customer
-UNION ALL SELECT 'book_b.xlsx', 'Numbers', 0, '2024', 'c_custkey', 'segment', NULL
-UNION ALL SELECT 'book_b.xlsx', 'Numbers', row_number() OVER (ORDER BY c_custkey),
+UNION ALL SELECT DISTINCT {_BOOK_B}, 'Numbers', 0, '2024', 'c_custkey', 'segment', NULL FROM customer
+UNION ALL SELECT {_BOOK_B}, 'Numbers', row_number() OVER (PARTITION BY c_custkey // 1000 ORDER BY c_custkey),
        CAST(c_custkey AS VARCHAR), CAST(c_nationkey AS VARCHAR), c_mktsegment, NULL FROM customer""")
 def workbook_scan(spark, sf_dir):
     """Every non-blank row of every sheet, cells as text (A3); the empty sheet has none."""
@@ -59,21 +61,22 @@ def workbook_scan(spark, sf_dir):
                         *[F.get(F.col("cells"), i).alias(f"c{i}") for i in range(4)])
 
 
-@register("header_detect", """
-SELECT * FROM (VALUES ('book_a.xlsx', 'Nations', 0, 3, CAST(2 AS BIGINT)), ('book_a.xlsx', 'Regions', 1, 2, 0),
-  ('book_b.xlsx', 'Customers', 0, 4, 0), ('book_b.xlsx', 'Numbers', 1, 3, 0))
-  t(name, sheet, sheet_pos, width, header_row)""")
+@register("header_detect", f"""
+SELECT * FROM (VALUES ('book_a.xlsx', 'Nations', 0, 3, CAST(2 AS BIGINT)), ('book_a.xlsx', 'Regions', 1, 2, 0))
+  t(name, sheet, sheet_pos, width, header_row)
+UNION ALL SELECT DISTINCT {_BOOK_B}, 'Customers', 0, 4, 0 FROM customer
+UNION ALL SELECT DISTINCT {_BOOK_B}, 'Numbers', 1, 3, 0 FROM customer""")
 def header_detect(spark, sf_dir):
     """Header row per sheet: first of 10 rows with > 2 cells, all text; else 0 (A4)."""
     h = header_rows(_books(spark, sf_dir).cells)
     return h.select(base_name(F.col("source_file")).alias("name"), "sheet", "sheet_pos", "width", "header_row")
 
 
-@register("nonempty_sheets", """
+@register("nonempty_sheets", f"""
 SELECT 'book_a.xlsx' AS name, 'Nations' AS sheet, count(*) AS rows FROM nation
 UNION ALL SELECT 'book_a.xlsx', 'Regions', count(*) FROM region
-UNION ALL SELECT 'book_b.xlsx', 'Customers', count(*) FROM customer
-UNION ALL SELECT 'book_b.xlsx', 'Numbers', count(*) FROM customer""")
+UNION ALL SELECT {_BOOK_B}, 'Customers', count(*) FROM customer GROUP BY ALL
+UNION ALL SELECT {_BOOK_B}, 'Numbers', count(*) FROM customer GROUP BY ALL""")
 def nonempty_sheets(spark, sf_dir):
     """Sheets with data rows after their header, with row counts."""
     frames = [lay.frame.select("source_file", "sheet") for lay in _books(spark, sf_dir).layouts]
@@ -86,26 +89,26 @@ SELECT f.c_custkey AS "Airline PNR", f.c_name AS "Customer", r.c_acctbal AS "Tax
 FROM customer f LEFT JOIN (SELECT * FROM customer WHERE c_acctbal >= 0) r
   ON f.c_custkey = r.c_custkey AND f.c_nationkey = r.c_nationkey AND f.c_mktsegment = r.c_mktsegment""")
 def workbook_enrich(spark, sf_dir):
-    """The keyed sheet enriched; text cells are compared to numeric reference
-    keys as text (H3)."""
+    """The keyed sheets enriched; text cells are compared to numeric reference
+    keys as numbers (H3)."""
     books = _books(spark, sf_dir)
     ref = X.x5_reference(spark, sf_dir)
     out = []
     for lay in books.layouts:
         try:
             out.append(enrich(lay.frame, ref, _spec()))
-        except Exception:  # noqa: BLE001 - sheets without keys are dropped (R18)
+        except NoKeyColumns:   # sheets without keys are dropped (R18)
             continue
     df = union_sheets(out)
     return df.select(c("Airline PNR").cast("bigint").alias("Airline PNR"), c("Customer"),
                      c("Taxable_Amount"), "sheet")
 
 
-@register("workbook_report", """
+@register("workbook_report", f"""
 SELECT 'book_a.xlsx' AS name, 'failed' AS status, NULL::BIGINT AS rows, NULL::INTEGER AS sheets,
-       NULL::VARCHAR AS sheets_info, NULL::BIGINT AS matched
-UNION ALL SELECT 'book_b.xlsx', 'success', count(*), 1, 'Customers=' || CAST(count(*) AS VARCHAR),
-       count(*) FILTER (WHERE c_acctbal >= 0) FROM customer""")
+       NULL::VARCHAR AS sheets_info, NULL::BIGINT AS matched, NULL::VARCHAR AS failed_sheets
+UNION ALL SELECT {_BOOK_B}, 'success', count(*), 1, 'Customers=' || CAST(count(*) AS VARCHAR),
+       count(*) FILTER (WHERE c_acctbal >= 0), 'Numbers' FROM customer GROUP BY {_BOOK_B}""")
 def workbook_report(spark, sf_dir):
     """The job over workbooks: sheets without keys are dropped, a workbook
     with no surviving sheet fails (R18, R19); sheets_info per file (F5)."""
@@ -114,4 +117,5 @@ def workbook_report(spark, sf_dir):
                            out=scratch_path(spark, "wb-out"), run_id="r1")
     r = res.report
     return r.select(base_name(F.col("file")).alias("name"), "status", "rows", "sheets",
-                    map_text(F.col("sheets_info")).alias("sheets_info"), "matched")
+                    map_text(F.col("sheets_info")).alias("sheets_info"), "matched",
+                    F.array_join("failed_sheets", ",").alias("failed_sheets"))

@@ -99,7 +99,7 @@ X1_VALID = """("Airline PNR/Prov. Booking" IS NOT NULL AND " AIRLINE code " IS N
 
 # X3 ------------------------------------------------------------------------
 # A CSV feed directory written by Spark from `orders`: one file per
-# (o_orderstatus, o_orderpriority) group, rows in o_orderkey order. The three
+# (o_orderstatus, o_orderpriority) group and key range, rows in o_orderkey order. The three
 # statuses use three layouts (different header spellings, column order, a
 # blank header, a duplicate header, a leading blank line, a layout without a
 # sector column). Plus a header-only file, a zero-byte file, a .txt file and a
@@ -117,57 +117,34 @@ X3_HEADER_ONLY = "header_only.csv"
 X3_EMPTY = "empty.csv"
 
 
-def x3_name(status: str, priority: str) -> str:
-    return f"orders_{status}_{priority.replace(' ', '_')}.csv"
+# Orders of so many keys share a file per group: the number of files grows with
+# the table, the rows of a file do not.
+X3_KEYS_PER_FILE = 200_000
 
 
 def x3_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Formatted CSV lines (with each file's header first) per output file."""
-    import csv as _csv
-    import io
-
-    import pandas as pd
-
+    """(name, line) of all files, headers and leading blank lines included, in
+    file order within a name. Built-in functions only."""
     o = table(spark, sf_dir, "orders")
-    fields = o.select(
-        "o_orderstatus", "o_orderpriority", "o_orderkey",
-        F.col("o_orderkey").cast("string").alias("key"),
-        F.col("o_custkey").cast("string").alias("cust"),
-        # '5-LOW' rows carry the NA token instead of a sector: an empty key.
-        F.when(F.col("o_orderpriority") == "5-LOW", F.lit("NA")).otherwise(F.col("o_orderpriority")).alias("sector"),
-        F.col("o_totalprice").cast("string").alias("price"),
-        F.date_format("o_orderdate", "yyyy-MM-dd").alias("date"),
-        F.col("o_orderstatus").alias("status"),
-    ).repartition("o_orderstatus", "o_orderpriority").sortWithinPartitions(
-        "o_orderstatus", "o_orderpriority", "o_orderkey")
-
-    def fmt(rows):
-        buf = io.StringIO()
-        w = _csv.writer(buf, lineterminator="")
-        prev = None   # kept across Arrow batches: a group may span several
-        for cells in rows:
-            if not len(cells):
-                continue
-            out = {"status": [], "priority": [], "seq": [], "value": []}
-            for r in cells.itertuples(index=False):
-                grp = (r.o_orderstatus, r.o_orderpriority)
-                labels, vals, blank = X3_LAYOUTS[r.o_orderstatus]
-                if grp != prev:
-                    seq = -2
-                    if blank:
-                        out["status"].append(grp[0]); out["priority"].append(grp[1])
-                        out["seq"].append(seq); out["value"].append("")
-                    buf.seek(0); buf.truncate(); w.writerow(labels)
-                    out["status"].append(grp[0]); out["priority"].append(grp[1])
-                    out["seq"].append(-1); out["value"].append(buf.getvalue())
-                    prev = grp
-                buf.seek(0); buf.truncate(); w.writerow([getattr(r, v) for v in vals])
-                out["status"].append(grp[0]); out["priority"].append(grp[1])
-                out["seq"].append(int(r.o_orderkey)); out["value"].append(buf.getvalue())
-            yield pd.DataFrame(out)
-
-    lines = fields.mapInPandas(fmt, "status string, priority string, seq bigint, value string")
-    return lines.sortWithinPartitions("status", "priority", "seq").drop("seq")
+    sector = F.when(F.col("o_orderpriority") == "5-LOW", F.lit("NA")).otherwise(F.col("o_orderpriority"))
+    cells = {"key": F.col("o_orderkey").cast("string"), "cust": F.col("o_custkey").cast("string"),
+             "sector": sector,   # '5-LOW' rows carry the NA token instead of a sector: an empty key
+             "price": F.col("o_totalprice").cast("string"), "date": F.date_format("o_orderdate", "yyyy-MM-dd"),
+             "status": F.col("o_orderstatus")}
+    line = head = lead = F.lit(None).cast("string")
+    for status, (labels, fields, blank) in X3_LAYOUTS.items():
+        mine = F.col("o_orderstatus") == status
+        line = F.when(mine, F.concat_ws(",", *[cells[f] for f in fields])).otherwise(line)
+        head = F.when(mine, F.lit(",".join(labels))).otherwise(head)
+        lead = F.when(mine & F.lit(blank), F.lit("")).otherwise(lead)
+    name = F.format_string("orders_%s_%s_%d", "o_orderstatus", F.replace("o_orderpriority", F.lit(" "), F.lit("_")),
+                           F.floor(F.col("o_orderkey") / X3_KEYS_PER_FILE).cast("bigint"))
+    rows = o.select(name.alias("name"), F.col("o_orderkey").cast("bigint").alias("seq"), line.alias("value"))
+    tops = o.select(name.alias("name"), head.alias("head"), lead.alias("lead")).distinct()
+    tops = tops.select("name", F.inline(F.array(F.struct(F.lit(-2).cast("bigint").alias("seq"), F.col("lead").alias("value")),
+                                                F.struct(F.lit(-1).cast("bigint").alias("seq"), F.col("head").alias("value")))))
+    both = rows.unionByName(tops.where("value is not null"))
+    return both.repartition("name").sortWithinPartitions("name", "seq").select("name", "value")
 
 
 def build_x3(spark: SparkSession, sf_dir: str, root: str) -> str:
@@ -175,14 +152,10 @@ def build_x3(spark: SparkSession, sf_dir: str, root: str) -> str:
     from .sources.files import hadoop_glob, hadoop_mkdirs, hadoop_rename, hadoop_write_text
 
     staging, feeds = f"{root}/staging", f"{root}/feeds"
-    (x3_lines(spark, sf_dir).write.mode("overwrite").partitionBy("status", "priority")
-     .text(staging))
+    x3_lines(spark, sf_dir).write.mode("overwrite").partitionBy("name").text(staging)
     hadoop_mkdirs(spark, feeds)
-    for part in hadoop_glob(spark, f"{staging}/status=*/priority=*/part-*"):
-        segs = part.split("/")
-        status = segs[-3].split("=", 1)[1]
-        priority = _unescape(segs[-2].split("=", 1)[1])
-        hadoop_rename(spark, part, f"{feeds}/{x3_name(status, priority)}")
+    for part in hadoop_glob(spark, f"{staging}/name=*/part-*"):
+        hadoop_rename(spark, part, f"{feeds}/{_unescape(part.split('/')[-2].split('=', 1)[1])}.csv")
     hadoop_write_text(spark, f"{feeds}/{X3_HEADER_ONLY}", "Airline PNR,Airline Code,Sector,Amount\n")
     hadoop_write_text(spark, f"{feeds}/{X3_EMPTY}", "")
     hadoop_write_text(spark, f"{feeds}/notes.txt", "not a feed\n")
@@ -211,20 +184,20 @@ def x3_spec() -> EnrichSpec:
 # SQL twin: one row per X3 data row with the file it lands in.
 X3_ROWS_SQL = """
 SELECT o_orderkey, o_custkey, o_orderstatus, o_orderpriority, o_totalprice, o_orderdate,
-       'orders_' || o_orderstatus || '_' || replace(o_orderpriority, ' ', '_') || '.csv' AS name,
+       'orders_' || o_orderstatus || '_' || replace(o_orderpriority, ' ', '_') || '_' || (o_orderkey // 200000) || '.csv' AS name,
        CASE WHEN o_orderpriority = '5-LOW' THEN NULL ELSE o_orderpriority END AS sector
 FROM orders"""
 
 
 # X5 ------------------------------------------------------------------------
-# Two workbooks written from `nation`, `region` and `customer`: a sheet under
-# two title rows, a two-column sheet, an empty sheet, a keyed sheet that the
-# job can enrich, and a sheet whose header row holds a number.
+# Workbooks written from `nation`, `region` and `customer`: book_a with a sheet
+# under two title rows, a two-column sheet and an empty sheet, and a book_b_<n>
+# per X5_KEYS_PER_BOOK customers with a keyed sheet that the job can enrich and
+# a sheet whose header row holds a number. Their number grows with the table,
+# the rows of one do not.
 
-X5_BOOKS = {
-    "book_a.xlsx": ["Nations", "Regions", "Empty"],
-    "book_b.xlsx": ["Customers", "Numbers"],
-}
+X5_KEYS_PER_BOOK = 1000
+X5_SHEETS = {"book_a": ["Nations", "Regions", "Empty"], "book_b": ["Customers", "Numbers"]}
 
 
 def x5_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -238,25 +211,32 @@ def x5_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
                                           "vals array<string>, nums array<boolean>")
 
     def data_rows(df, book, sheet, pos, cells, nums):
-        return df.select(F.lit(book).alias("book"), F.lit(sheet).alias("sheet"), F.lit(pos).alias("sheet_pos"),
+        return df.select((F.lit(book) if isinstance(book, str) else book).alias("book"), F.lit(sheet).alias("sheet"), F.lit(pos).alias("sheet_pos"),
                          (cells[0].cast("bigint") + F.lit(100)).alias("row_pos"),
                          F.array(*[x.cast("string") for x in cells]).alias("vals"),
                          F.array(*[F.lit(n) for n in nums]).alias("nums"))
 
     nation, region, cust = (table(spark, sf_dir, t) for t in ("nation", "region", "customer"))
+    book_b = F.format_string("book_b_%d.xlsx", F.floor(F.col("c_custkey") / X5_KEYS_PER_BOOK).cast("bigint"))
+
+    def heads(sheet, pos, cells):
+        """The header row of a sheet of each book_b."""
+        return cust.select(book_b.alias("book")).distinct().select(
+            "book", F.lit(sheet).alias("sheet"), F.lit(pos).alias("sheet_pos"), F.lit(0).cast("bigint").alias("row_pos"),
+            F.array(*[F.lit(str(v)) for v in cells]).alias("vals"), F.array(*[F.lit(not isinstance(v, str)) for v in cells]).alias("nums"))
     parts = [
         lit_rows("book_a.xlsx", "Nations", 0, [["Nation list"], ["source: nation"],
                                                 ["n_nationkey", "n_name", "n_regionkey"]]),
         lit_rows("book_a.xlsx", "Regions", 1, [["r_regionkey", "r_name"]]),
-        lit_rows("book_b.xlsx", "Customers", 0, [["Airline PNR", "Airline Code", "Sector", "Customer"]]),
-        lit_rows("book_b.xlsx", "Numbers", 1, [[2024, "c_custkey", "segment"]]),
+        heads("Customers", 0, ["Airline PNR", "Airline Code", "Sector", "Customer"]),
+        heads("Numbers", 1, [2024, "c_custkey", "segment"]),
         data_rows(nation, "book_a.xlsx", "Nations", 0,
                   [F.col("n_nationkey"), F.col("n_name"), F.col("n_regionkey")], [True, False, True]),
         data_rows(region, "book_a.xlsx", "Regions", 1, [F.col("r_regionkey"), F.col("r_name")], [True, False]),
-        data_rows(cust, "book_b.xlsx", "Customers", 0,
+        data_rows(cust, book_b, "Customers", 0,
                   [F.col("c_custkey"), F.col("c_nationkey"), F.col("c_mktsegment"), F.col("c_name")],
                   [True, True, False, False]),
-        data_rows(cust, "book_b.xlsx", "Numbers", 1,
+        data_rows(cust, book_b, "Numbers", 1,
                   [F.col("c_custkey"), F.col("c_nationkey"), F.col("c_mktsegment")], [True, True, False]),
     ]
     out = parts[0]
@@ -274,9 +254,9 @@ def _open_output(uri: str):
 
 
 def build_x5(spark: SparkSession, sf_dir: str, root: str) -> str:
-    """Write the X5 workbooks under ``root``/books. Each workbook is assembled
-    by the one task that holds its rows (a zip needs the whole file) and
-    written to the shared folder from that task."""
+    """Write the X5 workbooks under ``root``/books. A workbook is put together
+    by the task that has its rows (a zip needs the whole file; its rows are
+    bounded) and written to the shared folder from there."""
     import pandas as pd
 
     from .sources.files import hadoop_mkdirs
@@ -284,34 +264,25 @@ def build_x5(spark: SparkSession, sf_dir: str, root: str) -> str:
 
     folder = f"{root}/books"
     hadoop_mkdirs(spark, folder)
-    books = dict(X5_BOOKS)
-
-    def write(batches):
-        current, sheets = None, {}
-
-        def flush():
-            named = [(s, sheets.get(s, [])) for s in books[current]]
-            data = xlsx_bytes(named)
-            with _open_output(f"{folder}/{current}") as fh:
-                fh.write(data)
-            return (current, len(data))
-
-        done = []
-        for pdf in batches:
-            for r in pdf.itertuples(index=False):
-                if r.book != current:
-                    if current is not None:
-                        done.append(flush())
-                    current, sheets = r.book, {}
-                cells = [None if v is None else (float(v) if n else v) for v, n in zip(r.vals, r.nums)]
-                cells = [int(v) if isinstance(v, float) and v.is_integer() else v for v in cells]
-                sheets.setdefault(r.sheet, []).append(cells)
-        if current is not None:
-            done.append(flush())
-        yield pd.DataFrame(done, columns=["book", "size"])
-
-    rows = x5_rows(spark, sf_dir).repartition("book").sortWithinPartitions("book", "sheet_pos", "row_pos")
-    rows.mapInPandas(write, "book string, size bigint").collect()   # one row per workbook
+    layout = dict(X5_SHEETS)
+
+    def cell(v, number):
+        if v is None or not number:
+            return v
+        return int(v) if float(v).is_integer() else float(v)
+
+    def write(pdf):
+        book = pdf["book"].iloc[0]
+        pdf = pdf.sort_values(["sheet_pos", "row_pos"])
+        sheets = {name: [[cell(v, n) for v, n in zip(vals, nums)] for vals, nums in zip(part["vals"], part["nums"])]
+                  for name, part in pdf.groupby("sheet")}
+        data = xlsx_bytes([(s, sheets.get(s, [])) for s in layout[book[:6]]])
+        with _open_output(f"{folder}/{book}") as fh:
+            fh.write(data)
+        return pd.DataFrame({"book": [book], "size": [len(data)]})
+
+    x5_rows(spark, sf_dir).groupBy("book").applyInPandas(write, "book string, size bigint").write.format("noop").mode(
+        "overwrite").save()
     return folder
 
 
@@ -320,3 +291,43 @@ def x5_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "customer").filter(F.col("c_acctbal") >= 0).select(
         F.col("c_custkey").alias("PNR_Number"), F.col("c_nationkey").alias("Airline_Code"),
         F.col("c_mktsegment").alias("Travel_Sector"), F.col("c_acctbal").alias("Taxable_Amount"))
+
+
+# X7 ------------------------------------------------------------------------
+# Odd CSV files from `orders`, one per status and key range: 'clash' has a
+# white-space-only first line, a line break in a header and in each row, labels
+# that differ in case only and labels the job uses for its own columns; 'flat'
+# has white-space-only lines between its rows; 'ragged' has one row with more
+# cells than its header.
+
+X7_CLASH = ["Airline PNR", "Airline Code", "Sector", "sheet", "Sheet", "run_id", "output", "source_file", '"Line\nBreak"', "Amount", "amount"]
+
+
+def build_x7(spark: SparkSession, sf_dir: str, root: str) -> str:
+    """Write the X7 folder under ``root``; returns it."""
+    from .sources.files import hadoop_glob, hadoop_mkdirs, hadoop_rename
+
+    o = table(spark, sf_dir, "orders")
+    key, cust = F.col("o_orderkey").cast("string"), F.col("o_custkey").cast("string")
+    prio, price = F.col("o_orderpriority"), F.col("o_totalprice").cast("string")
+    line = lambda *cells: F.concat_ws(",", *cells)
+    clash = line(key, cust, prio, F.concat(F.lit("s"), key), F.lit("S"), F.lit("r"), F.lit("o"), F.lit("f"),
+                 F.concat(F.lit('"a\n'), key, F.lit('"')), price, F.lit("-1"))
+    head = "Airline PNR,Airline Code,Sector,Amount"
+    flat = F.when(F.col("o_orderkey") % 8 == 1, F.concat(line(key, cust, prio, price), F.lit("\n \t"))).otherwise(line(key, cust, prio, price))
+    kinds = {"F": ("clash", "   \n" + ",".join(X7_CLASH), clash), "O": ("flat", head, flat),
+             "P": ("ragged", head + "\n1,2,3,4,5", line(key, cust, prio, price))}
+    kind = top = value = F.lit(None).cast("string")
+    for status, (name, header, cells) in kinds.items():
+        mine = F.col("o_orderstatus") == status
+        kind, top, value = F.when(mine, F.lit(name)).otherwise(kind), F.when(mine, F.lit(header)).otherwise(top), F.when(mine, cells).otherwise(value)
+    name = F.format_string("%s_%d", kind, F.floor(F.col("o_orderkey") / X3_KEYS_PER_FILE).cast("bigint"))
+    rows = o.select(name.alias("name"), F.col("o_orderkey").cast("bigint").alias("seq"), value.alias("value"))
+    tops = o.select(name.alias("name"), F.lit(-1).cast("bigint").alias("seq"), top.alias("value")).distinct()
+    staging, feeds = f"{root}/staging", f"{root}/feeds"
+    (rows.unionByName(tops).repartition("name").sortWithinPartitions("name", "seq").select("name", "value")
+     .write.partitionBy("name").text(staging))
+    hadoop_mkdirs(spark, feeds)
+    for part in hadoop_glob(spark, f"{staging}/name=*/part-*"):
+        hadoop_rename(spark, part, f"{feeds}/{part.split('/')[-2].split('=', 1)[1]}.csv")
+    return feeds

@@ -4,25 +4,30 @@ Plan per run:
 
 1. list the folder (metadata) and probe each CSV's header line;
 2. group files by layout; a layout without a key combination fails all its
-   files (R5); per remaining layout one scan + one enrich plan;
+   files (R5); per remaining layout one scan + one enrich plan. Header labels
+   are compared with their case (R24);
 3. workbooks go through the workbook reader (one task per workbook, sheets as
    rows) and are enriched per sheet layout the same way;
 4. layouts with the same keys share one first-per-key reference, built once
    per run (reduced by the union of their keys when that set is small) and
    persisted with its hash partitioning;
-5. each layout's result is persisted once, written partitioned by
-   ``run_id``/``output`` (dynamic overwrite, so a re-run replaces exactly its
-   own outputs), and counted per file/sheet from the persisted blocks — no
-   second join;
+5. each layout's result is persisted once, counted per file/sheet from the
+   persisted blocks, and the rows of sound files are written partitioned by
+   ``run_id``/``output``/``sheet`` (dynamic overwrite; output names follow the
+   files' time stamps, so a re-run replaces exactly its own outputs). A file
+   with an unreadable row is ``failed`` and writes nothing; a layout that
+   cannot be read or written is tried again file by file, so one bad file
+   costs no other;
 6. the report is one row per file (status success/failed/error, rows,
    sheets, sheets_info, output, error, matched, unmatched).
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
-from datetime import datetime
+from datetime import datetime, timezone
 from functools import reduce
 from typing import Sequence
 
@@ -37,14 +42,14 @@ from .operators.enrich import (
     reference_signature,
 )
 from .plans.headers import MissingReferenceColumns, NoKeyColumns, check_reference, plan_layout
-from .session import configure
-from .sinks.writers import attach_output, output_names, write_partitioned
-from .sources.csv import SOURCE_FILE, csv_layouts, read_layout
-from .sources.files import list_feeds
+from .session import job_settings
+from .sinks.writers import attach_output, output_names, partition_names, write_partitioned
+from .sources.csv import CsvLayout, csv_layouts, read_layout
+from .sources.files import FeedFile, list_feeds, stat_feeds
 from .spec import EnrichSpec
 
-SHEET = "sheet"
-FLAG = "__ks_hit"
+# the job's own columns; a feed may have columns of any other name
+FILE, SHEET, FLAG, PROBLEM = "__ks_file", "__ks_sheet", "__ks_hit", "__ks_problem"
 
 REPORT_SCHEMA = T.StructType([
     T.StructField("file", T.StringType()),
@@ -57,6 +62,7 @@ REPORT_SCHEMA = T.StructType([
     T.StructField("matched", T.LongType()),
     T.StructField("unmatched", T.LongType()),
     T.StructField("reason", T.StringType()),
+    T.StructField("failed_sheets", T.ArrayType(T.StringType())),
 ])
 
 
@@ -67,10 +73,32 @@ class JobResult:
     frames: list[DataFrame] = field(default_factory=list)   # enriched layouts (lazy plans)
 
 
+@dataclass
+class Unit:
+    """Files (or sheets) of one layout and how to read some of them."""
+    paths: list[str]
+    columns: Sequence[str]
+    read: Callable[[list[str]], DataFrame]
+    sheets: Sequence[tuple[str, str, int]] = ()
+
+    def split(self) -> list[Unit]:
+        return [Unit([p], self.columns, self.read, [s for s in self.sheets if s[0] == p]) for p in self.paths]
+
+
+def _only(lay: CsvLayout, paths: Sequence[str]) -> CsvLayout:
+    """The layout with some of its files."""
+    return CsvLayout(lay.names, lay.kept, list(paths), {p: n for p, n in lay.lead.items() if p in paths},
+                     {p: n for p, n in lay.sizes.items() if p in paths})
+
+
+def _text(e: Exception) -> str:
+    return f"{type(e).__name__}: {e}"
+
+
 def _failure(path, status, reason):
     """A failed file reports the job's generic text; ``reason`` says why."""
     error = "Processing failed" if status == "failed" else reason
-    return (path, status, None, None, None, None, error, None, None, reason)
+    return (path, status, None, None, None, None, error, None, None, reason, None)
 
 
 def enrich_directory(spark: SparkSession, directory: str, reference: DataFrame, spec: EnrichSpec,
@@ -79,15 +107,21 @@ def enrich_directory(spark: SparkSession, directory: str, reference: DataFrame,
                      reduce_reference="auto", on_error: str = "raise", parallel_layouts: int = 4) -> JobResult:
     """Enrich every supported feed in ``directory`` (or the given ``paths``).
 
-    Failures of one layout (no keys, a failed write) only fail its files. An
-    unexpected error of the run itself raises (``on_error="raise"``, right for
+    Failures of one file or layout (vanished, unreadable, no keys, a failed
+    write) only fail its files. Without ``ts`` the time stamp in output names
+    is the present, or, with a ``run_id`` (a batch that may be replayed), the
+    latest modification time among the files. ``out`` may not lie in
+    ``directory``. An unexpected error of the run itself raises (``on_error="raise"``, right for
     an orchestrated job) or, with ``on_error="report"``, ends the run with
     status ``critical_error`` and the file rows gathered so far."""
     rows: list[tuple] = []
+    if out is not None and (out.rstrip("/") + "/").startswith(directory.rstrip("/") + "/"):
+        raise ValueError("the output folder may not be or lie in the input folder")
     try:
-        return _run_directory(spark, directory, reference, spec, out, rows, run_id=run_id, ts=ts, fmt=fmt,
-                              paths=paths, multiline=multiline, reduce_reference=reduce_reference,
-                              parallel_layouts=parallel_layouts)
+        with job_settings(spark, **{"spark.sql.caseSensitive": "true"}):
+            return _run_directory(spark, directory, reference, spec, out, rows, run_id=run_id, ts=ts, fmt=fmt,
+                                  paths=paths, multiline=multiline, reduce_reference=reduce_reference,
+                                  parallel_layouts=parallel_layouts)
     except Exception:
         if on_error != "report":
             raise
@@ -97,25 +131,23 @@ def enrich_directory(spark: SparkSession, directory: str, reference: DataFrame,
 
 def _run_directory(spark, directory, reference, spec, out, rows, *, run_id, ts, fmt, paths, multiline,
                    reduce_reference, parallel_layouts) -> JobResult:
-    configure(spark)
-    ts = ts or datetime.now()
-    run_id = run_id or ts.strftime("%Y%m%d%H%M%S%f")
     if paths is None:
         files = list_feeds(spark, directory, spec.extensions)
     else:
-        from .sources.files import FeedFile, _fs
-        files = []
-        for p in paths:
-            fs, jp = _fs(spark, p)
-            files.append(FeedFile(p, int(fs.getFileStatus(jp).getLen()), "." + p.rsplit(".", 1)[-1].lower(), 0))
+        files, gone = stat_feeds(spark, paths)
+        rows += [_failure(p, "failed", why) for p, why in gone]
+    if ts is None:
+        newest = max((f.modified for f in files), default=0)
+        ts = datetime.fromtimestamp(newest / 1000, timezone.utc) if run_id else datetime.now()
+    run_id = run_id or ts.strftime("%Y%m%d%H%M%S%f")
     if not files:
-        report = spark.createDataFrame([], REPORT_SCHEMA)
+        report = spark.createDataFrame(rows, REPORT_SCHEMA)
         return JobResult(report, run_summary(report))
     try:
-        reference.schema   # resolves the source (for JDBC: connects)
+        ref_schema = reference.schema   # resolves the source (for JDBC: connects)
     except Exception as e:  # noqa: BLE001 - the run cannot look anything up
-        report = spark.createDataFrame([_failure(f.path, "error", f"reference unavailable: {type(e).__name__}")
-                                        for f in files], REPORT_SCHEMA)
+        rows += [_failure(f.path, "error", f"reference unavailable: {type(e).__name__}") for f in files]
+        report = spark.createDataFrame(rows, REPORT_SCHEMA)
         return JobResult(report, run_summary(report, status="db_error"))
     names = output_names([f.path for f in files], ts)
     csvs = [f for f in files if f.ext == ".csv"]
@@ -126,21 +158,23 @@ def _run_directory(spark, directory, reference, spec, out, rows, *, run_id, ts,
         elif f.length == 0:
             rows.append(_failure(f.path, "failed", "empty file"))
 
-    units: list[tuple[DataFrame, Sequence[str], list[str]]] = []   # (feed df, columns, paths)
+    units: list[Unit] = []
     nonempty_sheets: dict[str, int] = {}   # workbook -> sheets with data rows
     layouts = csv_layouts(spark, [f.path for f in csvs if f.length > 0], sizes={f.path: f.length for f in csvs})
     for p, why in layouts.failures:
         rows.append(_failure(p, "failed", why))
     for lay in layouts.layouts:
-        units.append((read_layout(spark, lay, multiline=multiline), lay.columns, list(lay.paths)))
+        units.append(Unit(list(lay.paths), lay.columns, lambda paths, lay=lay: read_layout(
+            spark, _only(lay, paths), multiline=multiline, file_col=FILE, problem_col=PROBLEM)))
 
     if books:
         from .sources.workbook import read_workbooks
-        wb = read_workbooks(spark, [f.path for f in books if f.length > 0])
+        wb = read_workbooks(spark, [f.path for f in books if f.length > 0], file_col=FILE, sheet_col=SHEET)
         for p, why in wb.failures:
             rows.append(_failure(p, "failed", why))
         for lay in wb.layouts:
-            units.append((lay.frame, lay.columns, sorted(set(lay.paths))))
+            units.append(Unit(sorted(set(lay.paths)), lay.columns, lambda paths, lay=lay: lay.frame.filter(
+                F.col(FILE).isin(paths)) if set(paths) != set(lay.paths) else lay.frame, lay.sheets))
         for lay in wb.layouts:
             for p in lay.paths:
                 nonempty_sheets[p] = nonempty_sheets.get(p, 0) + 1
@@ -150,106 +184,152 @@ def _run_directory(spark, directory, reference, spec, out, rows, *, run_id, ts,
     stats: dict[str, dict] = {}
     failed_sheets: dict[str, list] = {}
 
-    # pass 1 (metadata): plan every layout; group by key signature
+    ref_columns = list(reference.columns)   # a reference that breaks here ends the run
+    # pass 1 (metadata): plan every layout; group by key signature. A layout of
+    # several files that cannot be read is split into its files.
     planned = []
     groups: dict[tuple, dict] = {}
-    for feed, columns, unit_paths in units:
+    waiting = list(units)
+    while waiting:
+        unit = waiting.pop(0)
         try:
-            plan = plan_layout(columns, spec)
+            plan = plan_layout(unit.columns, spec)
         except NoKeyColumns as e:
-            for p in unit_paths:
-                failed_sheets.setdefault(p, []).append(str(e))
+            for p in unit.paths:
+                sheets = [s for f, s, _ in unit.sheets if f == p]
+                failed_sheets.setdefault(p, []).extend([(s, str(e)) for s in sheets] or [(None, str(e))])
             continue
         missing = [col for col, _ in plan.missing]
         try:
-            check_reference(reference.columns, plan.keys, missing, spec.order_by)
-        except MissingReferenceColumns as e:
-            for p in unit_paths:
-                rows.append(_failure(p, "error", str(e)))
+            check_reference(ref_columns, plan.keys, missing, spec.order_by)
+            feed = unit.read(unit.paths)
+            sig = None if plan.passthrough else reference_signature(feed.schema, plan, ref_schema)
+            prep = None if sig is None else prepare(feed, ref_schema, spec, plan)
+        except Exception as e:  # noqa: BLE001 - this layout's files, not the run
+            if len(unit.paths) > 1 and not isinstance(e, MissingReferenceColumns):
+                waiting += unit.split()
+                continue
+            for p in unit.paths:
+                rows.append(_failure(p, "error" if isinstance(e, MissingReferenceColumns) else "failed", _text(e)))
                 errored.add(p)
             continue
-        sig = None if plan.passthrough else reference_signature(feed.schema, plan, reference.schema)
-        prep = None
+        planned.append((unit, feed, plan, sig, prep))
+
+    for unit, feed, plan, sig, prep in planned:
         if sig is not None:
-            prep = prepare(feed, reference.schema, spec, plan)
             g = groups.setdefault(sig, {"targets": [], "keys": [], "prep": prep})
+            missing = [col for col, _ in plan.missing]
             g["targets"] = [t for t in spec.target_columns if t in set(g["targets"]) | set(missing)]
             g["keys"].append(feed_key_set(prep))
-        planned.append((feed, plan, unit_paths, sig, prep))
 
     # one first-per-key reference per signature, shared by its layouts: the
     # reference is scanned and shuffled once per run, not once per layout
     shared: dict[tuple, SharedReference] = {}
     for sig, g in groups.items():
-        keys = reduce(lambda a, b: a.unionByName(b), g["keys"]).distinct()
-        first = first_reference(reference, spec, g["prep"].ref_exprs, g["targets"], keys, reduce_reference)
-        first = first.persist(StorageLevel.MEMORY_AND_DISK)
-        first.count()   # materialise once; the cached relation now reports its exact size
+        def build(reduce_mode, g=g):
+            keys = reduce(lambda a, b: a.unionByName(b), g["keys"]).distinct()
+            first = first_reference(reference, spec, g["prep"].ref_exprs, g["targets"], keys, reduce_mode)
+            first = first.persist(StorageLevel.MEMORY_AND_DISK)
+            first.count()   # materialise once; the cached relation now reports its exact size
+            return first
+        try:
+            first = build(reduce_reference)
+        except Exception:  # noqa: BLE001 - a feed of the group cannot be read: its own unit will tell
+            if reduce_reference is False:
+                raise
+            first = build(False)
         small = 0 <= plan_size_bytes(first) <= broadcast_threshold(spark)
         shared[sig] = SharedReference(first, tuple(g["targets"]), broadcast=small)
 
-    # pass 2: per layout one join, one write and one count over persisted rows.
+    # pass 2: per layout one join, one count over persisted rows and one write.
     # Layouts run concurrently (Spark schedules jobs from several driver
     # threads); each writes only its own output partitions through its own
     # staging folder, so concurrent dynamic-overwrite writes do not collide.
-    def process(unit):
-        feed, plan, unit_paths, sig, prep = unit
-        enriched = enrich(feed, reference, spec, plan=plan, flag=FLAG, shared=shared.get(sig), prepared=prep)
-        if plan.passthrough:
-            enriched = enriched.withColumn(FLAG, F.lit(None).cast("boolean"))
-        frame = enriched.drop(FLAG)
-        if SHEET not in enriched.columns:
-            enriched = enriched.withColumn(SHEET, F.lit(None).cast("string"))
-        enriched = enriched.persist(StorageLevel.MEMORY_AND_DISK)
+    def process(unit, feed, plan, sig, prep):
+        """[(unit, frame, counts per file and sheet, bad files, error)]"""
+        enriched = None
         try:
-            if out is not None:
-                named = attach_output(enriched, SOURCE_FILE, names).withColumn("run_id", F.lit(run_id))
-                data_cols = [n for n in enriched.columns if n not in (SOURCE_FILE, SHEET, FLAG)]
-                part = ["run_id", "output"] + ([SHEET] if books else [])
-                write_partitioned(named.select(*[c(n) for n in data_cols], *part), out, part, fmt=fmt)
-            per = (enriched.groupBy(SOURCE_FILE, SHEET)
-                   .agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col(FLAG)).alias("m"))
+            enriched = enrich(feed, reference, spec, plan=plan, flag=FLAG, shared=shared.get(sig), prepared=prep)
+            for name, kind in ((FLAG, "boolean"), (SHEET, "string"), (PROBLEM, "string")):
+                if name not in enriched.columns:
+                    enriched = enriched.withColumn(name, F.lit(None).cast(kind))
+            frame = enriched.drop(FLAG, PROBLEM)
+            enriched = enriched.persist(StorageLevel.MEMORY_AND_DISK)
+            per = (enriched.groupBy(FILE, SHEET)
+                   .agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col(FLAG)).alias("m"), F.max(PROBLEM).alias("bad"))
                    .collect())   # one row per file/sheet: listing-sized metadata
-            return frame, per, None
+            bad = {r[FILE]: r["bad"] for r in per if r["bad"] is not None}
+            sound = {p: n for p, n in names.items() if p in set(unit.paths) - set(bad)}
+            if out is not None and sound:
+                data_cols = [n for n in enriched.columns if n not in (FILE, SHEET, FLAG, PROBLEM)]
+                part = partition_names(data_cols, ("run_id", "output", "sheet"))
+                named = attach_output(enriched, FILE, sound, out_col="__ks_output", how="inner")
+                named = named.select(*[c(n) for n in data_cols], F.lit(run_id).alias(part["run_id"]),
+                                     F.col("__ks_output").alias(part["output"]), F.col(SHEET).alias(part["sheet"]))
+                write_partitioned(named, out, list(part.values()), fmt=fmt)
+            return [(unit, plan, frame, per, bad, None)]
         except Exception as e:  # noqa: BLE001 - a failed write or read fails its files (R21, R23)
-            return frame, None, f"{type(e).__name__}: {str(e)[:500]}"
+            if len(unit.paths) > 1:   # one of the files: each on its own
+                done = []
+                for one in unit.split():
+                    try:
+                        f = one.read(one.paths)
+                        p = prepare(f, ref_schema, spec, plan) if sig is not None else None
+                    except Exception as why:  # noqa: BLE001
+                        done.append((one, plan, None, None, {}, _text(why)))
+                        continue
+                    done += process(one, f, plan, sig, p)
+                return done
+            return [(unit, plan, None, None, {}, _text(e))]
         finally:
-            enriched.unpersist()
+            if enriched is not None:
+                enriched.unpersist()
 
     try:
         workers = max(1, min(parallel_layouts, len(planned)))
         with ThreadPoolExecutor(max_workers=workers) as pool:
-            results = list(pool.map(process, planned))
+            results = [x for done in pool.map(lambda u: process(*u), planned) for x in done]
     finally:
         for ref_first in shared.values():
             ref_first.frame.unpersist()
 
-    for (feed, plan, unit_paths, sig, prep), (frame, per, err) in zip(planned, results):
-        frames.append(frame)
+    looked_up: set[str] = set()
+    for unit, plan, frame, per, bad, err in results:
+        if frame is not None:
+            frames.append(frame)
         if err is not None:
-            for p in unit_paths:
+            for p in unit.paths:
                 rows.append(_failure(p, "error", err))
                 errored.add(p)
             continue
+        for p, why in bad.items():
+            if p not in errored:
+                rows.append(_failure(p, "failed", why))
+                errored.add(p)
+        if not plan.passthrough:
+            looked_up.update(unit.paths)
         for r in per:
-            st = stats.setdefault(r[SOURCE_FILE], {"rows": 0, "matched": 0, "sheets": {}})
+            st = stats.setdefault(r[FILE], {"rows": 0, "matched": 0, "sheets": {}})
             st["rows"] += r["n"]
             st["matched"] += r["m"] or 0
             if r[SHEET] is not None:
                 st["sheets"][r[SHEET]] = st["sheets"].get(r[SHEET], 0) + r["n"]
-        for p in unit_paths:   # files of this layout that produced no row (header only)
+        for p in unit.paths:   # files of this layout that produced no row (header only)
             stats.setdefault(p, {"rows": 0, "matched": 0, "sheets": {}})
 
     for p in errored:
         stats.pop(p, None)
     for p, errs in failed_sheets.items():
         if p not in stats and p not in errored:
-            rows.append(_failure(p, "failed", "; ".join(sorted(set(errs)))))
+            rows.append(_failure(p, "failed", "; ".join(sorted({e for _, e in errs}))))
     for p, s in stats.items():
         # a workbook with one non-empty sheet is a plain table: no sheet breakdown
         sheets = s["sheets"] if nonempty_sheets.get(p, 0) > 1 else {}
+        dropped = sorted(sheet for sheet, _ in failed_sheets.get(p, []) if sheet is not None) or None
+        # a feed that lacks no target is not looked up: neither matched nor unmatched
+        hits = (s["matched"], s["rows"] - s["matched"]) if p in looked_up else (None, None)
         rows.append((p, "success", s["rows"], len(sheets) if sheets else None, sheets or None,
-                     names.get(p), None, s["matched"], s["rows"] - s["matched"], None))
+                     names.get(p), None, *hits, None, dropped))
 
     report = spark.createDataFrame(rows, REPORT_SCHEMA)
     return JobResult(report, run_summary(report), frames)

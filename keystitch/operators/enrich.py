@@ -49,26 +49,40 @@ def _numeric(dt: T.DataType) -> bool:
     return isinstance(dt, T.NumericType)
 
 
-NUMERIC_KEY = T.DecimalType(38, 10)   # text vs numeric keys compare as exact decimals
-
-
 def _key_type(feed_types: Sequence[T.DataType], ref_type: T.DataType) -> T.DataType | None:
     """Comparison type of one key part (H3): equal types or numeric pairs compare
     as is (Spark's own numeric widening). Text cells against a numeric reference
     column compare as numbers, as the job's reader parsed such cells ('0123' and
-    '12.0' match 123 and 12; unparseable text is an empty key). Anything else
-    compares as text. No combination can fail a cast under ANSI."""
+    '12.0' match 123 and 12): as decimals of the column's scale where it is
+    exact, as doubles where it is not. Anything else compares as text. No
+    combination can fail a cast under ANSI."""
     if all(ft == ref_type or (_numeric(ft) and _numeric(ref_type)) for ft in feed_types):
         return None
     if _numeric(ref_type) and all(isinstance(ft, T.StringType) or _numeric(ft) for ft in feed_types):
-        return NUMERIC_KEY
+        if isinstance(ref_type, T.FractionalType) and not isinstance(ref_type, T.DecimalType):
+            return T.DoubleType()
+        return T.DecimalType(38, ref_type.scale if isinstance(ref_type, T.DecimalType) else 0)
     return T.StringType()
 
 
+def _exact(col: Column, ktype: T.DecimalType) -> Column:
+    """Text as a decimal of the key's scale, NULL where that would change its
+    value: such text equals no key, so it is unmatched, never rounded."""
+    text = F.regexp_replace(col, r"\A\s+|\s+\z", "")
+    # plain notation: no more places than the scale once trailing zeros are gone
+    plain = text.rlike(rf"\A[+-]?[0-9]+(?:\.[0-9]{{0,{ktype.scale}}}0*)?\z|\A[+-]?\.[0-9]{{0,{ktype.scale}}}0*\z")
+    value = text.try_cast(ktype)
+    # exponents: digits and places may be anywhere, so compare at a double's precision and beyond it not at all
+    other = text.rlike("[eE]") & (value.cast("double") == text.try_cast("double")) & (F.abs(value) < 2 ** 53)
+    return F.when(plain | other, value)
+
+
 def _as(col: Column, src: T.DataType, ktype: T.DataType | None) -> Column:
-    if ktype is None:
+    if ktype is None or src == ktype:
         return col
-    if isinstance(ktype, T.DecimalType):
+    if isinstance(ktype, T.DecimalType) and isinstance(src, T.StringType):
+        return _exact(col, ktype)
+    if isinstance(ktype, (T.DecimalType, T.DoubleType)):
         return col.try_cast(ktype)
     return col.cast(ktype)
 
@@ -191,9 +205,7 @@ def prepare(feed: DataFrame, reference_schema: T.StructType, spec: EnrichSpec,
     # Rows with an empty key part: one key column gets a surrogate so they
     # spread over all join tasks (a blank/NULL key would otherwise hash to a
     # single partition); the residual ``valid`` predicate keeps them unmatched.
-    # Streaming micro-batches keep their plain keys: a stream-static join per
-    # micro-batch is small, and the plan stays the simplest stateless one.
-    spread = None if feed.isStreaming else _spread_index(key_types)
+    spread = _spread_index(key_types)
     hashable = [c(f.name) for f in feed.schema.fields if not isinstance(f.dataType, T.MapType)]
     cols = []
     for i, (e, t) in enumerate(zip(key_exprs, key_types)):
@@ -204,27 +216,38 @@ def prepare(feed: DataFrame, reference_schema: T.StructType, spec: EnrichSpec,
     return Prepared(plan, prepared, [f"{_P}f{i}" for i in range(len(plan.keys))], ref_exprs, len(plan.keys))
 
 
+_SPREADS = (T.StringType, T.LongType, T.IntegerType, T.DecimalType, T.DoubleType, T.TimestampType, T.TimestampNTZType,
+            T.DateType, T.FloatType, T.ShortType)
+
+
 def _spread_index(types: Sequence[T.DataType]) -> int | None:
-    for i, t in enumerate(types):
-        if isinstance(t, T.StringType):
-            return i
-    for i, t in enumerate(types):
-        if isinstance(t, (T.LongType, T.IntegerType)):
-            return i
-    return None
+    """The key column that best takes a surrogate: the first of the widest kind."""
+    found = [(kind, i) for i, t in enumerate(types) for kind, k in enumerate(_SPREADS) if isinstance(t, k)]
+    return min(found)[1] if found else None
 
 
 def _surrogate(t: T.DataType, row_cols: Sequence[Column]) -> Column:
     """Join key for a row that can never match. Deterministic on task retry
     (input partition id + the row's own values, no dependence on row order),
     so a re-run map task sends every row to the same reducer as before;
-    identical rows of one input split share a reducer, bounded by the split."""
+    identical rows of one input split share a reducer, bounded by the split.
+    It may equal a real key: the residual ``valid`` predicate keeps it apart."""
     rid = F.xxhash64(F.spark_partition_id(), *row_cols)
     if isinstance(t, T.StringType):
         return F.concat(F.lit("\u0000"), rid.cast("string"))
+    if isinstance(t, T.LongType):
+        return rid
+    if isinstance(t, T.DecimalType):
+        return F.pmod(rid, F.lit(10 ** min(18, max(1, t.precision - t.scale)))).try_cast(t)
+    if isinstance(t, (T.TimestampType, T.TimestampNTZType)):
+        return F.timestamp_seconds(F.pmod(rid, F.lit(4_000_000_000))).cast(t)
+    if isinstance(t, T.DateType):
+        return F.date_from_unix_date(F.pmod(rid, F.lit(1_000_000)).cast("int"))
+    if isinstance(t, T.ShortType):
+        return F.pmod(rid, F.lit(32767)).cast(t)
     if isinstance(t, T.IntegerType):
         return F.pmod(rid, F.lit(2147483647)).cast("int")
-    return rid
+    return F.pmod(rid, F.lit(1 << 52)).cast(t)
 
 
 _FIXED_WIDTH = {T.LongType: 8, T.DoubleType: 8, T.TimestampType: 8, T.TimestampNTZType: 8, T.IntegerType: 4,
@@ -276,11 +299,15 @@ def first_reference(reference: DataFrame, spec: EnrichSpec, ref_exprs: Sequence[
     in order) and ``__ks_m`` (match indicator). ``feed_keys`` (columns
     ``__ks_r{i}``, distinct) drives the optional semi-join reduction."""
     order_names = [o.lstrip("-") for o in spec.order_by]
+    # beyond order_by the tie-break runs over all targets of the spec, not only
+    # those that this feed lacks: the choice must not depend on the feed
+    ties = [t for t in spec.target_columns if t in reference.columns and t not in order_names]
     rkeys = [f"{_P}r{i}" for i in range(len(ref_exprs))]
     ref = reference.select(
         *[e.alias(k) for e, k in zip(ref_exprs, rkeys)],
         *[c(t).alias(f"{_P}t{j}") for j, t in enumerate(targets)],
         *[c(o).alias(f"{_P}o{m}") for m, o in enumerate(order_names)],
+        *[c(t).alias(f"{_P}x{m}") for m, t in enumerate(ties)],
     ).filter(_and([F.col(k).isNotNull() for k in rkeys]))
     if feed_keys is not None:
         if reduce_reference == "auto" and _reduce_decision("auto", feed_keys, ref):
@@ -291,7 +318,7 @@ def first_reference(reference: DataFrame, spec: EnrichSpec, ref_exprs: Sequence[
     for m, o in enumerate(spec.order_by):
         col = F.col(f"{_P}o{m}")
         order.append(col.desc_nulls_last() if o.startswith("-") else col.asc_nulls_first())
-    order += [F.col(f"{_P}t{j}").asc_nulls_first() for j, t in enumerate(targets) if t not in order_names]
+    order += [F.col(f"{_P}x{m}").asc_nulls_first() for m in range(len(ties))]
     if not order:
         order = [F.lit(1)]
     first = _first_rows(ref, rkeys, order)
@@ -425,16 +452,27 @@ def reference_semi(feed: DataFrame, reference: DataFrame, spec: EnrichSpec) -> D
     return reference.join(keys, on=_and(cond), how="left_semi")
 
 
+def _by_key(feed: DataFrame, reference: DataFrame, spec: EnrichSpec, how: str) -> DataFrame:
+    """Semi or anti join on the keys alone: of the reference only the key
+    columns are read, and nothing is reduced to first rows."""
+    plan = plan_layout(feed.columns, spec)
+    check_reference(reference.columns, plan.keys, [], [])
+    prep = prepare(feed, reference.schema, spec, plan)
+    rkeys = [f"{_P}r{i}" for i in range(prep.n_keys)]
+    keys = reference.select(*[e.alias(k) for e, k in zip(prep.ref_exprs, rkeys)]).filter(
+        _and([F.col(k).isNotNull() for k in rkeys]))
+    cond = _and([F.col(f) == F.col(r) for f, r in zip(prep.key_cols, rkeys)]) & F.col(_P + "v")
+    return prep.feed.join(keys, on=cond, how=how).select(*[c(n) for n in feed.columns])
+
+
 def matched(feed: DataFrame, reference: DataFrame, spec: EnrichSpec) -> DataFrame:
     """Feed rows whose key has a reference row (E5), feed columns only."""
-    flagged = enrich(feed, reference, spec, flag=_P + "hit", reduce_reference="auto")
-    return flagged.filter(F.col(_P + "hit")).select(*[c(n) for n in feed.columns])
+    return _by_key(feed, reference, spec, "left_semi")
 
 
 def unmatched(feed: DataFrame, reference: DataFrame, spec: EnrichSpec) -> DataFrame:
     """Feed rows without a reference row, including rows with an empty key."""
-    flagged = enrich(feed, reference, spec, flag=_P + "hit", reduce_reference="auto")
-    return flagged.filter(~F.col(_P + "hit")).select(*[c(n) for n in feed.columns])
+    return _by_key(feed, reference, spec, "left_anti")
 
 
 def match_stats(enriched: DataFrame, flag: str, by: Sequence[str] = ()) -> DataFrame:

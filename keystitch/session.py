@@ -6,6 +6,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -19,7 +20,6 @@ JOB_CONF = {
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "10485760",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 
@@ -53,15 +53,33 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@contextmanager
+def job_settings(spark: SparkSession, **more: str):
+    """:data:`JOB_CONF` (and ``more``) while a job runs; the caller's own
+    settings are back when it ends."""
+    wanted = {**JOB_CONF, **more}
+    before = {k: spark.conf.get(k, None) for k in wanted}
+    try:
+        for k, v in wanted.items():
+            spark.conf.set(k, v)
+        yield spark
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder from ``spark.checkpoint.dir``; only where it
-    is unset (tests) a fresh local one is created and set."""
+    """The cluster's shared folder from ``spark.checkpoint.dir``. Only a local
+    session that names none (tests) gets a fresh one: on a cluster a folder of
+    one machine would be missing on the others."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     conf = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if not conf:
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         conf = tempfile.mkdtemp(prefix="keystitch-ckpt-")
     sc.setCheckpointDir(conf)
     return sc.getCheckpointDir() or conf

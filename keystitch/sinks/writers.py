@@ -32,7 +32,8 @@ def output_names(paths: Sequence[str], ts: datetime) -> dict[str, str]:
     return out
 
 
-def attach_output(df: DataFrame, file_col: str, names: dict[str, str], out_col: str = "output") -> DataFrame:
+def attach_output(df: DataFrame, file_col: str, names: dict[str, str], out_col: str = "output",
+                  how: str = "left") -> DataFrame:
     """Join each row's file to its output name. The name table has one row per
     listed file (a bound known from the listing), so it is broadcast when that
     bound fits the broadcast threshold and left to AQE otherwise."""
@@ -40,7 +41,22 @@ def attach_output(df: DataFrame, file_col: str, names: dict[str, str], out_col:
     table = spark.createDataFrame(sorted(names.items()), f"{file_col} string, {out_col} string")
     if len(names) * 512 <= broadcast_threshold(spark):
         table = F.broadcast(table)
-    return df.join(table, file_col, "left")
+    return df.join(table, file_col, how)
+
+
+def partition_names(data_columns: Sequence[str], wanted: Sequence[str]) -> dict[str, str]:
+    """Names of the partition columns: one that a data column has (in any case,
+    as folders and readers may not tell) gets ``ks_`` in front, so that no data
+    column is lost."""
+    taken = {n.lower() for n in data_columns}
+    out = {}
+    for name in wanted:
+        label = name
+        while label.lower() in taken:
+            label = "ks_" + label
+        taken.add(label.lower())
+        out[name] = label
+    return out
 
 
 def write_partitioned(df: DataFrame, path: str, partition_by: Sequence[str], fmt: str = "csv",

@@ -2,49 +2,52 @@
 
 Files in one directory may carry different headers. Spark never names the
 columns from the header (H1: its duplicate-name rules differ from the job's);
-instead each file's header line is probed as metadata, files are grouped by
+instead each file's first record is probed as metadata, files are grouped by
 header signature, and each group is read with one positional all-string
-schema (``header=True`` only skips the header line). Per group that is a
+schema (``header=True`` only skips the header record). Per group that is a
 single splittable scan; the groups' enriched frames are unioned by name.
+
+What a file's rows are depends on its bytes only, never on its size: a quote
+parity scan tells which files hold a quoted line break, those are read
+multi-line (one task a file), all others line by line (splittable). In both,
+lines of spaces and tabs are no rows, a row with fewer fields than the header
+is filled with NULL, and one with more fields, or with bytes that are not text
+in the encoding, is marked: the job fails that file.
 """
 
 from __future__ import annotations
 
-import csv as _pycsv
+from collections import Counter
 from dataclasses import dataclass, field
+from functools import reduce
 from typing import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.exprs import NA_TOKENS, c, na_to_null
 from ..operators.enrich import broadcast_threshold
-from .files import list_feeds, probe_headers
+from .files import list_feeds, parse_header, probe_headers  # noqa: F401
 
 SOURCE_FILE = "source_file"
 ROW_IDX = "row_idx"
 
 
-def parse_header(line: str, delimiter: str = ",", quote: str = '"') -> list[str]:
-    """Split one header line with CSV quoting rules."""
-    return next(_pycsv.reader([line], delimiter=delimiter, quotechar=quote, doublequote=True))
-
-
 def header_names(raw: Sequence[str]) -> list[str]:
-    """Column labels the job sees for a raw header: blank -> ``Unnamed: <pos>``,
-    repeated labels get ``.1``, ``.2`` ... (skipping labels already taken)."""
+    """Column labels the job sees for a raw header: blank -> ``Unnamed: <pos>``;
+    a repeated label gets the first suffix ``.1``, ``.2`` ... that gives a label
+    neither in the header nor taken already."""
     names = [h if h != "" else f"Unnamed: {i}" for i, h in enumerate(raw)]
-    counts: dict[str, int] = {}
+    taken: set[str] = set()
+    suffix: Counter[str] = Counter()
     out = []
     for name in names:
-        n = counts.get(name, 0)
         label = name
-        while n > 0:
-            counts[label] = n + 1
-            label = f"{name}.{n}"
-            n = counts.get(label, 0)
-        counts[label] = n + 1
+        while label in taken or (label != name and label in names):
+            suffix[name] += 1
+            label = f"{name}.{suffix[name]}"
+        taken.add(label)
         out.append(label)
     return out
 
@@ -59,6 +62,7 @@ class CsvLayout:
     names: tuple[str, ...]          # all labels, header order
     kept: tuple[int, ...]           # positions kept after A5
     paths: list[str] = field(default_factory=list)
+    lead: dict[str, int] = field(default_factory=dict)    # white-space-only lines before the header, where any
     sizes: dict[str, int] = field(default_factory=dict)   # from the listing, when known
 
     @property
@@ -77,23 +81,25 @@ class CsvFeeds:
 
 
 def csv_layouts(spark: SparkSession, paths: Sequence[str], delimiter: str = ",",
-                sizes: dict[str, int] | None = None) -> CsvFeeds:
+                sizes: dict[str, int] | None = None, encoding: str = "UTF-8") -> CsvFeeds:
     """Group CSV files by header signature (metadata only). ``sizes`` (file
     lengths from the listing) saves a metadata call per file later on."""
     sizes = sizes or {}
-    headers = probe_headers(spark, list(paths))
+    headers = probe_headers(spark, list(paths), encoding=encoding, delimiter=delimiter)
     groups: dict[tuple[str, ...], CsvLayout] = {}
     failures = []
     for p in paths:
-        line = headers.get(p)
-        if line is None:
-            failures.append((p, "no header line (empty file)"))
+        header = headers[p]
+        if header.labels is None:
+            failures.append((p, header.reason))
             continue
-        names = tuple(header_names(parse_header(line, delimiter)))
+        names = tuple(header_names(header.labels))
         lay = groups.get(names)
         if lay is None:
             lay = groups[names] = CsvLayout(names, tuple(kept_positions(names)))
         lay.paths.append(p)
+        if header.lead:
+            lay.lead[p] = header.lead
         if p in sizes:
             lay.sizes[p] = sizes[p]
     return CsvFeeds(list(groups.values()), failures)
@@ -131,17 +137,13 @@ def _file_sizes(spark: SparkSession, paths: Sequence[str], known: dict[str, int]
 
 
 def _multiline_groups(spark: SparkSession, paths: Sequence[str], multiline,
-                      sizes: dict[str, int] | None = None) -> list[tuple[list[str], bool]]:
-    """(paths, multiLine) read groups. ``"auto"``: files within one split are
-    read multi-line (they are one task anyway); larger files are splittable
-    unless a quote-parity scan finds a quoted line break in them."""
+                      encoding: str = "UTF-8") -> list[tuple[list[str], bool]]:
+    """(paths, multiLine) read groups. ``"auto"``: files in which the parity
+    scan finds a quoted line break are read multi-line, whatever their size."""
     if multiline is True or multiline is False:
         return [(list(paths), multiline)]
-    limit = _max_split(spark)
-    sizes = _file_sizes(spark, paths, sizes)
-    big = [p for p in paths if sizes[p] > limit]
-    quoted = files_with_quoted_newlines(spark, big) if big else set()
-    multi = [p for p in paths if sizes[p] <= limit or _same_file(p, quoted)]
+    quoted = files_with_quoted_newlines(spark, paths, encoding=encoding)
+    multi = [p for p in paths if _same_file(p, quoted)]
     flat = [p for p in paths if p not in multi]
     return [(g, m) for g, m in ((multi, True), (flat, False)) if g]
 
@@ -153,35 +155,73 @@ def _same_file(path: str, found: set[str]) -> bool:
     return any(f.replace("file:///", "file:/") == norm for f in found)
 
 
+_BAD = "__ks_raw"
+_BLOCK = "__ks_blk"
+_WHITE = r"\A[ \t\r\n]*\z"
+
+
+def _fields(raw: Column, delimiter: str) -> Column:
+    """Number of fields of a raw record: delimiters outside quotes, and one."""
+    bare = F.regexp_replace(raw, '"[^"]*"', "")
+    return (F.length(bare) - F.length(F.replace(bare, F.lit(delimiter), F.lit("")))) / len(delimiter) + 1
+
+
+def _read_group(spark: SparkSession, paths: Sequence[str], n: int, multi: bool, header: bool, delimiter: str,
+                encoding: str, file_col: str) -> DataFrame:
+    """Rows of one read group: ``_c0`` .. ``_c{n-1}``, the raw text of a record
+    with another number of fields, file and split; blank lines are dropped."""
+    schema = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(n)]
+                          + [T.StructField(_BAD, T.StringType())])
+    rows = (spark.read.schema(schema).option("header", header).option("enforceSchema", True)
+            .option("sep", delimiter).option("quote", '"').option("escape", '"')
+            .option("multiLine", multi).option("mode", "PERMISSIVE").option("encoding", encoding)
+            .option("columnNameOfCorruptRecord", _BAD).csv(list(paths)))
+    rows = rows.select("*", F.col("_metadata.file_path").alias(file_col),
+                       F.col("_metadata.file_block_start").alias(_BLOCK))
+    blank = F.col("_c0").rlike(_WHITE)
+    if n > 1:   # a lone white-space field, not a row that begins with one
+        blank = blank & F.col(_BAD).rlike(_WHITE)
+    return rows.filter(~F.coalesce(blank, F.lit(False)))
+
+
 def read_layout(spark: SparkSession, layout: CsvLayout, *, delimiter: str = ",", multiline="auto",
-                na_tokens: Sequence[str] = NA_TOKENS, with_row_index: bool = False,
-                encoding: str = "UTF-8") -> DataFrame:
+                na_tokens: Sequence[str] = NA_TOKENS, with_row_index: bool = False, encoding: str = "UTF-8",
+                file_col: str = SOURCE_FILE, problem_col: str | None = None) -> DataFrame:
     """All files of one layout as one DataFrame: kept columns under their labels
-    (strings, NA tokens -> NULL), plus ``source_file`` (and ``row_idx``).
+    (strings, NA tokens -> NULL), plus ``file_col`` (and ``row_idx``).
 
     Quoted line breaks are honoured like the job's reader. ``multiline``:
     ``True`` parses every file multi-line (one split per file), ``False``
-    line by line (splittable), ``"auto"`` decides per file (see
-    :func:`_multiline_groups`), so big files stay parallel when they can."""
-    schema = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(len(layout.names))])
-    raw = None
-    for group, multi in _multiline_groups(spark, layout.paths, multiline, layout.sizes):
-        part = (spark.read.schema(schema)
-                .option("header", True).option("enforceSchema", True)
-                .option("sep", delimiter).option("quote", '"').option("escape", '"')
-                .option("multiLine", multi).option("mode", "PERMISSIVE").option("encoding", encoding)
-                .csv(group))
-        part = part.select("*", F.col("_metadata.file_path").alias(SOURCE_FILE),
-                           F.col("_metadata.file_block_start").alias("__ks_blk"))
-        raw = part if raw is None else raw.unionByName(part)
-    base = raw
+    line by line (splittable), ``"auto"`` decides per file by its content (see
+    :func:`_multiline_groups`). ``problem_col`` names a column that says why a
+    row makes its file unreadable (more fields than the header, bytes that are
+    not text in the encoding), NULL for sound rows."""
+    n = len(layout.names)
+    base = None
+    for group, multi in _multiline_groups(spark, layout.paths, multiline, encoding):
+        # the multi-line parser takes a white-space-only line for the header
+        late = [p for p in group if multi and layout.lead.get(p)]
+        plain = [p for p in group if p not in late]
+        parts = [_read_group(spark, plain, n, multi, True, delimiter, encoding, file_col)] if plain else []
+        if late:   # blank lines are gone here, so the header is the first record
+            rows = _read_group(spark, late, n, multi, False, delimiter, encoding, file_col)
+            parts.append(with_row_idx(rows, file_col, _BLOCK, idx_col="__ks_at").filter("__ks_at > 0").drop("__ks_at"))
+        for part in parts:
+            base = part if base is None else base.unionByName(part)
+    cells = [F.col(f"_c{i}") for i in range(n)]
     tokens = list(na_tokens)
     cols = [na_to_null(f"_c{i}", tokens).alias(layout.names[i]) for i in layout.kept]
+    extra = [F.col(file_col)]
+    if problem_col:
+        long_row = _fields(F.col(_BAD), delimiter) > n
+        unreadable = reduce(lambda a, b: a | b, [F.coalesce(x.contains("\ufffd"), F.lit(False)) for x in cells])
+        extra.append(F.when(long_row, F.lit(f"a row has more fields than the header's {n}"))
+                     .when(unreadable, F.lit(f"not {encoding} text")).alias(problem_col))
     if not with_row_index:
-        return base.select(*cols, SOURCE_FILE)
-    indexed = with_row_idx(base, SOURCE_FILE, "__ks_blk",
+        return base.select(*cols, *extra)
+    indexed = with_row_idx(base, file_col, _BLOCK,
                            n_splits_bound=_split_bound(spark, layout.paths, layout.sizes))
-    return indexed.select(*cols, SOURCE_FILE, ROW_IDX)
+    return indexed.select(*cols, *extra, ROW_IDX)
 
 
 def _split_bound(spark: SparkSession, paths: Sequence[str], sizes: dict[str, int] | None = None) -> int:
@@ -190,7 +230,8 @@ def _split_bound(spark: SparkSession, paths: Sequence[str], sizes: dict[str, int
     return sum(max(1, -(-n // mpb)) for n in _file_sizes(spark, paths, sizes).values())
 
 
-def with_row_idx(df: DataFrame, file_col: str, block_col: str, n_splits_bound: int | None = None) -> DataFrame:
+def with_row_idx(df: DataFrame, file_col: str, block_col: str, n_splits_bound: int | None = None,
+                 idx_col: str = ROW_IDX) -> DataFrame:
     """0-based row number within each file, in file order, without a global
     sort (G1, H4): rows of one split are contiguous within a task, so the row
     number is the split's offset (running count over earlier splits of the same
@@ -204,9 +245,10 @@ def with_row_idx(df: DataFrame, file_col: str, block_col: str, n_splits_bound: i
     splits = splits.select(file_col, block_col, "__ks_min", "__ks_off")
     if n_splits_bound is not None and n_splits_bound * 256 <= broadcast_threshold(df.sparkSession):
         splits = F.broadcast(splits)
-    out = d.join(splits, [file_col, block_col])
-    return out.withColumn(ROW_IDX, F.col("__ks_off") + F.col(mid) - F.col("__ks_min")).drop(
-        mid, "__ks_min", "__ks_off")
+    out = d.join(splits, [file_col, block_col], "left")
+    place = F.col("__ks_off") + F.col(mid) - F.col("__ks_min")
+    sound = F.when(place >= 0, place).otherwise(F.raise_error(F.lit("row index: the scan's splits changed")).cast("long"))
+    return out.withColumn(idx_col, sound).drop(mid, "__ks_min", "__ks_off")
 
 
 def read_feeds(spark: SparkSession, directory: str, *, extensions: Sequence[str] = (".csv",),
@@ -219,10 +261,19 @@ def read_feeds(spark: SparkSession, directory: str, *, extensions: Sequence[str]
     return feeds, [read_layout(spark, lay, **read_opts) for lay in feeds.layouts]
 
 
+# What the job's reader takes for a number or a boolean (fixed values).
+TYPE_PATTERNS = {
+    "bigint": r"\A[ \t]*[+-]?[0-9]+[ \t]*\z",
+    "double": r"\A[ \t]*[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?[ \t]*\z|\A[+-]?(?i:inf|infinity)\z",
+    "boolean": r"\A(?:True|TRUE|true|False|FALSE|false)\z",
+}
+
+
 def infer_types(df: DataFrame, columns: Sequence[str] | None = None,
                 candidates: Sequence[str] = ("bigint", "double", "boolean")) -> DataFrame:
     """Opt-in typed view of string columns (A8): one aggregate pass computes,
-    per column and candidate type, whether every non-NULL value casts; each
+    per column and candidate type, whether every non-NULL value is written as
+    the job's reader takes that type (:data:`TYPE_PATTERNS`) and casts; each
     column then takes the first candidate that fits, else stays string."""
     columns = list(columns or [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)])
     if not columns:
@@ -231,7 +282,8 @@ def infer_types(df: DataFrame, columns: Sequence[str] | None = None,
     for i, name in enumerate(columns):
         aggs.append(F.count(c(name)).alias(f"n{i}"))
         for j, t in enumerate(candidates):
-            aggs.append(F.count(F.expr(f"try_cast({_q(name)} AS {t})")).alias(f"n{i}_{j}"))
+            ok = c(name).rlike(TYPE_PATTERNS[t]) & F.expr(f"try_cast({_q(name)} AS {t})").isNotNull()
+            aggs.append(F.count_if(ok).alias(f"n{i}_{j}"))
     stats = df.agg(*aggs).first()
     chosen = {}
     for i, name in enumerate(columns):

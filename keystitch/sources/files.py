@@ -1,13 +1,16 @@
 """Feed discovery, validation and header probing.
 
-Listing and header lines are metadata: the driver lists one directory level
-through the Hadoop FileSystem (so zero-byte files, which Spark's file index
-skips, are still seen and reported — H5) and reads only the first non-blank
-line of each CSV, in parallel. No data rows pass through the driver.
+Listing and headers are metadata: the driver lists one directory level through
+the Hadoop FileSystem (so zero-byte files, which Spark's file index skips, are
+still seen and reported — H5) and reads only the first record of each CSV, in
+parallel and up to a stated number of bytes. No data rows pass through the
+driver.
 """
 
 from __future__ import annotations
 
+import csv as _pycsv
+import io
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from typing import Iterable, Sequence
@@ -24,6 +27,7 @@ class FeedFile:
     length: int
     ext: str
     ext_rank: int
+    modified: int = 0   # milliseconds since the epoch
 
 
 def _fs(spark: SparkSession, path: str):
@@ -53,10 +57,24 @@ def list_feeds(spark: SparkSession, directory: str,
         p = st.getPath().toString()
         e = _ext(p)
         if e in exts:
-            out.append(FeedFile(p, int(st.getLen()), e, exts.index(e)))
+            out.append(FeedFile(p, int(st.getLen()), e, exts.index(e), int(st.getModificationTime())))
     return sorted(out, key=lambda f: (f.ext_rank, f.path))
 
 
+def stat_feeds(spark: SparkSession, paths: Sequence[str]) -> tuple[list[FeedFile], list[tuple[str, str]]]:
+    """Requested paths as feed files, and (path, reason) of those that are not
+    readable files now. An empty file is listed: the job reports it itself."""
+    found, failures = [], []
+    for p, why in validate(spark, paths):
+        if why is None or why == "empty file":
+            fs, jp = _fs(spark, p)
+            st = fs.getFileStatus(jp)
+            found.append(FeedFile(p, int(st.getLen()), _ext(p), 0, int(st.getModificationTime())))
+        else:
+            failures.append((p, why))
+    return found, failures
+
+
 def discover(spark: SparkSession, directory: str, extensions: Sequence[str] = DEFAULT_EXTENSIONS) -> DataFrame:
     """Listing as a DataFrame: ``path, name, ext, length, ext_rank``."""
     files = list_feeds(spark, directory, extensions)
@@ -87,30 +105,83 @@ def validate(spark: SparkSession, paths: Iterable[str]) -> list[tuple[str, str |
     return out
 
 
-def _first_line(spark: SparkSession, path: str, encoding: str = "UTF-8") -> str | None:
-    jvm = spark.sparkContext._jvm
-    fs, jpath = _fs(spark, path)
-    stream = fs.open(jpath)
-    try:
-        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, encoding))
-        while True:
-            line = reader.readLine()
-            if line is None:
-                return None
-            line = line.lstrip("\ufeff")
-            if line.strip():
-                return line
-    finally:
-        stream.close()
+#: A header record longer than this fails its file.
+MAX_HEADER_BYTES = 1 << 20
 
 
-def probe_headers(spark: SparkSession, paths: Sequence[str], threads: int = 16) -> dict[str, str | None]:
-    """First non-blank line of each file (A4b), None for files without one."""
+@dataclass(frozen=True)
+class Header:
+    """First record of a CSV: its raw labels, or why there are none. ``lead``
+    counts the white-space-only (not empty) lines before it."""
+    labels: tuple[str, ...] | None
+    lead: int = 0
+    reason: str | None = None
+
+
+def parse_header(text: str, delimiter: str = ",", quote: str = '"') -> list[str]:
+    """Labels of the first record of ``text``: quoted line breaks belong to it."""
+    return next(_pycsv.reader(io.StringIO(text, newline=""), delimiter=delimiter, quotechar=quote, doublequote=True))
+
+
+def _first_record(text: str, at_end: bool, delimiter: str, quote: str) -> tuple[Header | None, bool]:
+    """(header, complete): incomplete when the record may go on after ``text``.
+    Lines of nothing but spaces and tabs are no records, as for the job's reader."""
+    lead, at = 0, 0
+    while at < len(text):
+        end = min((i for i in (text.find("\n", at), text.find("\r", at)) if i >= 0), default=len(text))
+        line = text[at:end]
+        if line.strip(" \t"):
+            break
+        if end == len(text):
+            at = end
+            break
+        lead += bool(line)
+        at = end + 1
+    if at >= len(text):
+        return Header(None, lead, "no header line (empty file)"), at_end
+    reader = _pycsv.reader(io.StringIO(text[at:], newline=""), delimiter=delimiter, quotechar=quote, doublequote=True)
+    labels = next(reader)
+    body = text[at:]
+    used = "".join(io.StringIO(body, newline="").readlines()[:reader.line_num])
+    complete = at_end or (len(used) < len(body)) or used.endswith("\n")
+    return Header(tuple(labels), lead), complete
+
+
+def read_header(spark: SparkSession, path: str, encoding: str = "UTF-8", delimiter: str = ",",
+                quote: str = '"') -> Header:
+    """First record of a CSV file, read up to :data:`MAX_HEADER_BYTES`."""
+    import codecs
+    try:
+        fs, jpath = _fs(spark, path)
+        size = 1 << 16
+        while True:
+            stream = fs.open(jpath)
+            try:
+                data = bytes(stream.readNBytes(size))
+            finally:
+                stream.close()
+            at_end = len(data) < size
+            text = codecs.getincrementaldecoder(encoding)("strict").decode(data, at_end).removeprefix("\ufeff")
+            header, complete = _first_record(text, at_end, delimiter, quote)
+            if complete:
+                return header
+            if size >= MAX_HEADER_BYTES:
+                return Header(None, 0, f"no complete header in the first {MAX_HEADER_BYTES} bytes")
+            size = MAX_HEADER_BYTES
+    except UnicodeDecodeError:
+        return Header(None, 0, f"header is not {encoding} text")
+    except Exception as e:  # noqa: BLE001 - this file's failure, reported as such
+        return Header(None, 0, f"unreadable: {type(e).__name__}")
+
+
+def probe_headers(spark: SparkSession, paths: Sequence[str], threads: int = 16, encoding: str = "UTF-8",
+                  delimiter: str = ",") -> dict[str, Header]:
+    """First record of each file (A4b); a file without one has the reason."""
     if not paths:
         return {}
     with ThreadPoolExecutor(max_workers=max(1, min(threads, len(paths)))) as pool:
-        lines = list(pool.map(lambda p: _first_line(spark, p), paths))
-    return dict(zip(paths, lines))
+        found = list(pool.map(lambda p: read_header(spark, p, encoding, delimiter), paths))
+    return dict(zip(paths, found))
 
 
 def hadoop_write_text(spark: SparkSession, path: str, text: str) -> None:

@@ -11,6 +11,7 @@ from typing import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.exprs import c
 
@@ -55,7 +56,15 @@ def key_in_filter(reference: DataFrame, feed_keys: DataFrame, key_columns: Seque
     match still happens in the join; columns with many values are skipped, so
     nothing unbounded reaches the driver.
 
-    ``feed_keys`` has the key columns under the reference's names."""
+    ``feed_keys`` has the key columns under the reference's names. A column
+    whose feed type is neither the reference's nor numeric like it is skipped:
+    its values would need a cast that can fail or keep the filter from the scan."""
+    feed_types = {f.name: f.dataType for f in feed_keys.schema.fields}
+    ref_types = {f.name: f.dataType for f in reference.schema.fields}
+    key_columns = [k for k in key_columns if feed_types[k] == ref_types[k]
+                   or all(isinstance(t, T.IntegralType) for t in (feed_types[k], ref_types[k]))]
+    if not key_columns:
+        return reference
     est = feed_keys.agg(*[F.approx_count_distinct(c(k), 0.02).alias(f"n{i}")
                           for i, k in enumerate(key_columns)]).first()
     small = [k for i, k in enumerate(key_columns) if est[f"n{i}"] <= max_values * 0.9]

@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 
 from ..functions.exprs import NA_TOKENS, na_to_null
 from ..operators.enrich import broadcast_threshold
+from ..session import scratch_path
 from .csv import header_names, kept_positions
 
 CELLS_SCHEMA = ("source_file string, sheet string, sheet_pos int, row_idx bigint, "
@@ -123,13 +124,17 @@ class _Book:
             self.sheets.append((sh.get("name"), path))
 
     def rows(self, path: str) -> Iterator[tuple[list, list]]:
-        """Non-blank rows of one sheet: (cells, kinds), trimmed after the last
-        non-empty cell. Empty strings count as missing, like the job's reader."""
+        """Rows of one sheet up to its last filled one: (cells, kinds), trimmed
+        after the last non-empty cell. A row without filled cells, in the file
+        or left out of it, is a row too. Empty strings count as missing, like
+        the job's reader."""
+        done = place = 0   # rows given out; number of the row at hand
         with self.z.open(path) as fh:
             for _, el in ET.iterparse(fh, events=("end",)):
                 if el.tag != _NS + "row":
                     continue
                 cells: dict[int, tuple[str, str]] = {}
+                place = int(el.get("r") or place + 1)
                 pos = 0
                 for cnode in el.iter(_NS + "c"):
                     ref = cnode.get("r")
@@ -150,7 +155,7 @@ class _Book:
                     elif t == "b":
                         val, kind = ("True" if v.text.strip() == "1" else "False"), "bool"
                     elif t == "d":
-                        val, kind = v.text.replace("T", " ")[:19], "date"
+                        val, kind = v.text.replace("T", " "), "date"
                     elif int(cnode.get("s", "0")) in self.date_styles:
                         val, kind = _date(v.text), "date"
                     else:
@@ -161,6 +166,9 @@ class _Book:
                 el.clear()
                 if not cells:
                     continue
+                for _ in range(done + 1, place):
+                    yield [], []
+                done = place
                 width = max(cells) + 1
                 yield ([cells[i][0] if i in cells else None for i in range(width)],
                        [cells[i][1] if i in cells else None for i in range(width)])
@@ -196,18 +204,27 @@ def workbook_cells(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     return files.mapInPandas(parse_workbooks, CELLS_SCHEMA)
 
 
+def sheet_table(cells: DataFrame) -> DataFrame:
+    """One row per sheet that has rows: position, width, header row, its cells
+    and the number of rows after it. One aggregation, of which the shuffle
+    carries the first :data:`PREVIEW_ROWS` rows of a sheet and two numbers."""
+    seen = F.when(F.col("row_idx") < PREVIEW_ROWS, F.struct("row_idx", "cells", "kinds"))
+    sheets = cells.filter(F.col("error").isNull()).groupBy("source_file", "sheet").agg(
+        F.first("sheet_pos").alias("sheet_pos"), F.max(F.size("cells")).alias("width"),
+        F.max("row_idx").alias("last_row"), F.sort_array(F.collect_list(seen)).alias("preview"))
+    filled = lambda r: F.filter(r["kinds"], lambda k: k.isNotNull())
+    heads = F.filter("preview", lambda r: (F.size(filled(r)) > 2) & F.forall(filled(r), lambda k: k == "string"))
+    sheets = sheets.withColumn("header_row", F.coalesce(F.get(heads, F.lit(0))["row_idx"], F.lit(0)).cast("bigint"))
+    return sheets.select(
+        "source_file", "sheet", "sheet_pos", "width", "header_row",
+        F.get(F.filter("preview", lambda r: r["row_idx"] == F.col("header_row")), F.lit(0))["cells"].alias("header"),
+        (F.col("last_row") - F.col("header_row")).alias("data_rows"))
+
+
 def header_rows(cells: DataFrame) -> DataFrame:
     """Header row per sheet (A4): first of the first 10 rows with > 2 non-empty
     cells, all strings; 0 when none. One row per sheet that has rows."""
-    nonnull = F.filter("kinds", lambda k: k.isNotNull())
-    candidates = cells.filter(
-        (F.col("row_idx") < PREVIEW_ROWS) & (F.size(nonnull) > 2) & F.forall(nonnull, lambda k: k == "string"))
-    found = candidates.groupBy("source_file", "sheet").agg(F.min("row_idx").alias("header_row"))
-    sheets = cells.filter(F.col("error").isNull()).groupBy("source_file", "sheet").agg(
-        F.first("sheet_pos").alias("sheet_pos"), F.max(F.size("cells")).alias("width"))
-    return sheets.join(found, ["source_file", "sheet"], "left").select(
-        "source_file", "sheet", "sheet_pos", "width", F.coalesce("header_row", F.lit(0)).cast("bigint").alias(
-            "header_row"))
+    return sheet_table(cells).select("source_file", "sheet", "sheet_pos", "width", "header_row")
 
 
 @dataclass
@@ -235,32 +252,26 @@ class Workbooks:
 
 
 def read_workbooks(spark: SparkSession, paths: Sequence[str], *, na_tokens: Sequence[str] = NA_TOKENS,
-                   checkpoint: bool = True) -> Workbooks:
+                   file_col: str = "source_file", sheet_col: str = "sheet") -> Workbooks:
     """Parse workbooks once and split their sheets into layouts.
 
     Each layout's ``frame`` has its kept labels (strings, NA tokens -> NULL)
-    plus ``source_file`` and ``sheet``."""
-    cells = workbook_cells(spark, paths)
-    if checkpoint:
-        cells = cells.checkpoint(eager=True)
+    plus ``file_col`` and ``sheet_col``."""
+    path = scratch_path(spark, "cells")
+    workbook_cells(spark, paths).write.parquet(path)   # parsed once
+    cells = spark.read.schema(CELLS_SCHEMA).parquet(path)
     failures = [(r["source_file"], r["error"]) for r in
                 cells.filter(F.col("error").isNotNull()).select("source_file", "error").collect()]
-    heads = header_rows(cells)
-    hdr_cells = heads.join(
-        cells.select("source_file", "sheet", F.col("row_idx").alias("header_row"), "cells"),
-        ["source_file", "sheet", "header_row"], "left")
-    data_rows = cells.join(heads.select("source_file", "sheet", "header_row"), ["source_file", "sheet"]).filter(
-        F.col("row_idx") > F.col("header_row")).groupBy("source_file", "sheet").count()
-    meta = hdr_cells.join(data_rows, ["source_file", "sheet"], "left").collect()   # one row per sheet
+    meta = sheet_table(cells).collect()   # one row per sheet
     groups: dict[tuple[str, ...], SheetLayout] = {}
     empty = []
     seen_files = {p for p, _ in failures}
     for r in sorted(meta, key=lambda r: (r["source_file"], r["sheet_pos"])):
         seen_files.add(r["source_file"])
-        if not r["count"]:
+        if not r["data_rows"]:
             empty.append((r["source_file"], r["sheet"]))
             continue
-        raw = list(r["cells"] or [])
+        raw = list(r["header"] or [])
         raw = [("" if v is None else v) for v in raw] + [""] * (r["width"] - len(raw))
         names = tuple(header_names(raw))
         lay = groups.get(names)
@@ -278,7 +289,7 @@ def read_workbooks(spark: SparkSession, paths: Sequence[str], *, na_tokens: Sequ
         rows = cells.join(table, ["source_file", "sheet"]).filter(F.col("row_idx") > F.col("header_row"))
         lay.frame = rows.select(
             *[na_to_null(F.get(F.col("cells"), i), tokens).alias(lay.names[i]) for i in lay.kept],
-            "source_file", "sheet")
+            F.col("source_file").alias(file_col), F.col("sheet").alias(sheet_col))
     return Workbooks(cells, list(groups.values()), failures, empty)
 
 

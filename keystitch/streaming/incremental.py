@@ -8,7 +8,8 @@ its new files. ``trigger(availableNow=True)`` makes every run drain what has
 arrived and stop, so any scheduler can call it; the calendar is the caller's.
 
 ``foreachBatch`` is at-least-once: a replayed batch rewrites the same
-``run_id=<batch_id>`` partitions through dynamic partition overwrite, so the
+``run_id=<batch_id>`` partitions, under output names stamped with the batch's
+latest file modification time, through dynamic partition overwrite, so the
 output holds each batch exactly once (H9).
 
 ``enrich_stream`` is the pure streaming form for feeds that arrive as rows (a

@@ -61,7 +61,8 @@ def test_r16_display_name_collision_gets_suffix():
 
 
 def test_csv_header_labels_blank_and_duplicates():
-    assert header_names(["a", "", "a", "a.1", "a"]) == ["a", "Unnamed: 1", "a.1", "a.1.1", "a.2"]
+    assert header_names(["a", "", "a", "a.1", "a"]) == ["a", "Unnamed: 1", "a.2", "a.1", "a.3"]
+    assert header_names(["a", "a", "a.1"]) == ["a", "a.2", "a.1"]
     assert kept_positions(header_names(["a", "", "b"])) == [0, 2]
     assert parse_header('"x,y",z,"q""r"') == ["x,y", "z", 'q"r']
 
