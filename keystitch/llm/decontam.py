@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass
+from itertools import repeat
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
@@ -95,9 +96,8 @@ class Items:
 
     def numbers(self, text: str | None):
         import numpy as np
-        get = self.vocab.get
         w = words_of(text)
-        return np.fromiter((get(x, -1) for x in w), dtype=np.int64, count=len(w)), w
+        return np.fromiter(map(self.vocab.get, w, repeat(-1)), dtype=np.int64, count=len(w)), w
 
 
 def _blocks(items: DataFrame, p: DecontamParams):

@@ -3,6 +3,8 @@ the quality classifier look at. Nothing of a document but its text is read."""
 
 from __future__ import annotations
 
+from operator import eq
+
 from pyspark.sql import DataFrame, types as T
 
 from .common import map_texts
@@ -12,7 +14,7 @@ SPACES = " \t\n\x0b\x0c\r"
 
 # Name and type of each statistic, in the order :func:`stats` returns them.
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_chars", "n_lines", "n_upper_words",
-          "n_distinct_words", "n_alpha_words", "n_stops", "n_digits", "n_marks", "longest_word", "top_word")
+          "n_distinct_words", "n_alpha_words", "n_stops", "n_digits", "n_marks", "longest_word", "top_word", "n_same_next")
 
 
 def repeat_words(joined: bytes, starts: list[int], ends: list[int], window: int = 5) -> int:
@@ -64,7 +66,8 @@ def stats(text: str) -> tuple[int, ...]:
     digits = sum(text.count(c) for c in "0123456789")
     marks = sum(map(text.count, "!?"))
     return (n, word_chars, symbols, len(lines) - len(set(lines)), repeated, len(text), len(lines), upper, len(counts), alpha,
-            stops, digits, marks, max(map(len, counts), default=0), max(counts.values(), default=0))
+            stops, digits, marks, max(map(len, counts), default=0), max(counts.values(), default=0),
+            sum(map(eq, words, words[1:])))
 
 
 def statistics(docs: DataFrame) -> DataFrame:
@@ -87,6 +90,7 @@ RATES = {
     "mark_rate": "coalesce(try_divide(n_marks, n_words), 0)",
     "longest_log": "ln(1 + longest_word)",
     "top_word_rate": "coalesce(try_divide(top_word, n_words), 0)",
+    "same_next_rate": "coalesce(try_divide(n_same_next, n_words), 0)",
 }
 
 
