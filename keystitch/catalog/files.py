@@ -10,14 +10,14 @@ from pyspark.sql import functions as F
 
 from .. import fixtures as X
 from ..functions.exprs import base_name, c, extension, output_ext, output_name, stem
-from ..job import enrich_directory, run_color, run_summary
+from ..job import enrich_directory, run_summary
 from ..operators.enrich import enrich
 from ..plans.headers import NoKeyColumns, plan_layout, resolve_headers
 from ..plans.layouts import plan_layouts
 from ..session import scratch_path
 from ..sinks.writers import read_csv_output, write_csv
 from ..sources.csv import csv_layouts, infer_types, read_layout
-from ..sources.files import discover, list_feeds, validate
+from ..sources.files import discover, hadoop_mkdirs, list_feeds, validate
 from ..spec import DEFAULT_EXTENSIONS
 from .registry import register
 
@@ -273,18 +273,37 @@ FROM ({_REPORT_SQL})"""
 
 
 @register("run_status", f"""
-SELECT status, CAST(errors AS INTEGER) AS errors, color FROM (VALUES ('completed', 0, 'green'),
-  ('no_files', 0, 'red'), ('db_error', 2, 'red'), ('critical_error', 1, 'red')) t(status, errors, color)
+SELECT 'no_files' AS status, 0 AS errors, 'red' AS color
+UNION ALL SELECT 'db_error', CAST(count(*) AS INTEGER), 'red' FROM ({_REPORT_SQL})
+UNION ALL SELECT 'critical_error', 1, 'red'
 UNION ALL SELECT status, CAST(errors AS INTEGER), color FROM ({_SUMMARY_SQL})""")
 def run_status(spark, sf_dir):
-    """Severity class (F8) of the job's own summary and of the other statuses
-    a run can end in."""
-    s = run_summary(x3_job(spark, sf_dir)).select("status", F.col("errors").cast("bigint").alias("errors"))
-    others = spark.createDataFrame([("completed", 0), ("no_files", 0), ("db_error", 2), ("critical_error", 1)],
-                                   "status string, errors bigint")
-    both = others.unionByName(s)
-    return both.select("status", F.col("errors").cast("int").alias("errors"),
-                       run_color(F.col("status"), F.col("errors")).alias("color"))
+    """Status and severity class (F8) of four runs: the job's own, one over a
+    folder without files, one whose reference cannot be opened, and one whose
+    reference breaks off after the empty file was found."""
+    _, feeds = x3_dir(spark, sf_dir)
+    ref = X.x3_reference(spark, sf_dir)
+
+    class Closed:
+        @property
+        def schema(self):
+            raise RuntimeError("cannot connect")
+
+    class Broken:
+        schema = ref.schema
+
+        @property
+        def columns(self):
+            raise RuntimeError("lost connection")
+    bare = scratch_path(spark, "bare")
+    hadoop_mkdirs(spark, bare)
+    runs = [run_summary(x3_job(spark, sf_dir)), enrich_directory(spark, bare, ref, X.x3_spec()).summary,
+            enrich_directory(spark, feeds, Closed(), X.x3_spec()).summary,
+            enrich_directory(spark, feeds, Broken(), X.x3_spec(), on_error="report").summary]
+    out = runs[0]
+    for r in runs[1:]:
+        out = out.unionByName(r)
+    return out.select("status", F.col("errors").cast("int").alias("errors"), "color")
 
 
 @register("report_details", f"""

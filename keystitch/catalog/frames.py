@@ -254,16 +254,22 @@ def renamed_target_present(spark, sf_dir):
     return enrich(feed, ref, X.x1_spec(ref))
 
 
-@register("missing_targets", """
-SELECT * FROM (VALUES (1, 'Taxable_Amount', 'Taxable_Amount'), (2, 'NonTaxable_Amount', 'NonTaxable_Amount'),
-  (3, 'Booking_Date', 'Booking Date'), (4, 'Invoice_Number', 'Invoice_Number')) t(pos, target, display)""")
+@register("missing_targets", f"""
+SELECT 1 AS pos, 'Taxable_Amount' AS target, 'Taxable_Amount' AS display, count(r.Taxable_Amount) AS filled {JOIN_SQL}
+UNION ALL SELECT 2, 'NonTaxable_Amount', 'NonTaxable_Amount', count(r.NonTaxable_Amount) {JOIN_SQL}
+UNION ALL SELECT 3, 'Booking_Date', 'Booking Date', count(r.Booking_Date) {JOIN_SQL}
+UNION ALL SELECT 4, 'Invoice_Number', 'Invoice_Number', count(r.Invoice_Number) {JOIN_SQL}""")
 def missing_targets_q(spark, sf_dir):
-    """Targets the renamed-target feed lacks, in fixed order (C4), as a frame."""
+    """Targets the renamed-target feed lacks, in fixed order (C4), and in how
+    many rows each was filled."""
     ref = X.x1_reference(spark, sf_dir)
     feed = _variant(spark, sf_dir, _DISPLAY_NAMES, [F.col("Qty").alias("Cgst_Total")])
-    plan = plan_layout(feed.columns, X.x1_spec(ref))
-    rows = [(i + 1, col, name) for i, ((col, _), name) in enumerate(zip(plan.missing, plan.appended))]
-    return spark.createDataFrame(rows, "pos int, target string, display string")
+    spec = X.x1_spec(ref)
+    plan = plan_layout(feed.columns, spec)
+    counts = enrich(feed, ref, spec).agg(*[F.count(c(n)).alias(f"n{i}") for i, n in enumerate(plan.appended)])
+    return counts.select(F.inline(F.array(*[
+        F.struct(F.lit(i + 1).alias("pos"), F.lit(col).alias("target"), F.lit(name).alias("display"), F.col(f"n{i}").alias("filled"))
+        for i, ((col, _), name) in enumerate(zip(plan.missing, plan.appended))])))
 
 
 # --- X4: NA tokens ----------------------------------------------------------
@@ -296,13 +302,20 @@ def na_tokens(spark, sf_dir):
     return df.select("event_id", "raw", value.alias("value"), is_empty(value, T.StringType()).alias("empty_key"))
 
 
-@register("reference_columns", """
-SELECT * FROM (VALUES (1, 'c_custkey'), (2, 'c_name'), (3, 'c_nationkey'), (4, 'c_acctbal'),
-  (5, 'c_mktsegment')) t(pos, name)""")
+_CUSTOMER = ("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
+
+
+@register("reference_columns", " UNION ALL ".join(
+    f"SELECT {i} AS pos, '{n}' AS name, count({n}) AS filled, count(DISTINCT {n}) AS n_values FROM customer"
+    for i, n in enumerate(_CUSTOMER, 1)))
 def reference_columns_q(spark, sf_dir):
-    """Ordered reference schema (A11) as a frame."""
-    cols = reference_columns(X.table(spark, sf_dir, "customer"))
-    return spark.createDataFrame(list(enumerate(cols, 1)), "pos int, name string")
+    """Ordered reference schema (A11), with filled and distinct values of each column."""
+    ref = X.table(spark, sf_dir, "customer")
+    cols = reference_columns(ref)
+    long = ref.select(F.explode(F.array(*[F.struct(F.lit(i).alias("pos"), F.lit(n).alias("name"), c(n).cast("string").alias("v"))
+                                          for i, n in enumerate(cols, 1)])).alias("x")).select("x.*")
+    return long.groupBy("pos", "name", "v").agg(F.count("v").alias("n")).groupBy("pos", "name").agg(
+        F.sum("n").alias("filled"), F.count("v").alias("n_values"))
 
 
 @register("reference_in_filter", f"""

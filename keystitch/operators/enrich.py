@@ -202,28 +202,23 @@ def prepare(feed: DataFrame, reference_schema: T.StructType, spec: EnrichSpec,
     plan = plan or plan_layout(feed.columns, spec)
     key_exprs, key_types, ref_exprs = _key_exprs(feed.schema, plan, reference_schema)
     valid = ~reduce(lambda a, b: a | b, [is_empty(e, t) for e, t in zip(key_exprs, key_types)])
-    # Rows with an empty key part: one key column gets a surrogate so they
+    # Rows with an empty key part: the key columns get a surrogate so they
     # spread over all join tasks (a blank/NULL key would otherwise hash to a
     # single partition); the residual ``valid`` predicate keeps them unmatched.
-    spread = _spread_index(key_types)
+    # All columns do, as the optimizer may drop one that is constant in the
+    # reference from the join keys.
     hashable = [c(f.name) for f in feed.schema.fields if not isinstance(f.dataType, T.MapType)]
     cols = []
     for i, (e, t) in enumerate(zip(key_exprs, key_types)):
-        if i == spread:
+        if isinstance(t, _SPREADS):
             e = F.when(valid, e).otherwise(_surrogate(t, hashable))
         cols.append(e.alias(f"{_P}f{i}"))
     prepared = feed.select(*[c(n) for n in feed.columns], *cols, valid.alias(_P + "v"))
     return Prepared(plan, prepared, [f"{_P}f{i}" for i in range(len(plan.keys))], ref_exprs, len(plan.keys))
 
 
-_SPREADS = (T.StringType, T.LongType, T.IntegerType, T.DecimalType, T.DoubleType, T.TimestampType, T.TimestampNTZType,
-            T.DateType, T.FloatType, T.ShortType)
-
-
-def _spread_index(types: Sequence[T.DataType]) -> int | None:
-    """The key column that best takes a surrogate: the first of the widest kind."""
-    found = [(kind, i) for i, t in enumerate(types) for kind, k in enumerate(_SPREADS) if isinstance(t, k)]
-    return min(found)[1] if found else None
+_SPREADS = (T.StringType, T.LongType, T.IntegerType, T.DecimalType, T.DoubleType, T.FloatType, T.TimestampType, T.TimestampNTZType,
+            T.DateType, T.ShortType)
 
 
 def _surrogate(t: T.DataType, row_cols: Sequence[Column]) -> Column:

@@ -76,11 +76,19 @@ def stat_feeds(spark: SparkSession, paths: Sequence[str]) -> tuple[list[FeedFile
 
 
 def discover(spark: SparkSession, directory: str, extensions: Sequence[str] = DEFAULT_EXTENSIONS) -> DataFrame:
-    """Listing as a DataFrame: ``path, name, ext, length, ext_rank``."""
-    files = list_feeds(spark, directory, extensions)
-    df = spark.createDataFrame([(f.path, f.length, f.ext, f.ext_rank) for f in files],
-                               "path string, length bigint, ext string, ext_rank int")
-    return df.select("path", F.regexp_extract("path", r"([^/]*)$", 1).alias("name"), "ext", "length", "ext_rank")
+    """Supported files of one folder level as a DataFrame: ``path, name, ext,
+    length, ext_rank``. Spark's file index lists them (content is pruned); it
+    leaves out empty files, which the folder's own listing adds."""
+    exts = [e.lower() for e in extensions]
+    empty = [(f.path, f.length) for f in list_feeds(spark, directory, extensions) if f.length == 0]
+    files = spark.createDataFrame(empty, "path string, length bigint")
+    fs, jpath = _fs(spark, directory)
+    if fs.exists(jpath) and any(st.isFile() and st.getLen() > 0 for st in fs.listStatus(jpath)):
+        files = spark.read.format("binaryFile").load(directory).select("path", "length").unionByName(files)
+    named = files.withColumn("name", F.regexp_extract("path", r"([^/]*)$", 1))
+    named = named.withColumn("ext", F.lower(F.regexp_extract("name", r"^.+?(\.[^.]*)?$", 1)))
+    named = named.withColumn("ext_rank", (F.array_position(F.array(*[F.lit(e) for e in exts]), F.col("ext")) - 1).cast("int"))
+    return named.filter("ext_rank >= 0").select("path", "name", "ext", "length", "ext_rank")
 
 
 def validate(spark: SparkSession, paths: Iterable[str]) -> list[tuple[str, str | None]]:
@@ -168,6 +176,8 @@ def read_header(spark: SparkSession, path: str, encoding: str = "UTF-8", delimit
             if size >= MAX_HEADER_BYTES:
                 return Header(None, 0, f"no complete header in the first {MAX_HEADER_BYTES} bytes")
             size = MAX_HEADER_BYTES
+    except _pycsv.Error as e:
+        return Header(None, 0, f"no complete header: {e}")
     except UnicodeDecodeError:
         return Header(None, 0, f"header is not {encoding} text")
     except Exception as e:  # noqa: BLE001 - this file's failure, reported as such

@@ -24,7 +24,9 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..job import REPORT_SCHEMA, enrich_directory
-from ..operators.enrich import enrich
+from ..operators.enrich import SharedReference, enrich, first_reference, prepare
+from ..plans.headers import check_reference, plan_layout
+from ..session import scratch_path
 from ..spec import EnrichSpec
 
 
@@ -94,6 +96,18 @@ def read_reports(spark: SparkSession, report: str) -> DataFrame:
 
 def enrich_stream(feed: DataFrame, reference: DataFrame, spec: EnrichSpec, *, flag: str | None = None) -> DataFrame:
     """Streaming feed rows enriched against a static reference (J4): a
-    stateless stream-static left join; the reference side is the same pruned,
-    first-per-key plan as the batch operator."""
-    return enrich(feed, reference, spec, flag=flag, reduce_reference=False)
+    stateless stream-static left join. The first-per-key reference, pruned to
+    what the feed lacks, is written once to the shared scratch folder; a
+    micro-batch reads that table and ranks nothing. It holds the reference as
+    of the start of the stream."""
+    plan = plan_layout(feed.columns, spec)
+    if plan.passthrough:
+        return feed
+    missing = [col for col, _ in plan.missing]
+    check_reference(reference.columns, plan.keys, missing, spec.order_by)
+    prep = prepare(feed, reference.schema, spec, plan)
+    spark = feed.sparkSession
+    path = scratch_path(spark, "first-per-key")
+    first_reference(reference, spec, prep.ref_exprs, missing, reduce_reference=False).write.parquet(path)
+    shared = SharedReference(spark.read.parquet(path), tuple(missing))
+    return enrich(feed, reference, spec, flag=flag, plan=plan, shared=shared, prepared=prep)

@@ -47,8 +47,8 @@ def test_query_matches_oracle(spark, duck, name):
     df = E.queries()[name](spark, SF)
     rows = [tuple(r) for r in df.collect()]
     oracle = E.oracle_sql().get(name)
-    if oracle is None:
-        assert len(rows) >= 0
+    if oracle is None:   # no SQL twin: a test of its own holds it against a brute-force version
+        assert name.startswith(("op", "pipeline")) and rows
         return
     res = duck.execute(oracle)
     ocols = [d[0] for d in res.description]
