@@ -20,6 +20,7 @@ import re
 from dataclasses import dataclass
 from itertools import repeat
 
+import numpy as np
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from .common import cut, small
@@ -40,66 +41,83 @@ class DecontamParams:
     match: int = 2
     mismatch: int = -1
     gap: int = -1
-    block_chars: int = 8 << 20
+    block_chars: int = 4 << 20
 
 
 def words_of(text: str | None) -> list[str]:
     return _WORDS.findall((text or "").lower())
 
 
+@dataclass
+class Grams:
+    """Places of n-grams in the items, as arrays: the ``i``-th key (sorted) is
+    found at ``items[j]``, ``places[j]`` for ``offsets[i] <= j < offsets[i + 1]``."""
+    keys: np.ndarray
+    offsets: np.ndarray
+    items: np.ndarray
+    places: np.ndarray
+
+    @staticmethod
+    def of(keys: np.ndarray, items: np.ndarray, places: np.ndarray) -> Grams:
+        order = np.lexsort((places, items, keys))
+        found, first = np.unique(keys[order], return_index=True)
+        return Grams(found, np.append(first, len(keys)), items[order], places[order])
+
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(which of ``keys`` are here, their numbers)."""
+        i = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        hit = self.keys[i] == keys
+        return hit, i[hit]
+
+
 class Items:
-    """One block of items: words as numbers, n-grams as hashed keys."""
+    """One block of items: words as numbers, n-grams as hashed keys by size."""
 
     def __init__(self, rows: list[tuple], n: int):
-        import numpy as np
         self.n, self.vocab = n, {}
-        self.ids, self.words, grams = [], [], {}
+        self.ids, self.lengths = [], []
+        parts: dict[int, list[tuple]] = {}
         for item_id, text in rows:
-            w = [self.vocab.setdefault(x, len(self.vocab)) for x in words_of(text)]
-            if not w:
+            w = np.array([self.vocab.setdefault(x, len(self.vocab)) for x in words_of(text)], dtype=np.int64)
+            if not len(w):
                 continue
-            at = len(self.ids)
+            size = min(n, len(w))   # an item shorter than n is one n-gram of its length
+            keys = window_keys(w, size)
+            parts.setdefault(size, []).append((keys, np.full(len(keys), len(self.ids), dtype=np.int32), np.arange(len(keys), dtype=np.int32)))
             self.ids.append(item_id)
-            self.words.append(w)
-            for size, keys in self.keys(np.array(w, dtype=np.int64), short=True):
-                for q, k in enumerate(keys.tolist()):
-                    grams.setdefault((size, k), []).append((at, q))
-        self.grams = grams
-        self.sizes = sorted({s for s, _ in grams})
-
-    def keys(self, w, short: bool = False):
-        """Keys of each window of ``w``; negative numbers are unknown words.
-        An item shorter than ``n`` is one window of its own length."""
-        import numpy as np
-        sizes = [min(self.n, len(w))] if short else self.sizes
-        for size in sizes:
-            m = len(w) - size + 1
-            if m < 1:
-                continue
-            h = np.zeros(m, dtype=np.uint64)
-            for i in range(size):
-                h = (h ^ (w[i:i + m].astype(np.uint64) + np.uint64(1))) * np.uint64(_MIX)
-                h ^= h >> np.uint64(29)
-            yield size, h
-
-    def known_keys(self, w):
-        """(size, places, keys) of the windows of known words only."""
-        import numpy as np
-        known = w >= 0
-        for size, h in self.keys(w):
-            ok = known[:len(h)].copy()
-            for i in range(1, size):
-                ok &= known[i:i + len(h)]
-            at = np.flatnonzero(ok)
-            if len(at):
-                yield size, at, h[at]
-
-    def numbers(self, text: str | None):
-        import numpy as np
+            self.lengths.append(len(w))
+        self.grams = {size: Grams.of(*(np.concatenate(x) for x in zip(*p))) for size, p in sorted(parts.items())}
+
+    def numbers(self, text: str | None) -> tuple[np.ndarray, list[str]]:
         w = words_of(text)
         return np.fromiter(map(self.vocab.get, w, repeat(-1)), dtype=np.int64, count=len(w)), w
 
 
+def window_keys(w: np.ndarray, size: int) -> np.ndarray:
+    """A hashed key for each window of ``size`` word numbers."""
+    m = len(w) - size + 1
+    h = np.zeros(max(m, 0), dtype=np.uint64)
+    for i in range(size if m > 0 else 0):
+        h = (h ^ (w[i:i + m].astype(np.uint64) + np.uint64(1))) * np.uint64(_MIX)
+        h ^= h >> np.uint64(29)
+    return h
+
+
+def known_keys(w: np.ndarray, sizes):
+    """(size, places, keys) of the windows that hold known words only."""
+    known = w >= 0
+    for size in sizes:
+        m = len(w) - size + 1
+        if m < 1:
+            continue
+        ok = known[:m].copy()
+        for i in range(1, size):
+            ok &= known[i:i + m]
+        at = np.flatnonzero(ok)
+        if len(at):
+            yield size, at, window_keys(w, size)[at]
+
+
 def _blocks(items: DataFrame, p: DecontamParams):
     """The items in blocks by hash, as lists."""
     rows = items.where("item_id is not null and text is not null").select("item_id", "text").distinct()
@@ -109,71 +127,62 @@ def _blocks(items: DataFrame, p: DecontamParams):
         yield [(r[0], r[1]) for r in rows.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == i).orderBy("item_id", "text").collect()]
 
 
-def gram_counts(docs: DataFrame, block) -> dict:
-    """Places of each n-gram of the block over all documents: at most one row
-    per n-gram of the block comes back."""
+def gram_counts(docs: DataFrame, block) -> dict[int, np.ndarray]:
+    """Places of each n-gram of the block over all documents, in the order of
+    the keys: at most one row per n-gram of the block comes back."""
     def run(batches):
-        import numpy as np
         import pyarrow as pa
         items = block.value
-        table = {s: np.sort(np.array([k for t, k in items.grams if t == s], dtype=np.uint64)) for s in items.sizes}
-        total: dict = {}
+        total = {s: np.zeros(len(g.keys), dtype=np.int64) for s, g in items.grams.items()}
         for b in batches:
             for t in b.column("text"):
                 w, _ = items.numbers(t.as_py())
-                for size, _, keys in items.known_keys(w):
-                    sorted_keys = table[size]
-                    i = np.minimum(np.searchsorted(sorted_keys, keys), len(sorted_keys) - 1)
-                    hit = keys[sorted_keys[i] == keys]
-                    for k, c in zip(*np.unique(hit, return_counts=True)):
-                        total[(size, int(k))] = total.get((size, int(k)), 0) + int(c)
-        sizes, keys = [s for s, _ in total], [_signed(k) for _, k in total]
-        yield pa.RecordBatch.from_arrays([pa.array(sizes, pa.int32()), pa.array(keys, pa.int64()), pa.array(list(total.values()), pa.int64())],
-                                         names=["size", "key", "n"])
-    counted = docs.select("text").mapInArrow(run, "size int, key long, n long").groupBy("size", "key").agg(F.sum("n").alias("n"))
-    return {(r["size"], r["key"] % (1 << 64)): r["n"] for r in counted.collect()}
-
-
-def _signed(x: int) -> int:
-    return x - (1 << 64) if x >= 1 << 63 else x
-
-
-def rare_seeds(items: Items, counts: dict, n_docs: int, p: DecontamParams) -> dict:
-    """``{(size, key): [(item, place)]}`` of the rare n-grams of each item."""
-    rarest: dict[int, int] = {}
-    for g, places in items.grams.items():
-        for at, _ in places:
-            rarest[at] = min(rarest.get(at, 1 << 62), counts.get(g, 0))
-    seeds: dict = {}
-    for g, places in items.grams.items():
-        c = counts.get(g, 0)
-        chosen = [(at, q) for at, q in places if c and c <= max(p.rare_share * n_docs, p.rare_factor * max(1, rarest[at]))]
-        if chosen:
-            seeds[g] = chosen
+                for size, _, keys in known_keys(w, items.grams):
+                    _, i = items.grams[size].find(keys)
+                    np.add.at(total[size], i, 1)
+        for size, n in total.items():
+            at = np.flatnonzero(n)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), size, dtype=np.int32)), pa.array(at), pa.array(n[at])],
+                                             names=["size", "i", "n"])
+    counted = docs.select("text").mapInArrow(run, "size int, i long, n long").groupBy("size", "i").agg(F.sum("n").alias("n"))
+    out = {s: np.zeros(len(g.keys), dtype=np.int64) for s, g in block.value.grams.items()}
+    for r in counted.collect():
+        out[r["size"]][r["i"]] = r["n"]
+    return out
+
+
+def rare_seeds(items: Items, counts: dict[int, np.ndarray], n_docs: int, p: DecontamParams) -> dict[int, Grams]:
+    """The rare n-grams of each item."""
+    seeds = {}
+    for size, g in items.grams.items():   # an item's n-grams are all of one size
+        lens = np.diff(g.offsets)
+        n = np.repeat(counts[size], lens)
+        rarest = np.full(len(items.ids), np.iinfo(np.int64).max)
+        np.minimum.at(rarest, g.items, n)
+        most = np.maximum(p.rare_share * n_docs, p.rare_factor * np.maximum(1, rarest[g.items].astype(np.float64)))
+        chosen = (n > 0) & (n <= most)
+        if chosen.any():
+            seeds[size] = Grams.of(np.repeat(g.keys, lens)[chosen], g.items[chosen], g.places[chosen])
     return seeds
 
 
-def passages_of(w, items: Items, seeds: dict, table: dict, p: DecontamParams):
+def passages_of(w: np.ndarray, items: Items, seeds: dict[int, Grams], p: DecontamParams):
     """``(item, first, end)``: stretches of a text around an item's seeds."""
-    import numpy as np
     hits: dict[int, list[tuple[int, int]]] = {}
-    for size, at, keys in items.known_keys(w):
-        sorted_keys = table.get(size)
-        if sorted_keys is None:
-            continue
-        i = np.minimum(np.searchsorted(sorted_keys, keys), len(sorted_keys) - 1)
-        ok = sorted_keys[i] == keys
-        for place, k in zip(at[ok].tolist(), keys[ok].tolist()):
-            for item, q in seeds[(size, k)]:
-                hits.setdefault(item, []).append((place, q))
+    for size, at, keys in known_keys(w, seeds):
+        g = seeds[size]
+        hit, i = g.find(keys)
+        for place, k in zip(at[hit].tolist(), i.tolist()):
+            for j in range(g.offsets[k], g.offsets[k + 1]):
+                hits.setdefault(int(g.items[j]), []).append((place, int(g.places[j])))
     for item, found in hits.items():
-        length = len(items.words[item])
+        length = items.lengths[item]
         need = 2 if length >= 8 + items.n else 1
         found.sort()
         group = [found[0]]
         for place, q in found[1:] + [(1 << 60, 0)]:
             if place - group[-1][0] > length + p.pad:
-                if len({x for x in group}) >= need:
+                if len(group) >= need:
                     yield (item, max(0, min(a - b for a, b in group) - p.pad),
                            min(len(w), max(a - b for a, b in group) + length + p.pad))
                 group = []
@@ -186,17 +195,15 @@ def candidate_passages(docs: DataFrame, block, seeds, id_type: T.DataType, item_
                            T.StructField("first_word", T.LongType()), T.StructField("passage", T.StringType())])
 
     def run(batches):
-        import numpy as np
         import pyarrow as pa
         from .common import _arrow_schema
         arrow = _arrow_schema(schema)
         items, rare = block.value, seeds.value
-        table = {s: np.sort(np.array([k for t, k in rare if t == s], dtype=np.uint64)) for s in {s for s, _ in rare}}
         for b in batches:
             out = []
             for d, t in zip(b.column("doc_id"), b.column("text")):
                 w, words = items.numbers(t.as_py())
-                for item, first, end in passages_of(w, items, rare, table, p):
+                for item, first, end in passages_of(w, items, rare, p):
                     out.append((d.as_py(), items.ids[item], first, " ".join(words[first:end])))
             cols = list(zip(*out)) if out else [[], [], [], []]
             yield pa.RecordBatch.from_arrays([pa.array(list(c), type=arrow.field(i).type) for i, c in enumerate(cols)], schema=arrow)
@@ -206,7 +213,6 @@ def candidate_passages(docs: DataFrame, block, seeds, id_type: T.DataType, item_
 def align(item: list[str], passage: list[str], p: DecontamParams) -> tuple[float, int, int]:
     """Best local alignment: score as a share of the item's own, and the words
     of the passage after which it ends and before which it cannot have begun."""
-    import numpy as np
     if not item or not passage:
         return 0.0, 0, 0
     known: dict[str, int] = {}

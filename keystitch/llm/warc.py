@@ -103,8 +103,9 @@ def _page(urn: bytes | None) -> str | None:
     return m[1].decode("utf-8", "replace") if m else None
 
 
-def candidates(spark: SparkSession, path: str) -> DataFrame:
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("path", "content")
+def candidates(spark: SparkSession, path: str, names: str = "part-*") -> DataFrame:
+    """Candidate records of the uncompressed archives in ``path``."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", names).load(path).select("path", "content")
     schema = ("file string, offset long, successor long, record_type string, page_id string, refers_to string, "
               "payload_bytes long, payload_digest string")
 
