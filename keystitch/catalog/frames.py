@@ -3,6 +3,8 @@ first-per-key, header rules."""
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import functions as F
 
 from .. import fixtures as X
@@ -12,6 +14,8 @@ from ..operators.enrich import (
     reference_semi, unmatched, where_key,
 )
 from ..plans.headers import plan_layout
+from ..session import scratch_path
+from ..sources.files import hadoop_write_text
 from ..sources.reference import key_in_filter, read_reference, reference_columns
 from ..spec import EnrichSpec
 from .registry import register
@@ -272,6 +276,17 @@ def missing_targets_q(spark, sf_dir):
         for i, ((col, _), name) in enumerate(zip(plan.missing, plan.appended))])))
 
 
+@register("spec_from_json", f"SELECT f.*, {TARGETS_SQL} {JOIN_SQL}")
+def spec_from_json(spark, sf_dir):
+    """The X1 feed enriched by a spec read from a JSON file in the job's layout."""
+    feed, ref, spec = _x1(spark, sf_dir)
+    path = f"{scratch_path(spark, 'spec')}.json"
+    hadoop_write_text(spark, path, json.dumps({
+        "column_mapping": dict(spec.aliases), "possible_reference_combinations": [list(k) for k in spec.key_combinations],
+        "targets": [list(t) for t in spec.targets], "order_by": list(spec.order_by), "supported_extensions": list(spec.extensions)}))
+    return enrich(feed, ref, EnrichSpec.from_json(path, spark=spark))
+
+
 # --- X4: NA tokens ----------------------------------------------------------
 
 from ..functions.exprs import NA_TOKENS  # noqa: E402

@@ -6,6 +6,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import fixtures as X
 from ..functions.exprs import c
@@ -42,7 +43,7 @@ def _typed(df, names):
 
 def incremental_run(spark, sf_dir):
     """Two drops of CSV feed files, two availableNow runs, then a third run
-    with nothing new. Returns (output path, report path, enriched columns)."""
+    with nothing new. Returns (output path, report path, enriched columns, folder)."""
     root = scratch_path(spark, "incremental")
     inbox, out, ckpt, archive = f"{root}/inbox", f"{root}/out", f"{root}/ckpt", f"{root}/archive"
     hadoop_mkdirs(spark, inbox)
@@ -55,14 +56,14 @@ def incremental_run(spark, sf_dir):
     run_once(spark, inbox, ref, spec, out, ckpt, archive=archive, name=f"ks_incremental_{uuid.uuid4().hex}")
     plan = plan_layout(feed.columns, spec)
     cols = list(feed.columns) + list(plan.appended)
-    return out, out + "_report", cols
+    return out, out + "_report", cols, root
 
 
 @register("incremental_enrich", f"SELECT f.*, {TARGETS_SQL} {JOIN_SQL}")
 def incremental_enrich(spark, sf_dir):
     """New feed files enriched by a file-stream + foreachBatch job (J1, J4):
     the union of both runs equals the batch result."""
-    out, _, cols = incremental_run(spark, sf_dir)
+    out, _, cols, _ = incremental_run(spark, sf_dir)
     return _typed(read_csv_output(spark, out, cols), cols)
 
 
@@ -73,11 +74,25 @@ UNION ALL SELECT 1, count(*), 'success' FROM ({X.X1_FEED_SQL}) f WHERE "Sector"
 def incremental_once(spark, sf_dir):
     """Each file is processed once (J2): rows per batch from the per-batch
     reports; the third run found nothing new and wrote no batch."""
-    _, report, _ = incremental_run(spark, sf_dir)
+    _, report, _, _ = incremental_run(spark, sf_dir)
     r = read_reports(spark, report)
     return r.groupBy("batch_id", "status").agg(F.sum("rows").alias("rows"))
 
 
+@register("incremental_archive", f"""SELECT f.*, CASE WHEN "Sector" <> 'N' THEN true END AS archived FROM ({X.X1_FEED_SQL}) f""")
+def incremental_archive(spark, sf_dir):
+    """Rows of all feed files, moved or not (B4): none is lost by archiving,
+    and the first drop's files are in the archive once a later batch has run."""
+    _, _, cols, root = incremental_run(spark, sf_dir)
+    names = list(X.x1_feed(spark, sf_dir).columns)
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
+    files = spark.read.schema(schema).option("header", True).option("escape", '"').option("recursiveFileLookup", True)
+    found = files.csv(f"{root}/archive").withColumn("moved", F.lit(True))
+    if hadoop_glob(spark, f"{root}/inbox/*.csv"):
+        found = found.unionByName(files.csv(f"{root}/inbox").withColumn("moved", F.lit(False)))
+    return _typed(found, names + ["moved"]).withColumn("archived", F.when(F.col("Sector") != "N", F.col("moved"))).drop("moved")
+
+
 @register("stream_static_enrich", f"SELECT f.*, {TARGETS_SQL} {JOIN_SQL}")
 def stream_static_enrich(spark, sf_dir):
     """Feed rows arriving as parquet files, enriched by a stateless

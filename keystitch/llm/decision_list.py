@@ -17,6 +17,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import bounded_sample
@@ -71,7 +72,6 @@ def training_rows(docs: DataFrame, labels: DataFrame, p: ListParams) -> DataFram
 
 
 def _holds(x, names, tests):
-    import numpy as np
     ok = np.ones(len(x), dtype=bool)
     for n, op, at in tests:
         v = x[:, names.index(n)]
@@ -80,7 +80,6 @@ def _holds(x, names, tests):
 
 
 def _grow(x, drop, names, p: ListParams) -> list[tuple[str, str, float]]:
-    import numpy as np
     tests, cover = [], np.ones(len(x), dtype=bool)
     while len(tests) < p.max_tests:
         pos, neg = int((cover & drop).sum()), int((cover & ~drop).sum())
@@ -112,7 +111,6 @@ def _worth(x, drop, names, tests) -> tuple[float, float]:
 
 def learn(rows: list, p: ListParams = ListParams()) -> list[Rule]:
     """``rows``: (doc_id, quality, rate...) of the sample."""
-    import numpy as np
     rows = sorted(rows, key=lambda r: (r[0], r[1]))
     names = list(RATES)
     x = np.array([[float(v) for v in r[2:]] for r in rows], dtype=np.float64).reshape(len(rows), len(names))

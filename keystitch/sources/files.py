@@ -80,11 +80,14 @@ def discover(spark: SparkSession, directory: str, extensions: Sequence[str] = DE
     length, ext_rank``. Spark's file index lists them (content is pruned); it
     leaves out empty files, which the folder's own listing adds."""
     exts = [e.lower() for e in extensions]
-    empty = [(f.path, f.length) for f in list_feeds(spark, directory, extensions) if f.length == 0]
-    files = spark.createDataFrame(empty, "path string, length bigint")
-    fs, jpath = _fs(spark, directory)
-    if fs.exists(jpath) and any(st.isFile() and st.getLen() > 0 for st in fs.listStatus(jpath)):
-        files = spark.read.format("binaryFile").load(directory).select("path", "length").unionByName(files)
+    listed = list_feeds(spark, directory, extensions)
+    files = spark.createDataFrame([(f.path, f.length) for f in listed if f.length == 0], "path string, length bigint")
+    if any(f.length > 0 for f in listed):
+        # a glob of files, never the folder: sub-folders may hold output partitions
+        either = lambda e: "".join(f"[{x}{x.upper()}]" if x.isalpha() else x for x in e)
+        glob = "{" + ",".join(f"*{either(e)}" for e in exts) + "}"
+        found = spark.read.format("binaryFile").load(f"{directory.rstrip('/')}/{glob}").select("path", "length")
+        files = found.unionByName(files)
     named = files.withColumn("name", F.regexp_extract("path", r"([^/]*)$", 1))
     named = named.withColumn("ext", F.lower(F.regexp_extract("name", r"^.+?(\.[^.]*)?$", 1)))
     named = named.withColumn("ext_rank", (F.array_position(F.array(*[F.lit(e) for e in exts]), F.col("ext")) - 1).cast("int"))
