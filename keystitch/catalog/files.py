@@ -59,17 +59,29 @@ def feed_discovery(spark, sf_dir):
     return d.select("name", "ext", "ext_rank", (F.col("length") > 0).alias("non_empty"))
 
 
-@register("feed_validation", f"""
+def _counted(sql):
+    """The twin's rows with the number of data rows that each file holds."""
+    return f"""SELECT l.*, coalesce(r.rows, 0) AS rows FROM ({sql}) l
+LEFT JOIN (SELECT name, count(*) AS rows FROM ({X.X3_ROWS_SQL}) GROUP BY name) r ON l.name = r.name"""
+
+
+def _with_rows(spark, sf_dir, files):
+    """Per-file metadata beside what the scan of the files finds in them."""
+    rows = _all_rows(spark, sf_dir).groupBy("name").agg(F.count("*").alias("rows"))
+    return files.join(rows, "name", "left").withColumn("rows", F.coalesce("rows", F.lit(0)))
+
+
+@register("feed_validation", _counted(f"""
 SELECT name, CAST(NULL AS VARCHAR) AS reason FROM ({_NAMES})
 UNION ALL SELECT 'header_only.csv', NULL UNION ALL SELECT 'empty.csv', 'empty file'
-UNION ALL SELECT 'missing.csv', 'does not exist' UNION ALL SELECT 'archive', 'not a file'""")
+UNION ALL SELECT 'missing.csv', 'does not exist' UNION ALL SELECT 'archive', 'not a file'"""))
 def feed_validation(spark, sf_dir):
     """Exists / is a file / non-empty, for listed and requested paths."""
     _, feeds = x3_dir(spark, sf_dir)
     paths = [f.path for f in list_feeds(spark, feeds, (".csv",))] + [f"{feeds}/missing.csv", f"{feeds}/archive"]
     rows = validate(spark, paths)
     df = spark.createDataFrame(rows, "path string, reason string")
-    return df.select(_name(F.col("path")), "reason")
+    return _with_rows(spark, sf_dir, df.select(_name(F.col("path")), "reason"))
 
 
 _LAYOUT_SQL = f"""
@@ -99,18 +111,18 @@ def _layout_rows(spark, sf_dir):
     return spark.createDataFrame(rows, "path string, labels string, kept string, key_combo string")
 
 
-@register("csv_layouts", _LAYOUT_SQL)
+@register("csv_layouts", _counted(_LAYOUT_SQL))
 def csv_layouts_q(spark, sf_dir):
     """Header labels per file (blank -> 'Unnamed: n', repeats -> '.1'), kept
     labels after dropping unnamed columns, detected key combination (A4b, A5, C3)."""
     df = _layout_rows(spark, sf_dir)
-    return df.select(_name(F.col("path")), "labels", "kept", "key_combo")
+    return _with_rows(spark, sf_dir, df.select(_name(F.col("path")), "labels", "kept", "key_combo"))
 
 
-@register("key_combo_detect", f"SELECT name, key_combo FROM ({_LAYOUT_SQL})")
+@register("key_combo_detect", _counted(f"SELECT name, key_combo FROM ({_LAYOUT_SQL})"))
 def key_combo_detect(spark, sf_dir):
     """First fully present key combination per file, NULL when none."""
-    return _layout_rows(spark, sf_dir).select(_name(F.col("path")), "key_combo")
+    return _with_rows(spark, sf_dir, _layout_rows(spark, sf_dir).select(_name(F.col("path")), "key_combo"))
 
 
 def _all_rows(spark, sf_dir, with_row_index=False):
@@ -325,7 +337,7 @@ def report_details(spark, sf_dir):
                F.coalesce(F.col("error"), F.lit("Unknown error"))).alias("error_text"))
 
 
-@register("layout_resolution", f"""
+@register("layout_resolution", _counted(f"""
 SELECT name,
   CASE status WHEN 'P' THEN NULL ELSE 'PNR_Number|Airline_Code|Travel_Sector' END AS keys,
   CASE status WHEN 'F' THEN 'Airline PNR|Airline Code|Sector' WHEN 'O' THEN 'PNRNUMBER|airlinecode|sector'
@@ -333,7 +345,7 @@ SELECT name,
   'Taxable_Amount|Booking_Date' AS missing
 FROM ({_NAMES})
 UNION ALL SELECT 'header_only.csv', 'PNR_Number|Airline_Code|Travel_Sector', 'Airline PNR|Airline Code|Sector',
-  'Taxable_Amount|Booking_Date'""")
+  'Taxable_Amount|Booking_Date'"""))
 def layout_resolution(spark, sf_dir):
     """Header resolution, key detection, key sources and missing targets for
     all files' layouts in one DataFrame plan (C1, C3, C4, C6 distributed)."""
@@ -341,5 +353,6 @@ def layout_resolution(spark, sf_dir):
     rows = [(p, i, lay.names[i]) for lay in feeds.layouts for p in lay.paths for i in lay.kept]
     headers = spark.createDataFrame(rows, "layout_id string, pos int, header string")
     plan = plan_layouts(headers, X.x3_spec())
-    return plan.select(_name(F.col("layout_id")), F.array_join("keys", "|").alias("keys"),
-                       F.array_join("sources", "|").alias("sources"), F.array_join("missing", "|").alias("missing"))
+    return _with_rows(spark, sf_dir, plan.select(
+        _name(F.col("layout_id")), F.array_join("keys", "|").alias("keys"),
+        F.array_join("sources", "|").alias("sources"), F.array_join("missing", "|").alias("missing")))
