@@ -34,6 +34,20 @@ def small(df: DataFrame, max_rows: int = 20_000, max_bytes: int = 8 << 20) -> Da
     return F.broadcast(df) if rows <= max_rows and chars <= max_bytes else df
 
 
+#: Texts that a Python worker is handed at once.
+BATCH_ROWS = 1000
+
+
+def in_batches(df: DataFrame, rows: int = BATCH_ROWS) -> DataFrame:
+    """``df``, with the session's Arrow batches at ``rows`` rows at most: a
+    worker's memory follows the texts of one batch, and texts may be long."""
+    key, conf = "spark.sql.execution.arrow.maxRecordsPerBatch", df.sparkSession.conf
+    now = int(conf.get(key, "10000"))
+    if not 0 < now <= rows:
+        conf.set(key, str(rows))
+    return df
+
+
 def map_texts(docs: DataFrame, fn, fields: list[tuple[str, T.DataType]], id_col: str = "doc_id",
               text_col: str = "text") -> DataFrame:
     """One row per document: its id and the values that ``fn(text)`` returns as
@@ -54,7 +68,7 @@ def map_texts(docs: DataFrame, fn, fields: list[tuple[str, T.DataType]], id_col:
             arrays += [pa.array(list(c), type=arrow.field(i + 1).type) for i, c in enumerate(cols)]
             yield pa.RecordBatch.from_arrays(arrays, schema=arrow)
 
-    return src.mapInArrow(run, schema)
+    return in_batches(src).mapInArrow(run, schema)
 
 
 def _arrow_schema(schema: T.StructType):
@@ -117,4 +131,4 @@ def same_columns(df: DataFrame, like: DataFrame) -> DataFrame:
     return df.select([F.col(f"`{c}`") for c in like.columns])
 
 
-__all__ = ["WORD", "table", "cut", "small", "map_texts", "let", "prefix", "matches", "bounded_sample", "same_columns"]
+__all__ = ["WORD", "table", "cut", "small", "map_texts", "in_batches", "let", "prefix", "matches", "bounded_sample", "same_columns"]

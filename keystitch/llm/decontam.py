@@ -23,7 +23,7 @@ from itertools import repeat
 import numpy as np
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from .common import cut, small
+from .common import cut, in_batches, small
 
 _WORDS = re.compile(r"\w+")
 _MIX = 0x9E3779B97F4A7C15
@@ -144,7 +144,7 @@ def gram_counts(docs: DataFrame, block) -> dict[int, np.ndarray]:
             at = np.flatnonzero(n)
             yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), size, dtype=np.int32)), pa.array(at), pa.array(n[at])],
                                              names=["size", "i", "n"])
-    counted = docs.select("text").mapInArrow(run, "size int, i long, n long").groupBy("size", "i").agg(F.sum("n").alias("n"))
+    counted = in_batches(docs.select("text")).mapInArrow(run, "size int, i long, n long").groupBy("size", "i").agg(F.sum("n").alias("n"))
     out = {s: np.zeros(len(g.keys), dtype=np.int64) for s, g in block.value.grams.items()}
     for r in counted.collect():
         out[r["size"]][r["i"]] = r["n"]

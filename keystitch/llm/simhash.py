@@ -29,7 +29,7 @@ from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from .common import cut
+from .common import cut, in_batches
 from .components import connected_components
 
 _CHUNK = 1 << 16
@@ -68,7 +68,7 @@ def fingerprints(docs: DataFrame, shingle: int = 3, seed: int = 42) -> DataFrame
         for b in batches:
             fp = pa.array([fingerprint_of(t.as_py(), shingle, seed) for t in b.column("text")], pa.int64())
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), fp], names=["doc_id", "fp"])
-    return src.mapInArrow(run, schema)
+    return in_batches(src).mapInArrow(run, schema)
 
 
 def _byte(fp: Column, p: int) -> Column:

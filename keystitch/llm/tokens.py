@@ -23,6 +23,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, types as T
 
+from .common import in_batches
+
 #: A space belongs to the word after it; a longer white-space run is one pre-token.
 PRE_TOKEN = re.compile(rb"\x20?[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+")
 #: Terminal counts that a worker keeps between batches before it starts anew.
@@ -104,4 +106,4 @@ def token_counts(docs: DataFrame, vocabulary: str) -> DataFrame:
                 tokens.append(sum(map(kept.__getitem__, found)))
             yield pa.RecordBatch.from_arrays([b.column("doc_id").cast(arrow.field(0).type)] + [pa.array(c, pa.int64()) for c in (sizes, words, tokens)],
                                              schema=arrow)
-    return src.mapInArrow(run, schema)
+    return in_batches(src).mapInArrow(run, schema)

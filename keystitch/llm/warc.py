@@ -118,7 +118,7 @@ def candidates(spark: SparkSession, path: str, names: str = "part-*") -> DataFra
                 rows = [(p.as_py(), *r) for r in records_at(c.as_py())]
                 cols = list(zip(*rows)) if rows else [[] for _ in names]
                 yield pa.RecordBatch.from_arrays([pa.array(list(v), t) for v, t in zip(cols, types)], names=names)
-    return files.mapInArrow(run, schema)
+    return files.mapInArrow(run, schema)   # a partition's files fill spark.sql.files.maxPartitionBytes at most
 
 
 def _jump(t: DataFrame) -> DataFrame:
