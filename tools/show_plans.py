@@ -37,6 +37,8 @@ def main():
          enrich(small, ref, X.x1_spec(ref))),
         ("first_per_key", QUERIES["first_per_key"](spark, sf)),
         ("match_stats", QUERIES["match_stats"](spark, sf)),
+        ("unmatched_rows (keys only, no ranking)", QUERIES["unmatched_rows"](spark, sf)),
+        ("sheet_union (feed and reference read once)", QUERIES["sheet_union"](spark, sf)),
         ("sheets_info", QUERIES["sheets_info"](spark, sf)),
     ]
     print(f"# Physical plans ({sf}, local[8], shuffle partitions 16, AQE on)\n")
