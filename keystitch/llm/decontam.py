@@ -1,12 +1,16 @@
 """Benchmark decontamination: rare n-gram seeds, then Smith-Waterman.
 
 The word n-grams of the test items are counted over all documents. An item's
-seeds are its n-grams that are rare: found in at most ``rare_share`` of as many
-places as there are documents, or at most ``rare_factor`` times as often as the
-item's rarest (so an item that a third of the corpus copies keeps seeds too).
-A second pass joins the documents to the items on the seeds: seeds of one item
-that lie near each other make a passage. Passage and item words are aligned
+n-gram is rare if it is found in at most ``rare_share`` of as many places as
+there are documents, or at most ``rare_factor`` times as often as the item's
+rarest. A second pass joins the documents to the items on all n-grams: those of
+one item that lie near each other make a passage. Rarity only orders the work:
+a passage with a rare n-gram is aligned as it is, one with frequent n-grams only
+where the words that it shares with the item can reach ``min_score`` at all, so
+no copy is lost by how often its words occur. Passage and item words are aligned
 locally; the score is that of the best alignment as a share of the item's own.
+A passage reaches as far as an alignment of ``min_score`` through its n-grams
+can; a copy that has no n-gram of the item intact is not found.
 
 Items are taken in blocks of ``block_chars`` characters at most (a single item
 is never split), so what each task holds is bounded; each block is set against
@@ -32,7 +36,8 @@ _MIX = 0x9E3779B97F4A7C15
 @dataclass(frozen=True)
 class DecontamParams:
     """``n``: words of a seed; ``min_score``: least share of an item's own
-    alignment score; ``pad``: words around a passage, beside the item's length."""
+    alignment score; ``pad``: words between n-grams of a passage, beside the
+    item's length, and the least around it."""
     n: int = 3
     rare_share: float = 0.002
     rare_factor: int = 4
@@ -75,7 +80,7 @@ class Items:
 
     def __init__(self, rows: list[tuple], n: int):
         self.n, self.vocab = n, {}
-        self.ids, self.lengths = [], []
+        self.ids, self.lengths, self.words = [], [], []
         parts: dict[int, list[tuple]] = {}
         for item_id, text in rows:
             w = np.array([self.vocab.setdefault(x, len(self.vocab)) for x in words_of(text)], dtype=np.int64)
@@ -86,6 +91,7 @@ class Items:
             parts.setdefault(size, []).append((keys, np.full(len(keys), len(self.ids), dtype=np.int32), np.arange(len(keys), dtype=np.int32)))
             self.ids.append(item_id)
             self.lengths.append(len(w))
+            self.words.append(np.unique(w, return_counts=True))
         self.grams = {size: Grams.of(*(np.concatenate(x) for x in zip(*p))) for size, p in sorted(parts.items())}
 
     def numbers(self, text: str | None) -> tuple[np.ndarray, list[str]]:
@@ -151,46 +157,57 @@ def gram_counts(docs: DataFrame, block) -> dict[int, np.ndarray]:
     return out
 
 
-def rare_seeds(items: Items, counts: dict[int, np.ndarray], n_docs: int, p: DecontamParams) -> dict[int, Grams]:
-    """The rare n-grams of each item."""
-    seeds = {}
+def rare_places(items: Items, counts: dict[int, np.ndarray], n_docs: int, p: DecontamParams) -> dict[int, np.ndarray]:
+    """For each place of the items' n-grams, whether it is rare for its item;
+    sizes of which the documents hold no n-gram are left out."""
+    rare = {}
     for size, g in items.grams.items():   # an item's n-grams are all of one size
-        lens = np.diff(g.offsets)
-        n = np.repeat(counts[size], lens)
+        n = np.repeat(counts[size], np.diff(g.offsets))
         rarest = np.full(len(items.ids), np.iinfo(np.int64).max)
         np.minimum.at(rarest, g.items, n)
         most = np.maximum(p.rare_share * n_docs, p.rare_factor * np.maximum(1, rarest[g.items].astype(np.float64)))
-        chosen = (n > 0) & (n <= most)
-        if chosen.any():
-            seeds[size] = Grams.of(np.repeat(g.keys, lens)[chosen], g.items[chosen], g.places[chosen])
-    return seeds
+        if n.any():
+            rare[size] = n <= most
+    return rare
 
 
-def passages_of(w: np.ndarray, items: Items, seeds: dict[int, Grams], p: DecontamParams):
-    """``(item, first, end)``: stretches of a text around an item's seeds."""
-    hits: dict[int, list[tuple[int, int]]] = {}
-    for size, at, keys in known_keys(w, seeds):
-        g = seeds[size]
+def shared_words(w: np.ndarray, item: tuple[np.ndarray, np.ndarray]) -> int:
+    """Words that a text and an item (its words, their counts) have in common:
+    no alignment matches more."""
+    known, most = item
+    i = np.minimum(np.searchsorted(known, w), len(known) - 1)
+    return int(np.minimum(np.bincount(i[known[i] == w], minlength=len(known)), most).sum())
+
+
+def passages_of(w: np.ndarray, items: Items, rare: dict[int, np.ndarray], p: DecontamParams):
+    """``(item, first, end)``: stretches of a text around an item's n-grams in
+    which an alignment may reach ``min_score``."""
+    hits: dict[int, list[tuple[int, int, bool]]] = {}
+    for size, at, keys in known_keys(w, rare):
+        g = items.grams[size]
         hit, i = g.find(keys)
         for place, k in zip(at[hit].tolist(), i.tolist()):
             for j in range(g.offsets[k], g.offsets[k + 1]):
-                hits.setdefault(int(g.items[j]), []).append((place, int(g.places[j])))
+                hits.setdefault(int(g.items[j]), []).append((place, int(g.places[j]), bool(rare[size][j])))
     for item, found in hits.items():
         length = items.lengths[item]
-        need = 2 if length >= 8 + items.n else 1
+        # an alignment of min_score has room for so many words that the item does not have
+        reach = max(p.pad, int((1 - p.min_score) * p.match * length / -p.gap))
         found.sort()
+        need = 2 if length >= 8 + items.n else 1
         group = [found[0]]
-        for place, q in found[1:] + [(1 << 60, 0)]:
+        for place, q, r in found[1:] + [(1 << 60, 0, False)]:
             if place - group[-1][0] > length + p.pad:
-                if len(group) >= need:
-                    yield (item, max(0, min(a - b for a, b in group) - p.pad),
-                           min(len(w), max(a - b for a, b in group) + length + p.pad))
+                first = max(0, min(a - b for a, b, _ in group) - reach)
+                end = min(len(w), max(a - b for a, b, _ in group) + length + reach)
+                if len(group) >= need and (any(x for *_, x in group) or shared_words(w[first:end], items.words[item]) >= p.min_score * length):
+                    yield item, first, end
                 group = []
-            group.append((place, q))
+            group.append((place, q, r))
 
 
-def candidate_passages(docs: DataFrame, block, seeds, id_type: T.DataType, item_type: T.DataType, p: DecontamParams) -> DataFrame:
-    """``(doc_id, item_id, first_word, passage)``: rows that share rare seeds."""
+def candidate_passages(docs: DataFrame, block, rare, id_type: T.DataType, item_type: T.DataType, p: DecontamParams) -> DataFrame:
+    """``(doc_id, item_id, first_word, passage)``: rows that share n-grams."""
     schema = T.StructType([T.StructField("doc_id", id_type), T.StructField("item_id", item_type),
                            T.StructField("first_word", T.LongType()), T.StructField("passage", T.StringType())])
 
@@ -198,12 +215,12 @@ def candidate_passages(docs: DataFrame, block, seeds, id_type: T.DataType, item_
         import pyarrow as pa
         from .common import _arrow_schema
         arrow = _arrow_schema(schema)
-        items, rare = block.value, seeds.value
+        items, places = block.value, rare.value
         for b in batches:
             out = []
             for d, t in zip(b.column("doc_id"), b.column("text")):
                 w, words = items.numbers(t.as_py())
-                for item, first, end in passages_of(w, items, rare, p):
+                for item, first, end in passages_of(w, items, places, p):
                     out.append((d.as_py(), items.ids[item], first, " ".join(words[first:end])))
             cols = list(zip(*out)) if out else [[], [], [], []]
             yield pa.RecordBatch.from_arrays([pa.array(list(c), type=arrow.field(i).type) for i, c in enumerate(cols)], schema=arrow)
@@ -227,7 +244,8 @@ def align(item: list[str], passage: list[str], p: DecontamParams) -> tuple[float
         j = int(row.argmax())
         if row[j] > best:
             best, end = int(row[j]), j
-    return best / (p.match * len(a)), end, max(0, end - 2 * len(a))
+    # beside the item's words, it has as many as what it falls short of the item's own score pays for
+    return best / (p.match * len(a)), end, max(0, end - len(a) - (p.match * len(a) - best) // -p.gap)
 
 
 def scored(candidates: DataFrame, items: DataFrame, p: DecontamParams) -> DataFrame:
@@ -264,7 +282,7 @@ def contaminated(docs: DataFrame, items: DataFrame, p: DecontamParams = Decontam
         if not block_items.ids:
             continue
         block = sc.broadcast(block_items)
-        rare = rare_seeds(block_items, gram_counts(src, block), n_docs, p)
+        rare = rare_places(block_items, gram_counts(src, block), n_docs, p)
         if not rare:
             continue
         found = candidate_passages(src, block, sc.broadcast(rare), src.schema["doc_id"].dataType,
@@ -275,7 +293,7 @@ def contaminated(docs: DataFrame, items: DataFrame, p: DecontamParams = Decontam
             src.schema["doc_id"], items.schema["item_id"], T.StructField("first_word", T.LongType()), T.StructField("passage", T.StringType())]))
     best = scored(out, items, p).where(F.col("score") >= p.min_score)
     top = F.max(F.struct("score", (-F.col("first_word")).alias("first"), "end_word"))
-    return (best.groupBy("doc_id", "item_id").agg(top.alias("t"), F.count("*").alias("n_passages"))
+    return (best.groupBy("doc_id", "item_id").agg(top.alias("t"), F.count_distinct("end_word").alias("n_passages"))
             .select("doc_id", "item_id", F.round("t.score", 4).alias("score"), (-F.col("t.first")).alias("first_word"),
                     F.col("t.end_word").alias("end_word"), "n_passages"))
 

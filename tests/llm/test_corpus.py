@@ -142,6 +142,23 @@ def test_decontamination_by_brute_force(spark, make_docs, leaks, block):
     assert exact.score == 1.0 and exact.first_word <= 50 and exact.end_word == 90
 
 
+def test_decontamination_finds_copies_of_frequent_words(spark, make_docs):
+    items = [(0, prose(400, 30)), (1, prose(401, 40))]
+    words = items[0][1].split()
+    rows = [(i, prose(500 + i, 60)) for i in range(200)]
+    rows += [(1000 + i, f"{prose(800 + i, 10)} {' '.join(words[:14] + ['edit'] + words[15:])}") for i in range(100)]   # a third: one edited copy
+    a = items[1][1].split()
+    rows += [(2000, " ".join(x if (i % 3) or i == 18 else f"edit{i}" for i, x in enumerate(a))),   # few n-grams are intact
+             (2001, " ".join(a[:20] + [f"new{i}" for i in range(15)] + [x if i % 3 else f"edit{i}" for i, x in enumerate(a[20:], 1)]))]
+    frame = " ".join(f"frame{i}" for i in range(11))
+    items += [(10 + i, f"{frame} last{i}") for i in range(3)]   # one word tells the items apart
+    rows += [(3000 + i, f"{frame} other") for i in range(80)] + [(4000, f"{prose(9, 20)} {frame} last1")]
+    got = decontam.contaminated(make_docs(rows), spark.createDataFrame(items, "item_id long, text string")).collect()
+    found = {(g.doc_id, g.item_id): g for g in got}
+    assert len(got) == len(found) and found.keys() == brute_leaks(rows, items, decontam.DecontamParams())
+    assert {(1000, 0), (1099, 0), (2000, 1), (2001, 1)} < found.keys() and found[4000, 11].score == 1.0
+
+
 def test_decontamination_clean_and_empty(spark, make_docs, leaks):
     rows, items = leaks
     table, none = spark.createDataFrame(items, "item_id long, text string"), spark.createDataFrame([], "item_id long, text string")
