@@ -194,13 +194,12 @@ def passages_of(w: np.ndarray, items: Items, rare: dict[int, np.ndarray], p: Dec
         # an alignment of min_score has room for so many words that the item does not have
         reach = max(p.pad, int((1 - p.min_score) * p.match * length / -p.gap))
         found.sort()
-        need = 2 if length >= 8 + items.n else 1
         group = [found[0]]
         for place, q, r in found[1:] + [(1 << 60, 0, False)]:
             if place - group[-1][0] > length + p.pad:
                 first = max(0, min(a - b for a, b, _ in group) - reach)
                 end = min(len(w), max(a - b for a, b, _ in group) + length + reach)
-                if len(group) >= need and (any(x for *_, x in group) or shared_words(w[first:end], items.words[item]) >= p.min_score * length):
+                if any(x for *_, x in group) or shared_words(w[first:end], items.words[item]) >= p.min_score * length:
                     yield item, first, end
                 group = []
             group.append((place, q, r))

@@ -159,6 +159,13 @@ def test_decontamination_finds_copies_of_frequent_words(spark, make_docs):
     assert {(1000, 0), (1099, 0), (2000, 1), (2001, 1)} < found.keys() and found[4000, 11].score == 1.0
 
 
+def test_decontamination_one_intact_n_gram(spark, make_docs):
+    item = [f"w{i}" for i in range(12)]
+    rows = [(1, " ".join(x if i not in (2, 5, 9) else f"edit{i}" for i, x in enumerate(item))), (2, "w0 w1 w2 alone")]
+    got = decontam.contaminated(make_docs(rows), spark.createDataFrame([(7, " ".join(item))], "item_id long, text string")).collect()
+    assert [(g.doc_id, g.item_id, g.score) for g in got] == [(1, 7, 0.625)]
+
+
 def test_decontamination_clean_and_empty(spark, make_docs, leaks):
     rows, items = leaks
     table, none = spark.createDataFrame(items, "item_id long, text string"), spark.createDataFrame([], "item_id long, text string")
