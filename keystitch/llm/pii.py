@@ -118,9 +118,13 @@ def proposals(text: str):
         for m in _PHONE.finditer(text):
             if 9 <= len(_only_digits(m[0])) <= 15:
                 yield "phone", m.start(), m.end(), False
-    for m in _IBAN.finditer(text):
-        if n := _iban_end(m[0]):
+    m = _IBAN.search(text)
+    while m:
+        n = _iban_end(m[0])
+        if n:
             yield "iban", m.start(), m.start() + n, True
+        # what lies beyond the confirmed part, or after the first group, is tried again
+        m = _IBAN.search(text, m.start() + (n or 1))
     if "-" in text:
         for m in _SSN.finditer(text):
             if m[1] not in ("000", "666") and m[1] < "900" and m[2] != "00" and m[3] != "0000":

@@ -56,6 +56,18 @@ def test_pii_checksums_and_context_add_spans():
     assert pii.mod97("GB82WEST12345698765432") and pii.luhn("4111111111111111")
 
 
+def test_pii_ibans_in_rows():
+    plain = ["DE89370400440532013000", "GB29NWBK60161331926819", "FR1420041010050500013M02606"]
+    grouped = [" ".join(x[i:i + 4] for i in range(0, len(x), 4)) for x in plain]
+
+    def found(text):
+        return [text[s:e] for k, s, e, _ in pii.find(text) if k == "iban"]
+    assert found("iban " + " ".join(plain)) == plain and found("iban " + " ".join(grouped)) == grouped
+    assert found("account AB12 345678 DE89370400440532013000") == plain[:1]
+    assert found("iban " + ", ".join(plain * 20)) == plain * 20
+    assert len(found(" ".join(["iban AB12 3456"] * 5000 + plain))) == 3
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.text(alphabet="ab1.@+- (9%_é", max_size=40))
 def test_pii_proposers_match_the_patterns(text):
