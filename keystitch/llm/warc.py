@@ -13,7 +13,8 @@ Reading, by boundary-chain verification: tasks search the bytes for the record
 magic and emit each place as a candidate with the offset of its successor, as
 its header tells. Pointer jumping from each file's start then keeps the
 candidates that are reached; a magic inside a payload is not on the chain. Each
-round doubles the reach and is two joins on (file, offset, successor).
+round doubles the reach and is two joins on (file, offset, successor). Headers
+may be of any length. A file whose chain does not reach its end is an error.
 
 Files hold about ``file_bytes`` (one record at least), so a task that reads one
 has a bounded need. Defined results: null html is an empty payload; null url
@@ -33,8 +34,6 @@ from .common import cut, small
 
 MAGIC = b"WARC/1.0\r\n"
 END = "\r\n\r\n"
-#: A header is no longer than this.
-MAX_HEADER = 1 << 16
 _FIELD = re.compile(rb"([A-Za-z-]+):[ \t]*([^\r\n]*)")
 
 
@@ -77,24 +76,31 @@ def write(pages: DataFrame, path: str, min_revisit: int = 1000, file_bytes: int
 def records_at(content: bytes):
     """Candidates of a file: ``(offset, successor, type, page_id, refers_to,
     payload_bytes, digest)``. The payload is looked at only where the successor
-    is the file's end or another magic."""
-    at = content.find(MAGIC)
+    is the file's end or another magic. Magics before the same blank line share
+    what is read of it, so the search is linear in the file's length."""
+    at, head, fields, after, told = content.find(MAGIC), -1, {}, 0, None
     while at >= 0:
-        head = content.find(b"\r\n\r\n", at, at + MAX_HEADER)
-        if head >= 0:
-            fields = {m[1].lower(): m[2] for m in _FIELD.finditer(content, at + len(MAGIC), head)}
-            size = fields.get(b"content-length", b"")
+        if head < at:
+            head = content.find(b"\r\n\r\n", at)
+            if head < 0:
+                return
+            # the last of each name, with its place: a later magic has those behind it
+            fields = {m[1].lower(): (m.start(), m[2]) for m in _FIELD.finditer(content, at + len(MAGIC), head)}
+            size = fields.get(b"content-length", (0, b""))[1]
+            after, told = 0, None
             if size.isdigit() and len(size) < 16:
                 start, n = head + 4, int(size)
-                after = start + n + 4
-                if content[start + n:after] == b"\r\n\r\n" and (after == len(content) or content.startswith(MAGIC, after)):
-                    kind = fields.get(b"warc-type", b"").decode("ascii", "replace")
-                    digest, length = hashlib.sha1(content[start:start + n]).hexdigest(), n
-                    if kind == "revisit":
-                        digest = fields.get(b"warc-payload-digest", b"").decode("ascii", "replace").removeprefix("sha1:")
-                        told = fields.get(b"x-payload-length", b"")
-                        length = int(told) if told.isdigit() else 0
-                    yield at, after, kind, _page(fields.get(b"warc-record-id")), _page(fields.get(b"warc-refers-to")), length, digest
+                if content[start + n:start + n + 4] == b"\r\n\r\n" and (start + n + 4 == len(content) or content.startswith(MAGIC, start + n + 4)):
+                    after, told = start + n + 4, (n, hashlib.sha1(memoryview(content)[start:start + n]).hexdigest())
+        mine = lambda name: fields[name][1] if name in fields and fields[name][0] > at else None
+        if told and mine(b"content-length") is not None:
+            kind = (mine(b"warc-type") or b"").decode("ascii", "replace")
+            length, digest = told
+            if kind == "revisit":
+                digest = (mine(b"warc-payload-digest") or b"").decode("ascii", "replace").removeprefix("sha1:")
+                size = mine(b"x-payload-length") or b""
+                length = int(size) if size.isdigit() else 0
+            yield at, after, kind, _page(mine(b"warc-record-id")), _page(mine(b"warc-refers-to")), length, digest
         at = content.find(MAGIC, at + 1)
 
 
@@ -104,7 +110,8 @@ def _page(urn: bytes | None) -> str | None:
 
 
 def candidates(spark: SparkSession, path: str, names: str = "part-*") -> DataFrame:
-    """Candidate records of the uncompressed archives in ``path``."""
+    """Candidate records of the uncompressed archives in ``path``, and for each
+    file its end: a row without a type that is its own successor."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", names).load(path).select("path", "content")
     schema = ("file string, offset long, successor long, record_type string, page_id string, refers_to string, "
               "payload_bytes long, payload_digest string")
@@ -115,8 +122,10 @@ def candidates(spark: SparkSession, path: str, names: str = "part-*") -> DataFra
         names = ["file", "offset", "successor", "record_type", "page_id", "refers_to", "payload_bytes", "payload_digest"]
         for b in batches:
             for p, c in zip(b.column("path"), b.column("content")):
-                rows = [(p.as_py(), *r) for r in records_at(c.as_py())]
-                cols = list(zip(*rows)) if rows else [[] for _ in names]
+                content = c.as_py()
+                rows = [(p.as_py(), *r) for r in records_at(content)]
+                rows.append((p.as_py(), len(content), len(content), None, None, None, None, None))
+                cols = list(zip(*rows))
                 yield pa.RecordBatch.from_arrays([pa.array(list(v), t) for v, t in zip(cols, types)], names=names)
     return files.mapInArrow(run, schema)   # a partition's files fill spark.sql.files.maxPartitionBytes at most
 
@@ -143,7 +152,11 @@ def reachable(found: DataFrame) -> DataFrame:
 def read(spark: SparkSession, path: str, id_type: str = "long") -> DataFrame:
     """One row per verified record of the archives in ``path``."""
     found = cut(candidates(spark, path))
-    return found.join(reachable(found), ["file", "offset"], "left_semi").select(
+    reached = cut(reachable(found))
+    broken = found.where("record_type is null").join(reached, ["file", "offset"], "left_anti").select("file", "offset").take(5)
+    if broken:
+        raise ValueError("records do not reach the file's end: " + ", ".join(f"{f} ({n} bytes)" for f, n in broken))
+    return found.where("record_type is not null").join(reached, ["file", "offset"], "left_semi").select(
         F.col("page_id").cast(id_type).alias("page_id"), "payload_bytes", "payload_digest", "record_type",
         F.col("refers_to").cast(id_type).alias("refers_to"))
 

@@ -266,6 +266,27 @@ def test_warc_files_are_plain_archives(spark, scratch):
     assert seen == {r[2] for r in rows}
 
 
+def test_warc_long_headers(spark):
+    rows = [(i, f"http://h/{i}", f"body {i}") for i in range(20)]
+    rows += [(100, "data:" + "x" * 70_000, "long"), (101, "data:" + "WARC/1.0" * 30_000, "longer")]
+    got = warc.round_trip(pages_frame(spark, rows).repartition(1)).collect()
+    assert {(g.page_id, g.payload_bytes) for g in got} == {(i, len(x)) for i, _, x in rows} and len(got) == len(rows)
+
+
+def test_warc_broken_chain_is_an_error(spark, scratch):
+    warc.write(pages_frame(spark, [(i, "u", f"body {i}") for i in range(5)]).repartition(1), scratch)
+    assert warc.read(spark, scratch).count() == 5
+    spark.createDataFrame([("WARC/1.0\r\nContent-Length: 9\r\n\r\nshort\r\n\r\n",)], "value string").write.mode("append").option("lineSep", "\n").text(scratch)
+    with pytest.raises(ValueError, match="do not reach"):
+        warc.read(spark, scratch)
+
+
+def test_warc_many_magics_take_linear_time():
+    for body in (b"x: WARC/1.0\r\n" * 50_000, b"yWARC/1.0\r\n" * 50_000):
+        record = b"WARC/1.0\r\nContent-Length: %d\r\n\r\n%s\r\n\r\n" % (len(body), body)
+        assert [r[0] for r in warc.records_at(record + record) if r[1] == len(record)] == [0]
+
+
 def test_warc_empty_table_and_repeated_rows(spark):
     assert warc.round_trip(pages_frame(spark, [])).collect() == []
     same = [(1, "u", "y" * 2000)] * 3 + [(0, "u", "y" * 2000)]
