@@ -108,7 +108,7 @@ KEYWORDS = {
     "sspl": ("sspl", "server side public"), "libpng": ("png",), "wtfpl": ("wtfpl", "do what the"), "psf": ("psf", "python software foundation"),
     "ncsa": ("ncsa",), "ofl": ("ofl", "open font license"), "ms": ("microsoft", "ms pl", "ms rl"), "odbl": ("odbl", "open database license"),
     "odc": ("odc by", "open data commons"), "pddl": ("pddl", "public domain dedication"), "cc0": ("cc0", "cc zero", "creative commons zero"),
-    "cc": ("cc by", "creative commons"),
+    "cc": ("cc by", "cc attribution", "creative commons"),
 }
 
 # Signatures of license bodies: pattern over words, label (fixed values).
@@ -140,10 +140,6 @@ TEMPLATES = (
     ("(?:{name})", 2, 0.75),   # of names that hold the word themselves
 )
 
-#: A text with none of these is tried against no rule.
-GATE = r"(?i)licen[cs]|public[^a-z]+domain|permission[^a-z]+(?:is|to)|redistribut|rights[^a-z]+reserved|creative[^a-z]+commons|free[^a-z]+software|nor[^a-z]+the[^a-z]+names"
-
-
 @dataclass(frozen=True)
 class Rule:
     pattern: str
@@ -151,6 +147,8 @@ class Rule:
     priority: int
     keywords: tuple[str, ...]
     score: float
+    #: What a text with a match holds from the start of a word on: a pattern that other rules share, one that follows it.
+    needs: tuple[str, str]
 
 
 def rules() -> list[Rule]:
@@ -162,11 +160,26 @@ def rules() -> list[Rule]:
             first = label.split("-")[0]
             if pattern == "(?:{name})" and "licen" not in name:
                 continue
-            out.append(Rule(pattern.format(name=name, id=ident), label, priority, KEYWORDS.get(first, (first,)), score))
-    out += [Rule(p, label, 1, tuple(x.split(" .")[0] for x in p.split("|")), 0.7) for p, label in BODIES]
+            head = pattern.split("(?:{name})")[0]
+            needs = ("licen[cs]", "") if "licen" in pattern.removesuffix("(?: licen[cs]e)?").replace("licensed|", "") else (head, name)
+            out.append(Rule(pattern.format(name=name, id=ident), label, priority, KEYWORDS.get(first, (first,)), score, needs))
+    for p, label in BODIES:
+        words = tuple(x.split(" .")[0] for x in p.split("|"))
+        out.append(Rule(p, label, 1, words, 0.7, ("", "|".join(words))))
     return sorted(out, key=lambda r: -r.priority)
 
 
+def gate(table: list[Rule]) -> str:
+    """A pattern for texts as given: one without a match has no match of a rule
+    and no base phrase."""
+    parts: dict[str, dict[str, None]] = {"": {p: None for p, _ in PHRASES}}
+    for r in table:
+        parts.setdefault(r.needs[0], {})[r.needs[1]] = None
+    spaced = lambda p: p.replace(" ", f"(?:{BETWEEN})")
+    each = "|".join(f"{spaced(head)}(?:{'|'.join(map(spaced, rest))})" for head, rest in parts.items())
+    return f"(?i)(?<!{WORDS[:-1]})(?:{each})"
+
+
 def _count_words(s: Column) -> Column:
     return F.regexp_count(s, F.lit("[^ ]+"))
 
@@ -188,9 +201,12 @@ def base_places(line: Column) -> Column:
 
 def rule_places(line: Column, table: list[Rule]) -> Column:
     """Places of all rules whose keyword the line holds, in words."""
-    rows = F.array(*[F.struct(F.lit(r.pattern).alias("pattern"), F.array(*[F.lit(k) for k in r.keywords]).alias("keywords"),
-                              F.lit(r.priority).alias("priority"), F.lit(i).alias("rule")) for i, r in enumerate(table)])
-    tried = F.filter(rows, lambda r: F.exists(r["keywords"], lambda k: F.contains(line, k)))
+    sets: dict[tuple[str, ...], list[Column]] = {}   # a set of keywords is looked for once, not for each of its rules
+    for i, r in enumerate(table):
+        sets.setdefault(r.keywords, []).append(F.struct(F.lit(r.pattern).alias("pattern"), F.lit(r.priority).alias("priority"), F.lit(i).alias("rule")))
+    rows = F.array(*[F.struct(F.array(*[F.lit(k) for k in ks]).alias("keywords"), F.array(*rs).alias("rules")) for ks, rs in sets.items()])
+    held = F.filter(rows, lambda r: F.exists(r["keywords"], lambda k: F.contains(line, k)))
+    tried = F.flatten(F.transform(held, lambda r: r["rules"]))
     each = F.transform(tried, lambda r: F.when(
         F.rlike(line, _whole(r["pattern"])), F.transform(matches(line, _whole(r["pattern"]), _count_words), lambda m: F.struct(
             m["start"].alias("start"), m["end"].alias("end"), r["priority"].alias("priority"), r["rule"].alias("rule")))))
@@ -222,7 +238,7 @@ def scan(docs: DataFrame, table: list[Rule] | None = None) -> DataFrame:
     # translate, as lower() would also change letters beyond ASCII
     line = F.translate(F.concat(F.lit(" "), F.array_join(F.regexp_extract_all(text, F.lit(WORDS), F.lit(0)), " "), F.lit(" ")),
                         "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    places = F.when(text.rlike(GATE), let(line, lambda line: F.struct(
+    places = F.when(text.rlike(gate(table)), let(line, lambda line: F.struct(
         base_places(line).alias("base"), suppress(rule_places(line, table)).alias("found"))))
     return docs.withColumns({"n_words": F.regexp_count(text, F.lit(WORDS)).cast("long"), "__places": places}).select(
         *[F.col(f"`{c}`") for c in docs.columns if c not in ("n_words", "base", "found")], "n_words",

@@ -1,5 +1,7 @@
 """PII, secrets and licenses against brute-force versions."""
 
+import re
+
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
@@ -138,6 +140,45 @@ def test_licenses_labels(make_docs):
     assert got[304] == "" or "mit" not in got[304].split(",")
 
 
+def test_licenses_without_the_word(make_docs):
+    rows = [(1, "Released under GPL version 3."), (2, "distributed under the terms of the MPL 2.0"), (3, "available under CC0"),
+            (4, "Code available under Apache 2.0."), (5, "available under CC BY-SA 4.0"), (6, "commit to the submitted limits")]
+    got = {r.doc_id: (r.labels, r.score) for r in licenses.digest(licenses.scan(make_docs(rows).select("doc_id", "text"))).collect()}
+    assert got == {1: ("gpl-3.0", 0.95), 2: ("mpl-2.0", 0.95), 3: ("cc0-1.0", 0.95), 4: ("apache-2.0", 0.95), 5: ("cc-by-sa-4.0", 0.95), 6: ("", 0.0)}
+
+
+def test_licenses_no_match_of_a_rule_fails_the_gate():
+    import random
+    from re import _parser as parser
+    r, table = random.Random(5), licenses.rules()
+
+    def sample(tree):
+        out = ""
+        for op, arg in tree:
+            op = str(op)
+            if op == "LITERAL":
+                out += chr(arg)
+            elif op == "ANY":
+                out += r.choice("ab ")
+            elif op == "SUBPATTERN":
+                out += sample(arg[3])
+            elif op == "BRANCH":
+                out += sample(r.choice(arg[1]))
+            elif op == "MAX_REPEAT":
+                out += "".join(sample(arg[2]) for _ in range(r.randint(arg[0], min(arg[1], 3))))
+            else:
+                assert op == "IN", op
+                out += chr(r.choice(arg)[1])
+        return out
+    gate = re.compile(licenses.gate(table))
+    for rule in table:
+        for _ in range(20):
+            text = sample(parser.parse(rule.pattern))
+            assert re.fullmatch(rule.pattern, text) and any(k in text for k in rule.keywords), (rule, text)
+            shown = "".join(r.choice((" ", "-", "\n * ", ", ")) if c == " " else r.choice((c, c.upper())) for c in text)
+            assert gate.search(f"see: {shown}!"), (rule, shown)
+
+
 def test_licenses_containment_and_priority(spark):
     cols = "struct<start:bigint,end:bigint,priority:int,rule:int>"
     df = spark.createDataFrame([([(0, 5, 3, 0), (1, 3, 2, 1), (4, 7, 2, 2), (4, 7, 2, 3), (5, 6, 3, 4), (0, 5, 1, 9)],)], f"a array<{cols}>")
