@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decision_list, decontam, licenses, mixing, pii, quality, secrets, simhash, tokens, warc
+from . import decision_list, decontam, licenses, mixing, pii, quality, secrets, simhash, tokens, toxicity, warc
 from .common import table
 
 #: Path of the token counts' vocabulary (a parameter; never copied here).
@@ -126,3 +126,10 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, seed=42, max_bits=2).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@_query("op11_toxicity")
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document."""
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.scores(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
