@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decision_list, decontam, licenses, mixing, pii, quality, secrets, simhash, tokens, toxicity, warc
+from . import decision_list, decontam, licenses, mixing, pii, quality, search, secrets, simhash, tokens, toxicity, warc
 from .common import table
 
 #: Path of the token counts' vocabulary (a parameter; never copied here).
@@ -133,3 +133,25 @@ def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of every document."""
     docs = table(spark, sf_dir, "documents")
     return toxicity.scores(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
+@_query("op12_ranked_search", r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, terms, CAST(len(terms) AS HUGEINT) AS n FROM (
+       SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                         '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents) WHERE len(terms) > 0),
+i AS (SELECT row_number() OVER () AS k, item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                         '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM benchmark),
+q AS (SELECT k, item_id, term, count(*) AS times FROM (SELECT k, item_id, unnest(terms) AS term FROM i) GROUP BY ALL),
+tot AS (SELECT CAST(count(*) AS HUGEINT) AS n_docs, sum(n) AS n_terms FROM d),
+p AS (SELECT r, doc_id, n, term, CAST(count(*) AS HUGEINT) AS tf FROM (SELECT r, doc_id, n, unnest(terms) AS term FROM d) GROUP BY ALL),
+v AS (SELECT term, CAST(floor(1000 * ln(CAST(2 * max(n_docs) + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS HUGEINT) AS w
+      FROM p, tot WHERE term IN (SELECT term FROM q) GROUP BY term),
+s AS (SELECT k, item_id, r, doc_id,
+             sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * n_docs) // n_terms)))) AS score
+      FROM q JOIN v USING (term) JOIN p USING (term), tot GROUP BY ALL),
+o AS (SELECT k, item_id, doc_id, score, row_number() OVER (PARTITION BY k ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM s WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, CAST(score AS BIGINT) AS score FROM o WHERE rank <= 20
+""")
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best documents of every benchmark item."""
+    return search.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from keystitch.llm import toxicity as X
 from keystitch.llm.common import table
 
-SF = "/root/testdata/sf0.01"
+SF = "/root/testdata/sf0.1"
 
 
 def _plain_isotonic(x, y, w):
@@ -92,11 +92,8 @@ def test_held_out_accuracy(spark):
     assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 3 == 1) for r in rows)
     test = [r for r in rows if r["held_out"]]
     good = [r["predicted"] for r in test if r["toxic"] == 0]
-    bad = sorted((r["score"] for r in test if r["toxic"] == 1), reverse=True)
-    assert sum(good) <= 0.02 * len(good)
-    # ranked above nearly all harmless documents, though 33 toxic ones were there to learn from
-    auc = np.mean([(b > g) + 0.5 * (b == g) for b in bad for g in (r["score"] for r in test if r["toxic"] == 0)])
-    assert auc > 0.9 and len(bad) > 10
+    bad = [r["predicted"] for r in test if r["toxic"] == 1]
+    assert len(bad) > 100 and sum(good) <= 0.01 * len(good) and sum(bad) >= 0.9 * len(bad), (sum(good), len(good), sum(bad), len(bad))
 
 
 def test_only_texts_of_training_rows_decide(spark, make_docs):
