@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decision_list, decontam, licenses, mixing, pii, quality, search, secrets, simhash, tokens, toxicity, warc
+from . import collocations, decision_list, decontam, licenses, mixing, pii, quality, search, secrets, simhash, tokens, toxicity, warc
 from .common import table
 
 #: Path of the token counts' vocabulary (a parameter; never copied here).
@@ -155,3 +155,27 @@ SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, CAST(score AS BIGINT) AS
 def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The best documents of every benchmark item."""
     return search.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@_query("op13_collocations", r"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+       translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+k AS (SELECT unnest([1, 2, 3, 4]) AS words),
+g AS (SELECT lang, words, w, unnest(range(1, len(w) - words + 2)) AS i FROM w, k WHERE len(w) >= words),
+f AS (SELECT lang, words, array_to_string(w[i:i + words - 1], ' ') AS phrase, count(*) AS f FROM g GROUP BY ALL),
+n AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE words = 1 GROUP BY lang),
+c AS (SELECT lang, words, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE words > 1 AND f >= 30),
+cuts AS (SELECT *, unnest(range(1, words)) AS k FROM c),
+s AS (SELECT cuts.lang, cuts.phrase, cuts.words, cuts.w, a, k, x.f AS l, y.f AS r, (CAST(2000000 AS HUGEINT) * a) // (CAST(x.f AS HUGEINT) + y.f) AS score FROM cuts
+      JOIN f x ON x.lang = cuts.lang AND x.phrase = array_to_string(cuts.w[1:k], ' ')
+      JOIN f y ON y.lang = cuts.lang AND y.phrase = array_to_string(cuts.w[k + 1:cuts.words], ' ')),
+worst AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+kept AS (SELECT * FROM worst t WHERE NOT EXISTS (
+      SELECT 1 FROM c o WHERE o.lang = t.lang AND o.words > t.words AND 100 * o.a >= 80 * t.a AND contains(' ' || o.phrase || ' ', ' ' || t.phrase || ' '))),
+o AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT o.lang, rank, phrase, a, l, r, n.n, CAST(score AS BIGINT) AS score FROM o JOIN n ON n.lang = o.lang WHERE rank <= 2000
+""")
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The strongest phrases of each language."""
+    return collocations.collocations(table(spark, sf_dir, "documents"))
