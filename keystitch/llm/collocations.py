@@ -115,8 +115,8 @@ def phrase_hashes(ids: np.ndarray, hashes: np.ndarray, max_words: int):
 class Bits:
     """A bitmap over counters."""
 
-    def __init__(self, data: bytes, bits: int):
-        self.data, self.shift = np.frombuffer(data, np.uint8), np.uint64(64 - bits)
+    def __init__(self, packed: bytes, bits: int):
+        self.data, self.shift = np.frombuffer(zlib.decompress(packed), np.uint8), np.uint64(64 - bits)
 
     def has(self, h: np.ndarray) -> np.ndarray:
         at = h >> self.shift
@@ -243,6 +243,11 @@ def count_step(docs: DataFrame, now: bytes, before: bytes, first_cycle: bool, p:
     return rows.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(add, kind)
 
 
+def bitmap(counters: np.ndarray, p: PhraseParams) -> bytes:
+    """Counters that reach the threshold, one bit each, compressed: tasks get it with their code."""
+    return zlib.compress(np.packbits(counters >= p.min_count, bitorder="little").tobytes(), 1)
+
+
 def reached(spark: SparkSession, path: str, p: PhraseParams, trace: list | None = None) -> bytes:
     """Bitmap of the counters that reach the threshold once all cycles are
     done. The driver holds the counters and a bitmap per step of a cycle, of
@@ -250,14 +255,14 @@ def reached(spark: SparkSession, path: str, p: PhraseParams, trace: list | None
     size = 1 << p.bits
     bucket = min(_BUCKET, size)
     counters = np.zeros(size, np.uint8)
-    maps = [bytes(max(1, size // 8))] * (p.shards + 1)   # before step t - shards .. before step t
+    maps = [bitmap(counters, p)] * (p.shards + 1)   # before step t - shards .. before step t
     step = 0
     while step < p.shards or maps[-1] != maps[0]:
         docs = _read(spark, path).where(F.col("shard") == step % p.shards)
         for row in count_step(docs, maps[-1], maps[0], step < p.shards, p).collect():
             part = counters[row["bucket"] * bucket:(row["bucket"] + 1) * bucket]
             part[:] = np.minimum(part.astype(np.int64) + np.frombuffer(zlib.decompress(bytes(row["counters"])), np.uint8), 255)
-        maps = maps[1:] + [np.packbits(counters >= p.min_count, bitorder="little").tobytes()]
+        maps = maps[1:] + [bitmap(counters, p)]
         step += 1
         if trace is not None:
             trace.append(int((counters >= p.min_count).sum()))

@@ -85,7 +85,8 @@ def test_phrase_is_counted_in_one_full_cycle():
     shards = [["a b c a b c"] * 3, ["a b c d"] * 3, ["x a b"] * 3]
     bits, size, low = 16, 1 << 16, 3
     counters = np.zeros(size, np.int64)
-    maps = [bytes(size // 8)] * (len(shards) + 1)
+    p = PhraseParams(min_count=low, bits=bits)
+    maps = [X.bitmap(counters, p)] * (len(shards) + 1)
     steps = []
     while len(steps) < len(shards) or maps[-1] != maps[0]:
         w = X.Words("en")
@@ -97,7 +98,7 @@ def test_phrase_is_counted_in_one_full_cycle():
             np.add.at(counters, (h >> np.uint64(64 - bits)).astype(np.int64), 1)
             seen.append(len(h))
         steps.append(seen)
-        maps = maps[1:] + [np.packbits(counters >= low, bitorder="little").tobytes()]
+        maps = maps[1:] + [X.bitmap(counters, p)]
     w = X.Words("en")
     for t in (t for s in shards for t in s):
         w.add(t)
