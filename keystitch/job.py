@@ -87,8 +87,7 @@ class Unit:
 
 def _only(lay: CsvLayout, paths: Sequence[str]) -> CsvLayout:
     """The layout with some of its files."""
-    return CsvLayout(lay.names, lay.kept, list(paths), {p: n for p, n in lay.lead.items() if p in paths},
-                     {p: n for p, n in lay.sizes.items() if p in paths})
+    return CsvLayout(lay.names, lay.kept, list(paths), {p: n for p, n in lay.sizes.items() if p in paths})
 
 
 def _text(e: Exception) -> str:
@@ -103,7 +102,7 @@ def _failure(path, status, reason):
 
 def enrich_directory(spark: SparkSession, directory: str, reference: DataFrame, spec: EnrichSpec,
                      out: str | None = None, *, run_id: str | None = None, ts: datetime | None = None,
-                     fmt: str = "csv", paths: Sequence[str] | None = None, multiline="auto",
+                     fmt: str = "csv", paths: Sequence[str] | None = None,
                      reduce_reference="auto", on_error: str = "raise", parallel_layouts: int = 4) -> JobResult:
     """Enrich every supported feed in ``directory`` (or the given ``paths``).
 
@@ -120,7 +119,7 @@ def enrich_directory(spark: SparkSession, directory: str, reference: DataFrame,
     try:
         with job_settings(spark, **{"spark.sql.caseSensitive": "true"}):
             return _run_directory(spark, directory, reference, spec, out, rows, run_id=run_id, ts=ts, fmt=fmt,
-                                  paths=paths, multiline=multiline, reduce_reference=reduce_reference,
+                                  paths=paths, reduce_reference=reduce_reference,
                                   parallel_layouts=parallel_layouts)
     except Exception:
         if on_error != "report":
@@ -129,7 +128,7 @@ def enrich_directory(spark: SparkSession, directory: str, reference: DataFrame,
         return JobResult(report, run_summary(report, status="critical_error"))
 
 
-def _run_directory(spark, directory, reference, spec, out, rows, *, run_id, ts, fmt, paths, multiline,
+def _run_directory(spark, directory, reference, spec, out, rows, *, run_id, ts, fmt, paths,
                    reduce_reference, parallel_layouts) -> JobResult:
     if paths is None:
         files = list_feeds(spark, directory, spec.extensions)
@@ -165,7 +164,7 @@ def _run_directory(spark, directory, reference, spec, out, rows, *, run_id, ts,
         rows.append(_failure(p, "failed", why))
     for lay in layouts.layouts:
         units.append(Unit(list(lay.paths), lay.columns, lambda paths, lay=lay: read_layout(
-            spark, _only(lay, paths), multiline=multiline, file_col=FILE, problem_col=PROBLEM)))
+            spark, _only(lay, paths), file_col=FILE, problem_col=PROBLEM)))
 
     if books:
         from .sources.workbook import read_workbooks

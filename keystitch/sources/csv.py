@@ -4,30 +4,30 @@ Files in one directory may carry different headers. Spark never names the
 columns from the header (H1: its duplicate-name rules differ from the job's);
 instead each file's first record is probed as metadata, files are grouped by
 header signature, and each group is read with one positional all-string
-schema (``header=True`` only skips the header record). Per group that is a
-single splittable scan; the groups' enriched frames are unioned by name.
-
-What a file's rows are depends on its bytes only, never on its size: a quote
-parity scan tells which files hold a quoted line break, those are read
-multi-line (one task a file), all others line by line (splittable). In both,
-lines of spaces and tabs are no rows, a row with fewer fields than the header
-is filled with NULL, and one with more fields, or with bytes that are not text
-in the encoding, is marked: the job fails that file.
+schema. Per group that is a single splittable scan; the groups' enriched
+frames are unioned by name.
+
+Records come from :mod:`.records`: quoted line breaks are honoured in every
+split, and what a file's rows are depends on its bytes only, never on its size
+or splits. Lines of spaces and tabs are no rows, a row with fewer fields than
+the header is filled with NULL; a row with more fields, bytes that are not
+text in the encoding, or a quoted cell that the file's end leaves open are
+marked: the job fails that file.
 """
 
 from __future__ import annotations
 
 from collections import Counter
 from dataclasses import dataclass, field
-from functools import reduce
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.exprs import NA_TOKENS, c, na_to_null
 from ..operators.enrich import broadcast_threshold
+from . import records as R
 from .files import list_feeds, parse_header, probe_headers  # noqa: F401
 
 SOURCE_FILE = "source_file"
@@ -62,7 +62,6 @@ class CsvLayout:
     names: tuple[str, ...]          # all labels, header order
     kept: tuple[int, ...]           # positions kept after A5
     paths: list[str] = field(default_factory=list)
-    lead: dict[str, int] = field(default_factory=dict)    # white-space-only lines before the header, where any
     sizes: dict[str, int] = field(default_factory=dict)   # from the listing, when known
 
     @property
@@ -98,37 +97,28 @@ def csv_layouts(spark: SparkSession, paths: Sequence[str], delimiter: str = ",",
         if lay is None:
             lay = groups[names] = CsvLayout(names, tuple(kept_positions(names)))
         lay.paths.append(p)
-        if header.lead:
-            lay.lead[p] = header.lead
         if p in sizes:
             lay.sizes[p] = sizes[p]
     return CsvFeeds(list(groups.values()), failures)
 
 
-def _max_split(spark: SparkSession) -> int:
+def _conf_bytes(spark: SparkSession, key: str, default: int) -> int:
     try:
-        return int(str(spark.conf.get("spark.sql.files.maxPartitionBytes", "134217728")).rstrip("b"))
-    except ValueError:
-        return 128 << 20
+        return int(str(spark.conf.get(key, str(default))).rstrip("b"))
+    except ValueError:   # with a unit: take the least there is
+        return 0
 
 
-def files_with_quoted_newlines(spark: SparkSession, paths: Sequence[str], quote: str = '"',
-                               encoding: str = "UTF-8") -> set[str]:
-    """Files holding a line with an odd number of quote characters — the only
-    way a quoted field can continue on the next line. One distributed text
-    scan over the given files; the answer is one row per such file."""
-    if not paths:
-        return set()
-    lines = spark.read.option("encoding", encoding).text(list(paths)).select(
-        F.col("_metadata.file_path").alias("f"),
-        (F.length("value") - F.length(F.regexp_replace("value", quote, ""))).alias("q"))
-    odd = lines.filter(F.col("q") % 2 == 1).select("f").distinct()
-    return {r["f"] for r in odd.collect()}   # at most one row per listed file
+def may_split(spark: SparkSession, sizes: dict[str, int]) -> list[str]:
+    """Files that a scan may deal to several tasks; smaller ones never are."""
+    whole = min(_conf_bytes(spark, "spark.sql.files.maxPartitionBytes", 128 << 20),
+                _conf_bytes(spark, "spark.sql.files.openCostInBytes", 4 << 20))
+    return [p for p, n in sizes.items() if n > whole]
 
 
 def _file_sizes(spark: SparkSession, paths: Sequence[str], known: dict[str, int] | None = None) -> dict[str, int]:
     from .files import _fs
-    out = dict(known or {})
+    out = {p: known[p] for p in paths if known and p in known}
     for p in paths:
         if p not in out:
             fs, jp = _fs(spark, p)
@@ -136,119 +126,110 @@ def _file_sizes(spark: SparkSession, paths: Sequence[str], known: dict[str, int]
     return out
 
 
-def _multiline_groups(spark: SparkSession, paths: Sequence[str], multiline,
-                      encoding: str = "UTF-8") -> list[tuple[list[str], bool]]:
-    """(paths, multiLine) read groups. ``"auto"``: files in which the parity
-    scan finds a quoted line break are read multi-line, whatever their size."""
-    if multiline is True or multiline is False:
-        return [(list(paths), multiline)]
-    quoted = files_with_quoted_newlines(spark, paths, encoding=encoding)
-    multi = [p for p in paths if _same_file(p, quoted)]
-    flat = [p for p in paths if p not in multi]
-    return [(g, m) for g, m in ((multi, True), (flat, False)) if g]
+_BAD, _TEXT, _CELLS = "__ks_bad", "__ks_text", "__ks_cells"
 
 
-def _same_file(path: str, found: set[str]) -> bool:
-    if path in found:
-        return True
-    norm = path.replace("file:///", "file:/")
-    return any(f.replace("file:///", "file:/") == norm for f in found)
-
-
-_BAD = "__ks_raw"
-_BLOCK = "__ks_blk"
-_WHITE = r"\A[ \t\r\n]*\z"
+def _kind(encoding: str) -> str:
+    """``utf8``; ``wide``: a line feed is not one byte of its own, so files are
+    not split; ``bytes``: any other."""
+    name = encoding.lower().replace("-", "").replace("_", "")
+    return "utf8" if name in ("utf8", "ascii", "usascii") else "wide" if name.startswith(("utf16", "utf32")) else "bytes"
 
 
 def _fields(raw: Column, delimiter: str) -> Column:
-    """Number of fields of a raw record: delimiters outside quotes, and one."""
-    bare = F.regexp_replace(raw, '"[^"]*"', "")
+    """Number of fields of a raw record: delimiters outside quoted cells, and
+    one. A quote opens a cell only as its first character."""
+    bare = F.regexp_replace(raw, rf'(^|\Q{delimiter}\E)"[^"]*+(?:""[^"]*+)*+"', "$1")
     return (F.length(bare) - F.length(F.replace(bare, F.lit(delimiter), F.lit("")))) / len(delimiter) + 1
 
 
-def _read_group(spark: SparkSession, paths: Sequence[str], n: int, multi: bool, header: bool, delimiter: str,
-                encoding: str, file_col: str) -> DataFrame:
-    """Rows of one read group: ``_c0`` .. ``_c{n-1}``, the raw text of a record
-    with another number of fields, file and split; blank lines are dropped."""
-    schema = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(n)]
-                          + [T.StructField(_BAD, T.StringType())])
-    rows = (spark.read.schema(schema).option("header", header).option("enforceSchema", True)
-            .option("sep", delimiter).option("quote", '"').option("escape", '"')
-            .option("multiLine", multi).option("mode", "PERMISSIVE").option("encoding", encoding)
-            .option("columnNameOfCorruptRecord", _BAD).csv(list(paths)))
-    rows = rows.select("*", F.col("_metadata.file_path").alias(file_col),
-                       F.col("_metadata.file_block_start").alias(_BLOCK))
-    blank = F.col("_c0").rlike(_WHITE)
-    if n > 1:   # a lone white-space field, not a row that begins with one
-        blank = blank & F.col(_BAD).rlike(_WHITE)
-    return rows.filter(~F.coalesce(blank, F.lit(False)))
-
-
-def read_layout(spark: SparkSession, layout: CsvLayout, *, delimiter: str = ",", multiline="auto",
-                na_tokens: Sequence[str] = NA_TOKENS, with_row_index: bool = False, encoding: str = "UTF-8",
-                file_col: str = SOURCE_FILE, problem_col: str | None = None) -> DataFrame:
+def _wide_rows(spark: SparkSession, paths: Sequence[str], delimiter: str, encoding: str) -> DataFrame:
+    """Rows of :data:`records.SCHEMA`, as UTF-8, of files whose line feeds take
+    several bytes: one task reads a file whole."""
+    quotes = R.Quotes(delimiter)
+    files = spark.read.format("binaryFile").load(list(paths)).select(F.xxhash64("_metadata.file_path").alias("f"), "content")
+
+    def run(batches):
+        import pyarrow as pa
+        for b in batches:
+            for fid, content in zip(b.column(0).to_pylist(), b.column(1)):
+                lines = content.as_py().decode(encoding, "replace").removeprefix("﻿").encode().split(b"\n")
+                st = R.Stitcher(quotes, set(), {})
+                st.begin(fid, 0, True)
+                st.lines(pa.array(lines, pa.binary()))   # text behind the last line feed, or a blank line
+                st.end()
+                yield st.batch()
+    return files.mapInArrow(run, R.SCHEMA)
+
+
+def read_layout(spark: SparkSession, layout: CsvLayout, *, delimiter: str = ",", na_tokens: Sequence[str] = NA_TOKENS,
+                with_row_index: bool = False, encoding: str = "UTF-8", file_col: str = SOURCE_FILE,
+                problem_col: str | None = None, place_cols: tuple[str, str] | None = None,
+                speculate: Observation | None = None) -> DataFrame:
     """All files of one layout as one DataFrame: kept columns under their labels
     (strings, NA tokens -> NULL), plus ``file_col`` (and ``row_idx``).
 
-    Quoted line breaks are honoured like the job's reader. ``multiline``:
-    ``True`` parses every file multi-line (one split per file), ``False``
-    line by line (splittable), ``"auto"`` decides per file by its content (see
-    :func:`_multiline_groups`). ``problem_col`` names a column that says why a
-    row makes its file unreadable (more fields than the header, bytes that are
-    not text in the encoding), NULL for sound rows."""
-    n = len(layout.names)
-    base = None
-    for group, multi in _multiline_groups(spark, layout.paths, multiline, encoding):
-        # the multi-line parser takes a white-space-only line for the header
-        late = [p for p in group if multi and layout.lead.get(p)]
-        plain = [p for p in group if p not in late]
-        parts = [_read_group(spark, plain, n, multi, True, delimiter, encoding, file_col)] if plain else []
-        if late:   # blank lines are gone here, so the header is the first record
-            rows = _read_group(spark, late, n, multi, False, delimiter, encoding, file_col)
-            parts.append(with_row_idx(rows, file_col, _BLOCK, idx_col="__ks_at").filter("__ks_at > 0").drop("__ks_at"))
-        for part in parts:
-            base = part if base is None else base.unionByName(part)
-    cells = [F.col(f"_c{i}") for i in range(n)]
-    tokens = list(na_tokens)
-    cols = [na_to_null(f"_c{i}", tokens).alias(layout.names[i]) for i in layout.kept]
+    Quoted line breaks are honoured like the job's reader. Files that may be
+    split are scanned once beforehand for the state each split begins in
+    (:func:`records.borders`), unless ``speculate`` is given: then every split
+    begins a record, and the observation, once the rows have been read, tells
+    of which files that was not so (:func:`misread`). ``problem_col`` names a
+    column that says why a row makes its file unreadable, NULL for sound rows;
+    ``place_cols`` names (split, place in it) columns, in the file's order."""
+    n, kind = len(layout.names), _kind(encoding)
+    splits = [] if kind == "wide" else may_split(spark, _file_sizes(spark, layout.paths, layout.sizes))
+    known = R.borders(spark, splits, delimiter) if splits and speculate is None else R.Borders()
+    rows = _wide_rows(spark, layout.paths, delimiter, encoding) if kind == "wide" else R.records(spark, layout.paths, delimiter, known)
+    if speculate is not None:
+        rows = rows.observe(speculate, F.collect_set(R.edge_of()).alias("edges"))   # one per split
+    rows = rows.where(F.col(R.KIND).isin(R.RECORD, R.OPEN))
+    files = R.file_table(spark, layout.paths, file_col)
+    if len(layout.paths) * 512 <= broadcast_threshold(spark):
+        files = F.broadcast(files)
+    rows = rows.withColumn(_TEXT, F.decode(F.col(R.RAW), encoding) if kind == "bytes" else F.col(R.RAW).cast("string")).join(files, R.FID)
+    schema = ", ".join(f"_c{i} string" for i in range(n)) + f", {_BAD} string"
+    rows = rows.withColumn(_CELLS, F.from_csv(F.col(_TEXT), schema, {"sep": delimiter, "quote": '"', "escape": '"', "mode": "PERMISSIVE",
+                                                                     "columnNameOfCorruptRecord": _BAD, "maxColumns": str(max(20480, 2 * n))}))
+    rows = rows.select("*", f"{_CELLS}.*")
+    cols = [na_to_null(f"_c{i}", list(na_tokens)).alias(layout.names[i]) for i in layout.kept]
     extra = [F.col(file_col)]
     if problem_col:
-        long_row = _fields(F.col(_BAD), delimiter) > n
-        unreadable = reduce(lambda a, b: a | b, [F.coalesce(x.contains("\ufffd"), F.lit(False)) for x in cells])
-        extra.append(F.when(long_row, F.lit(f"a row has more fields than the header's {n}"))
+        long_row = F.col(_BAD).isNotNull() & (_fields(F.col(_TEXT), delimiter) > n)
+        unreadable = ~F.expr(f"is_valid_utf8({R.RAW})") if kind == "utf8" else F.col(_TEXT).contains("�")
+        extra.append(F.when(F.col(R.KIND) == R.OPEN, F.lit("a quoted cell is not closed"))
+                     .when(long_row, F.lit(f"a row has more fields than the header's {n}"))
                      .when(unreadable, F.lit(f"not {encoding} text")).alias(problem_col))
-    if not with_row_index:
-        return base.select(*cols, *extra)
-    indexed = with_row_idx(base, file_col, _BLOCK,
-                           n_splits_bound=_split_bound(spark, layout.paths, layout.sizes))
-    return indexed.select(*cols, *extra, ROW_IDX)
-
-
-def _split_bound(spark: SparkSession, paths: Sequence[str], sizes: dict[str, int] | None = None) -> int:
-    """Upper bound on (file, split) pairs of a scan, from the listing."""
-    mpb = _max_split(spark)
-    return sum(max(1, -(-n // mpb)) for n in _file_sizes(spark, paths, sizes).values())
-
-
-def with_row_idx(df: DataFrame, file_col: str, block_col: str, n_splits_bound: int | None = None,
-                 idx_col: str = ROW_IDX) -> DataFrame:
-    """0-based row number within each file, in file order, without a global
-    sort (G1, H4): rows of one split are contiguous within a task, so the row
-    number is the split's offset (running count over earlier splits of the same
-    file) plus the position inside the split. The per-split table has one row
-    per input split; it is broadcast only when that count bound is small."""
-    mid = "__ks_mid"
-    d = df.withColumn(mid, F.monotonically_increasing_id())
-    splits = d.groupBy(file_col, block_col).agg(F.min(mid).alias("__ks_min"), F.count(F.lit(1)).alias("__ks_n"))
-    w = Window.partitionBy(file_col).orderBy(block_col).rowsBetween(Window.unboundedPreceding, -1)
-    splits = splits.withColumn("__ks_off", F.coalesce(F.sum("__ks_n").over(w), F.lit(0)))
-    splits = splits.select(file_col, block_col, "__ks_min", "__ks_off")
-    if n_splits_bound is not None and n_splits_bound * 256 <= broadcast_threshold(df.sparkSession):
-        splits = F.broadcast(splits)
-    out = d.join(splits, [file_col, block_col], "left")
-    place = F.col("__ks_off") + F.col(mid) - F.col("__ks_min")
-    sound = F.when(place >= 0, place).otherwise(F.raise_error(F.lit("row index: the scan's splits changed")).cast("long"))
-    return out.withColumn(idx_col, sound).drop(mid, "__ks_min", "__ks_off")
+    if place_cols:
+        extra += [F.col(R.BLOCK).alias(place_cols[0]), F.col(R.PLACE).alias(place_cols[1])]
+    if with_row_index:
+        rows, place = _numbered(spark, rows, splits, delimiter, known)
+        extra.append(place.alias(ROW_IDX))
+    return rows.select(*cols, *extra)
+
+
+def _numbered(spark: SparkSession, rows: DataFrame, splits: Sequence[str], delimiter: str, known: R.Borders) -> tuple[DataFrame, Column]:
+    """(rows, 0-based row number within each file), without a global sort (G1,
+    H4): a row's place in its split, plus the rows of the file's earlier
+    splits. Only files that may be split have more than one, and only these are
+    scanned for the counts of their splits."""
+    if not splits:
+        return rows, F.col(R.PLACE)
+    counted = R.row_counts(spark, splits, delimiter, known)
+    w = Window.partitionBy(R.FID).orderBy(R.BLOCK).rowsBetween(Window.unboundedPreceding, -1)
+    before = spark.createDataFrame(counted, f"{R.FID} long, {R.BLOCK} long, __ks_n long").select(
+        R.FID, R.BLOCK, F.coalesce(F.sum("__ks_n").over(w), F.lit(0)).alias("__ks_before"))
+    if len(counted) * 64 <= broadcast_threshold(spark):
+        before = F.broadcast(before)
+    return rows.join(before, [R.FID, R.BLOCK], "left"), F.coalesce(F.col("__ks_before"), F.lit(0)) + F.col(R.PLACE)
+
+
+def misread(spark: SparkSession, layout: CsvLayout, speculate: Observation) -> list[str]:
+    """Files of the layout of which a speculating scan, now done, took a split
+    to begin a record that did not."""
+    odd = [fid for fid, c in R.courses(speculate.get["edges"] or []).items() if not c.as_speculated]
+    if not odd:
+        return []
+    return sorted(r["p"] for r in R.file_table(spark, layout.paths, "p").where(F.col(R.FID).isin(odd)).collect())
 
 
 def read_feeds(spark: SparkSession, directory: str, *, extensions: Sequence[str] = (".csv",),

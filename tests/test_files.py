@@ -95,8 +95,7 @@ def test_critical_error_status(spark, scratch):
     assert (s["status"], s["color"]) == ("critical_error", "red")
 
 
-def test_multiline_auto_splits_clean_big_files(spark, scratch):
-    from keystitch.sources.csv import _multiline_groups
+def test_rows_and_their_order_across_splits(spark, scratch):
     d = f"{scratch}/big"
     hadoop_mkdirs(spark, d)
     rows = "".join(f"{i},{i % 7},A{i}\n" for i in range(400))
@@ -105,19 +104,15 @@ def test_multiline_auto_splits_clean_big_files(spark, scratch):
     saved = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "1024")
     try:
-        files = [f.path for f in list_feeds(spark, d, (".csv",))]
-        groups = {m: sorted(p.rsplit("/", 1)[-1] for p in g) for g, m in _multiline_groups(spark, files, "auto")}
-        assert groups == {True: ["quoted.csv"], False: ["clean.csv"]}
-        (lay,) = csv_layouts(spark, files).layouts
+        (lay,) = csv_layouts(spark, [f.path for f in list_feeds(spark, d, (".csv",))]).layouts
         got = read_layout(spark, lay, with_row_index=True).collect()
         clean = sorted((r["row_idx"], r["Airline PNR"]) for r in got if r["source_file"].endswith("clean.csv"))
-        assert clean == [(i, str(i)) for i in range(400)]                      # row order across splits
-        quoted = [r for r in got if r["source_file"].endswith("quoted.csv")]
-        assert len(quoted) == 401 and any(r["Sector"] == "two\nlines" for r in quoted)
+        assert clean == [(i, str(i)) for i in range(400)]
+        quoted = sorted((r["row_idx"], r["Sector"]) for r in got if r["source_file"].endswith("quoted.csv"))
+        assert quoted == [(0, "two\nlines")] + [(i + 1, f"A{i}") for i in range(400)]
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", saved)
 
-
 def test_concurrent_layout_writes_are_complete(spark, scratch):
     from pyspark.sql import functions as F
     d = f"{scratch}/multi"
