@@ -297,8 +297,10 @@ def x5_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Odd CSV files from `orders`, one per status and key range: 'clash' has a
 # white-space-only first line, a line break in a header and in each row, labels
 # that differ in case only and labels the job uses for its own columns; 'flat'
-# has white-space-only lines between its rows; 'ragged' has one row with more
-# cells than its header.
+# has white-space-only lines between its rows and quotes inside plain cells.
+# Three kinds cannot be read: 'ragged' has one row with more cells than its
+# header, 'stray' one whose cells hold quotes that open nothing and which has
+# more cells than the header for that, 'open' a quoted cell that never ends.
 
 X7_CLASH = ["Airline PNR", "Airline Code", "Sector", "sheet", "Sheet", "run_id", "output", "source_file", '"Line\nBreak"', "Amount", "amount"]
 
@@ -314,12 +316,16 @@ def build_x7(spark: SparkSession, sf_dir: str, root: str) -> str:
     clash = line(key, cust, prio, F.concat(F.lit("s"), key), F.lit("S"), F.lit("r"), F.lit("o"), F.lit("f"),
                  F.concat(F.lit('"a\n'), key, F.lit('"')), price, F.lit("-1"))
     head = "Airline PNR,Airline Code,Sector,Amount"
-    flat = F.when(F.col("o_orderkey") % 8 == 1, F.concat(line(key, cust, prio, price), F.lit("\n \t"))).otherwise(line(key, cust, prio, price))
-    kinds = {"F": ("clash", "   \n" + ",".join(X7_CLASH), clash), "O": ("flat", head, flat),
-             "P": ("ragged", head + "\n1,2,3,4,5", line(key, cust, prio, price))}
+    plain = line(key, cust, prio, price)
+    flat = F.when(F.col("o_orderkey") % 8 == 1, F.concat(line(key, cust, prio, F.concat(price, F.lit('"'))), F.lit("\n \t"))).otherwise(plain)
+    of = F.col("o_orderkey") % 3
+    status = F.col("o_orderstatus")
+    kinds = [(status == "F", "clash", "   \n" + ",".join(X7_CLASH), clash), (status == "O", "flat", head, flat),
+             ((status == "P") & (of == 0), "ragged", head + "\n1,2,3,4,5", plain),
+             ((status == "P") & (of == 1), "stray", head + '\n1,2,5" pipe,4,6" x', plain),
+             ((status == "P") & (of == 2), "open", head + '\n1,2,B,"open', plain)]
     kind = top = value = F.lit(None).cast("string")
-    for status, (name, header, cells) in kinds.items():
-        mine = F.col("o_orderstatus") == status
+    for mine, name, header, cells in kinds:
         kind, top, value = F.when(mine, F.lit(name)).otherwise(kind), F.when(mine, F.lit(header)).otherwise(top), F.when(mine, cells).otherwise(value)
     name = F.format_string("%s_%d", kind, F.floor(F.col("o_orderkey") / X3_KEYS_PER_FILE).cast("bigint"))
     rows = o.select(name.alias("name"), F.col("o_orderkey").cast("bigint").alias("seq"), value.alias("value"))

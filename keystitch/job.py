@@ -11,11 +11,12 @@ Plan per run:
 4. layouts with the same keys share one first-per-key reference, built once
    per run (reduced by the union of their keys when that set is small) and
    persisted with its hash partitioning;
-5. each layout's result is persisted once, counted per file/sheet from the
-   persisted blocks, and the rows of sound files are written partitioned by
-   ``run_id``/``output``/``sheet`` (dynamic overwrite; output names follow the
-   files' time stamps, so a re-run replaces exactly its own outputs). A file
-   with an unreadable row is ``failed`` and writes nothing; a layout that
+5. each layout is written once, in input order, to a staging folder; rows,
+   matches and unreadable rows per file are observed on the way, and only the
+   outputs of sound files are moved to ``run_id``/``output``/``sheet`` (output
+   names follow the files' time stamps, so a re-run replaces exactly its own).
+   Every split of a CSV was taken to begin a record; files of which the pass
+   tells otherwise are read again with their true borders. A layout that
    cannot be read or written is tried again file by file, so one bad file
    costs no other;
 6. the report is one row per file (status success/failed/error, rows,
@@ -24,15 +25,16 @@ Plan per run:
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from datetime import datetime, timezone
 from functools import reduce
 from typing import Sequence
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -43,13 +45,15 @@ from .operators.enrich import (
 )
 from .plans.headers import MissingReferenceColumns, NoKeyColumns, check_reference, plan_layout
 from .session import job_settings
-from .sinks.writers import attach_output, output_names, partition_names, write_partitioned
-from .sources.csv import CsvLayout, csv_layouts, read_layout
+from .sinks.staged import Seen, StagedOutput, Target, counts_by_plan, target_table
+from .sinks.writers import output_names
+from .sources.csv import CsvLayout, csv_layouts, misread, read_layout
 from .sources.files import FeedFile, list_feeds, stat_feeds
 from .spec import EnrichSpec
 
 # the job's own columns; a feed may have columns of any other name
 FILE, SHEET, FLAG, PROBLEM = "__ks_file", "__ks_sheet", "__ks_hit", "__ks_problem"
+PLACE = ("__ks_part", "__ks_place")   # of a row in its file, in order
 
 REPORT_SCHEMA = T.StructType([
     T.StructField("file", T.StringType()),
@@ -75,14 +79,25 @@ class JobResult:
 
 @dataclass
 class Unit:
-    """Files (or sheets) of one layout and how to read some of them."""
+    """Files (or sheets) of one layout and how to read some of them: all in
+    one go (``speculate``, for CSV) or, without, with their borders known."""
     paths: list[str]
     columns: Sequence[str]
-    read: Callable[[list[str]], DataFrame]
+    read: Callable[..., DataFrame]
+    layout: CsvLayout | None = None
     sheets: Sequence[tuple[str, str, int]] = ()
+    speculate: bool = True
+
+    def some(self, paths: Sequence[str], speculate: bool = True) -> Unit:
+        return replace(self, paths=list(paths), layout=self.layout and _only(self.layout, paths),
+                       sheets=[s for s in self.sheets if s[0] in set(paths)], speculate=speculate)
 
     def split(self) -> list[Unit]:
-        return [Unit([p], self.columns, self.read, [s for s in self.sheets if s[0] == p]) for p in self.paths]
+        return [self.some([p], self.speculate) for p in self.paths]
+
+    def targets(self, names: dict[str, str], starts: dict[str, int]) -> list[Target]:
+        of = [(f, s) for f, s, _ in self.sheets] if self.sheets else [(p, None) for p in self.paths]
+        return [Target(f, s, names[f], starts[f]) for f, s in of if f in set(self.paths)]
 
 
 def _only(lay: CsvLayout, paths: Sequence[str]) -> CsvLayout:
@@ -90,6 +105,10 @@ def _only(lay: CsvLayout, paths: Sequence[str]) -> CsvLayout:
     return CsvLayout(lay.names, lay.kept, list(paths), {p: n for p, n in lay.sizes.items() if p in paths})
 
 
+def _name() -> str:
+    return uuid.uuid4().hex
+
+
 def _text(e: Exception) -> str:
     return f"{type(e).__name__}: {e}"
 
@@ -103,14 +122,16 @@ def _failure(path, status, reason):
 def enrich_directory(spark: SparkSession, directory: str, reference: DataFrame, spec: EnrichSpec,
                      out: str | None = None, *, run_id: str | None = None, ts: datetime | None = None,
                      fmt: str = "csv", paths: Sequence[str] | None = None,
-                     reduce_reference="auto", on_error: str = "raise", parallel_layouts: int = 4) -> JobResult:
+                     reduce_reference="auto", on_error: str = "raise", parallel_layouts: int = 4,
+                     ordered: bool = True) -> JobResult:
     """Enrich every supported feed in ``directory`` (or the given ``paths``).
 
     Failures of one file or layout (vanished, unreadable, no keys, a failed
     write) only fail its files. Without ``ts`` the time stamp in output names
     is the present, or, with a ``run_id`` (a batch that may be replayed), the
-    latest modification time among the files. ``out`` may not lie in
-    ``directory``. An unexpected error of the run itself raises (``on_error="raise"``, right for
+    latest modification time among the files. ``ordered`` writes each output in
+    the order of its input, which costs one shuffle of the output; without it
+    the order is the join's. ``out`` may not lie in ``directory``. An unexpected error of the run itself raises (``on_error="raise"``, right for
     an orchestrated job) or, with ``on_error="report"``, ends the run with
     status ``critical_error`` and the file rows gathered so far."""
     rows: list[tuple] = []
@@ -120,7 +141,7 @@ def enrich_directory(spark: SparkSession, directory: str, reference: DataFrame,
         with job_settings(spark, **{"spark.sql.caseSensitive": "true"}):
             return _run_directory(spark, directory, reference, spec, out, rows, run_id=run_id, ts=ts, fmt=fmt,
                                   paths=paths, reduce_reference=reduce_reference,
-                                  parallel_layouts=parallel_layouts)
+                                  parallel_layouts=parallel_layouts, ordered=ordered)
     except Exception:
         if on_error != "report":
             raise
@@ -129,7 +150,7 @@ def enrich_directory(spark: SparkSession, directory: str, reference: DataFrame,
 
 
 def _run_directory(spark, directory, reference, spec, out, rows, *, run_id, ts, fmt, paths,
-                   reduce_reference, parallel_layouts) -> JobResult:
+                   reduce_reference, parallel_layouts, ordered) -> JobResult:
     if paths is None:
         files = list_feeds(spark, directory, spec.extensions)
     else:
@@ -163,17 +184,17 @@ def _run_directory(spark, directory, reference, spec, out, rows, *, run_id, ts,
     for p, why in layouts.failures:
         rows.append(_failure(p, "failed", why))
     for lay in layouts.layouts:
-        units.append(Unit(list(lay.paths), lay.columns, lambda paths, lay=lay: read_layout(
-            spark, _only(lay, paths), file_col=FILE, problem_col=PROBLEM)))
+        units.append(Unit(list(lay.paths), lay.columns, lambda unit, seen=None: read_layout(
+            spark, unit.layout, file_col=FILE, problem_col=PROBLEM, place_cols=PLACE, speculate=seen), lay))
 
     if books:
         from .sources.workbook import read_workbooks
-        wb = read_workbooks(spark, [f.path for f in books if f.length > 0], file_col=FILE, sheet_col=SHEET)
+        wb = read_workbooks(spark, [f.path for f in books if f.length > 0], file_col=FILE, sheet_col=SHEET, place_cols=PLACE)
         for p, why in wb.failures:
             rows.append(_failure(p, "failed", why))
         for lay in wb.layouts:
-            units.append(Unit(sorted(set(lay.paths)), lay.columns, lambda paths, lay=lay: lay.frame.filter(
-                F.col(FILE).isin(paths)) if set(paths) != set(lay.paths) else lay.frame, lay.sheets))
+            units.append(Unit(sorted(set(lay.paths)), lay.columns, lambda unit, seen=None, lay=lay: lay.frame.filter(
+                F.col(FILE).isin(unit.paths)) if set(unit.paths) != set(lay.paths) else lay.frame, sheets=lay.sheets))
         for lay in wb.layouts:
             for p in lay.paths:
                 nonempty_sheets[p] = nonempty_sheets.get(p, 0) + 1
@@ -201,7 +222,7 @@ def _run_directory(spark, directory, reference, spec, out, rows, *, run_id, ts,
         missing = [col for col, _ in plan.missing]
         try:
             check_reference(ref_columns, plan.keys, missing, spec.order_by)
-            feed = unit.read(unit.paths)
+            feed = unit.read(unit, Observation(_name()))   # speculating: the rows are read further down
             sig = None if plan.passthrough else reference_signature(feed.schema, plan, ref_schema)
             prep = None if sig is None else prepare(feed, ref_schema, spec, plan)
         except Exception as e:  # noqa: BLE001 - this layout's files, not the run
@@ -240,60 +261,80 @@ def _run_directory(spark, directory, reference, spec, out, rows, *, run_id, ts,
         small = 0 <= plan_size_bytes(first) <= broadcast_threshold(spark)
         shared[sig] = SharedReference(first, tuple(g["targets"]), broadcast=small)
 
-    # pass 2: per layout one join, one count over persisted rows and one write.
-    # Layouts run concurrently (Spark schedules jobs from several driver
-    # threads); each writes only its own output partitions through its own
-    # staging folder, so concurrent dynamic-overwrite writes do not collide.
-    def process(unit, feed, plan, sig, prep):
-        """[(unit, frame, counts per file and sheet, bad files, error)]"""
-        enriched = None
+    # pass 2: per layout one join and one write, which also counts. Layouts run
+    # concurrently (Spark schedules jobs from several driver threads); each
+    # writes to a folder of its own, so concurrent writes do not collide.
+    lengths = {f.path: f.length for f in files}
+    starts, total = {}, 0
+    for f in files:
+        starts[f.path] = total
+        total += f.length
+    staged = None if out is None else StagedOutput(spark, out, run_id, fmt)
+    manifest: list[tuple] = []
+
+    def process(unit, plan, sig):
+        """[(unit, plan, frame, targets, what was seen of them, bad files, error)]"""
         try:
-            enriched = enrich(feed, reference, spec, plan=plan, flag=FLAG, shared=shared.get(sig), prepared=prep)
+            spec_seen = Observation(_name()) if unit.layout is not None and unit.speculate else None
+            feed = unit.read(unit, spec_seen)
+            prep = prepare(feed, ref_schema, spec, plan) if sig is not None else None
+            # a file read again may hold keys that the shared reference was not reduced to
+            enriched = enrich(feed, reference, spec, plan=plan, flag=FLAG, shared=shared.get(sig) if unit.speculate else None, prepared=prep)
             for name, kind in ((FLAG, "boolean"), (SHEET, "string"), (PROBLEM, "string")):
                 if name not in enriched.columns:
                     enriched = enriched.withColumn(name, F.lit(None).cast(kind))
-            frame = enriched.drop(FLAG, PROBLEM)
-            enriched = enriched.persist(StorageLevel.MEMORY_AND_DISK)
-            per = (enriched.groupBy(FILE, SHEET)
-                   .agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col(FLAG)).alias("m"), F.max(PROBLEM).alias("bad"))
-                   .collect())   # one row per file/sheet: listing-sized metadata
-            bad = {r[FILE]: r["bad"] for r in per if r["bad"] is not None}
-            sound = {p: n for p, n in names.items() if p in set(unit.paths) - set(bad)}
-            if out is not None and sound:
-                data_cols = [n for n in enriched.columns if n not in (FILE, SHEET, FLAG, PROBLEM)]
-                part = partition_names(data_cols, ("run_id", "output", "sheet"))
-                named = attach_output(enriched, FILE, sound, out_col="__ks_output", how="inner")
-                named = named.select(*[c(n) for n in data_cols], F.lit(run_id).alias(part["run_id"]),
-                                     F.col("__ks_output").alias(part["output"]), F.col(SHEET).alias(part["sheet"]))
-                write_partitioned(named, out, list(part.values()), fmt=fmt)
-            return [(unit, plan, frame, per, bad, None)]
+            targets = unit.targets(names, starts)
+            data_cols = [n for n in enriched.columns if n not in (FILE, SHEET, FLAG, PROBLEM, *PLACE)]
+            if staged is None:
+                by = [FILE, SHEET] if unit.sheets else [FILE]
+                table = target_table(spark, targets, FILE, SHEET if unit.sheets else "__ks_no_sheet")
+                seen = counts_by_plan(enriched.join(table, by), targets, FLAG, PROBLEM)
+                folder = None
+            else:
+                first = min(starts[p] for p in unit.paths)
+                span = sum(lengths[p] for p in unit.paths)
+                at, offset = {}, 0
+                for p in sorted(unit.paths, key=starts.get):
+                    at[p], offset = offset, offset + lengths[p]
+                folder, seen = staged.write(
+                    enriched, [replace(t, start=at[t.file]) for t in targets], file_col=FILE, sheet_col=SHEET, flag=FLAG, problem=PROBLEM,
+                    place=PLACE, bytes_total=span, data_columns=data_cols, ordered=ordered)
+            again = misread(spark, unit.layout, spec_seen) if spec_seen is not None else []
+            frame = enriched.drop(FLAG, PROBLEM, *PLACE)
+            bad = {}
+            for t, s in zip(targets, seen):
+                if s.problem is not None:
+                    bad[t.file] = max(bad.get(t.file, ""), s.problem)
+            right = [p for p in unit.paths if p not in again]
+            done = []
+            if again:   # files whose records lie across splits in ways the pass could not know
+                done += process(unit.some(again, speculate=False), plan, sig)
+            bad = {p: why for p, why in bad.items() if p in right}
+            if staged is not None:
+                staged.commit(folder, {names[p] for p in right if p not in bad})
+                manifest.extend((t.output, t.sheet, t.file, data_cols, s.rows, fmt) for t, s in zip(targets, seen)
+                                if t.file in right and t.file not in bad)
+            kept = [(t, s) for t, s in zip(targets, seen) if t.file in right]
+            return done + [(unit.some(right), plan, frame, kept, bad, None)]
         except Exception as e:  # noqa: BLE001 - a failed write or read fails its files (R21, R23)
             if len(unit.paths) > 1:   # one of the files: each on its own
-                done = []
-                for one in unit.split():
-                    try:
-                        f = one.read(one.paths)
-                        p = prepare(f, ref_schema, spec, plan) if sig is not None else None
-                    except Exception as why:  # noqa: BLE001
-                        done.append((one, plan, None, None, {}, _text(why)))
-                        continue
-                    done += process(one, f, plan, sig, p)
-                return done
-            return [(unit, plan, None, None, {}, _text(e))]
-        finally:
-            if enriched is not None:
-                enriched.unpersist()
+                return [x for one in unit.split() for x in process(one, plan, sig)]
+            return [(unit, plan, None, [], {}, _text(e))]
 
     try:
         workers = max(1, min(parallel_layouts, len(planned)))
         with ThreadPoolExecutor(max_workers=workers) as pool:
-            results = [x for done in pool.map(lambda u: process(*u), planned) for x in done]
+            results = [x for done in pool.map(lambda u: process(u[0], u[2], u[3]), planned) for x in done]
+        if staged is not None:
+            staged.finish(manifest)
     finally:
         for ref_first in shared.values():
             ref_first.frame.unpersist()
+        if staged is not None:
+            staged.discard()
 
     looked_up: set[str] = set()
-    for unit, plan, frame, per, bad, err in results:
+    for unit, plan, frame, kept, bad, err in results:
         if frame is not None:
             frames.append(frame)
         if err is not None:
@@ -307,12 +348,12 @@ def _run_directory(spark, directory, reference, spec, out, rows, *, run_id, ts,
                 errored.add(p)
         if not plan.passthrough:
             looked_up.update(unit.paths)
-        for r in per:
-            st = stats.setdefault(r[FILE], {"rows": 0, "matched": 0, "sheets": {}})
-            st["rows"] += r["n"]
-            st["matched"] += r["m"] or 0
-            if r[SHEET] is not None:
-                st["sheets"][r[SHEET]] = st["sheets"].get(r[SHEET], 0) + r["n"]
+        for t, seen in kept:
+            st = stats.setdefault(t.file, {"rows": 0, "matched": 0, "sheets": {}})
+            st["rows"] += seen.rows
+            st["matched"] += seen.hits
+            if t.sheet is not None and seen.rows:
+                st["sheets"][t.sheet] = st["sheets"].get(t.sheet, 0) + seen.rows
         for p in unit.paths:   # files of this layout that produced no row (header only)
             stats.setdefault(p, {"rows": 0, "matched": 0, "sheets": {}})
 

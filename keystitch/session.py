@@ -8,7 +8,8 @@ import tempfile
 import uuid
 from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from py4j.protocol import Py4JError
+from pyspark.sql import Observation, SparkSession
 
 # Settings every job of this library relies on: AQE re-plans joins at run time
 # (skew splits, partition coalescing) and broadcasts only from *measured*
@@ -68,6 +69,15 @@ def job_settings(spark: SparkSession, **more: str):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
+def observed(observation: Observation) -> dict | None:
+    """What an observation saw; None where the adaptive plan found the query
+    empty and left it out."""
+    try:
+        return observation.get
+    except Py4JError:
+        return None
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The cluster's shared folder from ``spark.checkpoint.dir``. Only a local
     session that names none (tests) gets a fresh one: on a cluster a folder of

@@ -65,16 +65,16 @@ def write_partitioned(df: DataFrame, path: str, partition_by: Sequence[str], fmt
     partitions and leaves the others (H9)."""
     w = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by)
     if fmt == "csv":
-        w = _csv_options(w.option("header", header))
+        w = csv_options(w.option("header", header))
     w.format(fmt).save(path)
 
 
 def write_csv(df: DataFrame, path: str) -> None:
     """Header CSV without an index column (B1)."""
-    _csv_options(df.write.mode("overwrite").option("header", True)).csv(path)
+    csv_options(df.write.mode("overwrite").option("header", True)).csv(path)
 
 
-def _csv_options(w):
+def csv_options(w):
     """Quote with doubled quotes and keep cell whitespace as is."""
     return (w.option("escape", '"').option("ignoreLeadingWhiteSpace", False)
             .option("ignoreTrailingWhiteSpace", False))

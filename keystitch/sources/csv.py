@@ -27,6 +27,7 @@ from pyspark.sql import types as T
 
 from ..functions.exprs import NA_TOKENS, c, na_to_null
 from ..operators.enrich import broadcast_threshold
+from ..session import observed
 from . import records as R
 from .files import list_feeds, parse_header, probe_headers  # noqa: F401
 
@@ -226,7 +227,10 @@ def _numbered(spark: SparkSession, rows: DataFrame, splits: Sequence[str], delim
 def misread(spark: SparkSession, layout: CsvLayout, speculate: Observation) -> list[str]:
     """Files of the layout of which a speculating scan, now done, took a split
     to begin a record that did not."""
-    odd = [fid for fid, c in R.courses(speculate.get["edges"] or []).items() if not c.as_speculated]
+    got = observed(speculate)
+    if got is None:   # not observed: whatever may have been split
+        return sorted(may_split(spark, _file_sizes(spark, layout.paths, layout.sizes)))
+    odd = [fid for fid, c in R.courses(got["edges"] or []).items() if not c.as_speculated]
     if not odd:
         return []
     return sorted(r["p"] for r in R.file_table(spark, layout.paths, "p").where(F.col(R.FID).isin(odd)).collect())

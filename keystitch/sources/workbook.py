@@ -252,11 +252,13 @@ class Workbooks:
 
 
 def read_workbooks(spark: SparkSession, paths: Sequence[str], *, na_tokens: Sequence[str] = NA_TOKENS,
-                   file_col: str = "source_file", sheet_col: str = "sheet") -> Workbooks:
+                   file_col: str = "source_file", sheet_col: str = "sheet",
+                   place_cols: tuple[str, str] | None = None) -> Workbooks:
     """Parse workbooks once and split their sheets into layouts.
 
     Each layout's ``frame`` has its kept labels (strings, NA tokens -> NULL)
-    plus ``file_col`` and ``sheet_col``."""
+    plus ``file_col`` and ``sheet_col``, and, where named, two columns with
+    each row's place (sheet, row)."""
     path = scratch_path(spark, "cells")
     workbook_cells(spark, paths).write.parquet(path)   # parsed once
     cells = spark.read.schema(CELLS_SCHEMA).parquet(path)
@@ -289,7 +291,8 @@ def read_workbooks(spark: SparkSession, paths: Sequence[str], *, na_tokens: Sequ
         rows = cells.join(table, ["source_file", "sheet"]).filter(F.col("row_idx") > F.col("header_row"))
         lay.frame = rows.select(
             *[na_to_null(F.get(F.col("cells"), i), tokens).alias(lay.names[i]) for i in lay.kept],
-            F.col("source_file").alias(file_col), F.col("sheet").alias(sheet_col))
+            F.col("source_file").alias(file_col), F.col("sheet").alias(sheet_col),
+            *([F.col("sheet_pos").cast("long").alias(place_cols[0]), F.col("row_idx").alias(place_cols[1])] if place_cols else []))
     return Workbooks(cells, list(groups.values()), failures, empty)
 
 
