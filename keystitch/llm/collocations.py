@@ -7,8 +7,9 @@ without its first word) have reached ``min_count``, so lengths interleave; it
 is counted for one full cycle, that is in every shard once, and then is done.
 The scans end when no phrase has become active for a cycle.
 
-These counters are hashed: one per value of ``bits`` bits of a phrase's 64-bit
-hash, saturating at 255, so their size is fixed whatever the corpus. A task
+The shards hold words as 32-bit hashes, so a text is taken apart once. The
+counters are hashed too: one per value of ``bits`` bits of a phrase's hash,
+saturating at 255, so their size is fixed whatever the corpus. A task
 knows from two bitmaps of them (what had reached the threshold before this
 step, and a cycle ago) which phrases are active: both subphrases in the first
 and not both in the second. Phrases that share a counter can only lift each
@@ -38,7 +39,7 @@ from .common import cut, in_batches
 # Pieces end at [.,;:!?\n\v\f\r]; a tab separates words like a space.
 _ENDS = b".,;:!?\n\x0b\x0c\r"
 _TABLE = bytes.maketrans(_ENDS + b"\t", b"\n" * len(_ENDS) + b" ")
-_CHUNK = 1 << 20          # words that a task works on at once
+_CHUNK = 1 << 21          # words that a task names at once
 _WORDS = 1 << 20          # distinct words that a task knows at once
 _BUCKET = 1 << 15         # counters that a shuffled row holds at most
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -56,39 +57,78 @@ class PhraseParams:
     cover: int = 80
 
 
-# --- one language's words in a task ----------------------------------------------
+# --- words and their hashes --------------------------------------------------------
+
+def tokens(text: str) -> list[bytes]:
+    """Words of a text in order, ``\n`` where a piece ends, empty strings between spaces."""
+    return text.encode("utf-8", "surrogatepass").lower().translate(_TABLE).replace(b"\n", b" \n ").split(b" ")
+
+
+def _seed(lang: str) -> int:
+    import xxhash
+    return xxhash.xxh64_intdigest(lang.encode("utf-8", "surrogatepass"))
+
+
+class Hashes(dict):
+    """32-bit hash of each word of one language, never 0: that is the end of a
+    piece; -1 is nothing."""
+
+    def __init__(self, lang: str):
+        import xxhash
+        super().__init__({b"": -1, b"\n": 0})
+        self.digest, self.seed = xxhash.xxh64_intdigest, _seed(lang)
+
+    def __missing__(self, word: bytes) -> int:
+        h = self[word] = (self.digest(word, self.seed) >> 32) or 1
+        return h
+
+    def of(self, text: str) -> np.ndarray:
+        if len(self) > _WORDS:
+            self.clear()
+            self.update({b"": -1, b"\n": 0})
+        words = tokens(text)
+        found = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+        return np.append(found[found >= 0], 0)
+
+
+class _Ids(dict):
+    """Words numbered as they come; 0 is nothing, 1 the end of a piece."""
+
+    def __init__(self):
+        super().__init__({b"": 0, b"\n": 1})
+
+    def __missing__(self, word: bytes) -> int:
+        n = self[word] = len(self)
+        return n
+
 
 class Words:
     """Words of one language, in order, with piece ends between them."""
 
     def __init__(self, lang: str):
-        import xxhash
-        self.digest, self.seed = xxhash.xxh64_intdigest, xxhash.xxh64_intdigest(lang.encode("utf-8", "surrogatepass"))
-        self.lang = lang
+        self.lang, self.hashes = lang, Hashes(lang)
         self._clear()
 
     def _clear(self):
-        # 0: nothing (two spaces in a row), 1: the end of a piece
-        self.ids, self.hashes, self.parts, self.size = {b"": 0, b"\n": 1}, [0, 0], [], 0
+        self.ids, self.parts, self.size = _Ids(), [], 0
 
     def add(self, text: str) -> None:
-        tokens = text.encode("utf-8", "surrogatepass").lower().translate(_TABLE).replace(b"\n", b" \n ").split(b" ")
-        ids = self.ids
-        for w in set(tokens):
-            if w not in ids:
-                ids[w] = len(ids)
-                self.hashes.append(self.digest(w, self.seed))
-        found = np.fromiter(map(ids.__getitem__, tokens), np.int64, len(tokens))
+        words = tokens(text)
+        found = np.fromiter(map(self.ids.__getitem__, words), np.int64, len(words))
         self.parts += [found[found > 0], np.ones(1, np.int64)]
-        self.size += len(tokens)
+        self.size += len(words)
 
     @property
     def full(self) -> bool:
         return self.size >= _CHUNK or len(self.ids) >= _WORDS
 
     def take(self) -> tuple[list[bytes], np.ndarray, np.ndarray]:
-        """(words by id, their hashes, ids in order); begins anew."""
-        out = list(self.ids), np.array(self.hashes, np.uint64), np.concatenate(self.parts) if self.parts else np.zeros(0, np.int64)
+        """(words by number, their hashes, numbers in order); begins anew."""
+        words = list(self.ids)
+        hashes = np.fromiter(map(self.hashes.__missing__, words), np.uint64, len(words))
+        self.hashes.clear()
+        hashes[1] = 0
+        out = words, hashes, np.concatenate(self.parts) if self.parts else np.zeros(0, np.int64)
         self._clear()
         return out
 
@@ -98,14 +138,14 @@ def _mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
-def phrase_hashes(ids: np.ndarray, hashes: np.ndarray, max_words: int):
-    """Per length: (starts of the phrases of that many words, their hashes at each start)."""
-    word = ids > 1
-    h, ok = hashes[ids], word
-    single = h
+def phrase_hashes(h: np.ndarray, max_words: int):
+    """Per length, of words' hashes in order: (which starts have a phrase of
+    that many words, their hashes)."""
+    ok = word = h != 0
+    single = h = _mix(h.astype(np.uint64) * _M2)
     yield ok, h
     for k in range(2, max_words + 1):
-        if len(ids) < k:
+        if len(single) < k:
             return
         h = _mix(h[:-1] * _M2 + single[k - 1:])
         ok = ok[:-1] & word[k - 1:]
@@ -123,10 +163,10 @@ class Bits:
         return (self.data[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
 
 
-def active(ids, hashes, now: Bits, before: Bits, first_cycle: bool, max_words: int):
+def active(words: np.ndarray, now: Bits, before: Bits, first_cycle: bool, max_words: int):
     """Per length: hashes of the places to count in this step."""
     parts = None
-    for k, (ok, h) in enumerate(phrase_hashes(ids, hashes, max_words), 1):
+    for k, (ok, h) in enumerate(phrase_hashes(words, max_words), 1):
         if k == 1:
             use = ok if first_cycle else None
         else:
@@ -142,7 +182,7 @@ def named(words: list[bytes], ids: np.ndarray, hashes: np.ndarray, reached: Bits
     """(phrase, length, places) of the phrases whose counters, and those of
     whose subphrases, have reached the threshold."""
     have = None
-    for k, (ok, h) in enumerate(phrase_hashes(ids, hashes, max_words), 1):
+    for k, (ok, h) in enumerate(phrase_hashes(hashes[ids], max_words), 1):
         mine = reached.has(h) & ok
         use = mine if k == 1 else mine & have[:-1] & have[1:]
         at = np.flatnonzero(use)
@@ -185,19 +225,35 @@ def _chunks(batches):
 # --- the cyclic scans ---------------------------------------------------------------
 
 def _shards(docs: DataFrame, n: int) -> str:
-    """Language and text, written once in ``n`` shards of every ``n``-th row of each task."""
+    """Hashes of the words of each text, written once in ``n`` shards of every
+    ``n``-th text of a task: the scans read no text."""
     path = scratch_path(docs.sparkSession, "phrase-shards")
-    rows = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.col("text").cast("string").alias("text"))
-    rows = rows.where("text is not null").withColumn("shard", F.pmod(F.monotonically_increasing_id(), F.lit(n)).cast("int"))
-    rows.write.partitionBy("shard").parquet(path)
+
+    def run(batches):
+        import pyarrow as pa
+        known: dict[str, Hashes] = {}
+        row = 0
+        for b in batches:
+            if len(known) > 64:   # many languages
+                known = {}
+            lists = []
+            for lang, text in zip(b.column("lang").to_pylist(), b.column("text")):
+                if lang not in known:
+                    known[lang] = Hashes(lang)
+                lists.append(known[lang].of(text.as_py()).astype(np.uint32).view(np.int32))
+            shards = [(row + i) % n for i in range(len(lists))]
+            row += len(lists)
+            yield pa.RecordBatch.from_arrays([pa.array(lists, pa.list_(pa.int32())), pa.array(shards, pa.int32())], names=["words", "shard"])
+
+    in_batches(_texts(docs)).mapInArrow(run, "words array<int>, shard int").write.partitionBy("shard").parquet(path)
     return path
 
 
-def _read(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema("lang string, text string, shard int").parquet(path)
+def _texts(docs: DataFrame) -> DataFrame:
+    return docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.col("text").cast("string").alias("text")).where("text is not null")
 
 
-def count_step(docs: DataFrame, now: bytes, before: bytes, first_cycle: bool, p: PhraseParams) -> DataFrame:
+def count_step(shard: DataFrame, now: bytes, before: bytes, first_cycle: bool, p: PhraseParams) -> DataFrame:
     """One step's counters: ``(bucket, counters)``, compressed, one row per
     bucket that counted something."""
     size = 1 << p.bits
@@ -208,8 +264,9 @@ def count_step(docs: DataFrame, now: bytes, before: bytes, first_cycle: bool, p:
         import pyarrow as pa
         counters, shift = np.zeros(size, np.uint8), np.uint64(64 - bits)
         a, b = Bits(now, bits), Bits(before, bits)
-        for _, _, hashes, ids in _chunks(batches):
-            for h in active(ids, hashes, a, b, first_cycle, max_words):
+        for batch in batches:   # a text's words end with the end of a piece
+            words = batch.column(0).flatten().to_numpy(zero_copy_only=False).view(np.uint32)
+            for h in active(words, a, b, first_cycle, max_words):
                 at, n = np.unique(h >> shift, return_counts=True)
                 at = at.astype(np.int64)
                 counters[at] = np.minimum(counters[at].astype(np.int64) + n, 255)
@@ -239,7 +296,7 @@ def count_step(docs: DataFrame, now: bytes, before: bytes, first_cycle: bool, p:
             yield out()
 
     kind = "bucket int, counters binary"
-    rows = in_batches(docs.select("lang", "text")).mapInArrow(scan, kind)
+    rows = in_batches(shard.select("words")).mapInArrow(scan, kind)
     return rows.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(add, kind)
 
 
@@ -258,8 +315,8 @@ def reached(spark: SparkSession, path: str, p: PhraseParams, trace: list | None
     maps = [bitmap(counters, p)] * (p.shards + 1)   # before step t - shards .. before step t
     step = 0
     while step < p.shards or maps[-1] != maps[0]:
-        docs = _read(spark, path).where(F.col("shard") == step % p.shards)
-        for row in count_step(docs, maps[-1], maps[0], step < p.shards, p).collect():
+        shard = spark.read.schema("words array<int>, shard int").parquet(path).where(F.col("shard") == step % p.shards)
+        for row in count_step(shard, maps[-1], maps[0], step < p.shards, p).collect():
             part = counters[row["bucket"] * bucket:(row["bucket"] + 1) * bucket]
             part[:] = np.minimum(part.astype(np.int64) + np.frombuffer(zlib.decompress(bytes(row["counters"])), np.uint8), 255)
         maps = maps[1:] + [bitmap(counters, p)]
@@ -288,7 +345,7 @@ def frequent(docs: DataFrame, p: PhraseParams = PhraseParams()) -> DataFrame:
                      pa.array([r[1] for r in part], pa.int32()), pa.array([r[2] for r in part], pa.int64())],
                     names=["lang", "phrase", "words", "f"])
 
-    rows = in_batches(_read(spark, path).select("lang", "text")).mapInArrow(name, "lang string, phrase string, words int, f long")
+    rows = in_batches(_texts(docs)).mapInArrow(name, "lang string, phrase string, words int, f long")
     counted = rows.groupBy("lang", "phrase", "words").agg(F.sum("f").alias("f"))
     return cut(counted.where((F.col("f") >= p.min_count) | (F.col("words") == 0)), "phrases")
 

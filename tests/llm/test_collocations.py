@@ -94,7 +94,7 @@ def test_phrase_is_counted_in_one_full_cycle():
             w.add(t)
         words, hashes, ids = w.take()
         seen = []
-        for h in X.active(ids, hashes, X.Bits(maps[-1], bits), X.Bits(maps[0], bits), len(steps) < 3, 4):
+        for h in X.active(hashes[ids], X.Bits(maps[-1], bits), X.Bits(maps[0], bits), len(steps) < 3, 4):
             np.add.at(counters, (h >> np.uint64(64 - bits)).astype(np.int64), 1)
             seen.append(len(h))
         steps.append(seen)
@@ -113,7 +113,7 @@ def test_phrase_is_counted_in_one_full_cycle():
     assert [len(s) for s in steps[:4]] == [4, 4, 4, 3] and all(s[0] for s in steps[:3])
     assert sum(steps[0][1:]) == 0 and steps[1][1] > 0
     # each place of a counted phrase once: counters equal its places, but where two share one
-    for k, (ok, h) in enumerate(X.phrase_hashes(ids, hashes, 4), 1):
+    for k, (ok, h) in enumerate(X.phrase_hashes(hashes[ids], 4), 1):
         for i in np.flatnonzero(ok):
             ph = b" ".join(words[j] for j in ids[i:i + k]).decode()
             subs = [ph.rsplit(" ", 1)[0], ph.split(" ", 1)[-1]]
