@@ -14,10 +14,13 @@ from ..job import enrich_directory, run_summary
 from ..operators.enrich import enrich
 from ..plans.headers import NoKeyColumns, plan_layout, resolve_headers
 from ..plans.layouts import plan_layouts
+from ..plans.wide import file_types, typed, union_csv, union_types
 from ..session import scratch_path
 from ..sinks.writers import read_csv_output, write_csv
-from ..sources.csv import csv_layouts, infer_types, read_layout
-from ..sources.files import discover, hadoop_mkdirs, list_feeds, validate
+from ..sources.csv import csv_layouts, read_layout
+from ..sources.files import discover, hadoop_delete, hadoop_mkdirs, list_feeds
+from ..sources.headers import header_table, layout_headers, path_table
+from ..sources.reference import read_reference
 from ..spec import DEFAULT_EXTENSIONS
 from .registry import register
 
@@ -59,29 +62,22 @@ def feed_discovery(spark, sf_dir):
     return d.select("name", "ext", "ext_rank", (F.col("length") > 0).alias("non_empty"))
 
 
-def _counted(sql):
-    """The twin's rows with the number of data rows that each file holds."""
-    return f"""SELECT l.*, coalesce(r.rows, 0) AS rows FROM ({sql}) l
-LEFT JOIN (SELECT name, count(*) AS rows FROM ({X.X3_ROWS_SQL}) GROUP BY name) r ON l.name = r.name"""
-
-
-def _with_rows(spark, sf_dir, files):
-    """Per-file metadata beside what the scan of the files finds in them."""
-    rows = _all_rows(spark, sf_dir).groupBy("name").agg(F.count("*").alias("rows"))
-    return files.join(rows, "name", "left").withColumn("rows", F.coalesce("rows", F.lit(0)))
+def _headers(spark, sf_dir):
+    """Header records of the folder's CSV files, read by tasks."""
+    _, feeds = x3_dir(spark, sf_dir)
+    return header_table(discover(spark, feeds, (".csv",)))
 
 
-@register("feed_validation", _counted(f"""
-SELECT name, CAST(NULL AS VARCHAR) AS reason FROM ({_NAMES})
-UNION ALL SELECT 'header_only.csv', NULL UNION ALL SELECT 'empty.csv', 'empty file'
-UNION ALL SELECT 'missing.csv', 'does not exist' UNION ALL SELECT 'archive', 'not a file'"""))
+@register("feed_validation", f"""
+SELECT name, CAST(NULL AS VARCHAR) AS reason, true AS has_bytes FROM ({_NAMES})
+UNION ALL SELECT 'header_only.csv', NULL, true UNION ALL SELECT 'empty.csv', 'empty file', false
+UNION ALL SELECT 'missing.csv', 'does not exist', NULL UNION ALL SELECT 'archive', 'not a file', NULL""")
 def feed_validation(spark, sf_dir):
-    """Exists / is a file / non-empty, for listed and requested paths."""
+    """Exists / is a file / non-empty, for listed and requested paths (A9);
+    tasks look at the files."""
     _, feeds = x3_dir(spark, sf_dir)
-    paths = [f.path for f in list_feeds(spark, feeds, (".csv",))] + [f"{feeds}/missing.csv", f"{feeds}/archive"]
-    rows = validate(spark, paths)
-    df = spark.createDataFrame(rows, "path string, reason string")
-    return _with_rows(spark, sf_dir, df.select(_name(F.col("path")), "reason"))
+    paths = discover(spark, feeds, (".csv",)).select("path").union(path_table(spark, [f"{feeds}/missing.csv", f"{feeds}/archive"]))
+    return header_table(paths).select(_name(F.col("path")), "reason", (F.col("length") > 0).alias("has_bytes"))
 
 
 _LAYOUT_SQL = f"""
@@ -99,30 +95,24 @@ UNION ALL SELECT 'header_only.csv', 'Airline PNR|Airline Code|Sector|Amount', 'A
 
 
 def _layout_rows(spark, sf_dir):
-    feeds = _layouts(spark, sf_dir)
-    rows = []
-    for lay in feeds.layouts:
-        try:
-            combo = "|".join(plan_layout(lay.columns, X.x3_spec()).keys)
-        except NoKeyColumns:
-            combo = None
-        for p in lay.paths:
-            rows.append((p, "|".join(lay.names), "|".join(lay.columns), combo))
-    return spark.createDataFrame(rows, "path string, labels string, kept string, key_combo string")
+    """Per file: labels, kept labels and key combination, as one plan."""
+    heads = _headers(spark, sf_dir).where("names is not null")
+    plan = plan_layouts(layout_headers(heads), X.x3_spec()).select(F.col("layout_id").alias("path"), F.array_join("keys", "|").alias("key_combo"))
+    kept = F.transform("kept", lambda p: F.get(F.col("names"), p))
+    return heads.join(plan, "path").select(_name(F.col("path")), F.array_join("names", "|").alias("labels"), F.array_join(kept, "|").alias("kept"), "key_combo")
 
 
-@register("csv_layouts", _counted(_LAYOUT_SQL))
+@register("csv_layouts", _LAYOUT_SQL)
 def csv_layouts_q(spark, sf_dir):
     """Header labels per file (blank -> 'Unnamed: n', repeats -> '.1'), kept
     labels after dropping unnamed columns, detected key combination (A4b, A5, C3)."""
-    df = _layout_rows(spark, sf_dir)
-    return _with_rows(spark, sf_dir, df.select(_name(F.col("path")), "labels", "kept", "key_combo"))
+    return _layout_rows(spark, sf_dir)
 
 
-@register("key_combo_detect", _counted(f"SELECT name, key_combo FROM ({_LAYOUT_SQL})"))
+@register("key_combo_detect", f"SELECT name, key_combo FROM ({_LAYOUT_SQL})")
 def key_combo_detect(spark, sf_dir):
     """First fully present key combination per file, NULL when none."""
-    return _with_rows(spark, sf_dir, _layout_rows(spark, sf_dir).select(_name(F.col("path")), "key_combo"))
+    return _layout_rows(spark, sf_dir).select("name", "key_combo")
 
 
 def _all_rows(spark, sf_dir, with_row_index=False):
@@ -158,81 +148,110 @@ def row_index(spark, sf_dir):
     return _all_rows(spark, sf_dir, with_row_index=True)
 
 
-_F_SQL = f"""
-SELECT name, o_orderkey AS "Airline PNR", o_custkey AS "Airline Code", sector AS "Sector",
-       o_totalprice AS "Amount", strftime(o_orderdate, '%Y-%m-%d') AS "Order Date"
-FROM ({X.X3_ROWS_SQL}) WHERE o_orderstatus = 'F'"""
+_UNION_SQL = f"""
+WITH r AS (SELECT *, row_number() OVER (PARTITION BY name ORDER BY o_orderkey) - 1 AS row_idx, strftime(o_orderdate, '%Y-%m-%d') AS day FROM ({X.X3_ROWS_SQL}))
+SELECT name, row_idx, o_orderkey AS "Airline PNR", o_custkey AS "Airline Code", sector AS "Sector", o_totalprice AS "Amount", day AS "Order Date"
+FROM r WHERE o_orderstatus = 'F'
+UNION ALL BY NAME SELECT name, row_idx, sector, day AS "Order Date", o_orderkey AS "PNRNUMBER", o_custkey AS "airlinecode", o_totalprice AS "Amount", o_custkey AS "Amount.1"
+FROM r WHERE o_orderstatus = 'O'
+UNION ALL BY NAME SELECT name, row_idx, o_orderkey AS "Airline PNR", o_custkey AS "Airline Code", o_totalprice AS "Amount" FROM r WHERE o_orderstatus = 'P'"""
 
 
-def _f_layout(spark, sf_dir):
-    feeds = _layouts(spark, sf_dir)
-    return next(lay for lay in feeds.layouts if lay.names[-1] == "Unnamed: 5")
+def _union(spark, sf_dir):
+    """All layouts by name in one plan, cells as text."""
+    return union_csv(spark, _headers(spark, sf_dir))
+
+
+def _labels(df):
+    return [n for n in df.columns if n not in ("source_file", "row_idx")]
+
+
+@register("layout_union", f"SELECT * FROM ({_UNION_SQL})")
+def layout_union(spark, sf_dir):
+    """Files of different columns as one frame, by name (H1): one scan and a
+    projection by data, whatever the number of layouts; typed (A8)."""
+    df = _union(spark, sf_dir)
+    return typed(df, _labels(df)).withColumn("name", base_name(F.col("source_file"))).drop("source_file")
 
 
-@register("drop_unnamed", _F_SQL)
+@register("drop_unnamed", f"SELECT * EXCLUDE (row_idx) FROM ({_UNION_SQL})")
 def drop_unnamed(spark, sf_dir):
-    """The blank-header column is dropped; the rest keep their labels (A5)."""
-    lay = _f_layout(spark, sf_dir)
-    df = read_layout(spark, lay)
-    return df.select(_name(F.col("source_file")), c("Airline PNR").cast("bigint").alias("Airline PNR"),
-                     c("Airline Code").cast("bigint").alias("Airline Code"), c("Sector"),
-                     c("Amount").cast("double").alias("Amount"), c("Order Date"))
+    """The blank-header column is dropped; the rest keep their labels (A5), in all layouts."""
+    df = _union(spark, sf_dir)
+    kinds = {"Airline PNR": "bigint", "Airline Code": "bigint", "PNRNUMBER": "bigint", "airlinecode": "bigint", "Amount": "double", "Amount.1": "bigint"}
+    return df.select(_name(F.col("source_file")), *[c(n).cast(kinds.get(n, "string")).alias(n) for n in _labels(df)])
 
 
-@register("infer_types", f"""SELECT "Airline PNR", "Airline Code", "Sector", "Amount", "Order Date" FROM ({_F_SQL})""")
+@register("infer_types", f"SELECT * EXCLUDE (row_idx, name) FROM ({_UNION_SQL})")
 def infer_types_q(spark, sf_dir):
-    """Opt-in type inference: one aggregate decides each column's type."""
-    lay = _f_layout(spark, sf_dir)
-    return infer_types(read_layout(spark, lay).drop("source_file"))
+    """Opt-in type inference over all layouts: one aggregate per (file, label)
+    gives each file's types, their least common one is the column's (A8)."""
+    df = _union(spark, sf_dir)
+    return typed(df, _labels(df)).drop("source_file", "row_idx")
+
+
+@register("feed_types", f"""
+WITH u AS (SELECT * FROM ({_UNION_SQL})),
+f AS (SELECT name, label, type, n FROM (
+  SELECT name, unnest(['Airline PNR', 'Airline Code', 'Sector', 'Amount', 'Order Date', 'PNRNUMBER', 'airlinecode', 'Amount.1']) AS label,
+         unnest(['bigint', 'bigint', 'string', 'double', 'string', 'bigint', 'bigint', 'bigint']) AS type,
+         unnest([count("Airline PNR"), count("Airline Code"), count("Sector"), count("Amount"), count("Order Date"), count("PNRNUMBER"), count("airlinecode"), count("Amount.1")]) AS n
+  FROM u GROUP BY name) WHERE n > 0)
+SELECT f.*, max(type) OVER (PARTITION BY label) AS merged, count(*) OVER (PARTITION BY label) AS files FROM f""")
+def feed_types(spark, sf_dir):
+    """Each file's own type per label, and the type that holds all files' (A8)."""
+    df = _union(spark, sf_dir)
+    per = file_types(df, _labels(df))
+    merged = union_types(per).withColumnRenamed("type", "merged")
+    return per.join(merged, "label").select(_name(F.col("file")), "label", "type", "n", "merged", "files")
 
 
 @register("csv_roundtrip", f"""
-SELECT f."Airline PNR", f."Airline Code", f."Sector", f."Amount", f."Order Date",
-       CASE WHEN f."Sector" IS NULL THEN NULL ELSE f."Amount" END AS "Taxable_Amount",
-       CASE WHEN f."Sector" IS NULL THEN NULL ELSE f."Order Date" END AS "Booking Date"
-FROM ({_F_SQL}) f""")
+SELECT o_orderkey AS pnr, o_custkey AS code, sector, o_totalprice AS amount, strftime(o_orderdate, '%Y-%m-%d') AS day,
+       CASE WHEN o_orderstatus = 'O' THEN o_custkey END AS amount_1,
+       CASE WHEN sector IS NULL THEN NULL ELSE o_totalprice END AS taxable,
+       CASE WHEN sector IS NULL THEN NULL ELSE strftime(o_orderdate, '%Y-%m-%d') END AS booking
+FROM ({X.X3_ROWS_SQL}) WHERE o_orderstatus <> 'P'""")
 def csv_roundtrip(spark, sf_dir):
-    """Enriched layout written as header CSV without index, read back (B1)."""
-    lay = _f_layout(spark, sf_dir)
-    feed = read_layout(spark, lay).drop("source_file")
-    ref = X.x3_reference(spark, sf_dir)
-    out = X.x3_spec()
-    enriched = enrich(feed, ref, out)
-    path = scratch_path(spark, "roundtrip")
-    write_csv(enriched, path)
-    back = read_csv_output(spark, path, enriched.columns)
-    return back.select(c("Airline PNR").cast("bigint").alias("Airline PNR"),
-                       c("Airline Code").cast("bigint").alias("Airline Code"), c("Sector"),
-                       c("Amount").cast("double").alias("Amount"), c("Order Date"),
-                       c("Taxable_Amount").cast("double").alias("Taxable_Amount"),
-                       F.substring(c("Booking Date"), 1, 10).alias("Booking Date"))
+    """Every layout with keys, enriched, written as header CSV without index
+    and read back (B1)."""
+    ref, spec = X.x3_reference(spark, sf_dir), X.x3_spec()
+    out = None
+    for lay in _layouts(spark, sf_dir).layouts:
+        try:
+            plan = plan_layout(lay.columns, spec)
+        except NoKeyColumns:
+            continue
+        enriched = enrich(read_layout(spark, lay).drop("source_file"), ref, spec, plan=plan)
+        path = scratch_path(spark, "roundtrip")
+        write_csv(enriched, path)
+        back = read_csv_output(spark, path, enriched.columns)
+        mapping = {v: k for k, v in resolve_headers(lay.columns, spec.aliases).items()}
+        have = lambda n, kind: (c(n).cast(kind) if n in back.columns else F.lit(None).cast(kind))
+        part = back.select(c(mapping["PNR_Number"]).cast("bigint").alias("pnr"), c(mapping["Airline_Code"]).cast("bigint").alias("code"),
+                           c(mapping["Travel_Sector"]).alias("sector"), have("Amount", "double").alias("amount"), have("Order Date", "string").alias("day"),
+                           have("Amount.1", "bigint").alias("amount_1"), have("Taxable_Amount", "double").alias("taxable"),
+                           F.substring(c("Booking Date"), 1, 10).alias("booking"))
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 @register("path_parts", f"""
-SELECT name, regexp_replace(name, '\\.[^.]*$', '') AS stem, '.csv' AS ext, '.csv' AS output_ext FROM ({_NAMES})
-UNION ALL SELECT 'header_only.csv', 'header_only', '.csv', '.csv'
-UNION ALL SELECT 'empty.csv', 'empty', '.csv', '.csv'
-UNION ALL SELECT 'notes.txt', 'notes', '.txt', '.xlsx'""")
+SELECT name, regexp_replace(name, '\\.[^.]*$', '') AS stem, '.csv' AS ext, '.csv' AS output_ext, count(*) AS rows FROM ({X.X3_ROWS_SQL}) GROUP BY name""")
 def path_parts(spark, sf_dir):
-    """basename / stem / lower-case extension / output extension (I4)."""
-    _, feeds = x3_dir(spark, sf_dir)
-    d = discover(spark, feeds, (".csv", ".txt"))
-    return d.select("name", stem(F.col("path")).alias("stem"), extension(F.col("path")).alias("ext"),
-                    output_ext(F.col("path")).alias("output_ext"))
+    """basename / stem / lower-case extension / output extension of each row's file (I4)."""
+    path = F.col("source_file")
+    return _union(spark, sf_dir).groupBy(_name(path), stem(path).alias("stem"), extension(path).alias("ext"),
+                                         output_ext(path).alias("output_ext")).agg(F.count("*").alias("rows"))
 
 
 @register("output_names", f"""
-SELECT name, regexp_replace(name, '\\.[^.]*$', '') || '_{STAMP}.csv' AS output FROM ({_NAMES})
-UNION ALL SELECT 'header_only.csv', 'header_only_{STAMP}.csv'
-UNION ALL SELECT 'empty.csv', 'empty_{STAMP}.csv'""")
+SELECT name, regexp_replace(name, '\\.[^.]*$', '') || '_{STAMP}.csv' AS output, count(*) AS rows FROM ({X.X3_ROWS_SQL}) GROUP BY name""")
 def output_names_q(spark, sf_dir):
-    """``{stem}_{YYYYMMDDHHMMSSffffff}{ext}`` as a column expression."""
-    _, feeds = x3_dir(spark, sf_dir)
-    d = discover(spark, feeds, DEFAULT_EXTENSIONS)
+    """``{stem}_{YYYYMMDDHHMMSSffffff}{ext}`` of each row's file."""
     ts = F.lit(RUN_TS.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp")
-    from pyspark.sql import Window
-    n = F.row_number().over(Window.partitionBy(output_name(F.col("path"), ts)).orderBy("path")) - 1
-    return d.select("name", output_name(F.col("path"), ts, n).alias("output"))
+    path = F.col("source_file")
+    return _union(spark, sf_dir).groupBy(_name(path), output_name(path, ts).alias("output")).agg(F.count("*").alias("rows"))
 
 
 # --- the job over the folder, and its report (F7-F9, H2) ---------------------
@@ -291,27 +310,18 @@ UNION ALL SELECT 'critical_error', 1, 'red'
 UNION ALL SELECT status, CAST(errors AS INTEGER), color FROM ({_SUMMARY_SQL})""")
 def run_status(spark, sf_dir):
     """Status and severity class (F8) of four runs: the job's own, one over a
-    folder without files, one whose reference cannot be opened, and one whose
-    reference breaks off after the empty file was found."""
+    folder without files, one whose reference is not there when it is opened,
+    and one whose reference loses its files after that."""
     _, feeds = x3_dir(spark, sf_dir)
     ref = X.x3_reference(spark, sf_dir)
-
-    class Closed:
-        @property
-        def schema(self):
-            raise RuntimeError("cannot connect")
-
-    class Broken:
-        schema = ref.schema
-
-        @property
-        def columns(self):
-            raise RuntimeError("lost connection")
-    bare = scratch_path(spark, "bare")
+    bare, copy = scratch_path(spark, "bare"), scratch_path(spark, "reference")
     hadoop_mkdirs(spark, bare)
+    ref.write.parquet(copy)
+    lost = read_reference(spark, copy)
+    hadoop_delete(spark, copy)
     runs = [run_summary(x3_job(spark, sf_dir)), enrich_directory(spark, bare, ref, X.x3_spec()).summary,
-            enrich_directory(spark, feeds, Closed(), X.x3_spec()).summary,
-            enrich_directory(spark, feeds, Broken(), X.x3_spec(), on_error="report").summary]
+            enrich_directory(spark, feeds, lambda: read_reference(spark, f"{bare}/nothing"), X.x3_spec()).summary,
+            enrich_directory(spark, feeds, lost, X.x3_spec(), on_error="report").summary]
     out = runs[0]
     for r in runs[1:]:
         out = out.unionByName(r)
@@ -337,7 +347,7 @@ def report_details(spark, sf_dir):
                F.coalesce(F.col("error"), F.lit("Unknown error"))).alias("error_text"))
 
 
-@register("layout_resolution", _counted(f"""
+@register("layout_resolution", f"""
 SELECT name,
   CASE status WHEN 'P' THEN NULL ELSE 'PNR_Number|Airline_Code|Travel_Sector' END AS keys,
   CASE status WHEN 'F' THEN 'Airline PNR|Airline Code|Sector' WHEN 'O' THEN 'PNRNUMBER|airlinecode|sector'
@@ -345,14 +355,11 @@ SELECT name,
   'Taxable_Amount|Booking_Date' AS missing
 FROM ({_NAMES})
 UNION ALL SELECT 'header_only.csv', 'PNR_Number|Airline_Code|Travel_Sector', 'Airline PNR|Airline Code|Sector',
-  'Taxable_Amount|Booking_Date'"""))
+  'Taxable_Amount|Booking_Date'""")
 def layout_resolution(spark, sf_dir):
     """Header resolution, key detection, key sources and missing targets for
-    all files' layouts in one DataFrame plan (C1, C3, C4, C6 distributed)."""
-    feeds = _layouts(spark, sf_dir)
-    rows = [(p, i, lay.names[i]) for lay in feeds.layouts for p in lay.paths for i in lay.kept]
-    headers = spark.createDataFrame(rows, "layout_id string, pos int, header string")
-    plan = plan_layouts(headers, X.x3_spec())
-    return _with_rows(spark, sf_dir, plan.select(
-        _name(F.col("layout_id")), F.array_join("keys", "|").alias("keys"),
-        F.array_join("sources", "|").alias("sources"), F.array_join("missing", "|").alias("missing")))
+    all files' layouts in one DataFrame plan, from the header records that
+    tasks read (C1, C3, C4, C6 distributed)."""
+    plan = plan_layouts(layout_headers(_headers(spark, sf_dir)), X.x3_spec())
+    return plan.select(_name(F.col("layout_id")), F.array_join("keys", "|").alias("keys"),
+                       F.array_join("sources", "|").alias("sources"), F.array_join("missing", "|").alias("missing"))

@@ -11,9 +11,10 @@ from ..job import enrich_directory
 from ..operators.enrich import enrich
 from ..operators.report import map_text, union_sheets
 from ..plans.headers import NoKeyColumns
+from ..plans.wide import project, union_labels
 from ..session import scratch_path
 from ..sources.files import list_feeds
-from ..sources.workbook import header_rows, read_workbooks
+from ..sources.workbook import header_rows, read_workbooks, sheet_layouts
 from ..spec import EnrichSpec
 from .registry import register
 
@@ -119,3 +120,22 @@ def workbook_report(spark, sf_dir):
     return r.select(base_name(F.col("file")).alias("name"), "status", "rows", "sheets",
                     map_text(F.col("sheets_info")).alias("sheets_info"), "matched",
                     F.array_join("failed_sheets", ",").alias("failed_sheets"))
+
+
+@register("sheet_union_by_name", f"""
+SELECT 'book_a.xlsx' AS name, 'Nations' AS sheet, CAST(n_nationkey AS VARCHAR) AS n_nationkey, n_name, CAST(n_regionkey AS VARCHAR) AS n_regionkey FROM nation
+UNION ALL BY NAME SELECT 'book_a.xlsx' AS name, 'Regions' AS sheet, CAST(r_regionkey AS VARCHAR) AS r_regionkey, r_name FROM region
+UNION ALL BY NAME SELECT {_BOOK_B} AS name, 'Customers' AS sheet, CAST(c_custkey AS VARCHAR) AS "Airline PNR", CAST(c_nationkey AS VARCHAR) AS "Airline Code",
+  c_mktsegment AS "Sector", c_name AS "Customer" FROM customer
+UNION ALL BY NAME SELECT {_BOOK_B} AS name, 'Numbers' AS sheet, CAST(c_custkey AS VARCHAR) AS "2024", CAST(c_nationkey AS VARCHAR) AS c_custkey, c_mktsegment AS segment FROM customer""")
+def sheet_union_by_name(spark, sf_dir):
+    """Sheets of different columns as one frame, by name (H1): one pass over
+    the parsed cells and a projection by data."""
+    cells = _books(spark, sf_dir).cells
+    heads = sheet_layouts(cells)
+    rows = cells.where("error is null").select("source_file", "sheet", "row_idx", "cells")
+    after = heads.select("source_file", "sheet", "header_row")
+    rows = rows.join(after, ["source_file", "sheet"]).where("row_idx > header_row")
+    labels = union_labels(heads)
+    wide = project(rows, heads, ["source_file", "sheet"], labels)
+    return wide.withColumn("name", base_name(F.col("source_file"))).drop("source_file")

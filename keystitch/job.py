@@ -119,13 +119,16 @@ def _failure(path, status, reason):
     return (path, status, None, None, None, None, error, None, None, reason, None)
 
 
-def enrich_directory(spark: SparkSession, directory: str, reference: DataFrame, spec: EnrichSpec,
+def enrich_directory(spark: SparkSession, directory: str, reference: DataFrame | Callable[[], DataFrame], spec: EnrichSpec,
                      out: str | None = None, *, run_id: str | None = None, ts: datetime | None = None,
                      fmt: str = "csv", paths: Sequence[str] | None = None,
                      reduce_reference="auto", on_error: str = "raise", parallel_layouts: int = 4,
                      ordered: bool = True) -> JobResult:
     """Enrich every supported feed in ``directory`` (or the given ``paths``).
 
+    ``reference`` may be a function that opens it: a reference that cannot be
+    opened ends the run with status ``db_error``.
+
     Failures of one file or layout (vanished, unreadable, no keys, a failed
     write) only fail its files. Without ``ts`` the time stamp in output names
     is the present, or, with a ``run_id`` (a batch that may be replayed), the
@@ -164,6 +167,8 @@ def _run_directory(spark, directory, reference, spec, out, rows, *, run_id, ts,
         report = spark.createDataFrame(rows, REPORT_SCHEMA)
         return JobResult(report, run_summary(report))
     try:
+        if callable(reference):
+            reference = reference()
         ref_schema = reference.schema   # resolves the source (for JDBC: connects)
     except Exception as e:  # noqa: BLE001 - the run cannot look anything up
         rows += [_failure(f.path, "error", f"reference unavailable: {type(e).__name__}") for f in files]

@@ -21,7 +21,7 @@ from collections import Counter
 from dataclasses import dataclass, field
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -203,27 +203,11 @@ def read_layout(spark: SparkSession, layout: CsvLayout, *, delimiter: str = ",",
     if place_cols:
         extra += [F.col(R.BLOCK).alias(place_cols[0]), F.col(R.PLACE).alias(place_cols[1])]
     if with_row_index:
-        rows, place = _numbered(spark, rows, splits, delimiter, known)
+        rows, place = R.numbered(spark, rows, splits, delimiter, known)
         extra.append(place.alias(ROW_IDX))
     return rows.select(*cols, *extra)
 
 
-def _numbered(spark: SparkSession, rows: DataFrame, splits: Sequence[str], delimiter: str, known: R.Borders) -> tuple[DataFrame, Column]:
-    """(rows, 0-based row number within each file), without a global sort (G1,
-    H4): a row's place in its split, plus the rows of the file's earlier
-    splits. Only files that may be split have more than one, and only these are
-    scanned for the counts of their splits."""
-    if not splits:
-        return rows, F.col(R.PLACE)
-    counted = R.row_counts(spark, splits, delimiter, known)
-    w = Window.partitionBy(R.FID).orderBy(R.BLOCK).rowsBetween(Window.unboundedPreceding, -1)
-    before = spark.createDataFrame(counted, f"{R.FID} long, {R.BLOCK} long, __ks_n long").select(
-        R.FID, R.BLOCK, F.coalesce(F.sum("__ks_n").over(w), F.lit(0)).alias("__ks_before"))
-    if len(counted) * 64 <= broadcast_threshold(spark):
-        before = F.broadcast(before)
-    return rows.join(before, [R.FID, R.BLOCK], "left"), F.coalesce(F.col("__ks_before"), F.lit(0)) + F.col(R.PLACE)
-
-
 def misread(spark: SparkSession, layout: CsvLayout, speculate: Observation) -> list[str]:
     """Files of the layout of which a speculating scan, now done, took a split
     to begin a record that did not."""

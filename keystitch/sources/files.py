@@ -158,10 +158,16 @@ def _first_record(text: str, at_end: bool, delimiter: str, quote: str) -> tuple[
     return Header(tuple(labels), lead), complete
 
 
+def decode_header(data: bytes, at_end: bool, encoding: str, delimiter: str, quote: str = '"') -> tuple[Header | None, bool]:
+    """(header, complete) from a file's first bytes."""
+    import codecs
+    text = codecs.getincrementaldecoder(encoding)("strict").decode(data, at_end).removeprefix("\ufeff")
+    return _first_record(text, at_end, delimiter, quote)
+
+
 def read_header(spark: SparkSession, path: str, encoding: str = "UTF-8", delimiter: str = ",",
                 quote: str = '"') -> Header:
     """First record of a CSV file, read up to :data:`MAX_HEADER_BYTES`."""
-    import codecs
     try:
         fs, jpath = _fs(spark, path)
         size = 1 << 16
@@ -172,8 +178,7 @@ def read_header(spark: SparkSession, path: str, encoding: str = "UTF-8", delimit
             finally:
                 stream.close()
             at_end = len(data) < size
-            text = codecs.getincrementaldecoder(encoding)("strict").decode(data, at_end).removeprefix("\ufeff")
-            header, complete = _first_record(text, at_end, delimiter, quote)
+            header, complete = decode_header(data, at_end, encoding, delimiter, quote)
             if complete:
                 return header
             if size >= MAX_HEADER_BYTES:
@@ -214,6 +219,11 @@ def hadoop_mkdirs(spark: SparkSession, path: str) -> None:
     fs.mkdirs(jpath)
 
 
+def hadoop_delete(spark: SparkSession, path: str) -> None:
+    fs, jpath = _fs(spark, path)
+    fs.delete(jpath, True)
+
+
 def hadoop_rename(spark: SparkSession, src: str, dst: str) -> bool:
     fs, jsrc = _fs(spark, src)
     return bool(fs.rename(jsrc, spark.sparkContext._jvm.org.apache.hadoop.fs.Path(dst)))

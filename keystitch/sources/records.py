@@ -25,10 +25,12 @@ import re
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.enrich import broadcast_threshold
+
 OUT, IN = 0, 1                            # state at the start of a line
 RECORD, OPEN, HEAD, TAIL, EDGE = range(5)   # kinds of rows
 CLOSES = 4                                # bit of an edge: started inside, the split does get outside
@@ -363,3 +365,19 @@ def records(spark: SparkSession, paths: Sequence[str], delimiter: str = ",", kno
     whole = whole.where("not header").select(text.alias(RAW), FID, F.col("began").alias(BLOCK), PLACE,
                                              F.when(F.col("done") == 1, RECORD).otherwise(OPEN).cast("int").alias(KIND), F.lit(0).cast("long").alias(INFO))
     return rows.where(~F.col(KIND).isin(HEAD, TAIL)).unionByName(whole)
+
+
+def numbered(spark: SparkSession, rows: DataFrame, splits: Sequence[str], delimiter: str, known: Borders) -> tuple[DataFrame, Column]:
+    """(rows, 0-based row number within each file), without a global sort (G1,
+    H4): a row's place in its split, plus the rows of the file's earlier
+    splits. Only files that may be split (``splits``) have more than one, and
+    only these are scanned for the counts of their splits."""
+    if not splits:
+        return rows, F.col(PLACE)
+    counted = row_counts(spark, splits, delimiter, known)
+    w = Window.partitionBy(FID).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
+    before = spark.createDataFrame(counted, f"{FID} long, {BLOCK} long, __ks_n long").select(
+        FID, BLOCK, F.coalesce(F.sum("__ks_n").over(w), F.lit(0)).alias("__ks_before"))
+    if len(counted) * 64 <= broadcast_threshold(spark):
+        before = F.broadcast(before)
+    return rows.join(before, [FID, BLOCK], "left"), F.coalesce(F.col("__ks_before"), F.lit(0)) + F.col(PLACE)

@@ -227,6 +227,21 @@ def header_rows(cells: DataFrame) -> DataFrame:
     return sheet_table(cells).select("source_file", "sheet", "sheet_pos", "width", "header_row")
 
 
+def sheet_layouts(cells: DataFrame) -> DataFrame:
+    """``(source_file, sheet, header_row, names, kept)`` of every sheet with
+    data rows: its labels and the positions kept, worked out in tasks."""
+    def label(batches):
+        import pandas as pd
+        for pdf in batches:
+            raw = [["" if v is None else v for v in (h if h is not None else [])] + [""] * (w - (len(h) if h is not None else 0))
+                   for h, w in zip(pdf["header"], pdf["width"])]
+            names = [header_names(r) for r in raw]
+            yield pd.DataFrame({"source_file": pdf["source_file"], "sheet": pdf["sheet"], "header_row": pdf["header_row"],
+                                "names": names, "kept": [kept_positions(n) for n in names]})
+    rows = sheet_table(cells).where("data_rows > 0").select("source_file", "sheet", "header_row", "header", "width")
+    return rows.mapInPandas(label, "source_file string, sheet string, header_row bigint, names array<string>, kept array<int>")
+
+
 @dataclass
 class SheetLayout:
     names: tuple[str, ...]
