@@ -11,7 +11,7 @@ from .. import fixtures as X
 from ..functions.exprs import c, is_empty, na_to_null, normalize_header
 from ..operators.enrich import (
     distinct_keys, enrich, first_per_key, key_frame, match_stats, matched, missing_key_rows,
-    reference_semi, unmatched, where_key,
+    reference_semi, reference_semi_bitmap, unmatched, where_key,
 )
 from ..plans.headers import plan_layout
 from ..session import scratch_path
@@ -93,6 +93,16 @@ def reference_semi_q(spark, sf_dir):
     return reference_semi(feed, ref, spec)
 
 
+@register("reference_bitmap", f"""
+SELECT * FROM ({X.X1_REF_SQL}) r WHERE (PNR_Number, Airline_Code, Travel_Sector) IN (
+  SELECT ("Airline PNR/Prov. Booking", " AIRLINE code ", "Sector") FROM ({X.X1_FEED_SQL}) f
+  WHERE {X.X1_VALID})""")
+def reference_bitmap_q(spark, sf_dir):
+    """The semi-join behind a key bitmap, for key sets beyond the broadcast bound (D3)."""
+    feed, ref, spec = _x1(spark, sf_dir)
+    return reference_semi_bitmap(feed, ref, spec)
+
+
 @register("reference_scan", """
 SELECT l_orderkey AS PNR_Number, l_linenumber AS Airline_Code, l_returnflag AS Travel_Sector,
        l_extendedprice AS Taxable_Amount, l_shipdate AS Booking_Date

@@ -14,7 +14,11 @@ from ..plans.headers import plan_layout
 from ..session import scratch_path
 from ..sinks.writers import read_csv_output, write_csv
 from ..sources.files import hadoop_glob, hadoop_mkdirs, hadoop_rename
+from ..operators.enrich import enrich, prepare
+from ..operators.kept import KeptReference
+from ..sources.reference import read_reference
 from ..streaming.incremental import enrich_stream, read_reports, run_once
+from ..streaming.lease import AlreadyRunning, Lease
 from .frames import JOIN_SQL, TARGETS_SQL
 from .registry import register
 
@@ -110,3 +114,59 @@ def stream_static_enrich(spark, sf_dir):
              .option("checkpointLocation", ckpt).trigger(availableNow=True).start(out))
         q.awaitTermination()
     return spark.read.parquet(out)
+
+
+@register("kept_reference", f"SELECT f.*, {TARGETS_SQL} {JOIN_SQL}")
+def kept_reference(spark, sf_dir):
+    """A first-per-key reference kept between batches (F2, J1): built from one
+    part of the reference's files, merged with the files that came later, and
+    joined without ranking or shuffling it."""
+    root = scratch_path(spark, "kept")
+    ref, feed = X.x1_reference(spark, sf_dir), X.x1_feed(spark, sf_dir)
+    spec = X.x1_spec(ref)
+    plan = plan_layout(feed.columns, spec)
+    kept = KeptReference(f"{root}/table", buckets=16)
+    late = F.col("Invoice_Number") % 2 == 0
+    shared = None
+    for part in (~late, late):
+        ref.where(part).write.mode("append").parquet(f"{root}/reference")
+        now = read_reference(spark, f"{root}/reference")
+        prep = prepare(feed, now.schema, spec, plan)
+        shared = kept.shared(now, spec, prep.ref_exprs, [n for n, _ in plan.missing])
+    return enrich(feed, now, spec, plan=plan, shared=shared, prepared=prep)
+
+
+@register("overlap_guard", f"""
+WITH n AS (SELECT count(*) AS n FROM ({X.X1_FEED_SQL}) f WHERE "Sector" = 'N')
+SELECT 1 AS step, 'ran' AS outcome, n AS rows FROM n
+UNION ALL SELECT 2, 'refused', 0
+UNION ALL SELECT 3, 'ran after a dead run', n FROM n""")
+def overlap_guard(spark, sf_dir):
+    """Runs over the same checkpoint (J3): one that has ended lets the next
+    one in, one in force elsewhere keeps it out, one that died is taken over."""
+    root = scratch_path(spark, "lease")
+    feed, ref = X.x1_feed(spark, sf_dir), X.x1_reference(spark, sf_dir)
+    spec = X.x1_spec(ref)
+    inbox, out, ckpt = f"{root}/inbox", f"{root}/out", f"{root}/ckpt"
+    hadoop_mkdirs(spark, inbox)
+    rows = []
+
+    def drop(i):
+        _drop_files(spark, feed.where(F.col("Sector") == "N"), "csv", f"{root}/staging{i}", inbox, f"drop{i}")
+    drop(0)
+    run_once(spark, inbox, ref, spec, out, ckpt)
+    rows.append((1, "ran"))
+    drop(1)
+    other = Lease(spark, f"{ckpt}_lease/run", seconds=3600, owner="another application").acquire()
+    try:
+        run_once(spark, inbox, ref, spec, out, ckpt)
+        rows.append((2, "ran"))
+    except AlreadyRunning:
+        rows.append((2, "refused"))
+    other.release()
+    Lease(spark, f"{ckpt}_lease/run", seconds=-1, owner="a run that died").acquire()
+    run_once(spark, inbox, ref, spec, out, ckpt)
+    rows.append((3, "ran after a dead run"))
+    steps = spark.createDataFrame(rows, "step int, outcome string")
+    done = read_reports(spark, out + "_report").groupBy((F.col("batch_id") * 2 + 1).cast("int").alias("step")).agg(F.sum("rows").alias("rows"))
+    return steps.join(done, "step", "left").withColumn("rows", F.coalesce("rows", F.lit(0)))

@@ -39,6 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .functions.exprs import c
+from .operators.kept import KeptReference, keep_reference
 from .operators.enrich import (
     SharedReference, broadcast_threshold, enrich, feed_key_set, first_reference, plan_size_bytes, prepare,
     reference_signature,
@@ -123,7 +124,7 @@ def enrich_directory(spark: SparkSession, directory: str, reference: DataFrame |
                      out: str | None = None, *, run_id: str | None = None, ts: datetime | None = None,
                      fmt: str = "csv", paths: Sequence[str] | None = None,
                      reduce_reference="auto", on_error: str = "raise", parallel_layouts: int = 4,
-                     ordered: bool = True) -> JobResult:
+                     ordered: bool = True, kept: str | KeptReference | None = None) -> JobResult:
     """Enrich every supported feed in ``directory`` (or the given ``paths``).
 
     ``reference`` may be a function that opens it: a reference that cannot be
@@ -134,7 +135,8 @@ def enrich_directory(spark: SparkSession, directory: str, reference: DataFrame |
     is the present, or, with a ``run_id`` (a batch that may be replayed), the
     latest modification time among the files. ``ordered`` writes each output in
     the order of its input, which costs one shuffle of the output; without it
-    the order is the join's. ``out`` may not lie in ``directory``. An unexpected error of the run itself raises (``on_error="raise"``, right for
+    the order is the join's. ``kept`` is a folder in which the first-per-key
+    reference is kept from run to run (:mod:`.operators.kept`). ``out`` may not lie in ``directory``. An unexpected error of the run itself raises (``on_error="raise"``, right for
     an orchestrated job) or, with ``on_error="report"``, ends the run with
     status ``critical_error`` and the file rows gathered so far."""
     rows: list[tuple] = []
@@ -144,7 +146,7 @@ def enrich_directory(spark: SparkSession, directory: str, reference: DataFrame |
         with job_settings(spark, **{"spark.sql.caseSensitive": "true"}):
             return _run_directory(spark, directory, reference, spec, out, rows, run_id=run_id, ts=ts, fmt=fmt,
                                   paths=paths, reduce_reference=reduce_reference,
-                                  parallel_layouts=parallel_layouts, ordered=ordered)
+                                  parallel_layouts=parallel_layouts, ordered=ordered, kept=keep_reference(kept))
     except Exception:
         if on_error != "report":
             raise
@@ -153,7 +155,7 @@ def enrich_directory(spark: SparkSession, directory: str, reference: DataFrame |
 
 
 def _run_directory(spark, directory, reference, spec, out, rows, *, run_id, ts, fmt, paths,
-                   reduce_reference, parallel_layouts, ordered) -> JobResult:
+                   reduce_reference, parallel_layouts, ordered, kept) -> JobResult:
     if paths is None:
         files = list_feeds(spark, directory, spec.extensions)
     else:
@@ -251,6 +253,10 @@ def _run_directory(spark, directory, reference, spec, out, rows, *, run_id, ts,
     # reference is scanned and shuffled once per run, not once per layout
     shared: dict[tuple, SharedReference] = {}
     for sig, g in groups.items():
+        if kept is not None:
+            shared[sig] = kept.shared(reference, spec, g["prep"].ref_exprs, g["targets"])
+            continue
+
         def build(reduce_mode, g=g):
             keys = reduce(lambda a, b: a.unionByName(b), g["keys"]).distinct()
             first = first_reference(reference, spec, g["prep"].ref_exprs, g["targets"], keys, reduce_mode)

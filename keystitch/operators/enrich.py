@@ -276,7 +276,7 @@ def _reduce_decision(mode, keys_df: DataFrame, ref_df: DataFrame | None = None)
     if mode is True or mode is False:
         return mode
     if mode != "auto":
-        raise ValueError("reduce_reference must be True, False or 'auto'")
+        raise ValueError("reduce_reference must be True, False, 'bitmap' or 'auto'")
     limit = broadcast_threshold(keys_df.sparkSession)
     keys_est = plan_size_bytes(keys_df)
     if keys_est > 4 * limit:   # estimates come from compressed files: keep a margin
@@ -286,6 +286,35 @@ def _reduce_decision(mode, keys_df: DataFrame, ref_df: DataFrame | None = None)
     return _key_bytes(keys_df) <= limit
 
 
+#: Bits of the key bitmap: its broadcast is a fixed 8 MiB, in rows of 4 KiB.
+BITMAP_BITS = 1 << 26
+
+
+def bitmap_reduce(ref: DataFrame, rkeys: Sequence[str], feed_keys: DataFrame, bits: int = BITMAP_BITS) -> DataFrame:
+    """``ref`` without most rows whose key is not in ``feed_keys`` (D3), for key
+    sets too large to broadcast: the keys' hashes are set in a bitmap of fixed
+    size, merged per part of it, and each reference row's bit is tested before
+    anything of the reference is shuffled. Rows that stay by a shared bit find
+    no feed row in the join that follows."""
+    at = F.pmod(F.xxhash64(*[F.col(k) for k in rkeys]), F.lit(bits))
+    per = min(bits, 32768)   # bits of one row, as bitmap_bit_position counts them
+    parts = (feed_keys.select(at.alias("at")).select(F.floor(F.col("at") / per).cast("long").alias(f"{_P}part"), F.pmod("at", F.lit(per)).alias("bit"))
+             .groupBy(f"{_P}part").agg(F.bitmap_construct_agg("bit").alias(f"{_P}bits")))
+    parts = F.broadcast(parts)   # bits / 8 bytes in all
+    found = ref.withColumn(f"{_P}at", at).withColumn(f"{_P}part", F.floor(F.col(f"{_P}at") / per).cast("long")).join(parts, f"{_P}part")
+    bit = F.pmod(F.col(f"{_P}at"), F.lit(per))
+    byte = F.conv(F.hex(F.substring(F.col(f"{_P}bits"), (F.floor(bit / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    is_set = F.pmod(F.floor(byte / F.pow(F.lit(2), F.pmod(bit, F.lit(8)))), F.lit(2)) == 1
+    return found.where(is_set).select(*[c(n) for n in ref.columns])
+
+
+def _bitmap_pays(keys_df: DataFrame, ref_df: DataFrame, bits: int = BITMAP_BITS) -> bool:
+    """By the optimizer's estimates: the reference is far larger than the key
+    set, and the key set (16 bytes a key at least) leaves most bits unset."""
+    keys = plan_size_bytes(keys_df)
+    return plan_size_bytes(ref_df) >= REDUCE_RATIO * keys and keys / 16 <= bits / 4
+
+
 def first_reference(reference: DataFrame, spec: EnrichSpec, ref_exprs: Sequence[Column],
                     targets: Sequence[str], feed_keys: DataFrame | None = None,
                     reduce_reference="auto") -> DataFrame:
@@ -307,6 +336,8 @@ def first_reference(reference: DataFrame, spec: EnrichSpec, ref_exprs: Sequence[
     if feed_keys is not None:
         if reduce_reference == "auto" and _reduce_decision("auto", feed_keys, ref):
             ref = ref.join(F.broadcast(feed_keys), on=rkeys, how="left_semi")   # size measured above
+        elif reduce_reference == "bitmap" or (reduce_reference == "auto" and _bitmap_pays(feed_keys, ref)):
+            ref = bitmap_reduce(ref, rkeys, feed_keys)
         elif reduce_reference is True:
             ref = ref.join(feed_keys, on=rkeys, how="left_semi")                # strategy left to AQE
     order = []
@@ -447,6 +478,18 @@ def reference_semi(feed: DataFrame, reference: DataFrame, spec: EnrichSpec) -> D
     return reference.join(keys, on=_and(cond), how="left_semi")
 
 
+def reference_semi_bitmap(feed: DataFrame, reference: DataFrame, spec: EnrichSpec, bits: int = BITMAP_BITS) -> DataFrame:
+    """:func:`reference_semi` for key sets beyond the broadcast bound: the
+    bitmap drops most other rows before the reference is shuffled for the
+    exact semi-join."""
+    plan = plan_layout(feed.columns, spec)
+    prep = prepare(feed, reference.schema, spec, plan)
+    rkeys = [f"{_P}r{i}" for i in range(prep.n_keys)]
+    keys = feed_key_set(prep)
+    ref = reference.select("*", *[e.alias(k) for e, k in zip(prep.ref_exprs, rkeys)]).where(_and([F.col(k).isNotNull() for k in rkeys]))
+    return bitmap_reduce(ref, rkeys, keys, bits).join(keys, on=rkeys, how="left_semi").select(*[c(n) for n in reference.columns])
+
+
 def _by_key(feed: DataFrame, reference: DataFrame, spec: EnrichSpec, how: str) -> DataFrame:
     """Semi or anti join on the keys alone: of the reference only the key
     columns are read, and nothing is reduced to first rows."""

@@ -81,19 +81,27 @@ class CsvFeeds:
 
 
 def csv_layouts(spark: SparkSession, paths: Sequence[str], delimiter: str = ",",
-                sizes: dict[str, int] | None = None, encoding: str = "UTF-8") -> CsvFeeds:
+                sizes: dict[str, int] | None = None, encoding: str = "UTF-8", probe_files: int = 64) -> CsvFeeds:
     """Group CSV files by header signature (metadata only). ``sizes`` (file
-    lengths from the listing) saves a metadata call per file later on."""
+    lengths from the listing) saves a metadata call per file later on. Up to
+    ``probe_files`` files the driver reads the first records itself; of more,
+    tasks do (:func:`headers.header_table`)."""
     sizes = sizes or {}
-    headers = probe_headers(spark, list(paths), encoding=encoding, delimiter=delimiter)
+    found: dict[str, tuple] = {}
+    if len(paths) > probe_files:
+        from .headers import header_table, path_table
+        for r in header_table(path_table(spark, paths), encoding=encoding, delimiter=delimiter).collect():   # the listing, with labels
+            found[r["path"]] = (None if r["names"] is None else tuple(r["names"]), r["reason"])
+    else:
+        for p, h in probe_headers(spark, list(paths), encoding=encoding, delimiter=delimiter).items():
+            found[p] = (None if h.labels is None else tuple(header_names(h.labels)), h.reason)
     groups: dict[tuple[str, ...], CsvLayout] = {}
     failures = []
     for p in paths:
-        header = headers[p]
-        if header.labels is None:
-            failures.append((p, header.reason))
+        names, reason = found[p]
+        if names is None:
+            failures.append((p, reason))
             continue
-        names = tuple(header_names(header.labels))
         lay = groups.get(names)
         if lay is None:
             lay = groups[names] = CsvLayout(names, tuple(kept_positions(names)))

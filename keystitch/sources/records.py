@@ -224,7 +224,7 @@ def file_table(spark: SparkSession, paths: Sequence[str], file_col: str) -> Data
         if plain.fullmatch(p) and "//" not in p:
             return p
         jp = path_of(p)
-        return jp.getFileSystem(conf).makeQualified(jp).toUri().toString()
+        return re.sub(r"^file:/+", "file:/", jp.getFileSystem(conf).makeQualified(jp).toUri().toString())
     rows = spark.createDataFrame([(p, uri(p)) for p in paths], f"`{file_col}` string, uri string")
     return rows.select(F.xxhash64("uri").alias(FID), file_col)
 

@@ -18,6 +18,8 @@ stream-static left join against the first-per-key reference; stateless).
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,15 +30,12 @@ from ..operators.enrich import SharedReference, enrich, first_reference, prepare
 from ..plans.headers import check_reference, plan_layout
 from ..session import scratch_path
 from ..spec import EnrichSpec
+from .lease import AlreadyRunning, Lease
 
 
 BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
 
-class AlreadyRunning(RuntimeError):
-    """A query with the same name is active (J3 overlap guard)."""
-
-
 def _guard(spark: SparkSession, name: str | None) -> None:
     if name and any(q.name == name for q in spark.streams.active):
         raise AlreadyRunning(f"query {name!r} is still running")
@@ -45,14 +44,28 @@ def _guard(spark: SparkSession, name: str | None) -> None:
 def enrich_incremental(spark: SparkSession, directory: str, reference: DataFrame, spec: EnrichSpec,
                        out: str, checkpoint: str, *, report: str | None = None, archive: str | None = None,
                        name: str | None = None, fmt: str = "csv", available_now: bool = True,
-                       interval: str | None = None) -> StreamingQuery:
+                       interval: str | None = None, kept: str | None = None, lease_seconds: float = 600.0) -> StreamingQuery:
     """Start the incremental job; every new CSV/xlsx file is enriched once.
 
     ``archive`` moves processed files there (``cleanSource=archive``; Spark
     moves a file one batch after it was processed, under its full original
     path, H10). Reports go to ``report`` (default ``out + '_report'``) as one
-    parquet partition per batch."""
+    parquet partition per batch. A lease in the checkpoint folder, held until
+    the query ends, keeps a second run out, of whatever session or application
+    (:class:`AlreadyRunning`). ``kept`` is a folder for the first-per-key
+    reference, which is then brought up to date instead of ranked in every
+    batch (:mod:`..operators.kept`)."""
     _guard(spark, name)
+    lease = Lease(spark, f"{checkpoint.rstrip('/')}_lease/run", lease_seconds).acquire().keep()
+    try:
+        return _start(spark, directory, reference, spec, out, checkpoint, lease, report=report, archive=archive, name=name, fmt=fmt,
+                      available_now=available_now, interval=interval, kept=kept)
+    except BaseException:
+        lease.release()
+        raise
+
+
+def _start(spark, directory, reference, spec, out, checkpoint, lease, *, report, archive, name, fmt, available_now, interval, kept) -> StreamingQuery:
     report = report or out.rstrip("/") + "_report"
     exts = [e.lstrip(".") for e in spec.extensions if e.lower() in (".csv", ".xlsx")]
     # one glob level (H14): never list the folder itself, which may hold output
@@ -67,8 +80,9 @@ def enrich_incremental(spark: SparkSession, directory: str, reference: DataFrame
         paths = [r["path"] for r in batch.select("path").collect()]   # this batch's new file names
         if not paths:
             return
+        lease.renew()   # raises where another run took over
         res = enrich_directory(spark, directory, reference, spec, out, run_id=str(batch_id), paths=paths,
-                               fmt=fmt)
+                               fmt=fmt, kept=kept)
         (res.report.withColumn("batch_id", F.lit(batch_id))
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("batch_id").parquet(report))
@@ -77,13 +91,24 @@ def enrich_incremental(spark: SparkSession, directory: str, reference: DataFrame
     if name:
         w = w.queryName(name)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=interval or "1 day")
-    return w.start()
+    query = w.start()
+
+    def done():
+        try:
+            query.awaitTermination()
+        except Exception:  # noqa: BLE001 - the query's owner sees it
+            pass
+        lease.release()
+    query._ks_done = threading.Thread(target=done, daemon=True)
+    query._ks_done.start()
+    return query
 
 
 def run_once(spark: SparkSession, *args, **kwargs) -> StreamingQuery:
     """Start an availableNow run and wait for it to finish."""
     q = enrich_incremental(spark, *args, **kwargs)
     q.awaitTermination()
+    q._ks_done.join()   # the lease is free again
     if q.exception():
         raise q.exception()
     return q
