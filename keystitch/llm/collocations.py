@@ -42,6 +42,7 @@ _TABLE = bytes.maketrans(_ENDS + b"\t", b"\n" * len(_ENDS) + b" ")
 _CHUNK = 1 << 21          # words that a task names at once
 _WORDS = 1 << 20          # distinct words that a task knows at once
 _BUCKET = 1 << 15         # counters that a shuffled row holds at most
+_NAME_BUCKETS = 1 << 10   # parts of a language's phrases, by hash, that meet in one place
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -179,29 +180,43 @@ def active(words: np.ndarray, now: Bits, before: Bits, first_cycle: bool, max_wo
 
 
 def named(words: list[bytes], ids: np.ndarray, hashes: np.ndarray, reached: Bits, max_words: int):
-    """(phrase, length, places) of the phrases whose counters, and those of
-    whose subphrases, have reached the threshold."""
+    """Per length: (the phrases whose counters, and those of whose subphrases,
+    have reached the threshold, their places' number, their hashes)."""
     have = None
+    known = np.empty(len(words), object)
+    known[:] = words
     for k, (ok, h) in enumerate(phrase_hashes(hashes[ids], max_words), 1):
         mine = reached.has(h) & ok
-        use = mine if k == 1 else mine & have[:-1] & have[1:]
-        at = np.flatnonzero(use)
-        have = use
+        have = mine if k == 1 else mine & have[:-1] & have[1:]
+        at = np.flatnonzero(have)
         if not len(at):
             return
-        for first, n in _distinct(ids, h, at, k):
-            yield b" ".join([words[i] for i in ids[first:first + k].tolist()]), k, n
+        first, n = _distinct(ids, at, k, len(words))
+        columns = [known[ids[first + j]].tolist() for j in range(k)]
+        yield columns[0] if k == 1 else list(map(b" ".join, zip(*columns))), n, h[first]
 
 
-def _distinct(ids: np.ndarray, h: np.ndarray, at: np.ndarray, k: int):
+def _distinct(ids: np.ndarray, at: np.ndarray, k: int, n_words: int) -> tuple[np.ndarray, np.ndarray]:
     """(a place, number of places) of each distinct phrase of ``k`` words."""
-    _, first, inv, n = np.unique(h[at], return_index=True, return_inverse=True, return_counts=True)
-    where = at[first]
-    if all(np.array_equal(ids[at + j], ids[where[inv] + j]) for j in range(k)):
-        return zip(where.tolist(), n.tolist())
-    rows = np.stack([ids[at + j] for j in range(k)], axis=1)   # two phrases of one hash
+    width = max(1, int(n_words - 1).bit_length())
+    key = ids[at].astype(np.uint64)
+    for j in range(1, k):
+        word = ids[at + j].astype(np.uint64)
+        # the words' numbers side by side, or mixed where they need more than 64 bits
+        key = key << np.uint64(width) | word if (j + 1) * width <= 64 else _mix(key * _M2 + word)
+    order = np.argsort(key, kind="stable")
+    place, key = at[order], key[order]
+    change = key[1:] != key[:-1]
+    differ = np.zeros(len(place) - 1, bool)
+    for j in range(k):
+        word = ids[place + j]
+        differ |= word[1:] != word[:-1]
+    if np.array_equal(change, differ):
+        first = np.flatnonzero(np.append(True, change))
+        return place[first], np.diff(np.append(first, len(place)))
+    rows = np.stack([ids[at + j] for j in range(k)], axis=1)   # two phrases were mixed alike
     _, first, n = np.unique(rows, axis=0, return_index=True, return_counts=True)
-    return zip(at[first].tolist(), n.tolist())
+    return at[first], n
 
 
 def _chunks(batches):
@@ -331,21 +346,56 @@ def frequent(docs: DataFrame, p: PhraseParams = PhraseParams()) -> DataFrame:
     with ``f >= min_count`` places; ``words`` 0 holds a language's word count."""
     spark = docs.sparkSession
     path = _shards(docs, p.shards)
-    final, bits, max_words = reached(spark, path, p), p.bits, p.max_words
+    final, bits, max_words, least = reached(spark, path, p), p.bits, p.max_words, p.min_count
 
     def name(batches):
         import pyarrow as pa
         have = Bits(final, bits)
         for lang, words, hashes, ids in _chunks(batches):
-            rows = [(b"", 0, int((ids > 1).sum())), *named(words, ids, hashes, have, max_words)]
-            for i in range(0, len(rows), 50_000):
-                part = rows[i:i + 50_000]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * len(part)), pa.array([r[0] for r in part], pa.binary()).cast(pa.string()),
-                     pa.array([r[1] for r in part], pa.int32()), pa.array([r[2] for r in part], pa.int64())],
-                    names=["lang", "phrase", "words", "f"])
-
-    rows = in_batches(_texts(docs)).mapInArrow(name, "lang string, phrase string, words int, f long")
+            parts = [([b""], np.array([(ids > 1).sum()]), np.zeros(1, np.uint64)), *named(words, ids, hashes, have, max_words)]
+            phrases = [x for part in parts for x in part[0]]
+            bucket = np.concatenate([part[2] for part in parts]) % np.uint64(_NAME_BUCKETS)
+            order = np.argsort(bucket, kind="stable")
+            cuts = np.searchsorted(bucket[order], np.arange(_NAME_BUCKETS + 1, dtype=np.uint64)).astype(np.int32)
+            used = np.flatnonzero(np.diff(cuts))
+            offsets = pa.array(np.append(cuts[used], len(order)).astype(np.int32))
+            values = pa.array(list(map(phrases.__getitem__, order.tolist())), pa.binary())
+            counts = pa.array(np.concatenate([part[1] for part in parts])[order].astype(np.int64))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([lang] * len(used)), pa.array(used.astype(np.int32)), pa.ListArray.from_arrays(offsets, values),
+                 pa.ListArray.from_arrays(offsets, counts)], names=["lang", "bucket", "phrases", "counts"])
+
+    def add(batches):   # sorted: a language's bucket comes in one piece
+        import pyarrow as pa
+        at, total, whole = None, {}, True
+
+        def out(done):
+            # what has all its places here and is too rare goes; a part's counts are added up below
+            kept = [(w, n) for w, n in total.items() if n >= least or not w or not (done and whole)]
+            return pa.RecordBatch.from_arrays(
+                [pa.array([at[0]] * len(kept), pa.string()), pa.array([w for w, _ in kept], pa.binary()).cast(pa.string()),
+                 pa.array([w.count(b" ") + 1 if w else 0 for w, _ in kept], pa.int32()), pa.array([n for _, n in kept], pa.int64())],
+                names=["lang", "phrase", "words", "f"])
+        for b in batches:
+            phrases, counts = b.column(2).flatten().to_pylist(), b.column(3).flatten().to_pylist()
+            ends = np.cumsum(b.column(2).value_lengths().to_numpy()).tolist()
+            lo = 0
+            for key, hi in zip(zip(b.column(0).to_pylist(), b.column(1).to_pylist()), ends):
+                if key != at:
+                    if at is not None:
+                        yield out(True)
+                    at, total, whole = key, {}, True
+                for w, n in zip(phrases[lo:hi], counts[lo:hi]):
+                    total[w] = total.get(w, 0) + n
+                lo = hi
+                if len(total) > _WORDS:
+                    yield out(False)
+                    total, whole = {}, False
+        if at is not None:
+            yield out(True)
+
+    rows = in_batches(_texts(docs)).mapInArrow(name, "lang string, bucket int, phrases array<binary>, counts array<long>")
+    rows = rows.repartition("lang", "bucket").sortWithinPartitions("lang", "bucket").mapInArrow(add, "lang string, phrase string, words int, f long")
     counted = rows.groupBy("lang", "phrase", "words").agg(F.sum("f").alias("f"))
     return cut(counted.where((F.col("f") >= p.min_count) | (F.col("words") == 0)), "phrases")
 

@@ -103,7 +103,7 @@ def test_phrase_is_counted_in_one_full_cycle():
     for t in (t for s in shards for t in s):
         w.add(t)
     words, hashes, ids = w.take()
-    got = {ph.decode(): n for ph, _, n in X.named(words, ids, hashes, X.Bits(maps[-1], bits), 4)}
+    got = {ph.decode(): n for phs, ns, _ in X.named(words, ids, hashes, X.Bits(maps[-1], bits), 4) for ph, n in zip(phs, ns.tolist())}
     f = Counter()
     for t in (t for s in shards for t in s):
         ws = t.split()
@@ -121,10 +121,15 @@ def test_phrase_is_counted_in_one_full_cycle():
                 assert counters[int(h[i] >> np.uint64(64 - bits))] == f[ph]
 
 
-def test_phrases_of_one_hash_stay_apart():
+def test_phrases_of_one_hash_stay_apart(monkeypatch):
     ids = np.array([2, 3, 1, 4, 5, 1, 2, 3, 1])
-    h = np.zeros(8, np.uint64)   # all alike
-    assert sorted(X._distinct(ids, h, np.array([0, 3, 6]), 2)) == [(0, 2), (3, 1)]
+    at = np.array([0, 3, 6])
+    for n_words in (6, 1 << 40):   # numbers side by side; mixed
+        first, n = X._distinct(ids, at, 2, n_words)
+        assert sorted(zip(first.tolist(), n.tolist())) == [(0, 2), (3, 1)]
+    monkeypatch.setattr(X, "_mix", np.zeros_like)   # all mixed alike
+    first, n = X._distinct(ids, at, 2, 1 << 40)
+    assert sorted(zip(first.tolist(), n.tolist())) == [(0, 2), (3, 1)]
 
 
 def test_large_counts_stay_exact(spark):
