@@ -298,7 +298,9 @@ def contaminated(docs: DataFrame, items: DataFrame, p: DecontamParams = Decontam
 
 
 def clean(docs: DataFrame, items: DataFrame, p: DecontamParams = DecontamParams()) -> DataFrame:
-    """``docs`` without those that hold a copy of an item; rows without a
-    doc_id stay."""
-    bad = cut(contaminated(docs, items, p).where("doc_id is not null").select(F.col("doc_id").alias("__bad")).distinct())
-    return docs.join(small(bad), docs["doc_id"] == bad["__bad"], "left_anti")
+    """``docs`` without the rows whose text holds a copy of an item. A row is
+    judged by its text alone, whatever doc_id it has, shares or lacks."""
+    key = F.md5(F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary"))
+    texts = docs.select(key.alias("doc_id"), "text")
+    bad = cut(contaminated(texts, items, p).select(F.col("doc_id").alias("__bad")).distinct())
+    return docs.join(small(bad), key == bad["__bad"], "left_anti")

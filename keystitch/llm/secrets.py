@@ -136,9 +136,22 @@ def _random_spans(text: Column, base: Column, model: MarkovModel, p: SecretParam
         n = F.length(m["value"]) - 1
         total = log_ratio(m["value"], model)
         return m["value"].rlike("[A-Za-z]") & let(total, lambda t: (t >= p.min_total) & (t >= p.min_mean * n))
-    clear = lambda m: ~F.exists(base, lambda b: (b["start"] < m["end"]) & (m["start"] < b["end"]))
-    found = F.when(text.rlike(token), _as_spans(F.filter(matches(text, F.lit(token), F.length), lambda m: odd(m) & clear(m)), "random"))
-    return F.coalesce(found.cast(SPAN), _no_spans())
+    found = F.when(text.rlike(token), let(F.filter(matches(text, F.lit(token), F.length), odd), lambda ms: F.when(
+        F.size(ms) == 0, _no_spans()).otherwise(_as_spans(_clear(ms, base), "random").cast(SPAN))))
+    return F.coalesce(found, _no_spans())
+
+
+def _clear(found: Column, base: Column) -> Column:
+    """``found`` without what overlaps a base span, in one sorted sweep: a span
+    is clear if no base span that starts before its end reaches beyond its
+    start. At equal places the span comes first, as touching is no overlap."""
+    longs = lambda x, at, is_base: F.struct(x[at].cast("long").alias("at"), F.lit(is_base).alias("base"),
+                                            x["start"].cast("long").alias("start"), x["end"].cast("long").alias("end"))
+    both = F.array_sort(F.concat(F.transform(found, lambda m: longs(m, "end", 0)), F.transform(base, lambda b: longs(b, "start", 1))))
+    none = F.lit(-1).cast("long")
+    return let(both, lambda xs: let(
+        prefix(F.transform(xs, lambda x: F.when(x["base"] == 1, x["end"]).otherwise(none)), none, lambda a, b: F.greatest(a, b)),
+        lambda reach: F.filter(xs, lambda x, i: (x["base"] == 0) & (F.get(reach, i) <= x["start"]))))
 
 
 def scan(docs: DataFrame, model: MarkovModel, p: SecretParams = SecretParams()) -> DataFrame:

@@ -21,7 +21,9 @@ most 25. Equal fingerprints are one row throughout.
 
 Defined results: null and empty texts have fingerprint zero and are linked
 like any other; repeated rows give repeated rows; a null doc_id never becomes
-a component's id unless the component has no other."""
+a component's id unless the component has no other; very long texts are taken
+whole; an empty table gives no rows; only doc_id and text are read, so other
+columns' names cannot clash (``keep_one`` returns all columns as they are)."""
 
 from __future__ import annotations
 
@@ -145,10 +147,44 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, seed: int = 42, max_bits:
     return fps.join(components_of(fps, max_bits, hot), "fp").select("doc_id", "fp", "component_id")
 
 
-def keep_one(docs: DataFrame, **params) -> DataFrame:
-    """``docs`` without those of a component that are not its smallest doc_id.
-    Repeated rows of a kept doc_id become one; rows without a doc_id, which
-    cannot be named, stay."""
-    kept = near_duplicates(docs, **params).where("doc_id = component_id").select(F.col("doc_id").alias("__kept")).distinct()
-    named = docs.join(kept, docs["doc_id"] == kept["__kept"], "left_semi").dropDuplicates(["doc_id"])
-    return named.union(docs.where("doc_id is null"))
+def keep_one(docs: DataFrame, shingle: int = 3, seed: int = 42, max_bits: int = 2, hot: int = 64, bits: int = 1 << 26) -> DataFrame:
+    """``docs`` with one row of each component: that of the smallest doc_id, of
+    rows that share it the one whose text hashes lowest, of rows alike in both
+    any one. Each row is judged by its own text, whatever doc_id it has or
+    shares; one without a doc_id stays only where its component has no other.
+
+    The decisions are made on narrow rows. A bitmap of ``bits`` bits (a fixed
+    size, sent to every task) tells which rows may have to go; only these,
+    about as many as there are to remove, are shuffled to look their decision
+    up. The others pass through with their texts."""
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    known = F.coalesce(F.col("doc_id"), F.lit(0).cast(docs.schema["doc_id"].dataType))
+    key = F.struct(F.col("doc_id").isNull().alias("none"), known.alias("doc_id"), F.xxhash64(text).alias("h1"), F.hash(text).alias("h2"))
+    fps = cut(fingerprints(docs.select(key.alias("doc_id"), "text"), shingle, seed).select(F.col("doc_id").alias("key"), "fp"))
+    rows = cut(fps.groupBy("key", "fp").agg(F.count("*").alias("n")))   # equal rows once
+    distinct = cut(rows.groupBy("fp").agg(F.min(F.struct("key", "n")).alias("low"), F.count("*").alias("n_keys")))
+    roots = connected_components(near_links(distinct.select("fp"), max_bits, hot))
+    rooted = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "low", "n_keys", F.coalesce("root", "fp").alias("root"))
+    first = cut(rooted.groupBy("root").agg(F.min("low").alias("low"), F.sum("n_keys").alias("n_keys")))
+    # all but the first row of each component, and first rows that stand there more than once
+    stays = first.select("low.*")
+    alone = first.where((F.col("n_keys") == 1) & (F.col("low.n") == 1)).select(F.col("low.key").alias("key"))
+    doubtful = cut(rows.select("key").join(alone, "key", "left_anti")
+                   .join(stays.select("key", F.lit(True).alias("stays"), "n"), "key", "left")
+                   .where("stays is null or n > 1").select("key", F.coalesce("stays", F.lit(False)).alias("stays")), "doubtful")
+    at = lambda k: F.pmod(F.xxhash64(k), F.lit(bits))
+    per = min(bits, 32768)
+    parts = (doubtful.select(at(F.col("key")).alias("at")).select(F.floor(F.col("at") / per).cast("long").alias("__part"), F.pmod("at", F.lit(per)).alias("bit"))
+             .groupBy("__part").agg(F.bitmap_construct_agg("bit").alias("__bits")))
+    found = docs.withColumn("__key", key).withColumn("__at", at(F.col("__key"))).withColumn("__part", F.floor(F.col("__at") / per).cast("long"))
+    found = found.join(F.broadcast(parts), "__part", "left")   # bits / 8 bytes
+    bit = F.pmod(F.col("__at"), F.lit(per))
+    byte = F.conv(F.hex(F.substring(F.col("__bits"), (F.floor(bit / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    hit = F.col("__bits").isNotNull() & (F.pmod(F.floor(byte / F.pow(F.lit(2), F.pmod(bit, F.lit(8)))), F.lit(2)) == 1)
+    marked = found.withColumn("__hit", hit)
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    through = marked.where("not __hit").select(columns)
+    looked = marked.where("__hit").join(doubtful.select(F.col("key").alias("__key"), F.col("stays").alias("__stays")), "__key", "left")
+    other = looked.where("__stays is null").select(columns)   # shares a bit only
+    once = looked.where("__stays").dropDuplicates(["__key"]).select(columns)
+    return through.unionByName(other).unionByName(once)

@@ -60,16 +60,39 @@ def test_simhash_long_lists_are_split_exactly(spark, bits):
     assert roots[1] == roots[10**6]
 
 
-def test_simhash_keep_one(make_docs):
-    base = prose(2, 300)
-    rows = [(7, base), (3, base), (9, base + " tail"), (4, prose(5, 300)), (4, prose(5, 300)), (None, prose(6, 50)), (2, None), (8, ""), (11, "  ")]
-    fps = {d: brute.fingerprint(t) for d, t in rows}
-    linked = bin(fps[7] ^ fps[9]).count("1") <= 2
-    kept = sorted((r.doc_id is None, r.doc_id) for r in simhash.keep_one(make_docs(rows)).collect())
-    assert [d for _, d in kept] == [2, 3, 4] + ([] if linked else [9]) + [None]
+def one_of_each(rows):
+    """Per component the rows that may stay: (texts, the id that does)."""
+    comps = brute.components([(i, brute.fingerprint(t)) for i, (_, t) in enumerate(rows)])
+    groups = {}
+    for (d, t), c in zip(rows, comps):
+        groups.setdefault(c, []).append((d is None, d or 0, t))
+    return [(min(g)[:2], {t for n, d, t in g if (n, d) == min(g)[:2]}) for g in groups.values()]
+
+
+@pytest.mark.parametrize("bits", [1 << 26, 8])
+def test_simhash_keep_one(make_docs, bits):
+    base, other = prose(2, 300), prose(31, 200)
+    rows = [(7, base), (3, base), (9, base + " tail"), (4, prose(5, 300)), (4, prose(5, 300)), (None, prose(6, 50)), (2, None), (8, ""), (11, "  "),
+            (1, other), (1, prose(32, 200)), (1, prose(33, 90)), (5, other), (None, other), (None, prose(34, 70)), (None, prose(34, 70)), (3, prose(35, 120))]
+    want = one_of_each(rows)
+    got = [(r.doc_id, r.text) for r in simhash.keep_one(make_docs(rows), bits=bits).collect()]   # few bits: all rows are looked up
+    assert len(got) == len(want)
+    left = list(want)
+    for d, t in got:
+        (hit,) = [w for w in left if w[0] == (d is None, d or 0) and t in w[1]][:1]
+        left.remove(hit)
+    assert not left and sum(d == 1 for d, _ in got) == 3 and (5, other) not in got
     assert simhash.keep_one(make_docs([])).collect() == []
-    more = make_docs(rows).selectExpr("*", "1 as fp", "2 as component_id", "3 as root")
-    assert simhash.keep_one(more).columns == more.columns
+    more = make_docs(rows).selectExpr("*", "1 as fp", "2 as component_id", "3 as root", "4 as key", "5 as stays")
+    assert simhash.keep_one(more).columns == more.columns and simhash.keep_one(more).count() == len(want)
+
+
+def test_simhash_keep_one_shuffles_no_text_that_stays(make_docs):
+    rows = [(i, prose(100 + i, 40)) for i in range(60)] + [(200, prose(100, 40))]
+    df = simhash.keep_one(make_docs(rows))
+    assert df.count() == 60
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Union") >= 1 and "__hit" not in plan.split("Union")[0]
 
 
 def test_simhash_limits():
@@ -169,10 +192,11 @@ def test_decontamination_one_intact_n_gram(spark, make_docs):
 def test_decontamination_clean_and_empty(spark, make_docs, leaks):
     rows, items = leaks
     table, none = spark.createDataFrame(items, "item_id long, text string"), spark.createDataFrame([], "item_id long, text string")
-    bad = {d for d, _ in brute_leaks(rows, items, decontam.DecontamParams())}
-    kept = [r.doc_id for r in decontam.clean(make_docs(rows), table).collect()]
-    assert sorted(x for x in kept if x is not None) == sorted(d for d, *_ in rows if d is not None and d not in bad)
-    assert kept.count(None) == 1
+    rows = rows + [(rows[0][0], "an id used again for clean words"), (None, items[0][1]), (None, "no id and clean")]
+    bad = {i for i, _ in brute_leaks([(i, r[1]) for i, r in enumerate(rows)], items, decontam.DecontamParams())}
+    kept = [(r.doc_id, r.text) for r in decontam.clean(make_docs(rows), table).collect()]
+    assert sorted(kept, key=str) == sorted(((r[0], r[1]) for i, r in enumerate(rows) if i not in bad), key=str)
+    assert len(rows) - 2 in bad and (None, "no id and clean") in kept
     assert decontam.clean(make_docs(rows), none).count() == len(rows)
     assert decontam.contaminated(make_docs([]), table).collect() == []
     more = make_docs(rows).selectExpr("*", "1 as item_id", "2 as score", "3 as item")

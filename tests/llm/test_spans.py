@@ -202,3 +202,34 @@ def test_empty_tables_and_clashing_columns(make_docs, model):
     assert secrets.digest(secrets.scan(more, model)).first().n_assign == 1
     assert licenses.digest(licenses.scan(more)).first().labels == "mit"
     assert secrets.redact(more, model).columns == more.columns
+
+
+def test_secret_spans_in_linear_time(make_docs):
+    """Base spans and random tokens by the thousand in one text."""
+    import hashlib
+    import time
+    lines = [hashlib.md5(str(i).encode()).hexdigest() + (" Zx9" + hashlib.sha1(str(i).encode()).hexdigest().upper()[:24] if i % 4 == 0 else "") for i in range(40_000)]
+    docs = make_docs([(1, "a b")])
+    model = secrets.train(docs)
+    took = {}
+    for n in (2_000, 5_000, 40_000):   # the first warms up
+        one = make_docs([(1, "\n".join(lines[:n]))], parts=1)
+        t = time.perf_counter()
+        got = secrets.scan(one, model).collect()[0].secret_spans
+        took[n] = time.perf_counter() - t
+        base = [x for x in got if x.kind < 3]
+        assert len(base) >= n   # and capitals' runs of digits
+        ends = sorted((x.start, x.end) for x in base)
+        assert all(not any(a < x.end and x.start < b for a, b in ends[max(0, x.start // 40 - 20):x.start // 30 + 20]) for x in got if x.kind == 3)
+    assert took[40_000] < 8 * took[5_000] * 3, took
+
+
+def test_license_names_in_prose_are_no_licenses(make_docs):
+    prose = ["First published by MIT Press in 1999", "hosting provided by OpenSSL", "the area covered by BSD", "distributed by ISC", "released by PostgreSQL",
+             "services provided by the NCSA", "a talk given by Apache people", "licensed by MIT to others"]
+    real = {"released under the MIT License": "mit", "Licensed under Apache 2.0.": "apache", "covered by the BSD license": "bsd", "distributed under the terms of the MPL 2.0": "mpl-2.0"}
+    rows = [(i, t) for i, t in enumerate([*prose, *real])]
+    got = {r.doc_id: r for r in licenses.digest(licenses.scan(make_docs(rows).select("doc_id", "text"))).collect()}
+    assert {got[i].labels for i in range(len(prose))} == {""} and all(got[i].score == 0 for i in range(len(prose)))
+    for i, (t, label) in enumerate(real.items()):
+        assert any(x == label or x.startswith(label) for x in got[len(prose) + i].labels.split(",")), (t, got[len(prose) + i].labels)
