@@ -233,3 +233,26 @@ def test_license_names_in_prose_are_no_licenses(make_docs):
     assert {got[i].labels for i in range(len(prose))} == {""} and all(got[i].score == 0 for i in range(len(prose)))
     for i, (t, label) in enumerate(real.items()):
         assert any(x == label or x.startswith(label) for x in got[len(prose) + i].labels.split(",")), (t, got[len(prose) + i].labels)
+
+
+def test_iban_needs_a_country_and_its_length():
+    import random
+    good = "DE89370400440532013000"
+    assert [x[:3] for x in pii.find(f"Konto {good} ok") if x[0] == "iban"] == [("iban", 6, 28)]
+    assert [x[:3] for x in pii.find("IBAN DE89 3704 0044 0532 0130 00 und mehr") if x[0] == "iban"] == [("iban", 5, 32)]
+    assert not [x for x in pii.find(f"part {good}") if x[0] == "iban"]             # a word against it, none for it
+    assert [x for x in pii.find(f"part of the account {good}") if x[0] == "iban"]
+    r = random.Random(5)
+    codes = ["XQ" + "".join(r.choices("0123456789", k=2)) + "".join(r.choices("0123456789ABCDEF", k=18)) for _ in range(3000)]
+    codes += [" ".join(c[i:i + 4] for i in range(0, len(c), 4)) for c in codes[:1000]]
+    assert not [c for c in codes if any(x[0] == "iban" for x in pii.find(f"iban {c} here"))]
+    # codes of a real country: by chance about one in 97, and only at its own length
+    hits = sum(any(x[0] == "iban" for x in pii.find("iban DE" + "".join(r.choices("0123456789", k=20)))) for _ in range(3000))
+    assert hits < 60
+    assert not any(x[0] == "iban" for n in (19, 21, 22) for _ in range(300) for x in pii.find("iban DE" + "".join(r.choices("0123456789", k=n))))
+
+
+def test_context_words_of_the_four_languages():
+    for text in ("ruf an (212) 555-0100", "appelez le 212-555-0100", "llame al 212-555-0100", "call 212-555-0100"):
+        assert [x[0] for x in pii.find(text)] == ["national_phone"], text
+    assert pii.find("Rechnung 212-555-0100") == [] and pii.find("on 212-555-0100") == []
