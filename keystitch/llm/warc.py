@@ -47,7 +47,9 @@ def mark_revisits(pages: DataFrame, min_revisit: int = 1000) -> DataFrame:
     rows = rows.withColumn("same", same)
     groups = cut(rows.where("same is not null").groupBy("same").agg(
         F.count("*").alias("n"), F.max(F.struct("page_id", "url")).alias("top")).where("n > 1").select("same", "top"))
-    joined = rows.join(small(groups), "same", "left")
+    # pages too short to be revisits match nothing: each has a key of its own, so that they spread where the join is shuffled
+    alone = F.concat(F.lit("short "), F.xxhash64("page_id", "url").cast("string"))
+    joined = rows.withColumn("same", F.coalesce("same", alone)).join(small(groups), "same", "left")
     mine = F.col("top").isNull() | (F.struct("page_id", "url").eqNullSafe(F.col("top")))
     return joined.select("page_id", "url", "payload", "payload_bytes", "digest", mine.alias("own"),
                          F.when(~mine, F.col("top.page_id")).alias("refers_to"))

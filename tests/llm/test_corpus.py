@@ -383,3 +383,27 @@ def test_pipeline_on_empty_tables(spark, tmp_path):
     for t in ("documents", "labels", "benchmark"):
         spark.read.parquet(f"{src}/{t}.parquet").limit(0).write.parquet(f"{d}/{t}.parquet")
     assert corpus_pipeline.run(spark, d).collect() == []
+
+
+def test_warc_short_pages_spread_over_a_shuffled_join(spark, monkeypatch):
+    """Beyond the broadcast bound no task gets all pages that are too short to be revisits."""
+    from keystitch.llm import warc
+    monkeypatch.setattr(warc, "small", lambda df: df)
+    rows = [(i, f"http://x/{i}", "short" if i % 10 else "long " * 300 + str(i % 50)) for i in range(4000)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)
+    saved = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    try:
+        for k, v in zip(saved, ("false", "-1")):
+            spark.conf.set(k, v)
+        marked = warc.mark_revisits(pages)
+        sizes = [len(x) for x in marked.select("page_id").rdd.glom().collect()]
+        got = {r.page_id: r.refers_to for r in marked.select("page_id", "refers_to").collect()}
+    finally:
+        for k, v in saved.items():
+            spark.conf.set(k, v)
+    assert sum(sizes) == 4000 and max(sizes) <= 2 * 4000 / len(sizes)
+    top = {}
+    for i, _, h in rows:
+        if len(h) >= 1000:
+            top[h] = max(top.get(h, 0), i)
+    assert got == {i: (top[h] if len(h) >= 1000 and top[h] != i else None) for i, _, h in rows}
