@@ -130,13 +130,12 @@ BODIES = (
     ("creative commons", "cc"),
 )
 
-# Templates around a name: pattern, priority, score (fixed values).
+# Templates around a name: pattern, priority, score (fixed values). "By" a name
+# alone says who did it; "by the <name> license" is the fourth.
 TEMPLATES = (
     ("spdx license identifier (?:{id})", 3, 1.0),
     ("(?:licensed|released|distributed|published|available|provided|covered) (?:to you )?under (?:the )?(?:terms of )?"
      "(?:the )?(?:{name})(?: licen[cs]e)?", 3, 0.95),
-    # "by" a name alone says who did it
-    ("(?:licensed|covered) by (?:the )?(?:terms of )?(?:the )?(?:{name}) licen[cs]e", 3, 0.95),
     ("(?:see|under|subject to) (?:the )?(?:terms of )?(?:the )?(?:{name}) licen[cs]e", 2, 0.85),
     ("(?:{name}) licen[cs]e", 2, 0.8),
     ("(?:{name})", 2, 0.75),   # of names that hold the word themselves
