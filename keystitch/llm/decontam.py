@@ -55,18 +55,33 @@ def words_of(text: str | None) -> list[str]:
 
 @dataclass
 class Grams:
-    """Places of n-grams in the items, as arrays: the ``i``-th key (sorted) is
-    found at ``items[j]``, ``places[j]`` for ``offsets[i] <= j < offsets[i + 1]``."""
+    """n-grams of the items, as arrays: the ``i``-th key (sorted) is in the items
+    ``items[j]`` (ascending), first at word ``first[j]`` and last at ``last[j]``,
+    for ``offsets[i] <= j < offsets[i + 1]``."""
     keys: np.ndarray
     offsets: np.ndarray
     items: np.ndarray
-    places: np.ndarray
+    first: np.ndarray
+    last: np.ndarray
 
     @staticmethod
     def of(keys: np.ndarray, items: np.ndarray, places: np.ndarray) -> Grams:
         order = np.lexsort((places, items, keys))
-        found, first = np.unique(keys[order], return_index=True)
-        return Grams(found, np.append(first, len(keys)), items[order], places[order])
+        keys, items, places = keys[order], items[order], places[order]
+        new = np.append(True, (keys[1:] != keys[:-1]) | (items[1:] != items[:-1]))
+        at = np.flatnonzero(new)
+        found, offsets = np.unique(keys[at], return_index=True)
+        return Grams(found, np.append(offsets, len(at)), items[at], places[at], places[np.append(at[1:], len(keys)) - 1])
+
+    def within(self, i: np.ndarray, low: int, high: int) -> tuple[np.ndarray, np.ndarray]:
+        """For keys ``i``, the bounds of their entries of the items from ``low``
+        up to ``high``."""
+        if low == 0 and high > int(self.items.max()):
+            return self.offsets[i], self.offsets[i + 1]
+        if not hasattr(self, "_order"):   # sorted, as entries are by key and item
+            self._order = np.repeat(np.arange(len(self.keys), dtype=np.int64), np.diff(self.offsets)) << 32 | self.items
+        base = i.astype(np.int64) << 32
+        return np.searchsorted(self._order, base | low), np.searchsorted(self._order, base | high)
 
     def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(which of ``keys`` are here, their numbers)."""
@@ -80,7 +95,7 @@ class Items:
 
     def __init__(self, rows: list[tuple], n: int):
         self.n, self.vocab = n, {}
-        self.ids, self.lengths, self.words = [], [], []
+        self.ids, self.lengths, words = [], [], []
         parts: dict[int, list[tuple]] = {}
         for item_id, text in rows:
             w = np.array([self.vocab.setdefault(x, len(self.vocab)) for x in words_of(text)], dtype=np.int64)
@@ -91,7 +106,11 @@ class Items:
             parts.setdefault(size, []).append((keys, np.full(len(keys), len(self.ids), dtype=np.int32), np.arange(len(keys), dtype=np.int32)))
             self.ids.append(item_id)
             self.lengths.append(len(w))
-            self.words.append(np.unique(w, return_counts=True))
+            words.append(np.unique(w, return_counts=True))
+        self.lengths = np.array(self.lengths, dtype=np.int64)
+        # distinct words of all items, one item after the other, with their counts
+        self.ends = np.cumsum([0] + [len(x) for x, _ in words])
+        self.distinct, self.most = (np.concatenate(x) if x else np.zeros(0, dtype=np.int64) for x in (list(zip(*words)) or [(), ()]))
         self.grams = {size: Grams.of(*(np.concatenate(x) for x in zip(*p))) for size, p in sorted(parts.items())}
 
     def numbers(self, text: str | None) -> tuple[np.ndarray, list[str]]:
@@ -158,8 +177,8 @@ def gram_counts(docs: DataFrame, block) -> dict[int, np.ndarray]:
 
 
 def rare_places(items: Items, counts: dict[int, np.ndarray], n_docs: int, p: DecontamParams) -> dict[int, np.ndarray]:
-    """For each place of the items' n-grams, whether it is rare for its item;
-    sizes of which the documents hold no n-gram are left out."""
+    """For each n-gram of each item, whether it is rare for the item; sizes of
+    which the documents hold no n-gram are left out."""
     rare = {}
     for size, g in items.grams.items():   # an item's n-grams are all of one size
         n = np.repeat(counts[size], np.diff(g.offsets))
@@ -171,38 +190,72 @@ def rare_places(items: Items, counts: dict[int, np.ndarray], n_docs: int, p: Dec
     return rare
 
 
-def shared_words(w: np.ndarray, item: tuple[np.ndarray, np.ndarray]) -> int:
-    """Words that a text and an item (its words, their counts) have in common:
-    no alignment matches more."""
-    known, most = item
-    i = np.minimum(np.searchsorted(known, w), len(known) - 1)
-    return int(np.minimum(np.bincount(i[known[i] == w], minlength=len(known)), most).sum())
+def spread(low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of all ranges ``low[i] <= j < high[i]``, and the ``i`` of each."""
+    n = high - low
+    i = np.repeat(np.arange(len(n)), n)
+    return np.arange(len(i)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(low, n), i
+
+
+def shared_words(w: np.ndarray, items: Items, which: np.ndarray, first: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Words that each stretch ``w[first:end]`` has in common with its item: no
+    alignment matches more."""
+    j, g = spread(items.ends[which], items.ends[which + 1])
+    order = np.sort((w + 1) << 32 | np.arange(len(w)))   # by word, then place
+    base = (items.distinct[j] + 1) << 32
+    n = np.searchsorted(order, base | end[g]) - np.searchsorted(order, base | first[g])
+    return np.bincount(g, weights=np.minimum(n, items.most[j]), minlength=len(which)).astype(np.int64)
+
+
+#: Entries of n-grams that are taken at once for a text; more are taken by ranges of items.
+_ENTRIES = 1 << 20
 
 
 def passages_of(w: np.ndarray, items: Items, rare: dict[int, np.ndarray], p: DecontamParams):
     """``(item, first, end)``: stretches of a text around an item's n-grams in
-    which an alignment may reach ``min_score``."""
-    hits: dict[int, list[tuple[int, int, bool]]] = {}
+    which an alignment may reach ``min_score``. Work follows the entries of the
+    text's n-grams, in arrays; n-grams of many items are taken by ranges of
+    items, so memory does not follow how many hold them."""
+    found = []
     for size, at, keys in known_keys(w, rare):
-        g = items.grams[size]
-        hit, i = g.find(keys)
-        for place, k in zip(at[hit].tolist(), i.tolist()):
-            for j in range(g.offsets[k], g.offsets[k + 1]):
-                hits.setdefault(int(g.items[j]), []).append((place, int(g.places[j]), bool(rare[size][j])))
-    for item, found in hits.items():
+        hit, i = items.grams[size].find(keys)
+        if len(i):
+            found.append((size, at[hit], i))
+    ranges = [(0, len(items.ids))] if found else []
+    while ranges:
+        low, high = ranges.pop()
+        bounds = [items.grams[size].within(i, low, high) for size, _, i in found]
+        if sum(int((b - a).sum()) for a, b in bounds) > _ENTRIES and high - low > 1:
+            middle = (low + high) // 2
+            ranges += [(middle, high), (low, middle)]
+            continue
+        parts = []
+        for (size, at, _), (a, b) in zip(found, bounds):
+            g = items.grams[size]
+            j, k = spread(a, b)
+            parts.append((g.items[j].astype(np.int64), at[k], at[k] - g.last[j], at[k] - g.first[j], rare[size][j]))
+        item, place, least, most, is_rare = (np.concatenate(x) for x in zip(*parts))
+        if not len(item):
+            continue
+        order = np.lexsort((place, item))
+        item, place, least, most, is_rare = (x[order] for x in (item, place, least, most, is_rare))
+        new = np.append(True, (item[1:] != item[:-1]) | (place[1:] - place[:-1] > items.lengths[item[1:]] + p.pad))
+        start = np.flatnonzero(new)
+        item = item[start]
         length = items.lengths[item]
         # an alignment of min_score has room for so many words that the item does not have
-        reach = max(p.pad, int((1 - p.min_score) * p.match * length / -p.gap))
-        found.sort()
-        group = [found[0]]
-        for place, q, r in found[1:] + [(1 << 60, 0, False)]:
-            if place - group[-1][0] > length + p.pad:
-                first = max(0, min(a - b for a, b, _ in group) - reach)
-                end = min(len(w), max(a - b for a, b, _ in group) + length + reach)
-                if any(x for *_, x in group) or shared_words(w[first:end], items.words[item]) >= p.min_score * length:
-                    yield item, first, end
-                group = []
-            group.append((place, q, r))
+        reach = np.maximum(p.pad, ((1 - p.min_score) * p.match * length / -p.gap).astype(np.int64))
+        first = np.maximum(0, np.minimum.reduceat(least, start) - reach)
+        end = np.minimum(len(w), np.maximum.reduceat(most, start) + length + reach)
+        take = np.logical_or.reduceat(is_rare, start)
+        rest = np.flatnonzero(~take)
+        if len(rest):
+            take[rest] = shared_words(w, items, item[rest], first[rest], end[rest]) >= p.min_score * length[rest]
+        yield from zip(item[take].tolist(), first[take].tolist(), end[take].tolist())
+
+
+#: Characters of passages that a task holds before it hands them on.
+_OUT_CHARS = 4 << 20
 
 
 def candidate_passages(docs: DataFrame, block, rare, id_type: T.DataType, item_type: T.DataType, p: DecontamParams) -> DataFrame:
@@ -215,14 +268,21 @@ def candidate_passages(docs: DataFrame, block, rare, id_type: T.DataType, item_t
         from .common import _arrow_schema
         arrow = _arrow_schema(schema)
         items, places = block.value, rare.value
+
+        def batch(out):
+            cols = list(zip(*out)) if out else [[], [], [], []]
+            return pa.RecordBatch.from_arrays([pa.array(list(c), type=arrow.field(i).type) for i, c in enumerate(cols)], schema=arrow)
         for b in batches:
-            out = []
+            out, chars = [], 0
             for d, t in zip(b.column("doc_id"), b.column("text")):
                 w, words = items.numbers(t.as_py())
                 for item, first, end in passages_of(w, items, places, p):
                     out.append((d.as_py(), items.ids[item], first, " ".join(words[first:end])))
-            cols = list(zip(*out)) if out else [[], [], [], []]
-            yield pa.RecordBatch.from_arrays([pa.array(list(c), type=arrow.field(i).type) for i, c in enumerate(cols)], schema=arrow)
+                    chars += len(out[-1][3])
+                    if chars > _OUT_CHARS:
+                        yield batch(out)
+                        out, chars = [], 0
+            yield batch(out)
     return docs.select("doc_id", "text").mapInArrow(run, schema)
 
 

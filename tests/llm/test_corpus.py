@@ -2,7 +2,9 @@
 
 import hashlib
 import random
+import time
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -189,6 +191,51 @@ def test_decontamination_one_intact_n_gram(spark, make_docs):
     assert [(g.doc_id, g.item_id, g.score) for g in got] == [(1, 7, 0.625)]
 
 
+def plain_passages(w, items, rare, p):
+    """Passages of a text, item by item."""
+    out = []
+    for i, (text, length) in items.items():
+        size = min(p.n, length)
+        places = [(a, b, rare) for a in range(len(w) - size + 1) for b in range(length - size + 1) if w[a:a + size] == text[b:b + size]]
+        reach = max(p.pad, int((1 - p.min_score) * p.match * length / -p.gap))
+        while places:
+            n = next((k for k in range(1, len(places)) if places[k][0] - places[k - 1][0] > length + p.pad), len(places))
+            group, places = places[:n], places[n:]
+            first = max(0, min(a - b for a, b, _ in group) - reach)
+            end = min(len(w), max(a - b for a, b, _ in group) + length + reach)
+            shared = sum(min(w[first:end].count(x), text.count(x)) for x in set(text))
+            if rare or shared >= p.min_score * length:
+                out.append((i, first, end))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("entries", [1 << 20, 16])
+@pytest.mark.parametrize("rare", [True, False])
+def test_decontamination_passages_by_brute_force(monkeypatch, entries, rare):
+    monkeypatch.setattr(decontam, "_ENTRIES", entries)   # many entries: taken by ranges of items
+    r, p = random.Random(7), decontam.DecontamParams()
+    texts = [" ".join(r.choice("abcde") for _ in range(r.randrange(1, 14))) for _ in range(40)]
+    items = decontam.Items(list(enumerate(texts)), p.n)
+    flags = {s: np.full(len(g.items), rare) for s, g in items.grams.items()}
+    plain = {i: (t.split(), len(t.split())) for i, t in enumerate(texts)}
+    for _ in range(30):
+        text = " ".join(r.choice("abcdexyz") for _ in range(r.randrange(0, 80)))
+        w, _ = items.numbers(text)
+        assert sorted(decontam.passages_of(w, items, flags, p)) == plain_passages(text.split(), plain, rare, p)
+
+
+def test_decontamination_of_templated_items():
+    """Work on a text does not follow, item by item in Python, how many items share its words."""
+    p, opening = decontam.DecontamParams(), " ".join(f"open{i}" for i in range(5))
+    items = decontam.Items([(i, f"{opening} " + " ".join(f"w{i}x{k}" for k in range(7))) for i in range(32_000)], p.n)
+    flags = {s: np.zeros(len(g.items), dtype=bool) for s, g in items.grams.items()}
+    own = " ".join(f"w777x{k}" for k in range(7))
+    w, _ = items.numbers(f"{prose(1, 100)} {opening} {prose(2, 100)} {opening} {own} {prose(3, 60)}")
+    start = time.perf_counter()
+    found = list(decontam.passages_of(w, items, flags, p))
+    assert [i for i, *_ in found] == [777] and time.perf_counter() - start < 2
+
+
 def test_decontamination_clean_and_empty(spark, make_docs, leaks):
     rows, items = leaks
     table, none = spark.createDataFrame(items, "item_id long, text string"), spark.createDataFrame([], "item_id long, text string")
