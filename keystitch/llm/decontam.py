@@ -50,7 +50,15 @@ class DecontamParams:
 
 
 def words_of(text: str | None) -> list[str]:
-    return _WORDS.findall((text or "").lower())
+    """The matches of ``\\w+`` in the lower-cased text. Where few characters
+    separate the words, they are blanked and the text is split, which is faster."""
+    text = (text or "").lower()
+    between = [c for c in set(text) if not c.isalnum() and c not in "_ "]
+    if len(between) > 32:
+        return _WORDS.findall(text)
+    for c in between:
+        text = text.replace(c, " ")
+    return text.split()
 
 
 @dataclass

@@ -7,13 +7,23 @@ others until none is above. The level rises monotonically: each round is one
 aggregation over the table of sources (one row each), of which four numbers
 reach the driver. A document is then repeated by the whole part of its source's
 target over size; the rest of the target is filled with one more repetition of
-documents in a seeded order, up to the document at which it is reached (taken
-if at least half of it fits). Finding that document takes a histogram of the
-order per source and a running sum within the one bucket that the target ends
-in, so that no source is sorted as a whole.
+documents in a seeded order, up to the document that no longer fits. The gap
+that it leaves is filled with later documents, class by class of sizes (powers
+of two, longest first), in the same order up to the first of the class that no
+longer fits. Last, one more document is taken if that comes nearer to the
+target: the next of a class, or the one that did not fit at first instead of
+what filled its gap. Without repeated rows a source misses its target by at most
+half of the document that did not fit at first, and by less than twice the
+shortest of the later documents that fit the gap and are left out.
+
+Finding these places takes histograms of the order per source (and class) and
+running sums within one bucket of each, so that no source is sorted as a whole.
+What is gathered of a source to fill the gap is at most the gap's words in each
+class, which follows the longest document and not the corpus.
 
 Defined results: null text has size 0; null source is a source, last; a null
-doc_id is ordered by its text; repeated rows are repeated; with no words all
+doc_id is ordered by its text; repeated rows are repeated, all or none of them
+(they are one place of the order, of their sizes' sum); with no words all
 targets are 0."""
 
 from __future__ import annotations
@@ -82,25 +92,79 @@ def mix(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), max_epochs: int = 3
             .groupBy("source").agg(F.max("__bucket").alias("end_bucket"), F.max("below").alias("below")))
     rule = cut(plan.alias("p").join(ends.alias("e"), F.expr("p.source <=> e.source"), "left")
                .selectExpr("p.*", "coalesce(e.end_bucket, -1) as end_bucket", "coalesce(e.below, 0) as below"))
-    # running sums within the ending bucket only
-    order = Window.partitionBy("source").orderBy("__u", "doc_id", "__size").rowsBetween(Window.unboundedPreceding, -1)
+    # running sums within the ending bucket only, up to and with a place of the order
+    place = F.struct("__u", "doc_id", "__size")
     last = (narrow.alias("d").join(small(rule).alias("r"), F.expr("d.source <=> r.source and d.__bucket = r.end_bucket"))
             .select("d.source", "d.doc_id", "d.__size", "d.__u", "r.rest", "r.below")
-            .withColumn("before", F.col("below") + F.coalesce(F.sum("__size").over(order), F.lit(0)))
-            .where((F.col("before") < F.col("rest")) & (2 * (F.col("rest") - F.col("before")) >= F.col("__size"))))
-    cuts = last.groupBy("source").agg(F.max(F.struct("__u", "doc_id", "__size")).alias("upto"))
+            .withColumn("upto", F.col("below") + F.sum("__size").over(Window.partitionBy("source").orderBy("__u", "doc_id", "__size"))))
+    fits = F.col("upto") <= F.col("rest")
+    cuts = last.groupBy("source").agg(
+        F.max(F.when(fits, place)).alias("upto"), F.max(F.when(fits, F.col("upto"))).alias("filled"),
+        F.min(F.when(~fits, place)).alias("over"), F.min(F.when(~fits, F.col("upto") - F.col("rest"))).alias("over_by"))
     rule = cut(rule.alias("r").join(cuts.alias("c"), F.expr("r.source <=> c.source"), "left")
-               .selectExpr("r.*", "c.upto"))
-    return _apply(named, rule, docs.columns, mine)
+               .selectExpr("r.*", "c.upto", "c.over", "c.over_by",
+                           "if(r.end_bucket < 0, 0D, r.rest - coalesce(c.filled, r.below)) as gap"))
+    return _apply(named, _fill_gaps(narrow, rule), docs.columns, mine)
+
+
+def _size_class(size):
+    """Binary digits of a size."""
+    return F.length(F.bin(size))
+
+
+def _later(size, u_place):
+    """Whether a document comes after those taken first (of rule ``r``) and fits the gap."""
+    return ((size > 0) & (size <= F.col("r.gap")) & (F.col("d.__bucket") >= F.col("r.end_bucket"))
+            & ((F.col("d.__bucket") > F.col("r.end_bucket")) | F.col("r.upto").isNull() | (u_place > F.col("r.upto"))))
+
+
+def _fill_gaps(narrow: DataFrame, rule: DataFrame) -> DataFrame:
+    """``rule`` with ``uptos`` (class of sizes → last place of the order that is
+    taken to fill the gap), and ``upto`` moved by one where that is nearer."""
+    mine = F.struct("d.__u", "d.doc_id", "d.__size")
+    later = (narrow.alias("d").join(small(rule).alias("r"), F.expr("d.source <=> r.source"))
+             .where(_later(F.col("d.__size"), mine))
+             .select("d.source", _size_class(F.col("d.__size")).alias("class"), "d.__bucket", "d.__u", "d.doc_id", "d.__size", "r.gap"))
+    # the buckets of each class in which its words reach the gap
+    hist = later.groupBy("source", "class", "__bucket").agg(F.sum("__size").alias("n"), F.first("gap").alias("gap"))
+    below = F.sum("n").over(Window.partitionBy("source", "class").orderBy("__bucket")) - F.col("n")
+    bound = cut(hist.withColumn("below", below).where("below < gap").groupBy("source", "class").agg(F.max("__bucket").alias("upto_bucket")))
+    run = F.sum("__size").over(Window.partitionBy("source", "class").orderBy("__u", "doc_id", "__size"))
+    near = cut(later.alias("l").join(small(bound).alias("b"), F.expr("l.source <=> b.source and l.class = b.class and l.__bucket <= b.upto_bucket"))
+               .select("l.source", "l.class", "l.__u", "l.doc_id", "l.__size", "l.gap").withColumn("run", run)
+               .where(F.col("run") - F.col("__size") < F.col("gap")))
+    # longest class first: as many of its places as fit what the classes before have left
+    classes = (near.groupBy("source", "class").agg(F.first("gap").alias("gap"), F.collect_set("run").alias("runs"))
+               .groupBy("source").agg(F.first("gap").alias("gap"), F.sort_array(F.collect_list(F.struct("class", "runs")), asc=False).alias("classes")))
+    filled = classes.selectExpr("source", """aggregate(classes, named_struct('gap', gap,
+            'taken', cast(array() as array<struct<class: int, words: bigint, more: bigint>>)), (s, c) ->
+          transform(array(coalesce(array_max(filter(c.runs, r -> r <= s.gap)), 0L)), words -> named_struct('gap', s.gap - words,
+            'taken', concat(s.taken, array(named_struct('class', c.class, 'words', words, 'more', array_min(filter(c.runs, r -> r > words)) - words)))))[0]) as f""")
+    # the class whose next place is shortest (of equal ones the lowest class), and by how much it exceeds the gap left
+    filled = cut(filled.selectExpr("source", "f.gap as left_gap", "f.taken as taken",
+                                   "array_min(transform(filter(f.taken, t -> t.more is not null), t -> named_struct('more', t.more, 'class', t.class))) as next"))
+    rule = cut(rule.alias("r").join(filled.alias("f"), F.expr("r.source <=> f.source"), "left")
+               .selectExpr("r.*", "coalesce(f.left_gap, r.gap) as left_gap", "f.taken", "f.next", "f.next.more - f.left_gap as next_by"))
+    over = "over_by < least(left_gap, coalesce(next_by, left_gap))"
+    rule = cut(rule.selectExpr("* except (upto, taken)", f"if({over}, over, upto) as upto", f"""if({over}, null, transform(taken,
+        t -> named_struct('class', t.class, 'words', t.words + if(next_by < left_gap and t.class = next.class, t.more, 0L)))) as taken"""))
+    words = rule.select("source", F.explode("taken").alias("t")).select("source", "t.class", "t.words")
+    uptos = (near.alias("n").join(small(words).alias("w"), F.expr("n.source <=> w.source and n.class = w.class and n.run <= w.words"))
+             .groupBy("n.source", "n.class").agg(F.max(F.struct("n.__u", "n.doc_id", "n.__size")).alias("upto"))
+             .groupBy("source").agg(F.map_from_entries(F.collect_list(F.struct("class", "upto"))).alias("uptos")))
+    return cut(rule.alias("r").join(uptos.alias("u"), F.expr("r.source <=> u.source"), "left")
+               .selectExpr("r.source", "r.source_size", "r.target", "r.whole", "r.end_bucket", "r.upto", "r.gap", "u.uptos"))
 
 
 def _apply(named: DataFrame, rule: DataFrame, columns: list[str], mine: list[str]) -> DataFrame:
     """The rule of each source on its documents: sent to each task where it is
     small, else a shuffled join, of which adaptive execution splits hot sources."""
     joined = named.alias("d").join(small(rule).alias("r"), F.expr("d.source <=> r.source"))
-    more = F.when(F.col("d.__bucket") < F.col("r.end_bucket"), 1).when(
-        (F.col("d.__bucket") == F.col("r.end_bucket")) & F.col("r.upto").isNotNull()
-        & (F.struct("d.__u", "d.doc_id", "d.__size") <= F.col("r.upto")), 1).otherwise(0)
+    place = F.struct("d.__u", "d.doc_id", "d.__size")
+    size = F.col("d.__size")
+    more = (F.when(F.col("d.__bucket") < F.col("r.end_bucket"), 1)
+            .when((F.col("d.__bucket") == F.col("r.end_bucket")) & F.col("r.upto").isNotNull() & (place <= F.col("r.upto")), 1)
+            .when(_later(size, place) & (place <= F.try_element_at(F.col("r.uptos"), _size_class(size))), 1).otherwise(0))
     out = {"size": F.col("d.__size"), "source_size": F.col("r.source_size"), "target": F.col("r.target"),
            "repetitions": F.col("r.whole") + more}
     return joined.select(*[F.col(f"d.`{c}`") for c in columns if c not in mine], *[out[m].alias(m) for m in mine])

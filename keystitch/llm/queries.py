@@ -103,11 +103,31 @@ t AS (SELECT source, source_size,
                   ELSE weight * (SELECT level FROM f) END AS target FROM s),
 w AS (SELECT *, CASE WHEN source_size > 0 THEN CAST(floor(target / source_size) AS BIGINT) ELSE 0 END AS whole FROM t),
 r AS (SELECT d.*, w.source_size, w.target, w.whole, w.target - w.whole * w.source_size AS rest,
-             sum(d.size) OVER (PARTITION BY d.source ORDER BY d.u, d.doc_id NULLS FIRST, d.size ROWS UNBOUNDED PRECEDING) - d.size AS before
-      FROM d JOIN w ON d.source IS NOT DISTINCT FROM w.source)
-SELECT doc_id, size, source_size, target,
-       CAST(size * (whole + CASE WHEN before < rest AND 2 * (rest - before) >= size THEN 1 ELSE 0 END) AS BIGINT) AS taken
-FROM r
+             dense_rank() OVER (PARTITION BY d.source ORDER BY d.u, d.doc_id NULLS FIRST, d.size) AS place,
+             sum(d.size) OVER (PARTITION BY d.source ORDER BY d.u, d.doc_id NULLS FIRST, d.size) AS upto
+      FROM d JOIN w ON d.source IS NOT DISTINCT FROM w.source),
+m AS (SELECT source, any_value(rest) - coalesce(max(upto) FILTER (upto <= rest), 0) AS gap, coalesce(max(place) FILTER (upto <= rest), 0) AS last,
+             min(place) FILTER (upto > rest) AS over, min(upto - rest) FILTER (upto > rest) AS over_by FROM r GROUP BY source),
+c AS (SELECT *, sum(size) OVER (PARTITION BY source, class ORDER BY place) AS run
+      FROM (SELECT r.source, len(bin(r.size)) AS class, r.place, r.size FROM r JOIN m ON r.source IS NOT DISTINCT FROM m.source
+            WHERE r.place > m.last AND r.size > 0 AND r.size <= m.gap)),
+g AS (SELECT source, 64 AS class, CAST(0 AS HUGEINT) AS words, gap AS left_gap FROM m
+      UNION ALL
+      SELECT source, class - 1, n, left_gap - n FROM (
+        SELECT g.*, coalesce((SELECT max(c.run) FROM c WHERE c.source IS NOT DISTINCT FROM g.source AND c.class = g.class - 1 AND c.run <= g.left_gap), 0) AS n
+        FROM g WHERE g.class > 1)),
+x AS (SELECT g.*, (SELECT min(c.run) FROM c WHERE c.source IS NOT DISTINCT FROM g.source AND c.class = g.class AND c.run > g.words) - g.words AS more FROM g),
+y AS (SELECT source, min(left_gap) AS left_gap, min({'more': more, 'class': class}) FILTER (more IS NOT NULL) AS next FROM x GROUP BY source),
+z AS (SELECT m.source, m.last, m.over, coalesce(m.over_by < least(y.left_gap, coalesce(y.next.more - y.left_gap, y.left_gap)), false) AS takes_over,
+             CASE WHEN y.next.more - y.left_gap < y.left_gap THEN y.next.class END AS next_class
+      FROM m JOIN y ON m.source IS NOT DISTINCT FROM y.source),
+e AS (SELECT DISTINCT c.source, c.place FROM c JOIN x ON c.source IS NOT DISTINCT FROM x.source AND c.class = x.class
+      JOIN z ON c.source IS NOT DISTINCT FROM z.source
+      WHERE NOT z.takes_over AND c.run <= x.words + CASE WHEN z.next_class = c.class THEN x.more ELSE 0 END)
+SELECT r.doc_id, r.size, r.source_size, r.target,
+       CAST(r.size * (r.whole + CASE WHEN r.place <= CASE WHEN z.takes_over THEN z.over ELSE z.last END OR e.place IS NOT NULL THEN 1 ELSE 0 END) AS BIGINT) AS taken
+FROM r JOIN z ON r.source IS NOT DISTINCT FROM z.source
+LEFT JOIN e ON r.source IS NOT DISTINCT FROM e.source AND r.place = e.place
 """)
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What a mix to the target weights takes of every document."""

@@ -287,6 +287,43 @@ def test_mixing_by_brute_force(make_docs, sample_docs, odd_rows):
     assert sum(target.values()) == pytest.approx(sum(sizes.values()))
 
 
+@pytest.mark.parametrize("weights", [(5, 2, 1), (1, 40, 20)])
+def test_mixing_near_targets_beside_long_documents(spark, make_docs, tmp_path, weights):
+    """Targets by water-filling, whatever the fill: half of a long document bounds the miss, short ones nearly close it."""
+    rows, r = [], random.Random(11)
+    for k in range(25):   # short documents and a long one, which the order may put anywhere
+        rows += [(k * 1000 + i, "w " * r.randrange(1, 60), f"s{k:02}") for i in range(120)] + [(k * 1000 + 999, "w " * (1500 + 100 * k), f"s{k:02}")]
+        rows += [(50_000 + k * 1000 + i, "w " * 700, f"t{k:02}") for i in range(9)]   # no short ones: half a document
+    sizes, target = plain_mix(rows, weights)
+    got = mixing.mix(make_docs(rows), weights).collect()
+    taken, left_out = {}, {}
+    for g in got:
+        taken[g.source] = taken.get(g.source, 0) + g.repetitions * g.size
+        left_out.setdefault(g.source, []).append((g.repetitions, g.size))
+    assert len(got) == len(rows) and all(0 <= n <= 3 for x in left_out.values() for n, _ in x)
+    close = 0
+    for s, t in target.items():
+        least = min(n for n, _ in left_out[s])
+        short, long = (f(z for n, z in left_out[s] if n == least) for f in (min, max))
+        miss = abs(taken[s] - t)
+        # half of the document that did not fit at first, or what all the others lack
+        assert miss <= max(z for _, z in left_out[s]) / 2 + 1e-6, (s, taken[s], t)
+        close += miss <= 2 * short or (long >= 1500 and all(n > least for n, z in left_out[s] if z < 1500))
+        assert s[0] == "s" or miss <= 350 + 1e-6
+    assert close >= 45
+    if weights == (5, 2, 1):
+        import duckdb
+        from keystitch.llm.queries import ORACLES, QUERIES
+        more = rows + [(None, None, None), (None, "a b", None), (7, "a b c", None), (7, "a b c", None), (8, "", "void")]
+        make_docs(more).write.parquet(str(tmp_path / "documents.parquet"))
+        con = duckdb.connect()
+        con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+        cols = "doc_id, size, source_size, target, taken"
+        twin = con.execute(f"SELECT {cols} FROM ({ORACLES['op8_mixing']})").fetchall()
+        mine = [tuple(x) for x in QUERIES["op8_mixing"](spark, str(tmp_path)).select(*cols.split(", ")).collect()]
+        assert sorted(map(str, mine)) == sorted(map(str, twin))
+
+
 def test_mixing_empty_and_clashing(make_docs):
     assert mixing.mix(make_docs([])).collect() == []
     assert {r.repetitions for r in mixing.mix(make_docs([(1, None), (2, "")])).collect()} == {0}
