@@ -14,7 +14,7 @@ from ..job import enrich_directory, run_summary
 from ..operators.enrich import enrich
 from ..plans.headers import NoKeyColumns, plan_layout, resolve_headers
 from ..plans.layouts import plan_layouts
-from ..plans.wide import file_types, typed, union_csv, union_types
+from ..plans.wide import csv_cells, file_types, typed, union_csv, union_types
 from ..session import scratch_path
 from ..sinks.writers import read_csv_output, write_csv
 from ..sources.csv import csv_layouts, read_layout
@@ -68,16 +68,31 @@ def _headers(spark, sf_dir):
     return header_table(discover(spark, feeds, (".csv",)))
 
 
-@register("feed_validation", f"""
+def _counted(sql):
+    """The twin's rows with the number of data rows that each file holds."""
+    return f"""SELECT l.*, coalesce(r.rows, 0) AS rows FROM ({sql}) l
+LEFT JOIN (SELECT name, count(*) AS rows FROM ({X.X3_ROWS_SQL}) GROUP BY name) r ON l.name = r.name"""
+
+
+def _with_rows(files, heads):
+    """``files`` (a ``path`` column) beside the number of data rows that the
+    scan of the files finds in each."""
+    cells, _ = csv_cells(files.sparkSession, heads)
+    rows = cells.groupBy(F.col("source_file").alias("path")).agg(F.count(F.lit(1)).alias("rows"))
+    return files.join(rows, "path", "left").withColumn("rows", F.coalesce("rows", F.lit(0)))
+
+
+@register("feed_validation", _counted(f"""
 SELECT name, CAST(NULL AS VARCHAR) AS reason, true AS has_bytes FROM ({_NAMES})
 UNION ALL SELECT 'header_only.csv', NULL, true UNION ALL SELECT 'empty.csv', 'empty file', false
-UNION ALL SELECT 'missing.csv', 'does not exist', NULL UNION ALL SELECT 'archive', 'not a file', NULL""")
+UNION ALL SELECT 'missing.csv', 'does not exist', NULL UNION ALL SELECT 'archive', 'not a file', NULL"""))
 def feed_validation(spark, sf_dir):
-    """Exists / is a file / non-empty, for listed and requested paths (A9);
-    tasks look at the files."""
+    """Exists / is a file / non-empty, for listed and requested paths (A9), and
+    the data rows of each; tasks look at the files and scan them."""
     _, feeds = x3_dir(spark, sf_dir)
     paths = discover(spark, feeds, (".csv",)).select("path").union(path_table(spark, [f"{feeds}/missing.csv", f"{feeds}/archive"]))
-    return header_table(paths).select(_name(F.col("path")), "reason", (F.col("length") > 0).alias("has_bytes"))
+    heads = header_table(paths)
+    return _with_rows(heads, heads).select(_name(F.col("path")), "reason", (F.col("length") > 0).alias("has_bytes"), "rows")
 
 
 _LAYOUT_SQL = f"""
