@@ -110,17 +110,19 @@ UNION ALL SELECT 'header_only.csv', 'Airline PNR|Airline Code|Sector|Amount', 'A
 
 
 def _layout_rows(spark, sf_dir):
-    """Per file: labels, kept labels and key combination, as one plan."""
+    """Per file: labels, kept labels, key combination and data rows, as one plan."""
     heads = _headers(spark, sf_dir).where("names is not null")
     plan = plan_layouts(layout_headers(heads), X.x3_spec()).select(F.col("layout_id").alias("path"), F.array_join("keys", "|").alias("key_combo"))
     kept = F.transform("kept", lambda p: F.get(F.col("names"), p))
-    return heads.join(plan, "path").select(_name(F.col("path")), F.array_join("names", "|").alias("labels"), F.array_join(kept, "|").alias("kept"), "key_combo")
+    files = heads.join(plan, "path").select("path", F.array_join("names", "|").alias("labels"), F.array_join(kept, "|").alias("kept"), "key_combo")
+    return _with_rows(files, heads).select(_name(F.col("path")), "labels", "kept", "key_combo", "rows")
 
 
-@register("csv_layouts", _LAYOUT_SQL)
+@register("csv_layouts", _counted(_LAYOUT_SQL))
 def csv_layouts_q(spark, sf_dir):
     """Header labels per file (blank -> 'Unnamed: n', repeats -> '.1'), kept
-    labels after dropping unnamed columns, detected key combination (A4b, A5, C3)."""
+    labels after dropping unnamed columns, detected key combination, data rows
+    (A4b, A5, C3)."""
     return _layout_rows(spark, sf_dir)
 
 
