@@ -126,10 +126,11 @@ def csv_layouts_q(spark, sf_dir):
     return _layout_rows(spark, sf_dir)
 
 
-@register("key_combo_detect", f"SELECT name, key_combo FROM ({_LAYOUT_SQL})")
+@register("key_combo_detect", _counted(f"SELECT name, key_combo FROM ({_LAYOUT_SQL})"))
 def key_combo_detect(spark, sf_dir):
-    """First fully present key combination per file, NULL when none."""
-    return _layout_rows(spark, sf_dir).select("name", "key_combo")
+    """First fully present key combination per file, NULL when none, beside
+    the file's data rows (C3, R5)."""
+    return _layout_rows(spark, sf_dir).select("name", "key_combo", "rows")
 
 
 def _all_rows(spark, sf_dir, with_row_index=False):
