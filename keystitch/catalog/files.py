@@ -365,7 +365,7 @@ def report_details(spark, sf_dir):
                F.coalesce(F.col("error"), F.lit("Unknown error"))).alias("error_text"))
 
 
-@register("layout_resolution", f"""
+@register("layout_resolution", _counted(f"""
 SELECT name,
   CASE status WHEN 'P' THEN NULL ELSE 'PNR_Number|Airline_Code|Travel_Sector' END AS keys,
   CASE status WHEN 'F' THEN 'Airline PNR|Airline Code|Sector' WHEN 'O' THEN 'PNRNUMBER|airlinecode|sector'
@@ -373,11 +373,13 @@ SELECT name,
   'Taxable_Amount|Booking_Date' AS missing
 FROM ({_NAMES})
 UNION ALL SELECT 'header_only.csv', 'PNR_Number|Airline_Code|Travel_Sector', 'Airline PNR|Airline Code|Sector',
-  'Taxable_Amount|Booking_Date'""")
+  'Taxable_Amount|Booking_Date'"""))
 def layout_resolution(spark, sf_dir):
     """Header resolution, key detection, key sources and missing targets for
     all files' layouts in one DataFrame plan, from the header records that
-    tasks read (C1, C3, C4, C6 distributed)."""
-    plan = plan_layouts(layout_headers(_headers(spark, sf_dir)), X.x3_spec())
-    return plan.select(_name(F.col("layout_id")), F.array_join("keys", "|").alias("keys"),
-                       F.array_join("sources", "|").alias("sources"), F.array_join("missing", "|").alias("missing"))
+    tasks read, and the data rows of each file (C1, C3, C4, C6 distributed)."""
+    heads = _headers(spark, sf_dir)
+    plan = plan_layouts(layout_headers(heads), X.x3_spec())
+    files = plan.select(F.col("layout_id").alias("path"), F.array_join("keys", "|").alias("keys"),
+                        F.array_join("sources", "|").alias("sources"), F.array_join("missing", "|").alias("missing"))
+    return _with_rows(files, heads).select(_name(F.col("path")), "keys", "sources", "missing", "rows")

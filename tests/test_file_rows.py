@@ -15,7 +15,7 @@ ROWS = {"orders_F_1-URGENT_0.csv": 7, "orders_F_1-URGENT_1.csv": 2, "orders_O_5-
 NO_FEEDS = {"empty.csv": 0, "missing.csv": 0, "archive": 0}
 
 
-@pytest.mark.parametrize("query, more", [("feed_validation", NO_FEEDS), ("csv_layouts", {}), ("key_combo_detect", {})])
+@pytest.mark.parametrize("query, more", [("feed_validation", NO_FEEDS), ("csv_layouts", {}), ("key_combo_detect", {}), ("layout_resolution", {})])
 def test_every_data_row_is_counted(spark, scratch, query, more):
     rows = [(k, c, s, p, d, datetime.date(2024, 1, 1)) for k, c, s, p, d in ORDERS]
     spark.createDataFrame(rows, "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
