@@ -8,10 +8,12 @@ observed in the same pass. Then only the outputs of sound files are moved to
 ``run_id=<run>/output=<name>/sheet=<sheet>``; a replayed batch replaces its
 own. Those folder names are the same for all files, whatever columns they have.
 
-Rows per output are counted by a count-min sketch, which never counts too low.
-When the counts of all outputs add up to the number of rows, each is exact;
-else, and where the adaptive plan found nothing to write and so observed
-nothing, the plan is counted once more.
+Rows per output are counted by a sketch of as many items as there are outputs,
+of which a task holds only those it has rows of: as rows are observed where
+they are dealt by place, what reaches the driver grows with the outputs and the
+tasks, not with their product. When the counts of all outputs add up to the
+number of rows, each is exact; else, and where the adaptive plan found nothing
+to write and so observed nothing, the plan is counted once more.
 """
 
 from __future__ import annotations
@@ -34,6 +36,7 @@ from .writers import csv_options, partition_names
 RUN, OUTPUT, SHEET_DIR = "run_id", "output", "sheet"
 MANIFEST = "_manifest"   # behind the output folder's own name
 _NO, _START = "__ks_no", "__ks_start"
+MAX_ITEMS = 1_000_000   # that a sketch keeps; more outputs are counted by the plan
 
 
 @dataclass(frozen=True)
@@ -61,19 +64,20 @@ def target_table(spark: SparkSession, targets: Sequence[Target], file_col: str,
 
 
 def _observed(df: DataFrame, n: int, flag: str, problem: str, seen: Observation) -> DataFrame:
-    eps = 1.0 / (4 * max(n, 4))   # a row of 8 counters per target
-    sketch = lambda x: F.expr(f"count_min_sketch({x}, {eps:.12f}d, 0.99d, 11)")
+    items = n + 1   # NULL is an item too
+    sketch = lambda x: F.expr(f"approx_top_k({x}, {items}, {items})") if items <= MAX_ITEMS else F.expr(f"count({x})")
     return df.observe(seen, sketch(_NO).alias("rows"), sketch(f"if(`{flag}`, {_NO}, null)").alias("hits"), F.count(F.lit(1)).alias("n"),
                       F.count_if(F.col(flag)).alias("m"),
                       F.collect_set(F.when(F.col(problem).isNotNull(), F.struct(F.col(_NO).alias("no"), F.col(problem).alias("why")))).alias("problems"))
 
 
 def _exact(spark: SparkSession, got: dict, n: int) -> tuple[list[int], list[int]] | None:
-    read = spark._jvm.org.apache.spark.util.sketch.CountMinSketch.readFrom
     out = []
     for name, total in (("rows", "n"), ("hits", "m")):
-        sketch = None if got[name] is None else read(bytes(got[name]))
-        counts = [0] * n if sketch is None or not got[total] else [int(sketch.estimateCount(i)) for i in range(n)]
+        counts = [0] * n
+        for item in got[name] or [] if n < MAX_ITEMS else []:
+            if item["item"] is not None:
+                counts[item["item"]] = item["count"]
         if sum(counts) != got[total]:
             return None
         out.append(counts)
@@ -107,13 +111,13 @@ class StagedOutput:
         table = target_table(spark, targets, file_col, sheet_col if by_sheet else "__ks_no_sheet")
         named = rows.join(table, [file_col, sheet_col] if by_sheet else [file_col])
         seen = Observation(uuid.uuid4().hex)
-        named = _observed(named, n, flag, problem, seen)
         sheet = c(sheet_col) if by_sheet else c("__ks_no_sheet")   # a column of its own: a constant would be sorted by once more
         parts = partition_names(data_columns, (OUTPUT, SHEET_DIR))
         if ordered:
             size = self._task_bytes(bytes_total)
             at = F.least(F.floor((F.col(_START) + c(place[0])) / size), F.lit(max(0, bytes_total // size))).cast("int")
             named = named.repartitionById(max(1, bytes_total // size + 1), at)
+        named = _observed(named, n, flag, problem, seen)   # a task has rows of few targets here
         named = named.select(*[c(x) for x in data_columns], c("__ks_output").alias(parts[OUTPUT]), sheet.alias(parts[SHEET_DIR]), *[c(p) for p in place])
         if ordered:
             named = named.sortWithinPartitions(c(parts[OUTPUT]), c(parts[SHEET_DIR]), *[c(p) for p in place])

@@ -89,6 +89,20 @@ def test_counts_that_do_not_add_up_are_not_taken(spark):
     assert [s.hits for s in staged.counts_by_plan(df, targets, "hit", "why")] == hits
 
 
+def test_what_tasks_observe_does_not_grow_with_all_targets(spark):
+    """Counts of a task's own targets reach the driver, not one counter or more per target from every task."""
+    from pyspark.sql import Observation
+
+    def seen_bytes(n):
+        df = spark.range(0, 64, 1, 4).select(F.col("id").cast("int").alias("__ks_no"), (F.col("id") % 2 == 0).alias("hit"), F.lit(None).cast("string").alias("why"))
+        seen = Observation(f"few-{n}")
+        staged._observed(df, n, "hit", "why", seen).write.format("noop").mode("overwrite").save()
+        rows, hits = staged._exact(spark, seen.get, n)
+        assert rows[:64] == [1] * 64 and sum(rows) == 64 and hits[:64] == [1, 0] * 32
+        return sum(len(str(x)) if not isinstance(x, (bytes, bytearray)) else len(x) for x in (seen.get["rows"], seen.get["hits"]))
+    assert seen_bytes(20000) == seen_bytes(100)
+
+
 def test_a_reference_that_cannot_be_opened(spark, scratch):
     d = f"{scratch}/in"
     hadoop_mkdirs(spark, d)
