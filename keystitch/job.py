@@ -257,20 +257,22 @@ def _run_directory(spark, directory, reference, spec, out, rows, *, run_id, ts,
             shared[sig] = kept.shared(reference, spec, g["prep"].ref_exprs, g["targets"])
             continue
 
-        def build(reduce_mode, g=g):
+        def build(reduce_mode, reduced, g=g):
             keys = reduce(lambda a, b: a.unionByName(b), g["keys"]).distinct()
-            first = first_reference(reference, spec, g["prep"].ref_exprs, g["targets"], keys, reduce_mode)
+            first = first_reference(reference, spec, g["prep"].ref_exprs, g["targets"], keys, reduce_mode, reduced)
             first = first.persist(StorageLevel.MEMORY_AND_DISK)
             first.count()   # materialise once; the cached relation now reports its exact size
             return first
+        reduced: list = []
         try:
-            first = build(reduce_reference)
+            first = build(reduce_reference, reduced)
         except Exception:  # noqa: BLE001 - a feed of the group cannot be read: its own unit will tell
             if reduce_reference is False:
                 raise
-            first = build(False)
+            reduced = []
+            first = build(False, reduced)
         small = 0 <= plan_size_bytes(first) <= broadcast_threshold(spark)
-        shared[sig] = SharedReference(first, tuple(g["targets"]), broadcast=small)
+        shared[sig] = SharedReference(first, tuple(g["targets"]), broadcast=small, whole=not reduced)
 
     # pass 2: per layout one join and one write, which also counts. Layouts run
     # concurrently (Spark schedules jobs from several driver threads); each
@@ -289,8 +291,10 @@ def _run_directory(spark, directory, reference, spec, out, rows, *, run_id, ts,
             spec_seen = Observation(_name()) if unit.layout is not None and unit.speculate else None
             feed = unit.read(unit, spec_seen)
             prep = prepare(feed, ref_schema, spec, plan) if sig is not None else None
-            # a file read again may hold keys that the shared reference was not reduced to
-            enriched = enrich(feed, reference, spec, plan=plan, flag=FLAG, shared=shared.get(sig) if unit.speculate else None, prepared=prep)
+            # a file read again may hold keys that a reduced reference was not reduced to
+            one = shared.get(sig)
+            one = one if one is not None and (unit.speculate or one.whole) else None
+            enriched = enrich(feed, reference, spec, plan=plan, flag=FLAG, shared=one, prepared=prep)
             for name, kind in ((FLAG, "boolean"), (SHEET, "string"), (PROBLEM, "string")):
                 if name not in enriched.columns:
                     enriched = enriched.withColumn(name, F.lit(None).cast(kind))

@@ -317,11 +317,12 @@ def _bitmap_pays(keys_df: DataFrame, ref_df: DataFrame, bits: int = BITMAP_BITS)
 
 def first_reference(reference: DataFrame, spec: EnrichSpec, ref_exprs: Sequence[Column],
                     targets: Sequence[str], feed_keys: DataFrame | None = None,
-                    reduce_reference="auto") -> DataFrame:
+                    reduce_reference="auto", reduced: list | None = None) -> DataFrame:
     """Pruned, NULL-free, optionally semi-joined, first-per-key reference with
     columns ``__ks_r{i}`` (keys in comparison type), ``__ks_t{j}`` (``targets``
     in order) and ``__ks_m`` (match indicator). ``feed_keys`` (columns
-    ``__ks_r{i}``, distinct) drives the optional semi-join reduction."""
+    ``__ks_r{i}``, distinct) drives the optional semi-join reduction, of which
+    ``reduced`` is told (True) where it takes place."""
     order_names = [o.lstrip("-") for o in spec.order_by]
     # beyond order_by the tie-break runs over all targets of the spec, not only
     # those that this feed lacks: the choice must not depend on the feed
@@ -334,12 +335,15 @@ def first_reference(reference: DataFrame, spec: EnrichSpec, ref_exprs: Sequence[
         *[c(t).alias(f"{_P}x{m}") for m, t in enumerate(ties)],
     ).filter(_and([F.col(k).isNotNull() for k in rkeys]))
     if feed_keys is not None:
+        whole = ref
         if reduce_reference == "auto" and _reduce_decision("auto", feed_keys, ref):
             ref = ref.join(F.broadcast(feed_keys), on=rkeys, how="left_semi")   # size measured above
         elif reduce_reference == "bitmap" or (reduce_reference == "auto" and _bitmap_pays(feed_keys, ref)):
             ref = bitmap_reduce(ref, rkeys, feed_keys)
         elif reduce_reference is True:
             ref = ref.join(feed_keys, on=rkeys, how="left_semi")                # strategy left to AQE
+        if reduced is not None and ref is not whole:
+            reduced.append(True)
     order = []
     for m, o in enumerate(spec.order_by):
         col = F.col(f"{_P}o{m}")
@@ -372,6 +376,7 @@ class SharedReference:
     frame: DataFrame
     targets: tuple[str, ...]
     broadcast: bool = False   # set only from the materialised (measured) size
+    whole: bool = False       # not reduced to the keys of the feeds that were known
 
 
 def reference_signature(feed_schema: T.StructType, plan: LayoutPlan, reference_schema: T.StructType) -> tuple:

@@ -203,6 +203,7 @@ def read_outputs(spark: SparkSession, out: str, run_id: str) -> list[tuple[list[
     """A run's outputs, one DataFrame per set of columns (text, as written)
     with ``__ks_output``, ``__ks_sheet`` and ``__ks_row``, the row's place in
     its output: (columns, rows)."""
+    from ..sources import records as R
     from ..sources.csv import CsvLayout, read_layout
     groups: dict[tuple, list] = {}
     for r in read_manifest(spark, out, run_id).where("rows > 0").collect():   # one row per written output
@@ -222,9 +223,11 @@ def read_outputs(spark: SparkSession, out: str, run_id: str) -> list[tuple[list[
                 paths.append((p, int(st.getLen())))
                 table.append((p, i, r["output"], r["sheet"]))
         lay = CsvLayout(tuple(f"c{i}" for i in range(len(columns))), tuple(range(len(columns))), [p for p, _ in paths], dict(paths))
-        df = read_layout(spark, lay, na_tokens=[""], with_row_index=True, file_col="__ks_part")
+        known, counts = R.survey(spark, lay.paths)   # one pass tells the rows of every split, and so of every part file
+        df = read_layout(spark, lay, na_tokens=[""], with_row_index=True, file_col="__ks_part", surveyed=(known, counts))
         parts = spark.createDataFrame(table, "__ks_part string, __ks_i int, __ks_output string, __ks_sheet string")
-        sizes = df.groupBy("__ks_part").agg(F.count(F.lit(1)).alias("__ks_n")).join(parts, "__ks_part")
+        sizes = spark.createDataFrame(counts, f"{R.FID} long, __ks_blk long, __ks_rows long").groupBy(R.FID).agg(F.sum("__ks_rows").alias("__ks_n"))
+        sizes = sizes.where("__ks_n > 0").join(R.file_table(spark, lay.paths, "__ks_part"), R.FID).drop(R.FID).join(parts, "__ks_part")
         from pyspark.sql import Window
         w = Window.partitionBy("__ks_output", "__ks_sheet").orderBy("__ks_i").rowsBetween(Window.unboundedPreceding, -1)
         parts = sizes.withColumn("__ks_before", F.coalesce(F.sum("__ks_n").over(w), F.lit(0))).drop("__ks_n", "__ks_i")

@@ -174,7 +174,7 @@ def _wide_rows(spark: SparkSession, paths: Sequence[str], delimiter: str, encodi
 def read_layout(spark: SparkSession, layout: CsvLayout, *, delimiter: str = ",", na_tokens: Sequence[str] = NA_TOKENS,
                 with_row_index: bool = False, encoding: str = "UTF-8", file_col: str = SOURCE_FILE,
                 problem_col: str | None = None, place_cols: tuple[str, str] | None = None,
-                speculate: Observation | None = None) -> DataFrame:
+                speculate: Observation | None = None, surveyed: tuple[R.Borders, list] | None = None) -> DataFrame:
     """All files of one layout as one DataFrame: kept columns under their labels
     (strings, NA tokens -> NULL), plus ``file_col`` (and ``row_idx``).
 
@@ -184,10 +184,11 @@ def read_layout(spark: SparkSession, layout: CsvLayout, *, delimiter: str = ",",
     begins a record, and the observation, once the rows have been read, tells
     of which files that was not so (:func:`misread`). ``problem_col`` names a
     column that says why a row makes its file unreadable, NULL for sound rows;
-    ``place_cols`` names (split, place in it) columns, in the file's order."""
+    ``place_cols`` names (split, place in it) columns, in the file's order.
+    ``surveyed`` is :func:`records.survey` of the files, where that is known."""
     n, kind = len(layout.names), _kind(encoding)
     splits = [] if kind == "wide" else may_split(spark, _file_sizes(spark, layout.paths, layout.sizes))
-    known = R.borders(spark, splits, delimiter) if splits and speculate is None else R.Borders()
+    known = surveyed[0] if surveyed else R.borders(spark, splits, delimiter) if splits and speculate is None else R.Borders()
     rows = _wide_rows(spark, layout.paths, delimiter, encoding) if kind == "wide" else R.records(spark, layout.paths, delimiter, known)
     if speculate is not None:
         rows = rows.observe(speculate, F.collect_set(R.edge_of()).alias("edges"))   # one per split
@@ -211,7 +212,7 @@ def read_layout(spark: SparkSession, layout: CsvLayout, *, delimiter: str = ",",
     if place_cols:
         extra += [F.col(R.BLOCK).alias(place_cols[0]), F.col(R.PLACE).alias(place_cols[1])]
     if with_row_index:
-        rows, place = R.numbered(spark, rows, splits, delimiter, known)
+        rows, place = R.numbered(spark, rows, splits, delimiter, known, surveyed[1] if surveyed else None)
         extra.append(place.alias(ROW_IDX))
     return rows.select(*cols, *extra)
 

@@ -83,8 +83,8 @@ class Stitcher:
     (fid, block); ``headers``: the split whose first record is the header,
     where that is not the file's first split."""
 
-    def __init__(self, quotes: Quotes, starts: set[tuple[int, int]], headers: dict[int, int]):
-        self.quotes, self.starts, self.headers = quotes, starts, headers
+    def __init__(self, quotes: Quotes, starts: set[tuple[int, int]], headers: dict[int, int], edges_only: bool = False):
+        self.quotes, self.starts, self.headers, self.edges_only = quotes, starts, headers, edges_only
         self.split: _Split | None = None
         self.out: list[tuple] = []   # (values, fid, block, first place, kind, info)
 
@@ -132,9 +132,19 @@ class Stitcher:
         if s.header and len(values):
             s.header, values = False, values[1:]
         if len(values):
-            self._emit(values, RECORD, s.at)
+            if not self.edges_only:
+                self._append(values)
             s.at += len(values)
 
+    def _append(self, values) -> None:
+        """Records put together one by one go on in the run of those before them."""
+        s, last = self.split, self.out[-1] if self.out else None
+        if (last is not None and isinstance(values, list) and isinstance(last[0], list) and last[4] == RECORD
+                and last[1:3] == (s.fid, s.block) and last[3] + len(last[0]) == s.at):
+            last[0].extend(values)
+        else:
+            self._emit(values, RECORD, s.at)
+
     def _inside(self, line: bytes, brk: bytes) -> None:
         """A line that begins inside a cell."""
         s = self.split
@@ -172,13 +182,14 @@ class Stitcher:
             while k < len(quoted) and (quoted[k] < i or q.step(OUT, seg[quoted[k]].as_py()) == OUT):
                 k += 1
             to = quoted[k] if k < len(quoted) else len(seg)
-            part = seg.slice(i, to - i)
-            blank = pc.match_substring_regex(part, r"\A[ \t\r]*\z")
-            if pc.any(blank).as_py():
-                part = part.filter(pc.invert(blank))
-            if len(returns) and len(part):
-                part = pc.replace_substring_regex(part, r"\r+\z", "")
-            self._records(part)
+            if to > i:
+                part = seg.slice(i, to - i)
+                blank = pc.match_substring_regex(part, r"\A[ \t\r]*\z")
+                if pc.any(blank).as_py():
+                    part = part.filter(pc.invert(blank))
+                if len(returns) and len(part):
+                    part = pc.replace_substring_regex(part, r"\r+\z", "")
+                self._records(part)
             if to < len(seg):
                 s.pending, s.state = [seg[to].as_py(), b"\n"], IN
             i = to + 1
@@ -230,10 +241,11 @@ def file_table(spark: SparkSession, paths: Sequence[str], file_col: str) -> Data
 
 
 def scan(spark: SparkSession, paths: Sequence[str], delimiter: str = ",", starts: Iterable[tuple[int, int]] = (),
-         headers: dict[int, int] | None = None) -> DataFrame:
+         headers: dict[int, int] | None = None, edges_only: bool = False) -> DataFrame:
     """Rows of :data:`SCHEMA` of the files: their records (:data:`RECORD`, and
     :data:`OPEN` where the file ends inside one) in place within their split,
-    parts of records across borders, one edge per split."""
+    parts of records across borders, one edge per split. ``edges_only`` leaves
+    out whole records, which are read all the same."""
     starts, headers, quotes = set(starts), dict(headers or {}), Quotes(delimiter)
     meta = lambda n: F.col(f"_metadata.{n}")
     lines = spark.read.option("lineSep", "\n").text(list(paths)).select(
@@ -242,7 +254,7 @@ def scan(spark: SparkSession, paths: Sequence[str], delimiter: str = ",", starts
 
     def run(batches):
         import numpy as np
-        st = Stitcher(quotes, starts, headers)
+        st = Stitcher(quotes, starts, headers, edges_only)
         for b in batches:
             fid, block, last = (b.column(i).to_numpy(zero_copy_only=False) for i in (1, 2, 3))
             cuts = np.flatnonzero((np.diff(fid) != 0) | (np.diff(block) != 0)) + 1
@@ -338,7 +350,25 @@ def borders(spark: SparkSession, paths: Sequence[str], delimiter: str = ",") ->
     """One scan of the files for their edges (one row a split reaches the driver)."""
     if not paths:
         return Borders()
-    return Borders.of(courses(scan(spark, paths, delimiter).where(F.col(KIND) == EDGE).select(edge_of().alias("e")).select("e.*").collect()))
+    return Borders.of(courses(_edges(spark, paths, delimiter)))
+
+
+def _edges(spark: SparkSession, paths: Sequence[str], delimiter: str) -> list:
+    return scan(spark, paths, delimiter, edges_only=True).where(F.col(KIND) == EDGE).select(edge_of().alias("e")).select("e.*").collect()
+
+
+def survey(spark: SparkSession, paths: Sequence[str], delimiter: str = ",") -> tuple[Borders, list[tuple[int, int, int]]]:
+    """:func:`borders` and :func:`row_counts` of all files from one scan; a
+    second one only where a split does not begin a record (of the same files,
+    as the splits are those of a scan)."""
+    if not paths:
+        return Borders(), []
+    edges = _edges(spark, paths, delimiter)
+    found = courses(edges)
+    known = Borders.of(found)
+    if not all(f.as_speculated for f in found.values()):
+        return known, row_counts(spark, paths, delimiter, known)
+    return known, [(r["fid"], r["block"], max(0, r["n"] - (r["block"] == 0))) for r in edges]   # the header is in the first
 
 
 def row_counts(spark: SparkSession, paths: Sequence[str], delimiter: str, known: Borders) -> list[tuple[int, int, int]]:
@@ -367,14 +397,17 @@ def records(spark: SparkSession, paths: Sequence[str], delimiter: str = ",", kno
     return rows.where(~F.col(KIND).isin(HEAD, TAIL)).unionByName(whole)
 
 
-def numbered(spark: SparkSession, rows: DataFrame, splits: Sequence[str], delimiter: str, known: Borders) -> tuple[DataFrame, Column]:
+def numbered(spark: SparkSession, rows: DataFrame, splits: Sequence[str], delimiter: str, known: Borders,
+             counted: list[tuple[int, int, int]] | None = None) -> tuple[DataFrame, Column]:
     """(rows, 0-based row number within each file), without a global sort (G1,
     H4): a row's place in its split, plus the rows of the file's earlier
     splits. Only files that may be split (``splits``) have more than one, and
-    only these are scanned for the counts of their splits."""
-    if not splits:
+    only these are scanned for the counts of their splits, unless those are known
+    (``counted``)."""
+    if not splits or counted == []:
         return rows, F.col(PLACE)
-    counted = row_counts(spark, splits, delimiter, known)
+    if counted is None:
+        counted = row_counts(spark, splits, delimiter, known)
     w = Window.partitionBy(FID).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
     before = spark.createDataFrame(counted, f"{FID} long, {BLOCK} long, __ks_n long").select(
         FID, BLOCK, F.coalesce(F.sum("__ks_n").over(w), F.lit(0)).alias("__ks_before"))

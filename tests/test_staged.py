@@ -103,6 +103,57 @@ def test_what_tasks_observe_does_not_grow_with_all_targets(spark):
     assert seen_bytes(20000) == seen_bytes(100)
 
 
+@pytest.mark.parametrize("brk, most", [("", 2), ("\n", 3)])
+def test_outputs_are_scanned_for_their_borders_and_counts_at_once(spark, scratch, ref, monkeypatch, brk, most):
+    """One scan before that of the rows; one more where splits begin in quoted line breaks."""
+    from keystitch.sources import records as R
+    d, out = f"{scratch}/in", f"{scratch}/out"
+    hadoop_mkdirs(spark, d)
+    hadoop_write_text(spark, f"{d}/long.csv", f"{HEAD},Note\n" + "".join(f'{k},2,A,"n,{brk}{k}"\n' for k in range(3000)))
+    enrich_directory(spark, d, ref, SPEC, out=out, run_id="1")
+    scans, real = [], R.scan
+    monkeypatch.setattr(R, "scan", lambda *a, **k: (scans.append(1), real(*a, **k))[1])
+    saved = {k: spark.conf.get(k, None) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        for k in saved:
+            spark.conf.set(k, "8192")
+        ((_, rows),) = staged.read_outputs(spark, out, "1")
+        assert {r["__ks_row"]: (int(r["Airline PNR"]), r["Note"]) for r in rows.collect()} == {i: (i, f"n,{brk}{i}") for i in range(3000)}
+    finally:
+        for k, v in saved.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert len(scans) == most
+
+
+def test_quoted_records_make_few_runs():
+    import pyarrow as pa
+
+    from keystitch.sources.records import Quotes, Stitcher
+    st = Stitcher(Quotes(), set(), {})
+    st.begin(1, 0, True)
+    st.lines(pa.array([b"a,b"] + [x for k in range(500) for x in (b'1,"x', b'%d"' % k)] + [b"2,3"], pa.binary()))
+    st.end()
+    assert len(st.out) < 5   # not one a record
+    rows = [r for r in st.batch().to_pylist() if r["__ks_kind"] == 0]
+    assert [r["__ks_raw"] for r in rows] == [b'1,"x\n%d"' % k for k in range(500)] + [b"2,3"]
+    assert [r["__ks_at"] for r in rows] == list(range(501))
+
+
+@pytest.mark.parametrize("reduce_reference, fresh", [(False, False), (True, True)])
+def test_files_read_again_join_the_shared_reference_where_it_is_whole(spark, scratch, ref, monkeypatch, reduce_reference, fresh):
+    d = f"{scratch}/in"
+    hadoop_mkdirs(spark, d)
+    hadoop_write_text(spark, f"{d}/a.csv", f"{HEAD},Note\n2,2,A,x\n3,2,A,y\n")
+    hadoop_write_text(spark, f"{d}/open.csv", f'{HEAD},Note\n2,2,A,x\n4,2,A,"y\n')
+    seen, real = [], J.enrich
+    monkeypatch.setattr(J, "enrich", lambda *a, **k: (seen.append(k["shared"] is None), real(*a, **k))[1])
+    res = enrich_directory(spark, d, ref, SPEC, out=f"{scratch}/out", run_id="1", reduce_reference=reduce_reference)
+    rep = {r.file.rsplit("/", 1)[-1]: r for r in res.report.collect()}
+    assert (rep["a.csv"].rows, rep["a.csv"].matched) == (2, 1)
+    assert (rep["open.csv"].status, rep["open.csv"].reason) == ("failed", "a quoted cell is not closed")
+    assert seen == [False, fresh]
+
+
 def test_a_reference_that_cannot_be_opened(spark, scratch):
     d = f"{scratch}/in"
     hadoop_mkdirs(spark, d)
